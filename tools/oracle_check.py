@@ -33,7 +33,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
@@ -99,17 +99,17 @@ def main() -> int:
         q = reg[name]
         t0 = time.time()
         try:
-            sp = q.fn(spark, args.sf).toPandas()
+            sp = q.fn(spark, args.sf).toArrow().to_pandas(types_mapper=pd.ArrowDtype)
         except Exception as e:  # noqa: BLE001
             print(f"{name:40s} SPARK ERROR {type(e).__name__}: {str(e)[:300]}")
             bad += 1
             continue
         dt = time.time() - t0
         if q.oracle is None:
-            print(f"{name:40s} rows={len(sp):7d} (no oracle) {dt:5.1f}s")
+            print(f"\n{name:40s} rows={len(sp):7d} (no oracle) {dt:5.1f}s")
             continue
         try:
-            dk = con.execute(q.oracle).df()
+            dk = con.execute(q.oracle).to_arrow_table().to_pandas(types_mapper=pd.ArrowDtype)
         except Exception as e:  # noqa: BLE001
             print(f"{name:40s} DUCKDB ERROR {str(e)[:300]}")
             bad += 1
@@ -118,7 +118,7 @@ def main() -> int:
         ok = r.get("exact", False)
         bad += not ok
         extra = "" if ok else f" {r}"
-        print(f"{name:40s} rows={len(sp):7d}/{len(dk):7d} exact={ok} tol={r.get('tolerant')} {dt:5.1f}s{extra[:600]}")
+        print(f"\n{name:40s} rows={len(sp):7d}/{len(dk):7d} exact={ok} tol={r.get('tolerant')} {dt:5.1f}s{extra[:600]}")
     spark.stop()
     return 1 if bad else 0
 
