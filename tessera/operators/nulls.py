@@ -292,11 +292,30 @@ def fill_by_strategy(df: DataFrame, cols: Sequence[str], strategy: str = "mean",
         raise ValueError(f"unknown strategy {strategy!r}")
     out = df
     for c in cols:
-        if vals[c] is not None:
+        if vals[c] is None:
+            continue
+        if strategy in ("mean", "median") and isinstance(df.schema[c].dataType, T.NumericType):
+            # a numeric column with nulls is a float column in the reference
+            out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(float(vals[c]))))
+        else:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(vals[c]).cast(df.schema[c].dataType)))
     return out
 
 
+def spread_group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (),
+                       mode_cols: Sequence[str] = (), count: bool = False) -> DataFrame:
+    """WIN-1 / WIN-3: group mean, mode and size attached to every row.
+
+    ``groupBy`` + join instead of a window over the group, so a hot group is
+    pre-aggregated in parallel rather than buffered in one task."""
+    stats = df.groupBy(*keys).agg(*[F.avg(c).alias(f"{c}_mean") for c in mean_cols],
+                                  *([F.count(F.lit(1)).alias("group_size")] if count else []))
+    out = df.join(stats, list(keys), "left")
+    for c in mode_cols:
+        out = out.join(group_mode(df, keys, c, f"{c}_mode"), list(keys), "left")
+    return out
+
+
 def fill_unknown(df: DataFrame, cols: Sequence[str], value: str = "Unknown") -> DataFrame:
     """NUL-6: text nulls to a fixed label before encoding."""
     return df.na.fill(value, subset=list(cols))
