@@ -68,7 +68,14 @@ SELECT c_custkey AS point_id,
 FROM customer
 """
 
+BUS_STOPS = """
+SELECT p_partkey AS poi_id, 126.5e0 + (p_partkey * 31 % 10007) / 10007e0 AS lon,
+       37.0e0 + (p_partkey * 61 % 10009) / 10009e0 AS lat
+FROM part
+"""
+
 VIEWS = {
+    "bus_stops": BUS_STOPS,
     "trades": TRADES,
     "pois": POIS,
     "landmarks": LANDMARKS,

@@ -104,3 +104,12 @@ def cluster_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("c_nationkey") % 5) * F.lit(2.0) + F.col("c_acctbal") / F.lit(10000.0)).alias("x"),
         ((F.col("c_nationkey") % 3) * F.lit(2.0)
          + (F.col("c_custkey") * 7919 % 10007) / F.lit(10007.0)).alias("y"))
+
+
+def bus_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second, denser POI table (one stop per part) for the transport step."""
+    p = table(spark, sf_dir, "part").select("p_partkey")
+    k = F.col("p_partkey")
+    return p.select(k.alias("poi_id"),
+                    (F.lit(126.5) + (k * 31 % 10007) / F.lit(10007.0)).alias("lon"),
+                    (F.lit(37.0) + (k * 61 % 10009) / F.lit(10009.0)).alias("lat"))
