@@ -1 +1,207 @@
-"""Queries."""
+"""Feature-selection queries (2.15)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import select as sel
+from ..operators.model import forward_selection, recursive_elimination
+from ..sources import views
+from ..sources.tables import table
+from .registry import query
+from .sqltext import with_views
+
+NUMS = ["area", "bal", "built_year", "contract_day", "lon", "lat"]
+
+
+def _u(parts):
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("sel_variance", "SEL-1", with_views(_u([
+    f"SELECT '{c}' AS column, round(var_pop(CAST({c} AS DOUBLE)), 6) AS variance, var_pop(CAST({c} AS DOUBLE)) > 0.1 AS keep "
+    f"FROM trades" for c in ["area", "bal", "contract_day", "lat", "mostly_null"]]), "trades"))
+def q_variance(spark, sf):
+    v = sel.variance_filter(views.trades(spark, sf), ["area", "bal", "contract_day", "lat", "mostly_null"])
+    return v.select("column", F.round("variance", 6).alias("variance"), "keep")
+
+
+SEL2 = ["area", "target", "bal", "built_year", "contract_day"]
+
+
+def _corr_filter_sql():
+    pairs = [f"SELECT '{b}' AS column, abs(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))) AS ar FROM trades"
+             for i, a in enumerate(SEL2) for b in SEL2[i + 1:]]
+    pos = " UNION ALL ".join(f"SELECT '{c}' AS column, {i} AS pos" for i, c in enumerate(SEL2))
+    return with_views(f"""
+, p AS ({_u(pairs)}), pos AS ({pos})
+SELECT pos.column, pos.pos, coalesce(sum(CASE WHEN ar <= 0.8 THEN 1 ELSE 0 END), 0) > 0 AS keep_ref,
+       coalesce(sum(CASE WHEN ar > 0.8 THEN 1 ELSE 0 END), 0) = 0 AS keep_fixed
+FROM pos LEFT JOIN p ON pos.column = p.column GROUP BY pos.column, pos.pos
+""", "trades")
+
+
+@query("sel_correlation_filter", "SEL-2", _corr_filter_sql())
+def q_corr_filter(spark, sf):
+    t = views.trades(spark, sf).withColumn("target", F.col("area") * 4321.0 + F.col("bal") / 1000.0)
+    return sel.correlation_filter(t, SEL2, 0.8)
+
+
+def _vif3_sql(src, cols, centered):
+    a, b, c = cols
+    if centered:
+        r = {(x, y): f"corr({x}, {y})" for x, y in [(a, b), (a, c), (b, c)]}
+    else:
+        r = {(x, y): f"sum({x} * {y}) / sqrt(sum({x} * {x}) * sum({y} * {y}))" for x, y in [(a, b), (a, c), (b, c)]}
+    r12, r13, r23 = r[(a, b)], r[(a, c)], r[(b, c)]
+    det = f"(1 + 2 * ({r12}) * ({r13}) * ({r23}) - pow({r12}, 2) - pow({r13}, 2) - pow({r23}, 2))"
+    parts = []
+    for col, other in ((a, r23), (b, r13), (c, r12)):
+        v = f"(1 - pow({other}, 2)) / {det}"
+        flag = f"{v} > 10" if centered else f"{v} >= 10"
+        parts.append(f"SELECT '{col}' AS column, round({v}, 4) AS vif, {flag} AS flagged FROM {src}")
+    return _u(parts)
+
+
+VIF = ["area", "target", "bal"]
+
+
+@query("sel_vif_intercept", "SEL-3", with_views(
+    ", s AS (SELECT area, area * 100e0 + bal / 100e0 + contract_day * 5e0 AS target, bal FROM trades WHERE area IS NOT NULL)\n"
+    + _vif3_sql("s", VIF, True), "trades"))
+def q_vif(spark, sf):
+    t = views.trades(spark, sf).where(F.col("area").isNotNull()) \
+             .select("area", (F.col("area") * 100.0 + F.col("bal") / 100.0 + F.col("contract_day") * 5.0).alias("target"), "bal")
+    return sel.vif(t, VIF, centered=True, digits=4)
+
+
+@query("sel_vif_uncentered", "SEL-4", with_views(
+    ", s AS (SELECT CAST(contract_day AS DOUBLE) AS contract_day, lat, lon FROM trades WHERE lat IS NOT NULL)\n"
+    + _vif3_sql("s", ["contract_day", "lat", "lon"], False), "trades"))
+def q_vif_u(spark, sf):
+    t = views.trades(spark, sf).where(F.col("lat").isNotNull()).select("contract_day", "lat", "lon")
+    return sel.vif(t, ["contract_day", "lat", "lon"], centered=False, digits=4)
+
+
+def _cramer_sql(pairs, src="trades"):
+    parts = []
+    for a, b in pairs:
+        ct = (f"(SELECT coalesce(CAST({a} AS VARCHAR), 'missing') AS v1, coalesce(CAST({b} AS VARCHAR), 'missing') AS v2, "
+              f"count(*) AS o FROM {src} GROUP BY 1, 2)")
+        q = f"""(WITH ct AS {ct},
+ r AS (SELECT v1, sum(o) AS r FROM ct GROUP BY v1), c AS (SELECT v2, sum(o) AS c FROM ct GROUP BY v2),
+ n AS (SELECT sum(o) AS n, (SELECT count(*) FROM r) AS nr, (SELECT count(*) FROM c) AS nc FROM ct),
+ cells AS (SELECT r.v1, c.v2, r.r * c.c / n.n AS e, coalesce(ct.o, 0) AS o FROM r CROSS JOIN c CROSS JOIN n
+           LEFT JOIN ct ON ct.v1 = r.v1 AND ct.v2 = c.v2),
+ x AS (SELECT CASE WHEN (SELECT nr FROM n) = 2 AND (SELECT nc FROM n) = 2
+                   THEN sum(pow(abs(o - e) - least(0.5, abs(o - e)), 2) / e) ELSE sum(pow(o - e, 2) / e) END AS chi2 FROM cells),
+ z AS (SELECT chi2 / n AS phi2, nr, nc, n FROM x, n),
+ w AS (SELECT greatest(0, phi2 - (nc - 1) * (nr - 1) / (n - 1)) AS p2c, nr - pow(nr - 1, 2) / (n - 1) AS rc,
+              nc - pow(nc - 1, 2) / (n - 1) AS kc, nr, nc FROM z)
+ SELECT '{a}' AS c1, '{b}' AS c2,
+        CASE WHEN nr < 2 OR nc < 2 OR least(kc - 1, rc - 1) <= 0 THEN 0e0 ELSE round(sqrt(p2c / least(kc - 1, rc - 1)), 6) END AS v,
+        CASE WHEN nr < 2 OR nc < 2 OR least(kc - 1, rc - 1) <= 0 THEN false ELSE sqrt(p2c / least(kc - 1, rc - 1)) > 0.7 END AS drop_c2
+ FROM w)"""
+        parts.append(f"SELECT * FROM {q}")
+    return _u(parts)
+
+
+CRAMER_PAIRS = [("district", "hood"), ("district", "heating"), ("hood", "deal_type"), ("heating", "deal_type"),
+                ("district", "region"), ("is_core", "is_test")]
+
+
+@query("sel_cramers_v", ("SEL-5", "SEL-6"), with_views(
+    ", t2 AS (SELECT *, split_part(addr, ' ', 1) AS region, CAST(row_id % 3 = 0 AS INTEGER) AS is_core FROM trades)\n"
+    + _cramer_sql(CRAMER_PAIRS, "t2"), "trades"))
+def q_cramer(spark, sf):
+    t = views.trades(spark, sf).withColumn("region", F.split("addr", " ").getItem(0)) \
+             .withColumn("is_core", (F.col("row_id") % 3 == 0).cast("int"))
+    rows = []
+    for a, b in CRAMER_PAIRS:
+        v = sel.cramers_v(t, a, b, True)
+        rows.append((a, b, round(v, 6), v > 0.7))
+    return spark.createDataFrame(rows, "c1 string, c2 string, v double, drop_c2 boolean")
+
+
+@query("sel_yates_2x2", "SEL-5", """
+SELECT round(sum(pow(abs(o - e) - least(0.5, abs(o - e)), 2) / e), 6) AS chi2 FROM (
+  SELECT r.v1, c.v2, r.r * c.c / n.n AS e, coalesce(ct.o, 0) AS o
+  FROM (SELECT l_linestatus AS v1, sum(1) AS r FROM lineitem GROUP BY 1) r
+  CROSS JOIN (SELECT CAST(l_quantity > 25 AS VARCHAR) AS v2, sum(1) AS c FROM lineitem GROUP BY 1) c
+  CROSS JOIN (SELECT count(*) AS n FROM lineitem) n
+  LEFT JOIN (SELECT l_linestatus AS v1, CAST(l_quantity > 25 AS VARCHAR) AS v2, count(*) AS o FROM lineitem GROUP BY 1, 2) ct
+    ON ct.v1 = r.v1 AND ct.v2 = c.v2)
+""")
+def q_yates(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_linestatus", (F.col("l_quantity") > 25).cast("string").alias("big"))
+    chi2, _, _, _ = sel.chi2_stats(li, "l_linestatus", "big")
+    return spark.createDataFrame([(round(chi2, 6),)], "chi2 double")
+
+
+@query("sel_k_best_f", ("SEL-7", "SEL-10"), with_views(f"""
+SELECT "column", round(f, 4) AS f FROM ({_u([
+    f"SELECT '{c}' AS column, pow(corr(CAST({c} AS DOUBLE), target), 2) / (1 - pow(corr(CAST({c} AS DOUBLE), target), 2)) "
+    f"* (count(*) FILTER (WHERE {c} IS NOT NULL) - 2) AS f FROM trades" for c in ["mix", "bal", "built_year", "contract_day", "lat"]])})
+ORDER BY f DESC, "column" LIMIT 3
+""", "trades").replace("FROM trades", "FROM (SELECT *, area + bal / 500e0 AS mix FROM trades)"))
+def q_kbest(spark, sf):
+    t = views.trades(spark, sf).withColumn("mix", F.col("area") + F.col("bal") / F.lit(500.0))
+    f = sel.f_regression(t, ["mix", "bal", "built_year", "contract_day", "lat"], "target")
+    return sel.k_best(f, 3, "f").select("column", F.round("f", 4).alias("f"))
+
+
+def _mi_sql(cols, num):
+    parts = []
+    for c in cols:
+        x = (f"CAST(least(floor(({c} - lo) / ((hi - lo) / 10e0)), 9) AS VARCHAR)" if c in num else c)
+        src = (f"(SELECT d.*, m.lo, m.hi FROM dl d, (SELECT min({c}) AS lo, max({c}) AS hi FROM dl) m)" if c in num else "dl")
+        parts.append(f"""SELECT '{c}' AS column, round(sum(o / n * ln(o * n / (nx * ny))), 8) AS mi FROM (
+  SELECT o, sum(o) OVER () AS n, sum(o) OVER (PARTITION BY x) AS nx, sum(o) OVER (PARTITION BY y) AS ny FROM (
+    SELECT {x} AS x, quality AS y, count(*) AS o FROM {src} s WHERE {c} IS NOT NULL GROUP BY 1, 2))""")
+    return _u(parts)
+
+
+@query("sel_mutual_info", "SEL-8", ", ".join([
+    "WITH dl AS (SELECT d.doc_id, d.n_chars, d.lang, d.source, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"])
+    + "\n" + _mi_sql(["n_chars", "lang", "source"], ["n_chars"]))
+def q_mi(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source") \
+        .join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    return sel.mutual_info(d, ["n_chars", "lang", "source"], "quality").select("column", F.round("mi", 8).alias("mi"))
+
+
+@query("sel_anova_f", "SEL-9", """
+WITH e AS (SELECT value AS x, label AS g FROM embeddings, (SELECT 1) WHERE false),
+d AS (SELECT CAST(d.n_chars AS DOUBLE) AS x, l.quality AS g FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+t AS (SELECT count(*) AS n, avg(x) AS m FROM d),
+g AS (SELECT g, count(*) AS ng, avg(x) AS mg, var_pop(x) AS vg FROM d GROUP BY g)
+SELECT 'n_chars' AS column, round((sum(ng * pow(mg - m, 2)) / (count(*) - 1)) / (sum(ng * vg) / (max(n) - count(*))), 6) AS f
+FROM g, t
+""".replace("WITH e AS (SELECT value AS x, label AS g FROM embeddings, (SELECT 1) WHERE false),\n", "WITH "))
+def q_anova(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "n_chars") \
+        .join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    return sel.anova_f(d, ["n_chars"], "quality").select("column", F.round("f", 6).alias("f"))
+
+
+@query("sel_correlated_groups", "SEL-11")
+def q_groups(spark, sf):
+    t = views.trades(spark, sf).select("area", "target", "bal", "contract_day") \
+             .withColumn("area2", F.col("area") * 2.0 + F.col("contract_day") / 1000.0)
+    return sel.correlated_groups(t, ["area", "area2", "bal", "contract_day"], "target")
+
+
+@query("sel_forward_selection", ("SEL-13", "SEL-14"))
+def q_sfs(spark, sf):
+    t = views.trades(spark, sf).where("is_test = 0").select("row_id", "target", "area", "bal", "built_year",
+                                                           "contract_day", "lat")
+    rows = forward_selection(t, ["area", "bal", "built_year", "contract_day", "lat"], "target", 3)
+    return spark.createDataFrame(rows, "k int, added string, cv_rmse double, cv_std double")
+
+
+@query("sel_recursive_elimination", ("SEL-12", "SEL-14"))
+def q_rfe(spark, sf):
+    t = views.trades(spark, sf).where("is_test = 0").select("row_id", "target", "area", "bal", "built_year",
+                                                           "contract_day", "lat")
+    rows = recursive_elimination(t, ["area", "bal", "built_year", "contract_day", "lat"], "target", 3)
+    return spark.createDataFrame(rows, "n_features int, dropped string, cv_rmse double, cv_std double")
