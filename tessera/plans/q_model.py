@@ -1 +1,186 @@
-"""Queries."""
+"""Clustering (2.14), splits / models / evaluation / scoring (2.16) and runs (2.17)."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from ..operators import cluster, encode, model, runs
+from ..operators.schema import align_to
+from ..session import scratch_path
+from ..sources import files, views
+from ..sources.tables import table
+from .registry import query
+from .sqltext import with_views
+
+EPS, MIN_SAMPLES = 0.2, 5
+
+_Z = """, st AS (SELECT avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my, stddev_pop(y) AS sy FROM cluster_points),
+z AS (SELECT point_id, (x - mx) / sx AS x, (y - my) / sy AS y FROM cluster_points, st)"""
+
+
+def _dbscan_sql():
+    body = with_views(_Z + f""",
+nb AS (SELECT a.point_id AS a, b.point_id AS b FROM z a JOIN z b
+       ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {EPS}e0 * {EPS}e0),
+core AS (SELECT a AS id FROM nb GROUP BY a HAVING count(*) >= {MIN_SAMPLES}),
+ce AS (SELECT nb.a, nb.b FROM nb JOIN core c1 ON nb.a = c1.id JOIN core c2 ON nb.b = c2.id),
+reach AS (SELECT a, b FROM ce UNION SELECT r.a, ce.b FROM reach r JOIN ce ON r.b = ce.a),
+comp AS (SELECT a AS id, min(b) AS label FROM reach GROUP BY a),
+border AS (SELECT nb.a AS id, min(comp.label) AS label FROM nb JOIN comp ON nb.b = comp.id
+           WHERE nb.a NOT IN (SELECT id FROM core) GROUP BY nb.a),
+lab AS (SELECT * FROM comp UNION ALL SELECT * FROM border),
+codes AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS cluster FROM (SELECT DISTINCT label FROM lab)),
+out AS (SELECT p.point_id, coalesce(codes.cluster, -1) AS label FROM cluster_points p
+        LEFT JOIN lab ON p.point_id = lab.id LEFT JOIN codes ON lab.label = codes.label)
+SELECT point_id, label, count(*) OVER (PARTITION BY label) AS cluster_size FROM out
+""", "cluster_points")
+    return "WITH RECURSIVE" + body[len("WITH"):]
+
+
+@query("clu_dbscan", "CLU-2", _dbscan_sql())
+def q_dbscan(spark, sf):
+    pts = cluster.standardize(views.cluster_points(spark, sf), ["x", "y"])
+    return cluster.dbscan(pts, EPS, MIN_SAMPLES)
+
+
+@query("clu_k_distance", "CLU-3", with_views(_Z + """,
+d AS (SELECT a.point_id AS a, b.point_id AS b, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM z a, z b)
+SELECT a AS point_id, round(d, 8) AS kdist FROM (
+  SELECT a, d, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rn FROM d) WHERE rn = 5
+""", "cluster_points"))
+def q_kdist(spark, sf):
+    pts = cluster.standardize(views.cluster_points(spark, sf), ["x", "y"])
+    return cluster.k_distance(pts, 5).select("point_id", F.round("kdist", 8).alias("kdist"))
+
+
+@query("clu_kmeans_features", ("CLU-1", "CLU-4", "AGG-10"))
+def q_kmeans(spark, sf):
+    pts = views.cluster_points(spark, sf)
+    km = cluster.kmeans_features(pts, ["x", "y"], k=5, seed=42, prefix="cluster_select")
+    db = cluster.dbscan(cluster.standardize(pts, ["x", "y"]), EPS, MIN_SAMPLES) \
+                .select("point_id", F.col("label").alias("cluster_dbscan"), F.col("cluster_size").alias("cluster_dbscan_count"))
+    feats = km.join(db, "point_id")
+    stats = feats.join(pts, "point_id").groupBy("cluster_select").agg(
+        F.round(F.avg("x"), 2).alias("x_mean"), F.round(F.stddev_samp("x"), 2).alias("x_std"))
+    return feats.join(stats, "cluster_select")
+
+
+_FOLD = "((((row_id % 2147483648) * 2654435761) % 4294967296) % 4294967296) % 5"
+_HOLD = "((((row_id % 2147483648) * 2654435761) % 4294967296) % 4294967296) % 1000 < 200"
+
+
+@query("spl_folds_holdout", ("SPL-1", "SPL-2"), with_views(f"""
+SELECT row_id, CAST({_FOLD} AS INTEGER) AS fold, {_HOLD} AS holdout FROM trades
+""", "trades"))
+def q_folds(spark, sf):
+    t = model.add_folds(views.trades(spark, sf).select("row_id"), 5)
+    return t.withColumn("holdout", model.is_holdout("row_id", 0.2))
+
+
+@query("eva_kfold_group_mean", ("EVA-2", "EVA-3", "EVA-6"), with_views(f"""
+, d AS (SELECT row_id, district, target, CAST({_FOLD} AS INTEGER) AS fold FROM trades),
+oof AS (SELECT t1.row_id, avg(t2.target) AS m FROM d t1 JOIN d t2 ON t1.district = t2.district AND t2.fold <> t1.fold
+        GROUP BY t1.row_id),
+gm AS (SELECT f.fold, avg(d.target) AS g FROM (SELECT DISTINCT fold FROM d) f JOIN d ON d.fold <> f.fold GROUP BY f.fold),
+p AS (SELECT d.fold, d.target, coalesce(oof.m, gm.g) AS pred FROM d LEFT JOIN oof ON d.row_id = oof.row_id JOIN gm ON d.fold = gm.fold)
+SELECT fold, count(*) AS n, round(sqrt(avg((target - pred) * (target - pred))), 4) AS rmse,
+       round(avg(abs(target - pred)), 4) AS mae
+FROM p GROUP BY fold
+""", "trades"))
+def q_kfold(spark, sf):
+    t = model.add_folds(views.trades(spark, sf).select("row_id", "district", "target"), 5)
+    return model.kfold_group_mean(t, "district", "target")
+
+
+@query("mdl_linear_one_feature", "MDL-3", with_views("""
+SELECT round(regr_slope(target, area), 6) AS slope, round(regr_intercept(target, area), 4) AS intercept
+FROM trades WHERE area IS NOT NULL AND is_test = 0
+""", "trades").replace("regr_slope(target, area)", "regr_slope(target, area + bal / 500e0)").replace(
+    "regr_intercept(target, area)", "regr_intercept(target, area + bal / 500e0)"))
+def q_linear(spark, sf):
+    t = views.trades(spark, sf).where("area IS NOT NULL AND is_test = 0") \
+             .withColumn("mix", F.col("area") + F.col("bal") / F.lit(500.0))
+    m = model.make_regressor("linear", label="target").fit(model.assemble(t, ["mix"]))
+    return spark.createDataFrame([(round(float(m.coefficients[0]), 6), round(float(m.intercept), 4))],
+                                 "slope double, intercept double")
+
+
+FEATS = ["area", "bal", "built_year", "contract_day", "lon", "lat"]
+
+
+def _model_table(spark, sf):
+    t = views.trades(spark, sf).select("row_id", "is_test", "district", "target", *FEATS)
+    t = t.fillna(0.0, subset=["area", "lon", "lat"]).withColumn("built_year", F.coalesce("built_year", F.lit(2000)))
+    tr, te = t.where("is_test = 0"), t.where("is_test = 1")
+    tr, te = encode.target_encode(tr, te, ["district"], "target")
+    return tr, te
+
+
+@query("mdl_random_forest_scoring", ("MDL-1", "INF-1", "SNK-4", "PRJ-10", "EVA-4"))
+def q_rf(spark, sf):
+    tr, te = _model_table(spark, sf)
+    cols = [*FEATS, "district"]
+    m, _ = model.fit_predict(tr, te, cols, "rf", n_estimators=5)
+    from pyspark.ml import PipelineModel
+    path = scratch_path(spark, "rf_model")
+    files.save_model(PipelineModel(stages=[m]), path)
+    loaded = files.load_model(path)
+    scored = model.score(loaded, te.withColumn("extra_col", F.lit(1)), cols)
+    imp = spark.createDataFrame(model.importances(m, cols), "feature string, importance double")
+    return scored.crossJoin(F.broadcast(imp.orderBy(F.desc("importance")).limit(1)
+                                        .select(F.col("feature").alias("top_feature"))))
+
+
+@query("mdl_gbt_holdout", ("MDL-2", "EVA-1"))
+def q_gbt(spark, sf):
+    tr, _ = _model_table(spark, sf)
+    fit, val = model.holdout_split(tr, 0.2)
+    m, pred = model.fit_predict(fit, val, [*FEATS, "district"], "gbt", n_estimators=10, max_depth=4,
+                                learning_rate=0.1, subsample=0.8)
+    return model.rmse_by(pred, "target", "prediction")
+
+
+@query("mdl_pipeline_classifier", "MDL-4")
+def q_pipeline(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    d = table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source") \
+        .join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    n_classes = d.select("quality").distinct().count()
+    if n_classes > 10:
+        raise ValueError("numeric target: use a regressor")
+    pipe = Pipeline(stages=[StringIndexer(inputCols=["lang", "source"], outputCols=["lang_i", "source_i"],
+                                          handleInvalid="keep", stringOrderType="alphabetAsc"),
+                            VectorAssembler(inputCols=["n_chars", "lang_i", "source_i"], outputCol="features"),
+                            RandomForestClassifier(labelCol="quality", numTrees=5, seed=1)])
+    fit, val = model.holdout_split(d, 0.2, key="doc_id")
+    pm = pipe.fit(fit)
+    return pm.transform(val).select("doc_id", "quality", F.col("prediction").cast("int").alias("predicted"))
+
+
+@query("eva_permutation_importance", ("EVA-5", "SRT-2"))
+def q_perm(spark, sf):
+    tr, _ = _model_table(spark, sf)
+    cols = [*FEATS, "district"]
+    fit, val = model.holdout_split(tr, 0.2)
+    m, _ = model.fit_predict(fit, val, cols, "rf", n_estimators=5)
+    return model.permutation_importance(m, val.select("row_id", "target", *cols), cols, repeats=2)
+
+
+@query("exp_runs_table", ("EXP-1", "EXP-2", "EXP-3", "EXP-4", "SNK-3"))
+def q_runs(spark, sf):
+    t = views.trades(spark, sf)
+    base = dict(zip(runs.SPACE, ["minimum", "hierarchical", "iqr", "target", "none", "holdout", "linear"]))
+    configs = [base, {**base, "null": "interpolate"}, {**base, "model": "rf", "params": runs.draw(
+        {"n_estimators": ("int_uniform", 3, 6), "max_depth": ("int_uniform", 3, 6)}, 1, seed=7)[0]}]
+    path = scratch_path(spark, "runs")
+    for i, cfg in enumerate(configs):
+        runs.log_run(spark, path, cfg, runs.run_config(t, cfg), run_id=f"run-{i}")
+    files.write_json(spark.read.parquet(path).select("run_id", "rmse"), os.path.join(path + "_json"))
+    return runs.best_run(spark, path).select("run_id", "rmse")
+
+
+_ = align_to  # re-exported for scoring users
