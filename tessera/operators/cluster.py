@@ -68,14 +68,26 @@ def dbscan(pts: DataFrame, eps: float = 0.5, min_samples: int = 5, id_col: str =
     Clusters are the connected components of core points; a border point
     takes the smallest label among its core neighbours.  Labels are numbered
     0.. in order of each cluster's smallest core point id (the order a
-    scan by id would discover them)."""
-    pairs = cut_lineage(eps_pairs(pts, eps, id_col, x, y))
+    scan by id would discover them).
+
+    Components are found on a graph of grid cells of side eps / sqrt(2): all
+    core points of one cell are within eps of each other, so a cell is one
+    node, and two cells are linked when any core pair across them is within
+    eps.  The propagation then runs on cells, not on point pairs."""
+    side = eps / 2 ** 0.5
+    cell = F.concat_ws(":", F.floor(F.col(x) / side).cast("string"), F.floor(F.col(y) / side).cast("string"))
+    pc = pts.select(F.col(id_col).alias("id"), cell.alias("cell"))
+    pairs = cut_lineage(eps_pairs(pts, eps, id_col, x, y).select("a", "b"))
     deg = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
-    core = deg.where(F.col("deg") >= min_samples).select(F.col("a").alias("id"))
-    cedges = pairs.join(core.withColumnRenamed("id", "a"), "a").join(core.withColumnRenamed("id", "b"), "b") \
-                  .where(F.col("a") != F.col("b")).select("a", "b")
-    comp = connected_min_label(cedges, core)
-    border = (pairs.join(core.withColumnRenamed("id", "a"), "a", "left_anti")
+    core = cut_lineage(deg.where(F.col("deg") >= min_samples).select(F.col("a").alias("id")).join(pc, "id"))
+    ca = core.select(F.col("id").alias("a"), F.col("cell").alias("ca"))
+    cb = core.select(F.col("id").alias("b"), F.col("cell").alias("cb"))
+    cell_edges = pairs.join(ca, "a").join(cb, "b").where(F.col("ca") != F.col("cb")) \
+                      .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    cell_min = core.groupBy("cell").agg(F.min("id").alias("m"))
+    comp_cells = connected_min_value(cell_edges, cell_min)
+    comp = core.join(comp_cells, "cell").select("id", "label")
+    border = (pairs.join(core.select(F.col("id").alias("a")), "a", "left_anti")
               .join(comp.withColumnRenamed("id", "b"), "b")
               .groupBy("a").agg(F.min("label").alias("label")).withColumnRenamed("a", "id"))
     labels = comp.unionByName(border)
@@ -86,6 +98,26 @@ def dbscan(pts: DataFrame, eps: float = 0.5, min_samples: int = 5, id_col: str =
     return out.join(size, "label").select(id_col, "label", "cluster_size")
 
 
+def connected_min_value(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1000) -> DataFrame:
+    """(cell, label): the smallest node value ``m`` in each connected
+    component of ``edges`` (a, b) over cells; min propagation plus one jump
+    through the current labels per round, until nothing changes."""
+    lab = cut_lineage(nodes.select("cell", F.col("m").alias("label")))
+    sym = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    sym = cut_lineage(sym)
+    for _ in range(max_rounds):
+        nb = sym.join(lab.withColumnRenamed("cell", "b"), "b").groupBy("a").agg(F.min("label").alias("nl"))
+        new = lab.join(nb.withColumnRenamed("a", "cell"), "cell", "left") \
+                 .select("cell", F.least("label", F.coalesce("nl", "label")).alias("label"),
+                         (F.coalesce(F.col("nl"), F.col("label")) < F.col("label")).alias("ch"))
+        new = cut_lineage(new)
+        changed = new.where("ch").limit(1).count()
+        lab = new.select("cell", "label")
+        if not changed:
+            break
+    return lab
+
+
 def k_distance(pts: DataFrame, k: int = 5, start: float = 0.05, id_col: str = "point_id", x: str = "x",
                y: str = "y", growth: float = 2.0) -> DataFrame:
     """CLU-3: distance to the k-th nearest point, itself included.

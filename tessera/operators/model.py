@@ -49,12 +49,13 @@ def kfold_group_mean(df: DataFrame, key: str, y: str, fold: str = "fold", digits
     d = df.select(key, fold, y, yy.alias("_y"))
     gf = d.groupBy(key, fold).agg(F.sum("_y").alias("s_gf"), F.count(F.lit(1)).alias("n_gf"))
     g = gf.groupBy(key).agg(F.sum("s_gf").alias("s_g"), F.sum("n_gf").alias("n_g"))
-    f = gf.groupBy(fold).agg(F.sum("s_gf").alias("s_f"), F.sum("n_gf").alias("n_f"))
-    tot = g.agg(F.sum("s_g").alias("s"), F.sum("n_g").alias("n"))
+    per_fold = [(r[0], r[1], r[2]) for r in gf.groupBy(fold).agg(F.sum("s_gf"), F.sum("n_gf")).collect()]  # k rows
+    s_all, n_all = sum(r[1] for r in per_fold), sum(r[2] for r in per_fold)
+    glob = df.sparkSession.createDataFrame(
+        [(int(f_), (s_all - s_f) / (n_all - n_f)) for f_, s_f, n_f in per_fold], f"{fold} int, _gm double")
     oof = gf.join(g, key).where(F.col("n_g") > F.col("n_gf")) \
             .select(key, fold, ((F.col("s_g") - F.col("s_gf")) / (F.col("n_g") - F.col("n_gf"))).alias("_m"))
-    glob = f.crossJoin(F.broadcast(tot)).select(fold, ((F.col("s") - F.col("s_f")) / (F.col("n") - F.col("n_f"))).alias("_gm"))
-    pred = d.join(oof, [key, fold], "left").join(F.broadcast(glob), fold) \
+    pred = d.join(oof, [key, fold], "left").join(F.broadcast(glob), d[fold].cast("int") == glob[fold]).drop(glob[fold]) \
             .withColumn("_p", F.coalesce("_m", "_gm"))
     if log_target:
         pred = pred.withColumn("_p", F.exp("_p"))

@@ -165,11 +165,21 @@ def hierarchical_fill(df: DataFrame, numeric_cols: Sequence[str], text_cols: Seq
         if lv:
             levels.append(lv)
     fills: list[DataFrame] = []
+    glob: dict[str, object] = {}
     if keys:
         for c in numeric_cols:
-            fills.append(_numeric_cascade(df, c, keys, levels))
+            f, g = _numeric_cascade(df, c, keys, levels)
+            fills.append(f)
+            glob[c] = g
         for c in text_cols:
-            fills.append(_text_cascade(df, c, keys, levels))
+            f, g = _text_cascade(df, c, keys, levels)
+            fills.append(f)
+            glob[c] = g
+    else:
+        for c in numeric_cols:
+            glob[c] = df.agg(F.avg(c)).first()[0]
+        for c in text_cols:
+            glob[c] = global_mode(df, c).first()["mode"]
     out = df
     if keys and fills:
         # every cascade has one row per finest group, so these joins are 1:1
@@ -190,16 +200,12 @@ def hierarchical_fill(df: DataFrame, numeric_cols: Sequence[str], text_cols: Seq
         out = out.join(fill, cond, "left").select(
             *[F.coalesce(F.col(c), F.col(f"_fill_{c}")).alias(c) if c in (*numeric_cols, *text_cols) else F.col(c)
               for c in df.columns])
-    # global fallback: one-row aggregate, broadcast (size 1)
-    if numeric_cols:
-        means = out.agg(*[F.avg(c).alias(c) for c in numeric_cols])
-        out = out.crossJoin(F.broadcast(means.select([F.col(c).alias(f"_g_{c}") for c in numeric_cols])))
-        for c in numeric_cols:
-            out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_g_{c}"))).drop(f"_g_{c}")
+    # global fallback: fitted scalars (mean / mode after every level's fills)
+    for c in numeric_cols:
+        if glob.get(c) is not None:
+            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(float(glob[c]))))
     for c in text_cols:
-        m = global_mode(out, c)
-        out = out.crossJoin(F.broadcast(m.select(F.col("mode").alias(f"_g_{c}"))))
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_g_{c}"), F.lit(unknown))).drop(f"_g_{c}")
+        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(glob.get(c) if glob.get(c) is not None else unknown)))
     return out
 
 
@@ -212,13 +218,13 @@ def _ok(cols: Sequence[str]) -> Column:
 
 def _numeric_cascade(df: DataFrame, c: str, keys: list[str], levels: list[list[str]]) -> DataFrame:
     """Per finest group: sum, known count, null count -> fill value."""
-    st = df.groupBy(*keys).agg(F.sum(F.col(c).cast("double")).alias("_s"),
+    st = df.groupBy(*keys).agg(F.coalesce(F.sum(F.col(c).cast("double")), F.lit(0.0)).alias("_s"),
                                F.count(F.col(c)).alias("_k"),
                                F.count_if(F.col(c).isNull()).alias("_m"))
     st = st.withColumn("_f", F.lit(None).cast("double"))
     for lv in levels:
         means = (st.where(_ok(lv)).groupBy(*lv)
-                 .agg((F.sum("_s") / F.sum("_k")).alias("_mean")))
+                 .agg(F.try_divide(F.sum("_s"), F.sum("_k")).alias("_mean")))
         st = (st.join(means, on=lv, how="left")
               .withColumn("_hit", (F.col("_m") > 0) & F.col("_mean").isNotNull())
               .withColumn("_f", F.when(F.col("_hit"), F.col("_mean")).otherwise(F.col("_f")))
@@ -227,7 +233,8 @@ def _numeric_cascade(df: DataFrame, c: str, keys: list[str], levels: list[list[s
               .withColumn("_m", F.when(F.col("_hit"), F.lit(0)).otherwise(F.col("_m")))
               .drop("_mean", "_hit"))
         st = cut_lineage(st)
-    return st.select(*keys, F.col("_f").alias(f"_fill_{c}"))
+    g = st.agg(F.try_divide(F.sum("_s"), F.sum("_k")).alias("g")).first()["g"]
+    return st.select(*keys, F.col("_f").alias(f"_fill_{c}")), g
 
 
 def _text_cascade(df: DataFrame, c: str, keys: list[str], levels: list[list[str]]) -> DataFrame:
@@ -246,7 +253,9 @@ def _text_cascade(df: DataFrame, c: str, keys: list[str], levels: list[list[str]
                .withColumn("_m", F.when(F.col("_hit"), F.lit(0)).otherwise(F.col("_m")))
                .drop("_mode", "_hit"))
         grp, cnt = cut_lineage(grp), cut_lineage(cnt)
-    return grp.select(*keys, F.col("_f").alias(f"_fill_{c}"))
+    tot = cnt.groupBy("_v").agg(F.sum("_n").alias("_n"))
+    g = tot.agg(F.min_by("_v", F.struct((-F.col("_n")).alias("a"), F.col("_v").alias("b"))).alias("m")).first()["m"]
+    return grp.select(*keys, F.col("_f").alias(f"_fill_{c}")), g
 
 
 def group_mode(df: DataFrame, keys: Sequence[str], c: str, name: str = "mode") -> DataFrame:

@@ -143,8 +143,8 @@ def value_counts(df: DataFrame, col: str, normalize: bool = True) -> DataFrame:
     c = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).count()
     if not normalize:
         return c
-    tot = c.agg(F.sum("count").alias("_tot"))
-    return c.crossJoin(F.broadcast(tot)).select("value", "count", F.round(F.col("count") / F.col("_tot"), 8).alias("share"))
+    tot = df.where(F.col(col).isNotNull()).count()
+    return c.select("value", "count", F.round(F.col("count") / F.lit(float(tot)), 8).alias("share"))
 
 
 def iqr_outlier_counts(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
@@ -216,10 +216,10 @@ def split_sanity(df: DataFrame, flag: str = "is_test", target: str = "target") -
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """AGG-14: equal-width bins between min and max (max in the last bin)."""
-    mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    b = F.least(F.floor((F.col(col) - F.col("lo")) / ((F.col("hi") - F.col("lo")) / F.lit(bins))), F.lit(bins - 1))
-    return (df.where(F.col(col).isNotNull()).crossJoin(F.broadcast(mm))
-            .groupBy(b.cast("bigint").alias("bin")).count())
+    mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    lo, hi = F.lit(float(mm["lo"])), F.lit(float(mm["hi"]))
+    b = F.least(F.floor((F.col(col) - lo) / ((hi - lo) / F.lit(bins))), F.lit(bins - 1))
+    return df.where(F.col(col).isNotNull()).groupBy(b.cast("bigint").alias("bin")).count()
 
 
 def box_numbers(df: DataFrame, col: str, digits: int = 6) -> DataFrame:

@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.store import cut_lineage
 from .profile import corr_pairs
 
 
@@ -164,18 +165,19 @@ def mutual_info(df: DataFrame, cols: Sequence[str], target: str, bins: int = 10)
         numeric = dict(df.dtypes)[c] not in ("string",)
         x = F.col(c)
         if numeric:
-            mm = df.agg(F.min(c).alias("_mi_lo"), F.max(c).alias("_mi_hi"))
-            base = df.crossJoin(F.broadcast(mm))
-            width = (F.col("_mi_hi") - F.col("_mi_lo")) / F.lit(bins)
-            x = F.least(F.floor((F.col(c) - F.col("_mi_lo")) / width), F.lit(bins - 1)).cast("string")
+            mm = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+            base = df
+            lo, hi = F.lit(float(mm["lo"])), F.lit(float(mm["hi"]))
+            x = F.least(F.floor((F.col(c) - lo) / ((hi - lo) / F.lit(bins))), F.lit(bins - 1)).cast("string")
         else:
             base = df
         ct = base.where(F.col(c).isNotNull() & F.col(target).isNotNull()) \
                  .groupBy(x.alias("x"), F.col(target).alias("y")).count()
-        n = ct.agg(F.sum("count").alias("n"))
+        ct = cut_lineage(ct)
+        n = F.lit(float(ct.agg(F.sum("count")).first()[0] or 0))
         px = ct.groupBy("x").agg(F.sum("count").alias("nx"))
         py = ct.groupBy("y").agg(F.sum("count").alias("ny"))
-        j = ct.join(px, "x").join(py, "y").crossJoin(F.broadcast(n))
+        j = ct.join(px, "x").join(py, "y").withColumn("n", n)
         p = F.col("count") / F.col("n")
         mi = j.agg(F.sum(p * F.ln(F.col("count") * F.col("n") / (F.col("nx") * F.col("ny")))).alias("mi")) \
               .select(F.lit(c).alias("column"), "mi")
@@ -188,9 +190,9 @@ def anova_f(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     out = None
     for c in cols:
         d = df.where(F.col(c).isNotNull() & F.col(target).isNotNull()).select(F.col(c).cast("double").alias("x"), F.col(target).alias("g"))
-        tot = d.agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"))
+        tot = d.agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m")).first()
         grp = d.groupBy("g").agg(F.count(F.lit(1)).alias("ng"), F.avg("x").alias("mg"), F.var_pop("x").alias("vg"))
-        j = grp.crossJoin(F.broadcast(tot))
+        j = grp.withColumn("n", F.lit(tot["n"])).withColumn("m", F.lit(tot["m"]))
         s = j.agg(F.sum(F.col("ng") * (F.col("mg") - F.col("m")) ** 2).alias("ssb"),
                   F.sum(F.col("ng") * F.col("vg")).alias("ssw"), F.count(F.lit(1)).alias("k"), F.first("n").alias("n"))
         f = s.select(F.lit(c).alias("column"),
@@ -207,10 +209,9 @@ def correlated_groups(df: DataFrame, cols: Sequence[str], target: str, threshold
     pairs = corr_pairs(df, cols, digits=16).where(F.abs("r") > threshold)
     groups = pairs.select(F.col("c2").alias("key"), F.col("c1").alias("column")) \
                   .unionByName(pairs.select(F.col("c2").alias("key"), F.col("c2").alias("column"))).distinct()
-    mm = df.agg(F.min(target).alias("_t_lo"), F.max(target).alias("_t_hi"))
-    binned = df.crossJoin(F.broadcast(mm)).withColumn(
-        "_yb", F.least(F.floor((F.col(target) - F.col("_t_lo")) / ((F.col("_t_hi") - F.col("_t_lo")) / F.lit(bins))),
-                       F.lit(bins - 1))).drop("_t_lo", "_t_hi")
+    mm = df.agg(F.min(target).alias("lo"), F.max(target).alias("hi")).first()
+    lo, hi = F.lit(float(mm["lo"])), F.lit(float(mm["hi"]))
+    binned = df.withColumn("_yb", F.least(F.floor((F.col(target) - lo) / ((hi - lo) / F.lit(bins))), F.lit(bins - 1)))
     mi = mutual_info(binned, list(cols), "_yb", bins)
     g = groups.join(mi, "column")
     best = g.groupBy("key").agg(F.max_by("column", F.struct("mi", F.col("column"))).alias("column"))

@@ -218,17 +218,18 @@ def q_top10(spark, sf):
 def q_train_test(spark, sf):
     t = views.trades(spark, sf)
     cols = ["area", "bal", "built_year"]
-    g = t.groupBy("is_test").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m_{c}") for c in cols],
-                                 *[F.count_if(F.col(c).isNull()).alias(f"z_{c}") for c in cols])
-    tr = g.where("is_test = 0").select([F.col(x).alias(f"tr_{x}") for x in g.columns])
-    te = g.where("is_test = 1").select([F.col(x).alias(f"te_{x}") for x in g.columns])
-    j = tr.crossJoin(te)
+    tr, te = F.col("is_test") == 0, F.col("is_test") == 1
+    wide = t.agg(F.count_if(tr).alias("n0"), F.count_if(te).alias("n1"),
+                 *[F.avg(F.when(tr, F.col(c))).alias(f"m0_{c}") for c in cols],
+                 *[F.avg(F.when(te, F.col(c))).alias(f"m1_{c}") for c in cols],
+                 *[F.count_if(tr & F.col(c).isNull()).alias(f"z0_{c}") for c in cols],
+                 *[F.count_if(te & F.col(c).isNull()).alias(f"z1_{c}") for c in cols])
     rows = F.explode(F.array(*[F.struct(
-        F.lit(c).alias("column"), F.round(F.col(f"tr_m_{c}"), D).alias("mean_train"),
-        F.round(F.col(f"te_m_{c}"), D).alias("mean_test"),
-        F.round(F.col(f"tr_z_{c}") * 100.0 / F.col("tr_n"), D).alias("pct_missing_train"),
-        F.round(F.col(f"te_z_{c}") * 100.0 / F.col("te_n"), D).alias("pct_missing_test")) for c in cols]))
-    return j.select(rows.alias("r")).select("r.*")
+        F.lit(c).alias("column"), F.round(F.col(f"m0_{c}"), D).alias("mean_train"),
+        F.round(F.col(f"m1_{c}"), D).alias("mean_test"),
+        F.round(F.col(f"z0_{c}") * 100.0 / F.col("n0"), D).alias("pct_missing_train"),
+        F.round(F.col(f"z1_{c}") * 100.0 / F.col("n1"), D).alias("pct_missing_test")) for c in cols]))
+    return wide.select(rows.alias("r")).select("r.*")
 
 
 @query("agg_word_counts_top100", "AGG-17", """

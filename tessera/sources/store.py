@@ -14,13 +14,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, scratch_path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint in the shared checkpoint folder."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Cut lineage with a table written to the shared checkpoint folder.
+
+    One write job, then a read of the written files: unlike an eager
+    ``checkpoint`` (a count job plus a second job that recomputes the plan to
+    write it) the plan runs once.  A lost executor costs a re-read only."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
