@@ -88,6 +88,7 @@ def bootstrap(df: DataFrame, fraction: float = 0.02, seed: int = 42) -> DataFram
 
 def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """SET-4: rows only in ``a`` / only in ``b`` (bag semantics), as counts."""
-    only_a = a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_left"))
-    only_b = b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_right"))
-    return only_a.crossJoin(only_b)
+    tag = F.lit(1).alias("_one")
+    only_a = a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_left")).select("*", tag)
+    only_b = b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_right")).select("*", tag)
+    return only_a.join(only_b, "_one").drop("_one")  # two one-row aggregates

@@ -172,3 +172,39 @@ def q_spread(spark, sf):
     t = views.trades(spark, sf).select("row_id", "district", "target", "heating")
     s = nulls.spread_group_stats(t, ["district"], ["target"], ["heating"], count=True)
     return s.select("row_id", F.round("target_mean", 4).alias("target_mean"), "group_size", "heating_mode")
+
+
+# ---------------------------------------------------------------------------
+# SET-4: table equality (bag difference both ways) and describe of a - b
+# ---------------------------------------------------------------------------
+
+def _interp_cte():
+    return """
+ip AS (SELECT row_id, area, row_number() OVER (ORDER BY row_id) - 1 AS pos FROM trades),
+ik AS (SELECT *,
+  last_value(CASE WHEN area IS NOT NULL THEN pos END IGNORE NULLS) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pp,
+  last_value(area IGNORE NULLS) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
+  first_value(CASE WHEN area IS NOT NULL THEN pos END IGNORE NULLS) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS np,
+  first_value(area IGNORE NULLS) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv FROM ip),
+ia AS (SELECT row_id, round(CASE WHEN area IS NOT NULL THEN area WHEN pv IS NULL THEN NULL WHEN nv IS NULL THEN pv
+                   ELSE pv + (nv - pv) * (pos - pp) / (np - pp) END, 6) AS area FROM ik)"""
+
+
+@query("set_table_diff", "SET-4", with_views(hfill_sql(["area"], []) + "," + _interp_cte() + """,
+ha AS (SELECT row_id, round(area, 6) AS area FROM filled),
+d AS (SELECT ia.area - ha.area AS diff FROM ia JOIN ha ON ia.row_id = ha.row_id)
+SELECT (SELECT count(*) FROM (SELECT * FROM ia EXCEPT ALL SELECT * FROM ha)) AS only_left,
+       (SELECT count(*) FROM (SELECT * FROM ha EXCEPT ALL SELECT * FROM ia)) AS only_right,
+       count(diff) AS n, round(avg(diff), 4) AS mean_diff, round(min(diff), 4) AS min_diff, round(max(diff), 4) AS max_diff
+FROM d
+""", "trades"))
+def q_table_diff(spark, sf):
+    from ..operators.combine import table_diff
+    t = views.trades(spark, sf).select("row_id", *GROUPS, "area")
+    ia = nulls.interpolate(t.select("row_id", "area"), ["area"], "row_id").select("row_id", F.round("area", 6).alias("area"))
+    ha = nulls.hierarchical_fill(t, ["area"], [], GROUPS).select("row_id", F.round("area", 6).alias("area"))
+    counts = table_diff(ia, ha)
+    d = ia.alias("a").join(ha.alias("b"), "row_id").select((F.col("a.area") - F.col("b.area")).alias("diff"))
+    desc = d.agg(F.count("diff").alias("n"), F.round(F.avg("diff"), 4).alias("mean_diff"),
+                 F.round(F.min("diff"), 4).alias("min_diff"), F.round(F.max("diff"), 4).alias("max_diff"))
+    return counts.withColumn("_one", F.lit(1)).join(desc.withColumn("_one", F.lit(1)), "_one").drop("_one")

@@ -205,3 +205,37 @@ def q_rfe(spark, sf):
                                                            "contract_day", "lat")
     rows = recursive_elimination(t, ["area", "bal", "built_year", "contract_day", "lat"], "target", 3)
     return spark.createDataFrame(rows, "n_features int, dropped string, cv_rmse double, cv_std double")
+
+
+# ---------------------------------------------------------------------------
+# SET-3: feature lists as DataFrames (common / union / rest of two methods)
+# ---------------------------------------------------------------------------
+
+def _var_sql():
+    return _u([f"SELECT '{c}' AS feature FROM trades HAVING var_pop(CAST({c} AS DOUBLE)) > 0.1"
+               for c in ["area", "bal", "contract_day", "lat", "mostly_null"]])
+
+
+def _kbest_sql():
+    return (f"""SELECT feature FROM ({_u([
+        f"SELECT '{c}' AS feature, pow(corr(CAST({c} AS DOUBLE), target), 2) / (1 - pow(corr(CAST({c} AS DOUBLE), target), 2)) "
+        f"* (count(*) FILTER (WHERE {c} IS NOT NULL) - 2) AS f FROM (SELECT *, area + bal / 500e0 AS mix FROM trades)"
+        for c in ["mix", "bal", "built_year", "contract_day", "lat"]])}) ORDER BY f DESC, feature LIMIT 3""")
+
+
+@query("set_feature_lists", "SET-3", with_views(f"""
+, a AS ({_var_sql()}), b AS ({_kbest_sql()})
+SELECT 'common' AS "set", feature FROM (SELECT feature FROM a INTERSECT SELECT feature FROM b)
+UNION ALL SELECT 'union', feature FROM (SELECT feature FROM a UNION SELECT feature FROM b)
+UNION ALL SELECT 'rest', feature FROM (SELECT feature FROM a EXCEPT SELECT feature FROM b)
+""", "trades"))
+def q_feature_sets(spark, sf):
+    t = views.trades(spark, sf)
+    a = sel.variance_filter(t, ["area", "bal", "contract_day", "lat", "mostly_null"]).where("keep") \
+           .select(F.col("column").alias("feature"))
+    tm = t.withColumn("mix", F.col("area") + F.col("bal") / F.lit(500.0))
+    b = sel.k_best(sel.f_regression(tm, ["mix", "bal", "built_year", "contract_day", "lat"], "target"), 3, "f") \
+           .select(F.col("column").alias("feature"))
+    return (a.intersect(b).select(F.lit("common").alias("set"), "feature")
+            .unionByName(a.union(b).distinct().select(F.lit("union").alias("set"), "feature"))
+            .unionByName(a.subtract(b).select(F.lit("rest").alias("set"), "feature")))

@@ -56,3 +56,14 @@ def test_cramers_v_2x2_yates(spark):
     dev = np.abs(o - e)
     ref = (((dev - np.minimum(0.5, dev)) ** 2) / e).sum()
     assert math.isclose(chi2, ref, rel_tol=1e-12) and (n, r, k) == (77, 2, 2)
+
+
+def test_column_name_operators(spark):
+    from tessera.operators import schema
+    df = spark.createDataFrame([(1, 2, 3)], "a int, `b-c` int, `Unnamed: 0` int")
+    assert schema.drop_unnamed(df).columns == ["a", "b-c"]
+    assert schema.clean_names_word(df).columns == ["a", "b_c", "Unnamed__0"]
+    cov = schema.coverage(df, ["a"], ["b-c"], groups=["g"])
+    assert cov == {"absent_groups": ["g"], "unlisted": ["Unnamed: 0"], "listed_absent": []}
+    # FUN-10: substring lookup in column names
+    assert [c for c in df.columns if "nam" in c] == ["Unnamed: 0"]
