@@ -31,15 +31,20 @@ ZONES = (("station_area", 200), ("direct_influence", 500), ("indirect_influence"
 BOX = (126.5, 127.5, 37.0, 38.0)
 
 
+def extent(df: DataFrame) -> dict:
+    """min / max lat, lon, max |lat| and the count of located rows, one aggregation."""
+    r = df.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).agg(
+        F.min("lat").alias("lat0"), F.max("lat").alias("lat1"), F.min("lon").alias("lon0"),
+        F.max("lon").alias("lon1"), F.max(F.abs("lat")).alias("mal"), F.count(F.lit(1)).alias("n")).first()
+    return r.asDict()
+
+
 def _max_abs_lat(*frames: DataFrame) -> float:
-    m = 0.0
-    for f in frames:
-        v = f.agg(F.max(F.abs(F.col("lat")))).first()[0]
-        m = max(m, v or 0.0)
-    return m
+    return max((extent(f)["mal"] or 0.0) for f in frames)
 
 
 def _cells(radius_km: float, max_abs_lat: float) -> tuple[float, float]:
+    """Cell size in degrees (lat, lon) so that a cell spans at least the radius."""
     cl = radius_km / KM_PER_DEG
     lat_edge = min(89.0, max_abs_lat + cl)
     cn = min(360.0, radius_km / (KM_PER_DEG * math.cos(math.radians(lat_edge))))
@@ -81,26 +86,25 @@ def radius_counts(locs: DataFrame, pois: DataFrame, radii_m: Sequence[int], pref
 
 
 def nearest(locs: DataFrame, pois: DataFrame, start_km: float = 1.5, max_abs_lat: float | None = None,
-            growth: float = 4.0) -> DataFrame:
+            growth: float = 4.0, loc_ext: dict | None = None, poi_ext: dict | None = None) -> DataFrame:
     """GEO-5: exact nearest POI distance (km) per location by growing rings.
 
     A location is resolved at radius r when its best candidate is within r
     (every POI within r is a candidate).  Unresolved locations retry with a
     larger r; once r exceeds the data's extent every POI is a candidate."""
-    mal = _max_abs_lat(locs, pois) if max_abs_lat is None else max_abs_lat
-    ext = pois.agg(F.min("lat").alias("a"), F.max("lat").alias("b"), F.min("lon").alias("c"), F.max("lon").alias("d")).first()
-    loc_ext = locs.agg(F.min("lat").alias("a"), F.max("lat").alias("b"), F.min("lon").alias("c"), F.max("lon").alias("d")).first()
-    if ext["a"] is None or loc_ext["a"] is None:
+    pe = poi_ext or extent(pois)
+    le = loc_ext or extent(locs)
+    if not pe["n"] or not le["n"]:
         return locs.withColumn("nearest_km", F.lit(None).cast("double"))
-    span_deg = max(ext["b"], loc_ext["b"]) - min(ext["a"], loc_ext["a"]), max(ext["d"], loc_ext["d"]) - min(ext["c"], loc_ext["c"])
-    full_km = (abs(span_deg[0]) + abs(span_deg[1]) + 1.0) * KM_PER_DEG  # covers every pair
-    todo, done, r = locs.select("loc_id", "lat", "lon"), [], start_km
+    mal = max(pe["mal"], le["mal"]) if max_abs_lat is None else max_abs_lat
+    span = (max(pe["lat1"], le["lat1"]) - min(pe["lat0"], le["lat0"])
+            + max(pe["lon1"], le["lon1"]) - min(pe["lon0"], le["lon0"]))
+    full_km = (abs(span) + 1.0) * KM_PER_DEG  # covers every pair
+    todo, done, r = locs.select("loc_id", "lat", "lon"), [], min(start_km, full_km)
     while True:
         last = r >= full_km
-        pairs = candidate_pairs(todo, pois, r, mal)
-        best = pairs.groupBy("loc_id").agg(F.min("km").alias("nearest_km"))
-        ok = best if last else best.where(F.col("nearest_km") <= F.lit(r))
-        ok = cut_lineage(ok)
+        best = candidate_pairs(todo, pois, r, mal).groupBy("loc_id").agg(F.min("km").alias("nearest_km"))
+        ok = cut_lineage(best if last else best.where(F.col("nearest_km") <= F.lit(r)))
         done.append(ok)
         if last:
             break
@@ -114,6 +118,13 @@ def nearest(locs: DataFrame, pois: DataFrame, start_km: float = 1.5, max_abs_lat
     return locs.join(res, "loc_id", "left")
 
 
+def spacing_km(poi_ext: dict) -> float:
+    """Typical distance between neighbouring POIs if spread over their box."""
+    h = (poi_ext["lat1"] - poi_ext["lat0"]) * KM_PER_DEG
+    w = (poi_ext["lon1"] - poi_ext["lon0"]) * KM_PER_DEG * math.cos(math.radians(poi_ext["mal"]))
+    return math.sqrt(max(h * w, 1e-9) / max(poi_ext["n"], 1))
+
+
 def zone_type(nearest_m: str) -> F.Column:
     """GEO-6: 1 within 200 m, 2 within 500 m, 3 within 1500 m, else 0."""
     d = F.col(nearest_m)
@@ -124,14 +135,34 @@ def transport_features(df: DataFrame, pois: DataFrame, prefix: str, zones=ZONES,
                        lat: str = "lat") -> DataFrame:
     """GEO-3/4/5/6 for one POI table: zone counts, nearest distance (m) and
     zone type, computed per distinct location and joined back; rows without
-    coordinates get nulls (kept, not dropped)."""
+    coordinates get nulls (kept, not dropped).
+
+    One grid join at radius r0 = max(largest zone, 2 x typical POI spacing)
+    yields the zone counts and, for every location with a POI within r0, its
+    exact nearest distance; only the rest go to the growing-ring search."""
     locs = cut_lineage(locations(df, lon, lat))
-    mal = _max_abs_lat(locs, pois)
-    counts = radius_counts(locs, pois, [r for _, r in zones], prefix, [n for n, _ in zones], mal)
-    near = nearest(locs, pois, max(r for _, r in zones) / 1000.0, mal)
-    feat = counts.join(near.select("loc_id", (F.col("nearest_km") * 1000.0).alias(f"{prefix}_shortest_distance")), "loc_id")
+    pe, le = extent(pois), extent(locs)
+    names = [n for n, _ in zones]
+    if not pe["n"] or not le["n"]:
+        feat = locs.select("loc_id", *[F.lit(0).cast("bigint").alias(f"{prefix}_{n}_count") for n in names],
+                           F.lit(None).cast("double").alias("nearest_km"))
+    else:
+        mal = max(pe["mal"], le["mal"])
+        r0 = max(max(r for _, r in zones) / 1000.0, 2.0 * spacing_km(pe))
+        pairs = candidate_pairs(locs, pois, r0, mal)
+        agg = cut_lineage(pairs.groupBy("loc_id").agg(
+            *[F.count_if(F.col("km") * 1000.0 <= F.lit(float(r))).alias(f"{prefix}_{n}_count") for n, r in zones],
+            F.min("km").alias("nearest_km")))
+        rest = locs.join(agg.select("loc_id"), "loc_id", "left_anti")
+        far = nearest(cut_lineage(rest), pois, r0 * 4.0, mal, loc_ext=le, poi_ext=pe).select("loc_id", "nearest_km")
+        feat = locs.select("loc_id").join(agg, "loc_id", "left").fillna(0, subset=[f"{prefix}_{n}_count" for n in names])
+        feat = feat.join(far.withColumnRenamed("nearest_km", "_far"), "loc_id", "left") \
+                   .withColumn("nearest_km", F.coalesce("nearest_km", "_far")).drop("_far")
+    feat = feat.join(locs, "loc_id").select(
+        F.col("lon").alias("_flon"), F.col("lat").alias("_flat"),
+        *[F.col(f"{prefix}_{n}_count") for n in names],
+        (F.col("nearest_km") * 1000.0).alias(f"{prefix}_shortest_distance"))
     feat = feat.withColumn(f"{prefix}_zone_type", zone_type(f"{prefix}_shortest_distance"))
-    feat = feat.drop("loc_id").withColumnRenamed("lon", "_flon").withColumnRenamed("lat", "_flat")
     out = df.join(feat, (df[lon] == feat["_flon"]) & (df[lat] == feat["_flat"]), "left")
     return out.drop("_flon", "_flat")
 

@@ -18,6 +18,7 @@ def test_transport_features_equal_brute_force(spark):
     rng = np.random.default_rng(11)
     pts = pd.DataFrame({"row_id": np.arange(400), "lon": 126.9 + rng.random(400) * 0.1, "lat": 37.5 + rng.random(400) * 0.1})
     pts.loc[::37, ["lon", "lat"]] = np.nan
+    pts.loc[5:12, "lon"] = 128.4 + rng.random(8)  # ~130 km from every station: ring search rounds
     pois = pd.DataFrame({"poi_id": np.arange(60), "lon": 126.9 + rng.random(60) * 0.3, "lat": 37.5 + rng.random(60) * 0.3})
     got = geo.transport_features(spark.createDataFrame(pts), spark.createDataFrame(pois), "s").toPandas().set_index("row_id")
     for r in pts.itertuples():
