@@ -107,10 +107,14 @@ def connected_min_value(edges: DataFrame, nodes: DataFrame, max_rounds: int = 10
     sym = cut_lineage(sym)
     for _ in range(max_rounds):
         nb = sym.join(lab.withColumnRenamed("cell", "b"), "b").groupBy("a").agg(F.min("label").alias("nl"))
-        new = lab.join(nb.withColumnRenamed("a", "cell"), "cell", "left") \
-                 .select("cell", F.least("label", F.coalesce("nl", "label")).alias("label"),
-                         (F.coalesce(F.col("nl"), F.col("label")) < F.col("label")).alias("ch"))
-        new = cut_lineage(new)
+        step = lab.join(nb.withColumnRenamed("a", "cell"), "cell", "left") \
+                  .select("cell", F.least("label", F.coalesce("nl", "label")).alias("label"), F.col("label").alias("old"))
+        # jump: every cell whose old label was L learns the smallest new label
+        # reached by any cell that also had L (they are one component)
+        low = step.groupBy("old").agg(F.min("label").alias("_low"))
+        new = step.join(low.withColumnRenamed("old", "label"), "label", "left") \
+                  .select("cell", F.least("label", F.coalesce("_low", "label")).alias("label"), "old")
+        new = cut_lineage(new.withColumn("ch", F.col("label") < F.col("old")).drop("old"))
         changed = new.where("ch").limit(1).count()
         lab = new.select("cell", "label")
         if not changed:

@@ -62,13 +62,16 @@ def _case_tree(x: Column, cuts: list, lo: int, hi: int) -> Column:
 
 
 def range_buckets(df: DataFrame, key: str, rows_per_bucket: int = 2_000_000,
-                  bucket_col: str = "_bucket", n: int | None = None) -> tuple[DataFrame, int]:
+                  bucket_col: str = "_bucket", n: int | None = None,
+                  min_buckets: int | None = None) -> tuple[DataFrame, int]:
     """Add a range-bucket id in [0, B) that is monotone in ``key``."""
     spark = df.sparkSession
     numeric = isinstance(df.schema[key].dataType, T.NumericType)
     if n is None:
         n = df.select(key).count()
     buckets = choose_buckets(spark, n, rows_per_bucket, numeric)
+    if min_buckets is not None:
+        buckets = max(1, min(buckets, max(min_buckets, math.ceil(n / max(rows_per_bucket, 1)))))
     cuts = _bounds(df, key, n, buckets)
     if not cuts:
         return df.withColumn(bucket_col, F.lit(0)), 1
@@ -84,7 +87,12 @@ def range_buckets(df: DataFrame, key: str, rows_per_bucket: int = 2_000_000,
 def with_position(df: DataFrame, key: str, pos_col: str = "pos", rows_per_bucket: int = 2_000_000) -> DataFrame:
     """Dense 0-based position of each row in ascending ``key`` order (key unique)."""
     spark = df.sparkSession
-    bdf, _ = range_buckets(df, key, rows_per_bucket)
+    n = df.select(key).count()
+    if n <= rows_per_bucket:
+        # checked size: at most rows_per_bucket rows are ordered in one task
+        w = Window.partitionBy(F.lit(0)).orderBy(key)
+        return df.withColumn(pos_col, (F.row_number().over(w) - 1).cast("long"))
+    bdf, _ = range_buckets(df, key, rows_per_bucket, n=n)
     counts = sorted((r[0], r[1]) for r in bdf.groupBy("_bucket").count().collect())
     offs, acc = [], 0
     for b, c in counts:

@@ -74,9 +74,12 @@ def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], d
                   *[F.max(c).cast("double").alias(f"max_{c}") for c in numeric]).first()
     n = wide["__n"]
     counts = value_counts_long(df, cols)
-    uniq = {r["column"]: r["n"] for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    modes = {r["column"]: (r["mode"], r["mode_count"]) for r in
-             mode_per_column(counts.where(F.col("column").isin(list(categorical)))).collect()} if categorical else {}
+    per_col = counts.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min_by(F.struct("value", "count"), F.struct((-F.col("count")).alias("a"), F.col("value").alias("b"))).alias("m")
+    ).collect()  # one row per column
+    uniq = {r["column"]: r["n"] for r in per_col}
+    modes = {r["column"]: (r["m"]["value"], r["m"]["count"]) for r in per_col if r["column"] in set(categorical)}
     q = quantiles(df, list(numeric), [0.25, 0.75]) if numeric else {}
     out_aggs = []
     for c in numeric:
