@@ -147,65 +147,104 @@ def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
 
 
 def hierarchical_fill(df: DataFrame, numeric_cols: Sequence[str], text_cols: Sequence[str],
-                      group_cols: Sequence[str], unknown: str = "Unknown",
-                      checkpoint_levels: bool = False) -> DataFrame:
+                      group_cols: Sequence[str], unknown: str = "Unknown") -> DataFrame:
     """Fill nulls from group statistics at prefix levels ``group_cols[:k]``,
     k = len .. 1, later (coarser) levels seeing earlier fills; what is left
     takes the global mean (numeric) or mode (text, ties to the smallest
     value), else ``unknown``.  Null group keys never match, as in pandas.
 
-    The fact table is aggregated once by the finest key tuple; every level is
-    then resolved on that aggregate (a finest group's null rows always share
-    one fill value), and one join brings the fill values back.
+    The fact table is read twice in all: one aggregation by the finest key
+    tuple gives, per finest group, the sum / count / null count of every
+    numeric column and the null count of every text column; one
+    (finest group, value) count per text column gives the value counts.
+    Every level is then resolved on that small state (a finest group's null
+    rows always share one fill value): level means come from the state's
+    running sums, level modes from the base counts plus the counts already
+    filled in.  Each level writes the state once (lineage cut); one join
+    brings the fill values back to the rows.
     """
+    numeric_cols, text_cols = list(numeric_cols), list(text_cols)
     keys = _present(df, group_cols)
-    levels = []
-    for k in range(len(group_cols), 0, -1):
-        lv = _present(df, group_cols[:k])
-        if lv:
-            levels.append(lv)
-    fills: list[DataFrame] = []
-    glob: dict[str, object] = {}
-    if keys:
+    levels = [lv for lv in (_present(df, group_cols[:k]) for k in range(len(group_cols), 0, -1)) if lv]
+    if not keys:
+        out = df
         for c in numeric_cols:
-            f, g = _numeric_cascade(df, c, keys, levels)
-            fills.append(f)
-            glob[c] = g
+            g = df.agg(F.avg(c)).first()[0]
+            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(g).cast("double")))
         for c in text_cols:
-            f, g = _text_cascade(df, c, keys, levels)
-            fills.append(f)
-            glob[c] = g
-    else:
-        for c in numeric_cols:
-            glob[c] = df.agg(F.avg(c)).first()[0]
-        for c in text_cols:
-            glob[c] = global_mode(df, c).first()["mode"]
-    out = df
-    if keys and fills:
-        # every cascade has one row per finest group, so these joins are 1:1
-        fill = fills[0]
-        for f in fills[1:]:
-            fill = fill.join(f, on=[fill[k].eqNullSafe(f[k]) for k in keys], how="inner") \
-                       .select(*[fill[k] for k in keys],
-                               *[fill[c] for c in fill.columns if c not in keys],
-                               *[f[c] for c in f.columns if c not in keys])
-        any_fill = F.lit(False)
-        for c in [*numeric_cols, *text_cols]:
-            any_fill = any_fill | F.col(f"_fill_{c}").isNotNull()
-        fill = fill.where(any_fill)
-        fill = fill.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
-                           *[F.col(f"_fill_{c}") for c in [*numeric_cols, *text_cols]])
-        # null-safe key match: a finest group with a null key is still one group
-        cond = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
-        out = out.join(fill, cond, "left").select(
-            *[F.coalesce(F.col(c), F.col(f"_fill_{c}")).alias(c) if c in (*numeric_cols, *text_cols) else F.col(c)
-              for c in df.columns])
-    # global fallback: fitted scalars (mean / mode after every level's fills)
+            m = global_mode(df, c).first()["mode"]
+            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(m if m is not None else unknown)))
+        return out
+    aggs = []
+    for i, c in enumerate(numeric_cols):
+        aggs += [F.coalesce(F.sum(F.col(c).cast("double")), F.lit(0.0)).alias(f"_s{i}"),
+                 F.count(F.col(c)).alias(f"_k{i}"), F.count_if(F.col(c).isNull()).alias(f"_m{i}")]
+    for j, c in enumerate(text_cols):
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"_tm{j}"))
+    st = df.groupBy(*keys).agg(*aggs)
+    for i in range(len(numeric_cols)):
+        st = st.withColumn(f"_f{i}", F.lit(None).cast("double"))
+    for j in range(len(text_cols)):
+        st = st.withColumn(f"_tf{j}", F.lit(None).cast("string")).withColumn(f"_tn{j}", F.lit(0).cast("long"))
+    st = cut_lineage(st, "hfill_state")
+    base = [cut_lineage(df.where(F.col(c).isNotNull()).groupBy(*keys, F.col(c).alias("_v"))
+                        .agg(F.count(F.lit(1)).alias("_n")), "hfill_counts") for c in text_cols]
+
+    def counts(j):
+        filled = st.where(F.col(f"_tf{j}").isNotNull()).select(*keys, F.col(f"_tf{j}").alias("_v"),
+                                                              F.col(f"_tn{j}").alias("_n"))
+        return base[j].unionByName(filled)
+
+    for lv in levels:
+        nxt = st
+        if numeric_cols:
+            means = st.where(_ok(lv)).groupBy(*lv).agg(
+                *[F.try_divide(F.sum(f"_s{i}"), F.sum(f"_k{i}")).alias(f"_mean{i}") for i in range(len(numeric_cols))])
+            nxt = nxt.join(means, on=lv, how="left")
+        for j in range(len(text_cols)):
+            per = counts(j).where(_ok(lv)).groupBy(*lv, "_v").agg(F.sum("_n").alias("_n"))
+            mode = per.groupBy(*lv).agg(
+                F.min_by("_v", F.struct((-F.col("_n")).alias("a"), F.col("_v").alias("b"))).alias(f"_mode{j}"))
+            nxt = nxt.join(mode, on=lv, how="left")
+        for i in range(len(numeric_cols)):
+            hit = (F.col(f"_m{i}") > 0) & F.col(f"_mean{i}").isNotNull()
+            nxt = (nxt.withColumn(f"_f{i}", F.when(hit, F.col(f"_mean{i}")).otherwise(F.col(f"_f{i}")))
+                   .withColumn(f"_s{i}", F.when(hit, F.col(f"_s{i}") + F.col(f"_m{i}") * F.col(f"_mean{i}")).otherwise(F.col(f"_s{i}")))
+                   .withColumn(f"_k{i}", F.when(hit, F.col(f"_k{i}") + F.col(f"_m{i}")).otherwise(F.col(f"_k{i}")))
+                   .withColumn(f"_m{i}", F.when(hit, F.lit(0)).otherwise(F.col(f"_m{i}")))
+                   .drop(f"_mean{i}"))
+        for j in range(len(text_cols)):
+            hit = (F.col(f"_tm{j}") > 0) & F.col(f"_mode{j}").isNotNull()
+            nxt = (nxt.withColumn(f"_tf{j}", F.when(hit, F.col(f"_mode{j}")).otherwise(F.col(f"_tf{j}")))
+                   .withColumn(f"_tn{j}", F.when(hit, F.col(f"_tm{j}")).otherwise(F.col(f"_tn{j}")))
+                   .withColumn(f"_tm{j}", F.when(hit, F.lit(0)).otherwise(F.col(f"_tm{j}")))
+                   .drop(f"_mode{j}"))
+        st = cut_lineage(nxt, "hfill_state")
+    # global fallback: fitted scalars after every level's fills
+    glob = {}
+    if numeric_cols:
+        row = st.agg(*[F.try_divide(F.sum(f"_s{i}"), F.sum(f"_k{i}")).alias(f"g{i}")
+                       for i in range(len(numeric_cols))]).first()
+        glob.update({c: row[f"g{i}"] for i, c in enumerate(numeric_cols)})
+    for j, c in enumerate(text_cols):
+        tot = counts(j).groupBy("_v").agg(F.sum("_n").alias("_n"))
+        glob[c] = tot.agg(F.min_by("_v", F.struct((-F.col("_n")).alias("a"), F.col("_v").alias("b")))).first()[0]
+    fills = [*[(c, f"_f{i}") for i, c in enumerate(numeric_cols)], *[(c, f"_tf{j}") for j, c in enumerate(text_cols)]]
+    any_fill = F.lit(False)
+    for _, f in fills:
+        any_fill = any_fill | F.col(f).isNotNull()
+    fill = st.where(any_fill).select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+                                     *[F.col(f).alias(f"_fill_{c}") for c, f in fills])
+    # null-safe key match: a finest group with a null key is still one group
+    cond = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    filled = set(numeric_cols) | set(text_cols)
+    out = df.join(fill, cond, "left").select(
+        *[F.coalesce(F.col(c), F.col(f"_fill_{c}")).alias(c) if c in filled else F.col(c) for c in df.columns])
     for c in numeric_cols:
         if glob.get(c) is not None:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(float(glob[c]))))
     for c in text_cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(glob.get(c) if glob.get(c) is not None else unknown)))
+        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(glob[c] if glob.get(c) is not None else unknown)))
     return out
 
 
@@ -216,48 +255,6 @@ def _ok(cols: Sequence[str]) -> Column:
     return cond
 
 
-def _numeric_cascade(df: DataFrame, c: str, keys: list[str], levels: list[list[str]]) -> DataFrame:
-    """Per finest group: sum, known count, null count -> fill value."""
-    st = df.groupBy(*keys).agg(F.coalesce(F.sum(F.col(c).cast("double")), F.lit(0.0)).alias("_s"),
-                               F.count(F.col(c)).alias("_k"),
-                               F.count_if(F.col(c).isNull()).alias("_m"))
-    st = st.withColumn("_f", F.lit(None).cast("double"))
-    for lv in levels:
-        means = (st.where(_ok(lv)).groupBy(*lv)
-                 .agg(F.try_divide(F.sum("_s"), F.sum("_k")).alias("_mean")))
-        st = (st.join(means, on=lv, how="left")
-              .withColumn("_hit", (F.col("_m") > 0) & F.col("_mean").isNotNull())
-              .withColumn("_f", F.when(F.col("_hit"), F.col("_mean")).otherwise(F.col("_f")))
-              .withColumn("_s", F.when(F.col("_hit"), F.col("_s") + F.col("_m") * F.col("_mean")).otherwise(F.col("_s")))
-              .withColumn("_k", F.when(F.col("_hit"), F.col("_k") + F.col("_m")).otherwise(F.col("_k")))
-              .withColumn("_m", F.when(F.col("_hit"), F.lit(0)).otherwise(F.col("_m")))
-              .drop("_mean", "_hit"))
-        st = cut_lineage(st)
-    g = st.agg(F.try_divide(F.sum("_s"), F.sum("_k")).alias("g")).first()["g"]
-    return st.select(*keys, F.col("_f").alias(f"_fill_{c}")), g
-
-
-def _text_cascade(df: DataFrame, c: str, keys: list[str], levels: list[list[str]]) -> DataFrame:
-    """Per (finest group, value) counts plus per-group null count -> fill value."""
-    cnt = df.where(F.col(c).isNotNull()).groupBy(*keys, F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    grp = df.groupBy(*keys).agg(F.count_if(F.col(c).isNull()).alias("_m")) \
-            .withColumn("_f", F.lit(None).cast("string"))
-    for lv in levels:
-        per = cnt.where(_ok(lv)).groupBy(*lv, "_v").agg(F.sum("_n").alias("_n"))
-        mode = per.groupBy(*lv).agg(F.min_by("_v", F.struct((-F.col("_n")).alias("a"), F.col("_v").alias("b"))).alias("_mode"))
-        grp = (grp.join(mode, on=lv, how="left")
-               .withColumn("_hit", (F.col("_m") > 0) & F.col("_mode").isNotNull()))
-        added = grp.where("_hit").select(*keys, F.col("_mode").alias("_v"), F.col("_m").alias("_n"))
-        cnt = cnt.unionByName(added)
-        grp = (grp.withColumn("_f", F.when(F.col("_hit"), F.col("_mode")).otherwise(F.col("_f")))
-               .withColumn("_m", F.when(F.col("_hit"), F.lit(0)).otherwise(F.col("_m")))
-               .drop("_mode", "_hit"))
-        grp, cnt = cut_lineage(grp), cut_lineage(cnt)
-    tot = cnt.groupBy("_v").agg(F.sum("_n").alias("_n"))
-    g = tot.agg(F.min_by("_v", F.struct((-F.col("_n")).alias("a"), F.col("_v").alias("b"))).alias("m")).first()["m"]
-    return grp.select(*keys, F.col("_f").alias(f"_fill_{c}")), g
-
-
 def group_mode(df: DataFrame, keys: Sequence[str], c: str, name: str = "mode") -> DataFrame:
     """Most frequent non-null value per group, ties to the smallest value.
 
