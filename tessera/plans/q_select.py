@@ -116,11 +116,7 @@ CRAMER_PAIRS = [("district", "hood"), ("district", "heating"), ("hood", "deal_ty
 def q_cramer(spark, sf):
     t = views.trades(spark, sf).withColumn("region", F.split("addr", " ").getItem(0)) \
              .withColumn("is_core", (F.col("row_id") % 3 == 0).cast("int"))
-    rows = []
-    for a, b in CRAMER_PAIRS:
-        v = sel.cramers_v(t, a, b, True)
-        rows.append((a, b, round(v, 6), v > 0.7))
-    return spark.createDataFrame(rows, "c1 string, c2 string, v double, drop_c2 boolean")
+    return sel.cramers_table(t, CRAMER_PAIRS, 0.7)
 
 
 @query("sel_yates_2x2", "SEL-5", """

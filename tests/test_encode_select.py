@@ -67,3 +67,17 @@ def test_column_name_operators(spark):
     assert cov == {"absent_groups": ["g"], "unlisted": ["Unnamed: 0"], "listed_absent": []}
     # FUN-10: substring lookup in column names
     assert [c for c in df.columns if "nam" in c] == ["Unnamed: 0"]
+
+
+def test_cramers_table_equals_pairwise(spark):
+    rng = np.random.default_rng(9)
+    n = 2000
+    a = rng.choice(["x", "y"], n)
+    b = np.where(rng.random(n) < 0.7, a, rng.choice(["x", "y"], n))
+    c = rng.choice(["p", "q", "r", None], n)
+    pdf = pd.DataFrame({"a": a, "b": b, "c": c})
+    df = spark.createDataFrame(pdf)
+    pairs = [("a", "b"), ("a", "c"), ("b", "c")]
+    got = {(r.c1, r.c2): r.v for r in select.cramers_table(df, pairs, digits=12).collect()}
+    for x, y in pairs:
+        assert math.isclose(got[(x, y)], select.cramers_v(df, x, y), rel_tol=1e-9, abs_tol=1e-12)
