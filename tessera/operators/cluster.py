@@ -70,30 +70,56 @@ def dbscan(pts: DataFrame, eps: float = 0.5, min_samples: int = 5, id_col: str =
     0.. in order of each cluster's smallest core point id (the order a
     scan by id would discover them).
 
-    Components are found on a graph of grid cells of side eps / sqrt(2): all
-    core points of one cell are within eps of each other, so a cell is one
-    node, and two cells are linked when any core pair across them is within
-    eps.  The propagation then runs on cells, not on point pairs."""
+    Work is bounded for hot spots:
+    * identical coordinates collapse to one location with a multiplicity;
+    * the plane is cut into cells of side eps / sqrt(2), so all points of a
+      cell are within eps of each other: a cell holding >= min_samples
+      points makes every point in it core without counting pairs, and a
+      cell is one node of the component graph;
+    * neighbour pairs are enumerated between distinct locations only where
+      needed: to count neighbours of locations in sparse cells, to link
+      core cells, and to attach border points.
+    """
     side = eps / 2 ** 0.5
-    cell = F.concat_ws(":", F.floor(F.col(x) / side).cast("string"), F.floor(F.col(y) / side).cast("string"))
-    pc = pts.select(F.col(id_col).alias("id"), cell.alias("cell"))
-    pairs = cut_lineage(eps_pairs(pts, eps, id_col, x, y).select("a", "b"))
-    deg = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
-    core = cut_lineage(deg.where(F.col("deg") >= min_samples).select(F.col("a").alias("id")).join(pc, "id"))
-    ca = core.select(F.col("id").alias("a"), F.col("cell").alias("ca"))
-    cb = core.select(F.col("id").alias("b"), F.col("cell").alias("cb"))
-    cell_edges = pairs.join(ca, "a").join(cb, "b").where(F.col("ca") != F.col("cb")) \
-                      .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
-    cell_min = core.groupBy("cell").agg(F.min("id").alias("m"))
+    cell = F.concat_ws(":", F.floor(F.col("x") / side).cast("string"), F.floor(F.col("y") / side).cast("string"))
+    p = pts.select(F.col(id_col).alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
+    loc = cut_lineage(p.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("lid"))
+                      .withColumn("cell", cell))
+    cells = loc.groupBy("cell").agg(F.sum("w").alias("cw"))
+    loc = loc.join(cells, "cell")
+    dense = loc.where(F.col("cw") >= min_samples)
+    sparse = loc.where(F.col("cw") < min_samples)
+    # neighbour weight for locations of sparse cells (each such cell has < min_samples points)
+    sp_pairs = eps_pairs_between(sparse.select(F.col("lid").alias("point_id"), "x", "y"),
+                                 loc.select(F.col("lid").alias("point_id"), "x", "y"), eps, "point_id", "x", "y")
+    wts = loc.select(F.col("lid").alias("b"), F.col("w").alias("bw"))
+    deg = sp_pairs.join(wts, "b").groupBy("a").agg(F.sum("bw").alias("deg"))
+    core_sparse = deg.where(F.col("deg") >= min_samples).select(F.col("a").alias("lid"))
+    core = cut_lineage(dense.select("lid", "x", "y", "cell")
+                       .unionByName(sparse.join(core_sparse, "lid").select("lid", "x", "y", "cell")))
+    # links between different cells through core locations within eps
+    cc = eps_pairs_between(core.select(F.col("lid").alias("point_id"), "x", "y"),
+                           core.select(F.col("lid").alias("point_id"), "x", "y"), eps, "point_id", "x", "y")
+    ca = core.select(F.col("lid").alias("a"), F.col("cell").alias("ca"))
+    cb = core.select(F.col("lid").alias("b"), F.col("cell").alias("cb"))
+    cell_edges = cc.join(ca, "a").join(cb, "b").where(F.col("ca") != F.col("cb")) \
+                   .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    # a cell's smallest core point id (over every point at its core locations)
+    members = p.join(loc.select("x", "y", "lid"), ["x", "y"])
+    core_ids = members.join(core.select("lid", "cell"), "lid")
+    cell_min = core_ids.groupBy("cell").agg(F.min("id").alias("m"))
     comp_cells = connected_min_value(cell_edges, cell_min)
-    comp = core.join(comp_cells, "cell").select("id", "label")
-    border = (pairs.join(core.select(F.col("id").alias("a")), "a", "left_anti")
-              .join(comp.withColumnRenamed("id", "b"), "b")
-              .groupBy("a").agg(F.min("label").alias("label")).withColumnRenamed("a", "id"))
-    labels = comp.unionByName(border)
-    codes = with_position(labels.select("label").distinct(), "label", "cluster")
-    out = pts.select(F.col(id_col).alias("id")).join(labels, "id", "left").join(codes, "label", "left") \
-             .select(F.col("id").alias(id_col), F.coalesce(F.col("cluster"), F.lit(-1)).cast("bigint").alias("label"))
+    core_lab = core.join(comp_cells, "cell").select("lid", "label")
+    # border locations: non-core locations with a core location within eps
+    nonc = loc.join(core.select("lid"), "lid", "left_anti")
+    bp = eps_pairs_between(nonc.select(F.col("lid").alias("point_id"), "x", "y"),
+                           core.select(F.col("lid").alias("point_id"), "x", "y"), eps, "point_id", "x", "y")
+    border = bp.join(core_lab.withColumnRenamed("lid", "b"), "b").groupBy("a").agg(F.min("label").alias("label")) \
+               .withColumnRenamed("a", "lid")
+    loc_lab = core_lab.unionByName(border)
+    codes = with_position(loc_lab.select("label").distinct(), "label", "cluster")
+    out = members.join(loc_lab, "lid", "left").join(codes, "label", "left") \
+                 .select(F.col("id").alias(id_col), F.coalesce(F.col("cluster"), F.lit(-1)).cast("bigint").alias("label"))
     size = out.groupBy("label").agg(F.count(F.lit(1)).alias("cluster_size"))
     return out.join(size, "label").select(id_col, "label", "cluster_size")
 
@@ -126,30 +152,40 @@ def k_distance(pts: DataFrame, k: int = 5, start: float = 0.05, id_col: str = "p
                y: str = "y", growth: float = 2.0) -> DataFrame:
     """CLU-3: distance to the k-th nearest point, itself included.
 
-    Exact: a point is resolved at radius r once it has >= k points within r
-    (its k nearest are then all among the candidates); unresolved points retry
-    with a larger radius until the grid spans the data."""
-    ext = pts.agg(F.min(x).alias("a"), F.max(x).alias("b"), F.min(y).alias("c"), F.max(y).alias("d")).first()
+    Identical coordinates collapse to one location with a multiplicity (a
+    location holding >= k points has distance 0).  Exact: a location is
+    resolved at radius r once the points within r (counted with
+    multiplicity) reach k; unresolved locations retry with a larger radius
+    until the grid spans the data."""
+    from pyspark.sql import Window
+    p = pts.select(F.col(id_col).alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
+    loc = cut_lineage(p.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("lid")))
+    ext = loc.agg(F.min("x").alias("a"), F.max("x").alias("b"), F.min("y").alias("c"), F.max("y").alias("d")).first()
     full = ((ext["b"] - ext["a"]) ** 2 + (ext["d"] - ext["c"]) ** 2) ** 0.5 + 1e-9
-    todo, done, r = pts, [], start
+    allw = loc.select(F.col("lid").alias("b"), F.col("w").alias("bw"))
+    todo, done, r = loc, [], start
     while True:
         last = r >= full
-        cand = eps_pairs_between(todo, pts, r, id_col, x, y)
-        from pyspark.sql import Window
-        w = Window.partitionBy("a").orderBy("d", "b")
-        kth = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == k).select(F.col("a").alias(id_col), F.col("d").alias("kdist"))
+        cand = eps_pairs_between(todo.select(F.col("lid").alias("point_id"), "x", "y"),
+                                 loc.select(F.col("lid").alias("point_id"), "x", "y"), r, "point_id", "x", "y")
+        cand = cand.join(allw, "b")
+        w = Window.partitionBy("a").orderBy("d", "b").rowsBetween(Window.unboundedPreceding, 0)
+        cum = cand.withColumn("_cum", F.sum("bw").over(w))
+        kth = cum.where((F.col("_cum") >= k) & (F.col("_cum") - F.col("bw") < k)) \
+                 .select(F.col("a").alias("lid"), F.col("d").alias("kdist"))
         kth = cut_lineage(kth)
         done.append(kth)
         if last:
             break
-        todo = cut_lineage(todo.join(kth.select(id_col), id_col, "left_anti"))
+        todo = cut_lineage(todo.join(kth.select("lid"), "lid", "left_anti"))
         if todo.isEmpty():
             break
         r = min(r * growth, full)
     res = done[0]
     for d in done[1:]:
         res = res.unionByName(d)
-    return res
+    members = p.join(loc.select("x", "y", "lid"), ["x", "y"])
+    return members.join(res, "lid").select(F.col("id").alias(id_col), "kdist")
 
 
 def eps_pairs_between(left: DataFrame, right: DataFrame, eps: float, id_col: str, x: str, y: str) -> DataFrame:

@@ -57,13 +57,17 @@ def candidate_pairs(locs: DataFrame, pois: DataFrame, radius_km: float, max_abs_
     cl, cn = _cells(radius_km, max_abs_lat)
     p = locs.select(loc_id, "lat", "lon", F.floor(F.col("lon") / cn).alias("cx"), F.floor(F.col("lat") / cl).alias("cy"))
     offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    q = (pois.select(F.col(poi_id).alias("_poi"), F.col("lat").alias("plat"), F.col("lon").alias("plon"),
-                     F.floor(F.col("lon") / cn).alias("qx"), F.floor(F.col("lat") / cl).alias("qy"))
+    # stations stacked at one coordinate become one candidate with a weight
+    stacked = pois.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()) \
+                  .groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("_w"), F.min(poi_id).alias("_poi"))
+    q = (stacked.select("_poi", "_w", F.col("lat").alias("plat"), F.col("lon").alias("plon"),
+                        F.floor(F.col("lon") / cn).alias("qx"), F.floor(F.col("lat") / cl).alias("qy"))
          .select("*", F.explode(offs).alias("o"))
-         .select("_poi", "plat", "plon", (F.col("qx") + F.col("o.dx")).alias("cx"), (F.col("qy") + F.col("o.dy")).alias("cy")))
+         .select("_poi", "_w", "plat", "plon", (F.col("qx") + F.col("o.dx")).alias("cx"), (F.col("qy") + F.col("o.dy")).alias("cy")))
     j = p.join(q, ["cx", "cy"])
     d = haversine_km(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
-    return j.select(loc_id, F.col("_poi").alias(poi_id), d.alias("km")).where(F.col("km") <= F.lit(radius_km))
+    return j.select(loc_id, F.col("_poi").alias(poi_id), F.col("_w").alias("w"), d.alias("km")) \
+            .where(F.col("km") <= F.lit(radius_km))
 
 
 def locations(df: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
@@ -79,8 +83,8 @@ def radius_counts(locs: DataFrame, pois: DataFrame, radii_m: Sequence[int], pref
     mal = _max_abs_lat(locs, pois) if max_abs_lat is None else max_abs_lat
     pairs = candidate_pairs(locs, pois, max(radii_m) / 1000.0, mal)
     names = list(names or [str(r) for r in radii_m])
-    agg = pairs.groupBy("loc_id").agg(*[F.count_if(F.col("km") * 1000.0 <= F.lit(float(r))).alias(f"{prefix}_{n}_count")
-                                        for n, r in zip(names, radii_m)])
+    agg = pairs.groupBy("loc_id").agg(*[F.sum(F.when(F.col("km") * 1000.0 <= F.lit(float(r)), F.col("w")).otherwise(0))
+                                        .alias(f"{prefix}_{n}_count") for n, r in zip(names, radii_m)])
     out = locs.join(agg, "loc_id", "left")
     return out.fillna(0, subset=[f"{prefix}_{n}_count" for n in names])
 
@@ -151,7 +155,8 @@ def transport_features(df: DataFrame, pois: DataFrame, prefix: str, zones=ZONES,
         r0 = max(max(r for _, r in zones) / 1000.0, 2.0 * spacing_km(pe))
         pairs = candidate_pairs(locs, pois, r0, mal)
         agg = cut_lineage(pairs.groupBy("loc_id").agg(
-            *[F.count_if(F.col("km") * 1000.0 <= F.lit(float(r))).alias(f"{prefix}_{n}_count") for n, r in zones],
+            *[F.sum(F.when(F.col("km") * 1000.0 <= F.lit(float(r)), F.col("w")).otherwise(0)).cast("bigint")
+              .alias(f"{prefix}_{n}_count") for n, r in zones],
             F.min("km").alias("nearest_km")))
         rest = locs.join(agg.select("loc_id"), "loc_id", "left_anti")
         far = nearest(cut_lineage(rest), pois, r0 * 4.0, mal, loc_ext=le, poi_ext=pe).select("loc_id", "nearest_km")

@@ -83,3 +83,20 @@ def test_k_distance_equals_brute_force(spark):
     d = np.sqrt(((xy[:, None, :] - xy[None, :, :]) ** 2).sum(-1))
     ref = np.sort(d, axis=1)[:, 4]
     assert np.allclose(got.loc[pdf.point_id].to_numpy(), ref)
+
+
+def test_dbscan_and_kdist_with_hot_duplicate_coordinates(spark):
+    rng = np.random.default_rng(8)
+    base = np.concatenate([rng.normal((0, 0), 0.3, (150, 2)), rng.normal((3, 0), 0.3, (60, 2)), rng.uniform(-2, 5, (30, 2))])
+    hot = np.tile([[0.1, 0.05]], (200, 1))          # a hot spot: many rows at one coordinate
+    pts = np.concatenate([base, hot, base[:20]])     # plus exact duplicates of some points
+    ids = rng.permutation(100_000)[: len(pts)]
+    pdf = pd.DataFrame({"point_id": ids, "x": pts[:, 0], "y": pts[:, 1]})
+    df = spark.createDataFrame(pdf)
+    got = cluster.dbscan(df, 0.3, 5).toPandas().set_index("point_id")["label"].to_dict()
+    ref = _dbscan_ref(pdf.x.to_numpy(), pdf.y.to_numpy(), pdf.point_id.to_numpy(), 0.3, 5)
+    assert got == ref
+    kd = cluster.k_distance(df, 5, start=0.01).toPandas().set_index("point_id")["kdist"]
+    xy = pdf[["x", "y"]].to_numpy()
+    d = np.sqrt(((xy[:, None, :] - xy[None, :, :]) ** 2).sum(-1))
+    assert np.allclose(kd.loc[pdf.point_id].to_numpy(), np.sort(d, axis=1)[:, 4])
