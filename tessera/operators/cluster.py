@@ -218,3 +218,19 @@ def kmeans_features(pts: DataFrame, cols: Sequence[str], k: int = 5, seed: int =
     out = pred.select(id_col, prefix, dist.alias(f"{prefix}_dist"))
     size = out.groupBy(prefix).agg(F.count(F.lit(1)).alias(f"{prefix}_count"))
     return out.join(size, prefix)
+
+
+def assign_to_centres(pts: DataFrame, centres: list[tuple[float, ...]], cols: Sequence[str], id_col: str = "point_id",
+                      prefix: str = "cluster") -> DataFrame:
+    """CLU-1 with fixed centres: nearest centre (ties to the lower index),
+    Euclidean distance to it, and the cluster size.  The k centres enter
+    the plan as literals (k distance expressions per row), so no join."""
+    d2 = [sum((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, ctr)) for ctr in centres]
+    best = F.lit(0)
+    bd = d2[0]
+    for i in range(1, len(d2)):
+        best = F.when(d2[i] < bd, F.lit(i)).otherwise(best)
+        bd = F.least(bd, d2[i])
+    out = pts.select(id_col, *cols, best.cast("bigint").alias(prefix), F.sqrt(bd).alias(f"{prefix}_dist"))
+    size = out.groupBy(prefix).agg(F.count(F.lit(1)).alias(f"{prefix}_count"))
+    return out.join(size, prefix)

@@ -183,3 +183,22 @@ def q_runs(spark, sf):
 
 
 _ = align_to  # re-exported for scoring users
+
+
+@query("clu_fixed_centres", ("CLU-1", "AGG-10"), with_views(_Z + """,
+c AS (SELECT CAST(p.point_id % 5 AS BIGINT) AS k, avg(z.x) AS cx, avg(z.y) AS cy
+      FROM z JOIN cluster_points p ON z.point_id = p.point_id GROUP BY 1),
+d AS (SELECT z.point_id, z.x, c.k, (z.x - c.cx) * (z.x - c.cx) + (z.y - c.cy) * (z.y - c.cy) AS d2 FROM z, c),
+b AS (SELECT point_id, x, k, d2 FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d2, k) AS rn FROM d) WHERE rn = 1)
+SELECT point_id, k AS cluster, round(sqrt(d2), 8) AS cluster_dist, count(*) OVER (PARTITION BY k) AS cluster_count,
+       round(avg(x) OVER (PARTITION BY k), 2) AS x_mean, round(stddev_samp(x) OVER (PARTITION BY k), 2) AS x_std
+FROM b
+""", "cluster_points"))
+def q_fixed_centres(spark, sf):
+    z = cluster.standardize(views.cluster_points(spark, sf), ["x", "y"])
+    cen = z.groupBy((F.col("point_id") % 5).alias("k")).agg(F.avg("x").alias("cx"), F.avg("y").alias("cy")) \
+           .orderBy("k").collect()  # k rows
+    a = cluster.assign_to_centres(z, [(r["cx"], r["cy"]) for r in cen], ["x", "y"])
+    stats = a.groupBy("cluster").agg(F.round(F.avg("x"), 2).alias("x_mean"), F.round(F.stddev_samp("x"), 2).alias("x_std"))
+    return a.join(stats, "cluster").select("point_id", "cluster", F.round("cluster_dist", 8).alias("cluster_dist"),
+                                           "cluster_count", "x_mean", "x_std")
