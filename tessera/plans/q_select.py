@@ -180,7 +180,29 @@ def q_anova(spark, sf):
     return sel.anova_f(d, ["n_chars"], "quality").select("column", F.round("f", 6).alias("f"))
 
 
-@query("sel_correlated_groups", "SEL-11")
+def _groups_sql():
+    cols = ["area", "area2", "bal", "contract_day"]
+    mi = []
+    for c in cols:
+        mi.append(f"""SELECT '{c}' AS col, sum(o / n * ln(o * n / (nx * ny))) AS mi FROM (
+  SELECT o, sum(o) OVER () AS n, sum(o) OVER (PARTITION BY x) AS nx, sum(o) OVER (PARTITION BY y) AS ny FROM (
+    SELECT CAST(least(floor(({c} - lo) / ((hi - lo) / 10e0)), 9) AS VARCHAR) AS x, yb AS y, count(*) AS o
+    FROM tb, (SELECT min({c}) AS lo, max({c}) AS hi FROM tb) WHERE {c} IS NOT NULL GROUP BY 1, 2))""")
+    pairs = [f"SELECT '{a}' AS c1, '{b}' AS c2, abs(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))) AS ar FROM s"
+             for i, a in enumerate(cols) for b in cols[i + 1:]]
+    return with_views(f"""
+, s AS (SELECT area, area * 2e0 + contract_day / 1000e0 AS area2, bal, contract_day, target FROM trades),
+tb AS (SELECT s.*, least(floor((target - lo) / ((hi - lo) / 10e0)), 9) AS yb FROM s, (SELECT min(target) AS lo, max(target) AS hi FROM s)),
+mi AS ({_u(mi)}),
+pairs AS ({_u(pairs)}),
+g AS (SELECT c2 AS key, c1 AS col FROM pairs WHERE ar > 0.9 UNION SELECT c2, c2 FROM pairs WHERE ar > 0.9),
+best AS (SELECT col FROM (SELECT g.key, g.col, row_number() OVER (PARTITION BY g.key ORDER BY mi.mi DESC, g.col DESC) AS rn
+                          FROM g JOIN mi ON g.col = mi.col) WHERE rn = 1)
+SELECT DISTINCT col AS "column" FROM (SELECT col FROM best UNION ALL SELECT col FROM mi WHERE col NOT IN (SELECT col FROM g))
+""", "trades")
+
+
+@query("sel_correlated_groups", "SEL-11", _groups_sql())
 def q_groups(spark, sf):
     t = views.trades(spark, sf).select("area", "target", "bal", "contract_day") \
              .withColumn("area2", F.col("area") * 2.0 + F.col("contract_day") / 1000.0)
