@@ -92,3 +92,13 @@ def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     only_a = a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_left")).select("*", tag)
     only_b = b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_right")).select("*", tag)
     return only_a.join(only_b, "_one").drop("_one")  # two one-row aggregates
+
+
+def drop_duplicates_report(df: DataFrame, subset=None) -> tuple[DataFrame, DataFrame]:
+    """FIL-4: duplicate rows dropped, plus a one-row report of rows removed."""
+    out = df.dropDuplicates(subset) if subset else df.dropDuplicates()
+    before = df.agg(F.count(F.lit(1)).alias("rows_before"))
+    after = out.agg(F.count(F.lit(1)).alias("rows_after"))
+    rep = before.withColumn("_one", F.lit(1)).join(after.withColumn("_one", F.lit(1)), "_one").drop("_one") \
+                .withColumn("removed", F.col("rows_before") - F.col("rows_after"))
+    return out, rep

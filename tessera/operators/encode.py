@@ -170,3 +170,23 @@ def one_hot(train: DataFrame, df: DataFrame, col: str, max_levels: int = 1000, p
         raise ValueError(f"{col}: more than {max_levels} categories; use label_encode")
     return df.select("*", *[F.coalesce(F.col(col) == F.lit(v), F.lit(False)).cast("int").alias(f"{prefix}_{v}")
                             for v in levels])
+
+
+def target_means_oof(df: DataFrame, col: str, target: str, fold: str = "fold", out: str | None = None) -> DataFrame:
+    """ENC-6 option: out-of-fold target means (a row never sees its own fold),
+    from one aggregation by (category, fold): (S_c - S_cf) / (N_c - N_cf).
+    A category seen only in the row's own fold gets the out-of-fold global mean."""
+    out = out or f"{col}_te"
+    cf = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_c"), F.col(fold).alias("_f")) \
+           .agg(F.sum(target).alias("s_cf"), F.count(F.lit(1)).alias("n_cf"))
+    c = cf.groupBy("_c").agg(F.sum("s_cf").alias("s_c"), F.sum("n_cf").alias("n_c"))
+    per_fold = df.groupBy(fold).agg(F.sum(target).alias("s"), F.count(F.lit(1)).alias("n")).collect()  # one row per fold
+    s_all, n_all = sum(r["s"] for r in per_fold), sum(r["n"] for r in per_fold)
+    glob = df.sparkSession.createDataFrame(
+        [(r[fold], (s_all - r["s"]) / (n_all - r["n"]) if n_all > r["n"] else None) for r in per_fold],
+        f"_f {dict(df.dtypes)[fold]}, _g double")
+    m = cf.join(c, "_c").where(F.col("n_c") > F.col("n_cf")) \
+          .select("_c", "_f", ((F.col("s_c") - F.col("s_cf")) / (F.col("n_c") - F.col("n_cf"))).alias("_m"))
+    j = df.join(m, (df[col] == m["_c"]) & (df[fold] == m["_f"]), "left").drop("_c", "_f") \
+          .join(F.broadcast(glob), df[fold] == glob["_f"], "left")
+    return j.select(*[df[x] for x in df.columns], F.coalesce(F.col("_m"), F.col("_g")).alias(out))

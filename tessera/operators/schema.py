@@ -41,6 +41,15 @@ def dedupe_names(df: DataFrame) -> DataFrame:
     return tmp.select(*[F.col(f"_c{i}").alias(df.columns[i]) for i in idx])
 
 
+def rename_on_clash(df: DataFrame, prefix: str = "feature_") -> tuple[DataFrame, dict]:
+    """PRJ-4 (second form): when any names clash, rename every column to
+    ``feature_i`` and return the position -> old name mapping."""
+    if len(set(df.columns)) == len(df.columns):
+        return df, {}
+    mapping = {f"{prefix}{i}": c for i, c in enumerate(df.columns)}
+    return df.toDF(*mapping), mapping
+
+
 def _unique(names: Sequence[str]) -> list[str]:
     out, used = [], {}
     for n in names:

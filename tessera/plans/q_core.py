@@ -375,3 +375,47 @@ def q_mat(spark, sf):
     from ..sources.store import materialize
     build = lambda: views.trades(spark, sf).select("row_id", "district", "area")
     return materialize(spark, "trades_min", build, source=sf)
+
+
+@query("eva_residual_study", ("EVA-6", "ENC-3", "SRT-1", "AGG-4"), with_views("""
+, ch AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT district AS v FROM trades WHERE is_test = 0)),
+m AS (SELECT district, avg(target) AS te FROM trades WHERE is_test = 0 GROUP BY district),
+e AS (SELECT t.row_id, ch.code AS district_code, t.target, t.area, (t.target - m.te) * (t.target - m.te) AS se
+      FROM trades t JOIN m ON t.district = m.district JOIN ch ON t.district = ch.v WHERE t.is_test = 1),
+w AS (SELECT 'worst' AS kind, * FROM e ORDER BY se DESC, row_id LIMIT 100),
+b AS (SELECT 'best' AS kind, * FROM e ORDER BY se ASC, row_id LIMIT 100),
+x AS (SELECT w.*, ch.v AS district FROM w JOIN ch ON w.district_code = ch.code
+      UNION ALL SELECT b.*, ch.v FROM b JOIN ch ON b.district_code = ch.code)
+SELECT kind, count(*) AS n, count(DISTINCT district) AS n_districts,
+       round(avg(target), 4) AS target_mean, round(min(target), 4) AS target_min, round(max(target), 4) AS target_max,
+       round(avg(area), 4) AS area_mean, count(area) AS area_count
+FROM x GROUP BY kind
+""", "trades"))
+def q_residuals(spark, sf):
+    t = views.trades(spark, sf).select("row_id", "district", "target", "area", "is_test")
+    train, test = t.where("is_test = 0"), t.where("is_test = 1")
+    codes = encode.label_codes(train, None, "district")
+    means, _ = encode.target_means(train, "district", "target")
+    e = encode.apply_target_means(test, "district", means, None, out="pred").where(F.col("pred").isNotNull())
+    e = encode.apply_codes(e, "district", codes, out="district_code")
+    e = e.withColumn("se", (F.col("target") - F.col("pred")) ** 2)
+    worst = e.orderBy(F.desc("se"), "row_id").limit(100).withColumn("kind", F.lit("worst"))
+    best = e.orderBy(F.asc("se"), "row_id").limit(100).withColumn("kind", F.lit("best"))
+    both = encode.decode(worst.unionByName(best).drop("district"), "district_code", codes, out="district_code") \
+                 .withColumnRenamed("district_code", "district")
+    return both.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("district").alias("n_districts"),
+        F.round(F.avg("target"), 4).alias("target_mean"), F.round(F.min("target"), 4).alias("target_min"),
+        F.round(F.max("target"), 4).alias("target_max"), F.round(F.avg("area"), 4).alias("area_mean"),
+        F.count("area").alias("area_count"))
+
+
+@query("fil_dedup_report", "FIL-4", """
+SELECT count(*) AS rows_before, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS rows_after,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS removed
+FROM lineitem
+""")
+def q_dedup_report(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    _, rep = combine.drop_duplicates_report(li)
+    return rep

@@ -119,3 +119,19 @@ def q_dense(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_type")
     codes = with_position(p.select("p_type").distinct(), "p_type", "type_code")
     return p.join(codes, "p_type").select("p_partkey", "type_code")
+
+
+_FOLD5 = "CAST(((((row_id % 2147483648) * 2654435761) % 4294967296) % 4294967296) % 5 AS INTEGER)"
+
+
+@query("enc_target_mean_oof", "ENC-6", with_views(f"""
+, d AS (SELECT row_id, district, target, {_FOLD5} AS fold FROM trades),
+o AS (SELECT t1.row_id, avg(t2.target) AS m FROM d t1 JOIN d t2 ON t1.district = t2.district AND t2.fold <> t1.fold GROUP BY t1.row_id),
+g AS (SELECT f.fold, avg(d.target) AS g FROM (SELECT DISTINCT fold FROM d) f JOIN d ON d.fold <> f.fold GROUP BY f.fold)
+SELECT d.row_id, round(coalesce(o.m, g.g), 2) AS district_te FROM d LEFT JOIN o ON d.row_id = o.row_id JOIN g ON d.fold = g.fold
+""", "trades"))
+def q_te_oof(spark, sf):
+    from ..operators.model import add_folds
+    t = add_folds(views.trades(spark, sf).select("row_id", "district", "target"), 5)
+    e = encode.target_means_oof(t, "district", "target", "fold", out="district_te")
+    return e.select("row_id", F.round("district_te", 2).alias("district_te"))
