@@ -206,19 +206,20 @@ def hierarchical_fill(df: DataFrame, numeric_cols: Sequence[str], text_cols: Seq
             mode = per.groupBy(*lv).agg(
                 F.min_by("_v", F.struct((-F.col("_n")).alias("a"), F.col("_v").alias("b"))).alias(f"_mode{j}"))
             nxt = nxt.join(mode, on=lv, how="left")
+        # one projection per level (a long withColumn chain costs analysis time)
+        upd = {}
         for i in range(len(numeric_cols)):
             hit = (F.col(f"_m{i}") > 0) & F.col(f"_mean{i}").isNotNull()
-            nxt = (nxt.withColumn(f"_f{i}", F.when(hit, F.col(f"_mean{i}")).otherwise(F.col(f"_f{i}")))
-                   .withColumn(f"_s{i}", F.when(hit, F.col(f"_s{i}") + F.col(f"_m{i}") * F.col(f"_mean{i}")).otherwise(F.col(f"_s{i}")))
-                   .withColumn(f"_k{i}", F.when(hit, F.col(f"_k{i}") + F.col(f"_m{i}")).otherwise(F.col(f"_k{i}")))
-                   .withColumn(f"_m{i}", F.when(hit, F.lit(0)).otherwise(F.col(f"_m{i}")))
-                   .drop(f"_mean{i}"))
+            upd[f"_f{i}"] = F.when(hit, F.col(f"_mean{i}")).otherwise(F.col(f"_f{i}"))
+            upd[f"_s{i}"] = F.when(hit, F.col(f"_s{i}") + F.col(f"_m{i}") * F.col(f"_mean{i}")).otherwise(F.col(f"_s{i}"))
+            upd[f"_k{i}"] = F.when(hit, F.col(f"_k{i}") + F.col(f"_m{i}")).otherwise(F.col(f"_k{i}"))
+            upd[f"_m{i}"] = F.when(hit, F.lit(0)).otherwise(F.col(f"_m{i}")).cast("long")
         for j in range(len(text_cols)):
             hit = (F.col(f"_tm{j}") > 0) & F.col(f"_mode{j}").isNotNull()
-            nxt = (nxt.withColumn(f"_tf{j}", F.when(hit, F.col(f"_mode{j}")).otherwise(F.col(f"_tf{j}")))
-                   .withColumn(f"_tn{j}", F.when(hit, F.col(f"_tm{j}")).otherwise(F.col(f"_tn{j}")))
-                   .withColumn(f"_tm{j}", F.when(hit, F.lit(0)).otherwise(F.col(f"_tm{j}")))
-                   .drop(f"_mode{j}"))
+            upd[f"_tf{j}"] = F.when(hit, F.col(f"_mode{j}")).otherwise(F.col(f"_tf{j}"))
+            upd[f"_tn{j}"] = F.when(hit, F.col(f"_tm{j}")).otherwise(F.col(f"_tn{j}")).cast("long")
+            upd[f"_tm{j}"] = F.when(hit, F.lit(0)).otherwise(F.col(f"_tm{j}")).cast("long")
+        nxt = nxt.select(*[upd[c].alias(c) if c in upd else F.col(c) for c in st.columns])
         st = cut_lineage(nxt, "hfill_state")
     # global fallback: fitted scalars after every level's fills
     glob = {}

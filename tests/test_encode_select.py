@@ -81,3 +81,24 @@ def test_cramers_table_equals_pairwise(spark):
     got = {(r.c1, r.c2): r.v for r in select.cramers_table(df, pairs, digits=12).collect()}
     for x, y in pairs:
         assert math.isclose(got[(x, y)], select.cramers_v(df, x, y), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_target_means_oof_excludes_own_fold(spark):
+    rows = [(1, "a", 10.0, 0), (2, "a", 20.0, 1), (3, "a", 30.0, 1), (4, "b", 5.0, 0), (5, "c", 7.0, 2)]
+    df = spark.createDataFrame(rows, "row_id long, c string, y double, fold int")
+    got = {r.row_id: r.te for r in encode.target_means_oof(df, "c", "y", "fold", out="te").collect()}
+    assert got[1] == 25.0 and got[2] == 10.0 and got[3] == 10.0
+    # 'b' only in fold 0 -> out-of-fold global mean of folds 1, 2
+    assert got[4] == (20.0 + 30.0 + 7.0) / 3
+    assert got[5] == (10.0 + 20.0 + 30.0 + 5.0) / 4
+
+
+def test_rename_on_clash_and_dedup_report(spark):
+    from tessera.operators import combine, schema
+    df = spark.createDataFrame([(1, 2)], "a int, b int").toDF("a", "a")
+    out, mapping = schema.rename_on_clash(df)
+    assert out.columns == ["feature_0", "feature_1"] and mapping == {"feature_0": "a", "feature_1": "a"}
+    d = spark.createDataFrame([(1,), (1,), (2,)], "x int")
+    kept, rep = combine.drop_duplicates_report(d)
+    r = rep.first()
+    assert kept.count() == 2 and (r.rows_before, r.rows_after, r.removed) == (3, 2, 1)

@@ -100,3 +100,11 @@ def test_dbscan_and_kdist_with_hot_duplicate_coordinates(spark):
     xy = pdf[["x", "y"]].to_numpy()
     d = np.sqrt(((xy[:, None, :] - xy[None, :, :]) ** 2).sum(-1))
     assert np.allclose(kd.loc[pdf.point_id].to_numpy(), np.sort(d, axis=1)[:, 4])
+
+
+def test_assign_to_centres_ties_to_lower_index(spark):
+    pdf = pd.DataFrame({"point_id": [1, 2, 3], "x": [0.0, 1.0, 0.5], "y": [0.0, 0.0, 0.0]})
+    got = cluster.assign_to_centres(spark.createDataFrame(pdf), [(0.0, 0.0), (1.0, 0.0)], ["x", "y"]) \
+                 .toPandas().set_index("point_id")
+    assert list(got.loc[[1, 2, 3], "cluster"]) == [0, 1, 0]   # point 3 is equidistant -> lower index
+    assert list(got.loc[[1, 2, 3], "cluster_count"]) == [2, 1, 2]
