@@ -51,15 +51,20 @@ def _cells(radius_km: float, max_abs_lat: float) -> tuple[float, float]:
     return cl, cn
 
 
+def stack_pois(pois: DataFrame, poi_id: str = "poi_id") -> DataFrame:
+    """Stations stacked at one coordinate become one candidate with a weight
+    ``_w`` (a hot coordinate never multiplies the pair join)."""
+    return pois.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()) \
+               .groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("_w"), F.min(poi_id).alias("_poi"))
+
+
 def candidate_pairs(locs: DataFrame, pois: DataFrame, radius_km: float, max_abs_lat: float,
                     loc_id: str = "loc_id", poi_id: str = "poi_id") -> DataFrame:
     """(loc_id, poi_id, km) for every pair within ``radius_km`` via a grid equi-join."""
     cl, cn = _cells(radius_km, max_abs_lat)
     p = locs.select(loc_id, "lat", "lon", F.floor(F.col("lon") / cn).alias("cx"), F.floor(F.col("lat") / cl).alias("cy"))
     offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    # stations stacked at one coordinate become one candidate with a weight
-    stacked = pois.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()) \
-                  .groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("_w"), F.min(poi_id).alias("_poi"))
+    stacked = pois if "_w" in pois.columns else stack_pois(pois, poi_id)
     q = (stacked.select("_poi", "_w", F.col("lat").alias("plat"), F.col("lon").alias("plon"),
                         F.floor(F.col("lon") / cn).alias("qx"), F.floor(F.col("lat") / cl).alias("qy"))
          .select("*", F.explode(offs).alias("o"))
@@ -145,6 +150,7 @@ def transport_features(df: DataFrame, pois: DataFrame, prefix: str, zones=ZONES,
     yields the zone counts and, for every location with a POI within r0, its
     exact nearest distance; only the rest go to the growing-ring search."""
     locs = cut_lineage(locations(df, lon, lat))
+    pois = cut_lineage(stack_pois(pois))
     pe, le = extent(pois), extent(locs)
     names = [n for n, _ in zones]
     if not pe["n"] or not le["n"]:
