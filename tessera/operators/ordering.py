@@ -88,10 +88,8 @@ def with_position(df: DataFrame, key: str, pos_col: str = "pos", rows_per_bucket
     """Dense 0-based position of each row in ascending ``key`` order (key unique)."""
     spark = df.sparkSession
     n = df.select(key).count()
-    if n <= rows_per_bucket:
-        # checked size: at most rows_per_bucket rows are ordered in one task
-        w = Window.partitionBy(F.lit(0)).orderBy(key)
-        return df.withColumn(pos_col, (F.row_number().over(w) - 1).cast("long"))
+    if n <= 1:  # nothing to order
+        return df.withColumn(pos_col, F.lit(0).cast("long"))
     bdf, _ = range_buckets(df, key, rows_per_bucket, n=n)
     counts = sorted((r[0], r[1]) for r in bdf.groupBy("_bucket").count().collect())
     offs, acc = [], 0
