@@ -87,18 +87,27 @@ def bootstrap(df: DataFrame, fraction: float = 0.02, seed: int = 42) -> DataFram
 
 
 def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """SET-4: rows only in ``a`` / only in ``b`` (bag semantics), as counts."""
-    tag = F.lit(1).alias("_one")
-    only_a = a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_left")).select("*", tag)
-    only_b = b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_right")).select("*", tag)
-    return only_a.join(only_b, "_one").drop("_one")  # two one-row aggregates
+    """SET-4: rows only in ``a`` / only in ``b`` (bag semantics), as counts.
+
+    One plan: each distinct row gets its multiplicity on both sides (a full
+    outer join of two grouped counts, null-safe on every column), then the
+    surplus on each side is summed."""
+    cols = a.columns
+    ca = a.groupBy(*cols).agg(F.count(F.lit(1)).alias("_na"))
+    cb = b.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_nb"))
+    cb = cb.select(*[F.col(c).alias(f"_b_{c}") for c in cols], "_nb")
+    j = ca.join(cb, [ca[c].eqNullSafe(cb[f"_b_{c}"]) for c in cols], "full")
+    na, nb = F.coalesce(F.col("_na"), F.lit(0)), F.coalesce(F.col("_nb"), F.lit(0))
+    return j.agg(F.sum(F.greatest(na - nb, F.lit(0))).cast("bigint").alias("only_left"),
+                 F.sum(F.greatest(nb - na, F.lit(0))).cast("bigint").alias("only_right"))
 
 
 def drop_duplicates_report(df: DataFrame, subset=None) -> tuple[DataFrame, DataFrame]:
-    """FIL-4: duplicate rows dropped, plus a one-row report of rows removed."""
-    out = df.dropDuplicates(subset) if subset else df.dropDuplicates()
-    before = df.agg(F.count(F.lit(1)).alias("rows_before"))
-    after = out.agg(F.count(F.lit(1)).alias("rows_after"))
-    rep = before.withColumn("_one", F.lit(1)).join(after.withColumn("_one", F.lit(1)), "_one").drop("_one") \
-                .withColumn("removed", F.col("rows_before") - F.col("rows_after"))
+    """FIL-4: duplicate rows dropped, plus a one-row report of rows removed
+    (from one grouped count: rows = sum of counts, kept = number of groups)."""
+    keys = list(subset or df.columns)
+    out = df.dropDuplicates(keys)
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rep = g.agg(F.sum("_n").cast("bigint").alias("rows_before"), F.count(F.lit(1)).alias("rows_after")) \
+           .withColumn("removed", F.col("rows_before") - F.col("rows_after"))
     return out, rep

@@ -203,8 +203,10 @@ def q_table_diff(spark, sf):
     t = views.trades(spark, sf).select("row_id", *GROUPS, "area")
     ia = nulls.interpolate(t.select("row_id", "area"), ["area"], "row_id").select("row_id", F.round("area", 6).alias("area"))
     ha = nulls.hierarchical_fill(t, ["area"], [], GROUPS).select("row_id", F.round("area", 6).alias("area"))
-    counts = table_diff(ia, ha)
+    counts = table_diff(ia, ha).first()
     d = ia.alias("a").join(ha.alias("b"), "row_id").select((F.col("a.area") - F.col("b.area")).alias("diff"))
     desc = d.agg(F.count("diff").alias("n"), F.round(F.avg("diff"), 4).alias("mean_diff"),
                  F.round(F.min("diff"), 4).alias("min_diff"), F.round(F.max("diff"), 4).alias("max_diff"))
-    return counts.withColumn("_one", F.lit(1)).join(desc.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    # the two bag-difference counts are fitted scalars of the report row
+    return desc.select(F.lit(counts["only_left"]).cast("bigint").alias("only_left"),
+                       F.lit(counts["only_right"]).cast("bigint").alias("only_right"), "*")

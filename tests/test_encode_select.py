@@ -102,3 +102,11 @@ def test_rename_on_clash_and_dedup_report(spark):
     kept, rep = combine.drop_duplicates_report(d)
     r = rep.first()
     assert kept.count() == 2 and (r.rows_before, r.rows_after, r.removed) == (3, 2, 1)
+
+
+def test_table_diff_bag_semantics(spark):
+    from tessera.operators.combine import table_diff
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "z")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (2, None), (4, "w")], "k int, v string")
+    r = table_diff(a, b).first()
+    assert (r.only_left, r.only_right) == (a.exceptAll(b).count(), b.exceptAll(a).count()) == (2, 2)
