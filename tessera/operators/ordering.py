@@ -10,6 +10,7 @@ bucket) carries offsets and boundary values between buckets.
 
 from __future__ import annotations
 
+import bisect
 import math
 
 from pyspark.ml.feature import Bucketizer
@@ -31,17 +32,20 @@ def choose_buckets(spark: SparkSession, n: int, rows_per_bucket: int, numeric: b
     return max(1, min(cap, want, max(n, 1)))
 
 
-def _bounds(df: DataFrame, key: str, n: int, buckets: int) -> list:
-    """B-1 increasing cut points from a bounded sample of the key."""
-    if buckets <= 1 or n == 0:
-        return []
+def _sample_keys(df: DataFrame, key: str, n: int, buckets: int) -> tuple[list, bool]:
+    """Sorted bounded sample of the key (at most 40 keys per bucket, capped
+    at 1e6); the flag says whether the sample is the whole input."""
     sample_size = min(1_000_000, 40 * buckets)
-    frac = min(1.0, sample_size / n)
+    frac = min(1.0, sample_size / max(n, 1))
     keys = df.select(key).where(F.col(key).isNotNull())
     if frac < 1.0:
         keys = keys.sample(withReplacement=False, fraction=frac, seed=17)
-    vals = sorted(r[0] for r in keys.collect())
-    if not vals:
+    return sorted(r[0] for r in keys.collect()), frac >= 1.0
+
+
+def _cuts(vals: list, buckets: int) -> list:
+    """B-1 increasing cut points from sorted sample values."""
+    if buckets <= 1 or not vals:
         return []
     cuts = []
     for i in range(1, buckets):
@@ -53,6 +57,14 @@ def _bounds(df: DataFrame, key: str, n: int, buckets: int) -> list:
     return cuts
 
 
+def _bounds(df: DataFrame, key: str, n: int, buckets: int) -> list:
+    """B-1 increasing cut points from a bounded sample of the key."""
+    if buckets <= 1 or n == 0:
+        return []
+    vals, _ = _sample_keys(df, key, n, buckets)
+    return _cuts(vals, buckets)
+
+
 def _case_tree(x: Column, cuts: list, lo: int, hi: int) -> Column:
     """Bucket index = number of cuts <= x, as a balanced CASE tree (log depth)."""
     if lo == hi:
@@ -63,16 +75,18 @@ def _case_tree(x: Column, cuts: list, lo: int, hi: int) -> Column:
 
 def range_buckets(df: DataFrame, key: str, rows_per_bucket: int = 2_000_000,
                   bucket_col: str = "_bucket", n: int | None = None,
-                  min_buckets: int | None = None) -> tuple[DataFrame, int]:
-    """Add a range-bucket id in [0, B) that is monotone in ``key``."""
+                  min_buckets: int | None = None, cuts: list | None = None) -> tuple[DataFrame, int]:
+    """Add a range-bucket id in [0, B) that is monotone in ``key``
+    (bucket = number of cut points <= key)."""
     spark = df.sparkSession
     numeric = isinstance(df.schema[key].dataType, T.NumericType)
-    if n is None:
-        n = df.select(key).count()
-    buckets = choose_buckets(spark, n, rows_per_bucket, numeric)
-    if min_buckets is not None:
-        buckets = max(1, min(buckets, max(min_buckets, math.ceil(n / max(rows_per_bucket, 1)))))
-    cuts = _bounds(df, key, n, buckets)
+    if cuts is None:
+        if n is None:
+            n = df.select(key).count()
+        buckets = choose_buckets(spark, n, rows_per_bucket, numeric)
+        if min_buckets is not None:
+            buckets = max(1, min(buckets, max(min_buckets, math.ceil(n / max(rows_per_bucket, 1)))))
+        cuts = _bounds(df, key, n, buckets)
     if not cuts:
         return df.withColumn(bucket_col, F.lit(0)), 1
     if numeric:
@@ -90,8 +104,19 @@ def with_position(df: DataFrame, key: str, pos_col: str = "pos", rows_per_bucket
     n = df.select(key).count()
     if n <= 1:  # nothing to order
         return df.withColumn(pos_col, F.lit(0).cast("long"))
-    bdf, _ = range_buckets(df, key, rows_per_bucket, n=n)
-    counts = sorted((r[0], r[1]) for r in bdf.groupBy("_bucket").count().collect())
+    numeric = isinstance(df.schema[key].dataType, T.NumericType)
+    buckets = choose_buckets(spark, n, rows_per_bucket, numeric)
+    vals, whole = _sample_keys(df, key, n, buckets)
+    cuts = _cuts(vals, buckets)
+    bdf, nb = range_buckets(df, key, rows_per_bucket, n=n, cuts=cuts)
+    if whole:
+        # the sample is the whole (small) input: bucket sizes follow from it
+        sizes = [0] * nb
+        for v in vals:
+            sizes[bisect.bisect_right(cuts, v)] += 1
+        counts = list(enumerate(sizes))
+    else:
+        counts = sorted((r[0], r[1]) for r in bdf.groupBy("_bucket").count().collect())
     offs, acc = [], 0
     for b, c in counts:
         offs.append((int(b), acc))
