@@ -86,6 +86,31 @@ def bootstrap(df: DataFrame, fraction: float = 0.02, seed: int = 42) -> DataFram
     return df.sample(withReplacement=True, fraction=fraction, seed=seed)
 
 
+def bootstrap_exact(df: DataFrame, n: int, seed: int = 42, max_draws: int = 12) -> DataFrame:
+    """SMP-1 exact-size variant: each row is drawn k times with k ~ Poisson(lam)
+    (inverse CDF on a seeded uniform, lam a little above n / rows), the
+    draws are exploded, and exactly ``n`` are kept by a seeded random order
+    (a top-n, the one place a limit is the feature)."""
+    import math
+    rows = df.count()
+    if rows == 0 or n <= 0:
+        return df.limit(0)
+    lam = n / rows
+    lam = lam + 4 * math.sqrt(lam / rows) + 1.0 / rows  # the total falls short of n with tiny odds
+    u = F.rand(seed)
+    k, cdf, p = F.lit(max_draws), 0.0, math.exp(-lam)
+    thresholds = []
+    for i in range(max_draws):
+        cdf += p
+        thresholds.append((i, cdf))
+        p *= lam / (i + 1)
+    for i, c in reversed(thresholds):
+        k = F.when(u < F.lit(c), F.lit(i)).otherwise(k)
+    drawn = df.withColumn("_k", k).where(F.col("_k") > 0) \
+              .withColumn("_d", F.explode(F.sequence(F.lit(1), F.col("_k")))).drop("_k", "_d")
+    return drawn.orderBy(F.rand(seed + 1)).limit(n)
+
+
 def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """SET-4: rows only in ``a`` / only in ``b`` (bag semantics), as counts.
 

@@ -115,6 +115,15 @@ def power_lambda(df: DataFrame, col: str, method: str = "yeo-johnson",
     return best if best else (1.0, float("nan"))
 
 
+def power_lambda_refined(df: DataFrame, col: str, method: str = "yeo-johnson") -> tuple[float, float]:
+    """SCL-6 with one refine pass: the 0.1-step grid, then a 0.01-step grid
+    around its best value, each in one aggregation."""
+    lam0, llf0 = power_lambda(df, col, method)
+    fine = [round(lam0 + 0.01 * i, 2) for i in range(-9, 10)]
+    lam1, llf1 = power_lambda(df, col, method, grid=fine)
+    return (lam1, llf1) if llf1 >= llf0 else (lam0, llf0)
+
+
 def power_transform(df: DataFrame, col: str, lam: float, method: str = "yeo-johnson",
                     standardize: bool = True, fit_df: DataFrame | None = None, out: str | None = None) -> DataFrame:
     """SCL-6/7 apply: transform with ``lam`` then (optionally) standardise

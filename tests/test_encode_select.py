@@ -2,6 +2,8 @@
 
 import math
 
+from pyspark.sql import functions as F
+
 import numpy as np
 import pandas as pd
 
@@ -110,3 +112,14 @@ def test_table_diff_bag_semantics(spark):
     b = spark.createDataFrame([(1, "x"), (2, None), (2, None), (4, "w")], "k int, v string")
     r = table_diff(a, b).first()
     assert (r.only_left, r.only_right) == (a.exceptAll(b).count(), b.exceptAll(a).count()) == (2, 2)
+
+
+def test_bootstrap_exact_size_and_power_refine(spark):
+    from tessera.operators import combine, scale
+    df = spark.range(0, 5000).withColumnRenamed("id", "k")
+    s = combine.bootstrap_exact(df, 120, seed=3)
+    assert s.count() == 120
+    d = spark.range(1, 3000).select((F.col("id") * F.col("id") / 100.0).alias("x"))
+    lam0, l0 = scale.power_lambda(d, "x")
+    lam1, l1 = scale.power_lambda_refined(d, "x")
+    assert l1 >= l0 and abs(lam1 - lam0) < 0.1 + 1e-9
