@@ -123,3 +123,27 @@ def test_bootstrap_exact_size_and_power_refine(spark):
     lam0, l0 = scale.power_lambda(d, "x")
     lam1, l1 = scale.power_lambda_refined(d, "x")
     assert l1 >= l0 and abs(lam1 - lam0) < 0.1 + 1e-9
+
+
+def test_gram_cv_rmse_equals_numpy_ols(spark):
+    from tessera.functions.scalar import fold_of
+    from tessera.operators import model
+    rng = np.random.default_rng(12)
+    n = 600
+    pdf = pd.DataFrame({"row_id": np.arange(n), "a": rng.normal(size=n), "b": rng.normal(size=n), "c": rng.normal(size=n)})
+    pdf["target"] = 2 * pdf.a + 0.5 * pdf.b + rng.normal(scale=0.3, size=n)
+    df = spark.createDataFrame(pdf)
+    folds = df.select("row_id", fold_of("row_id", 3).alias("f")).toPandas().set_index("row_id")["f"]
+    grams = model.fold_gram(model.add_folds(df, 3), ["a", "b", "c"], "target")
+    got_mean, got_std = model.cv_rmse_subset(grams, [0, 1])
+    scores = []
+    for f in sorted(folds.unique()):
+        tr, va = pdf[folds.loc[pdf.row_id].to_numpy() != f], pdf[folds.loc[pdf.row_id].to_numpy() == f]
+        X = np.column_stack([np.ones(len(tr)), tr.a, tr.b])
+        beta = np.linalg.lstsq(X, tr.target, rcond=None)[0]
+        pred = np.column_stack([np.ones(len(va)), va.a, va.b]) @ beta
+        scores.append(np.sqrt(np.mean((va.target - pred) ** 2)))
+    assert math.isclose(got_mean, float(np.mean(scores)), rel_tol=1e-8)
+    assert math.isclose(got_std, float(np.std(scores)), rel_tol=1e-6, abs_tol=1e-9)
+    rows = model.forward_selection(df, ["a", "b", "c"], "target", 3)
+    assert rows[0][1] == "a" and rows[1][1] == "b"
