@@ -138,6 +138,61 @@ def interpolate(df: DataFrame, cols: Sequence[str], order_col: str = "row_id",
     return y.drop(*drop)
 
 
+def interpolate_by_group(df: DataFrame, cols: Sequence[str], group: str, order_col: str = "row_id",
+                         rows_per_bucket: int = 2_000_000) -> DataFrame:
+    """NUL-3, keyed form: linear interpolation within each group in
+    ``order_col`` order (equal spacing, leading nulls stay, trailing nulls
+    take the last value), safe for a group holding most of the rows.
+
+    Rows are cut into global range buckets of the order key and ordered per
+    (bucket, group), so a hot group is spread over many buckets.  A summary
+    with one row per (bucket, group) carries each group's offsets and the
+    known values just before / after a bucket; those carries are windows over
+    the summary partitioned by group (at most one row per bucket each), with
+    look-ahead done on the reversed order, never a following-unbounded frame.
+    """
+    bdf, _ = range_buckets(df, order_col, rows_per_bucket)
+    part = ["_bucket", group]
+    wa = Window.partitionBy(*part).orderBy(F.col(order_col).asc())
+    wd = Window.partitionBy(*part).orderBy(F.col(order_col).desc())
+    run_a = wa.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run_d = wd.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = bdf.withColumn("_lp", F.row_number().over(wa) - 1)
+    for i, c in enumerate(cols):
+        known = F.when(F.col(c).isNotNull(), F.struct(F.col("_lp").alias("p"), F.col(c).cast("double").alias("v")))
+        x = x.withColumn(f"_pv{i}", F.last(known, ignorenulls=True).over(run_a)) \
+             .withColumn(f"_nx{i}", F.last(known, ignorenulls=True).over(run_d))
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, c in enumerate(cols):
+        kp = F.when(F.col(c).isNotNull(), F.col("_lp"))
+        st = F.struct(F.col("_lp").alias("p"), F.col(c).cast("double").alias("v"))
+        aggs += [F.min_by(st, kp).alias(f"_f{i}"), F.max_by(st, kp).alias(f"_l{i}")]
+    summ = x.groupBy(*part).agg(*aggs)
+    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(group).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    sel = [*part, "_off"]
+    for i in range(len(cols)):
+        gl = F.when(F.col(f"_l{i}").isNotNull(), F.struct((F.col("_off") + F.col(f"_l{i}.p")).alias("p"), F.col(f"_l{i}.v").alias("v")))
+        gf = F.when(F.col(f"_f{i}").isNotNull(), F.struct((F.col("_off") + F.col(f"_f{i}.p")).alias("p"), F.col(f"_f{i}.v").alias("v")))
+        summ = summ.withColumn(f"_gl{i}", gl).withColumn(f"_gf{i}", gf)
+        summ = summ.withColumn(f"_ci{i}", F.last(f"_gl{i}", ignorenulls=True).over(before)) \
+                   .withColumn(f"_co{i}", F.last(f"_gf{i}", ignorenulls=True).over(after))
+        sel += [f"_ci{i}", f"_co{i}"]
+    carry = cut_lineage(summ.select(*sel), "interp_carry")
+    y = x.join(carry, part, "left").withColumn("_pos", F.col("_off") + F.col("_lp"))
+    for i, c in enumerate(cols):
+        pp = F.coalesce(F.col("_off") + F.col(f"_pv{i}.p"), F.col(f"_ci{i}.p"))
+        pv = F.coalesce(F.col(f"_pv{i}.v"), F.col(f"_ci{i}.v"))
+        np_ = F.coalesce(F.col("_off") + F.col(f"_nx{i}.p"), F.col(f"_co{i}.p"))
+        nv = F.coalesce(F.col(f"_nx{i}.v"), F.col(f"_co{i}.v"))
+        y = y.withColumn(c, F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
+                         .when(pv.isNull(), F.lit(None).cast("double"))
+                         .when(nv.isNull(), pv)
+                         .otherwise(pv + (nv - pv) * (F.col("_pos") - pp) / (np_ - pp)))
+    return y.select(*df.columns)
+
+
 # --------------------------------------------------------------------------
 # NUL-4: hierarchical group fill, computed on aggregates.
 # --------------------------------------------------------------------------

@@ -210,3 +210,21 @@ def q_table_diff(spark, sf):
     # the two bag-difference counts are fitted scalars of the report row
     return desc.select(F.lit(counts["only_left"]).cast("bigint").alias("only_left"),
                        F.lit(counts["only_right"]).cast("bigint").alias("only_right"), "*")
+
+
+@query("nul_interpolate_by_group", ("NUL-3", "WIN-2"), with_views("""
+, p AS (SELECT row_id, district, area, row_number() OVER (PARTITION BY district ORDER BY row_id) - 1 AS pos FROM trades),
+k AS (SELECT *,
+  last_value(CASE WHEN area IS NOT NULL THEN pos END IGNORE NULLS) OVER (PARTITION BY district ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pp,
+  last_value(area IGNORE NULLS) OVER (PARTITION BY district ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
+  first_value(CASE WHEN area IS NOT NULL THEN pos END IGNORE NULLS) OVER (PARTITION BY district ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS np,
+  first_value(area IGNORE NULLS) OVER (PARTITION BY district ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv
+  FROM p)
+SELECT row_id, round(CASE WHEN area IS NOT NULL THEN area WHEN pv IS NULL THEN NULL WHEN nv IS NULL THEN pv
+                          ELSE pv + (nv - pv) * (pos - pp) / (np - pp) END, 6) AS area
+FROM k
+""", "trades"))
+def q_interpolate_by_group(spark, sf):
+    t = views.trades(spark, sf).select("row_id", "district", "area")
+    f = nulls.interpolate_by_group(t, ["area"], "district", "row_id")
+    return f.select("row_id", F.round("area", 6).alias("area"))

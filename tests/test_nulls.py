@@ -79,3 +79,17 @@ def test_strategy_median(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,), (10.0,)], "v double")
     got = sorted(r.v for r in nulls.fill_by_strategy(df, ["v"], "median").collect())
     assert got == [1.0, 3.0, 3.0, 10.0]
+
+
+def test_interpolate_by_group_matches_pandas_with_hot_group(spark):
+    rng = np.random.default_rng(21)
+    n = 4000
+    g = np.where(rng.random(n) < 0.7, "hot", rng.choice(["a", "b", "c"], n))   # one group holds most rows
+    v = rng.normal(10, 2, n)
+    v[rng.random(n) < 0.35] = np.nan
+    ids = np.sort(rng.choice(10**8, n, replace=False))
+    pdf = pd.DataFrame({"row_id": ids, "g": g, "v": v})
+    expect = pdf.groupby("g")["v"].transform(lambda s: s.interpolate(method="linear"))
+    got = nulls.interpolate_by_group(spark.createDataFrame(pdf), ["v"], "g", "row_id", rows_per_bucket=200) \
+               .toPandas().set_index("row_id").loc[ids, "v"]
+    assert np.allclose(got.to_numpy(), expect.to_numpy(), equal_nan=True, rtol=1e-12, atol=1e-9)
