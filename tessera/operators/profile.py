@@ -14,7 +14,6 @@ Results are long tables ``(column, metric, value)``, never driver dicts.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -46,13 +45,6 @@ def top_k_per_group(df: DataFrame, group: str, order: list, k: int, salt_buckets
     return cand.drop("_salt", "_r").withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
 
 
-def mode_per_column(counts: DataFrame) -> DataFrame:
-    """(column, mode, mode_count) from a value-count table; ties -> smallest."""
-    return counts.groupBy("column").agg(
-        F.min_by(F.struct("value", "count"), F.struct((-F.col("count")).alias("a"), F.col("value").alias("b"))).alias("m")
-    ).select("column", F.col("m.value").alias("mode"), F.col("m.count").alias("mode_count"))
-
-
 def _long(rows: list[tuple], spark) -> DataFrame:
     schema = T.StructType([T.StructField("column", T.StringType()), T.StructField("metric", T.StringType()),
                            T.StructField("value", T.DoubleType()), T.StructField("text", T.StringType())])
@@ -299,8 +291,3 @@ def feature_groups(df: DataFrame, high_missing: float = 0.5, continuous_ratio: f
          .when(F.col("n_unique") > high_card, "high_cardinality_cat")
          .otherwise("low_cardinality_cat"))
     return j.select("column", g.alias("group"))
-
-
-def entropy_nats(counts: list[int]) -> float:
-    t = sum(counts)
-    return -sum((c / t) * math.log(c / t) for c in counts if c)

@@ -127,17 +127,6 @@ def cramers_v(df: DataFrame, a: str, b: str, corrected: bool = True) -> float:
     return 0.0 if den <= 0 else math.sqrt(phi2c / den)
 
 
-def cramers_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.7, corrected: bool = True,
-                  digits: int = 6) -> DataFrame:
-    """SEL-5/6: all pairs; the second column of a pair above threshold is flagged."""
-    rows = []
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            v = cramers_v(df, a, b, corrected)
-            rows.append((a, b, round(v, digits), v > threshold))
-    return df.sparkSession.createDataFrame(rows, "c1 string, c2 string, v double, drop_c2 boolean")
-
-
 def f_regression(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """SEL-7: F = r^2 / (1 - r^2) * (n - 2) per column (complete pairs)."""
     aggs = []

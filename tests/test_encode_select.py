@@ -2,6 +2,8 @@
 
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 import numpy as np
@@ -147,3 +149,22 @@ def test_gram_cv_rmse_equals_numpy_ols(spark):
     assert math.isclose(got_std, float(np.std(scores)), rel_tol=1e-6, abs_tol=1e-9)
     rows = model.forward_selection(df, ["a", "b", "c"], "target", 3)
     assert rows[0][1] == "a" and rows[1][1] == "b"
+
+
+def test_schema_split_types_blank_and_prediction_sink(spark):
+    import os
+    import tempfile
+    from tessera.operators import nulls, schema
+    from tessera.sources import files
+    df = spark.createDataFrame([(1, "a", 2.5, 10.0, 0)], "row_id long, s string, x double, target double, is_test int")
+    feats, y = schema.xy_split(df)
+    assert feats.columns == ["row_id", "s", "x"] and y.columns == ["row_id", "target"]
+    assert schema.numeric_categorical(df, exclude=["row_id"]) == (["x", "target", "is_test"], ["s"])
+    b = nulls.blank_columns(df, ["x"])
+    assert b.schema["x"].dataType == df.schema["x"].dataType and b.first().x is None
+    base = tempfile.mkdtemp(prefix="tessera-pred-", dir="/tmp")
+    path = files.write_predictions(df.withColumn("target", F.lit(12.9)), base, "r1")
+    assert os.path.basename(path) == "run=r1"
+    assert spark.read.parquet(path).first().target == 12   # truncated as astype(int)
+    with pytest.raises(Exception):
+        files.write_predictions(df, base, "r1")             # an existing run folder is an error
