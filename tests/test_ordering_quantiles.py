@@ -53,3 +53,12 @@ def test_values_at_ranks_narrowing_rounds(spark):
     got = values_at_ranks(df, [("x", r) for r in ranks], small=100, accuracy=100)
     for r in ranks:
         assert got[("x", r)] == vals[r]
+
+
+def test_quantiles_edge_cases(spark):
+    df = spark.createDataFrame([(None, 5, 1), (None, 5, 2), (None, 5, 3), (None, 5, 4)], "a double, b int, c int")
+    q = quantiles(df, ["a", "b", "c"], [0.0, 0.5, 0.9])
+    assert q[("a", 0.5)] is None
+    assert q[("b", 0.0)] == q[("b", 0.9)] == 5.0
+    assert q[("c", 0.5)] == pytest.approx(pd.Series([1, 2, 3, 4]).quantile(0.5))
+    assert q[("c", 0.9)] == pytest.approx(pd.Series([1, 2, 3, 4]).quantile(0.9))
