@@ -6,9 +6,12 @@ the same."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from . import decontam, langid, toxicity
 from .jaccard import jaccard_components
+from .sampling import held_out
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -19,6 +22,29 @@ def query(fn):
     return fn
 
 
+@query
+def op2_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = held_out("doc_id", 3, 1)
+    machine = toxicity.fit(docs, labels.where(~out))
+    got = toxicity.score(docs, machine, carry=["doc_id"]).select("row.doc_id", "score")
+    return got.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return got.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query
+def op9_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 5, 0)
+    model = langid.fit(docs.where(~out))
+    got = langid.predict(docs, model, carry=["doc_id"]).select("row.doc_id", "lang_pred", "score", "ambiguous")
+    return got.select("doc_id", out.alias("held_out"), "lang_pred", "score", "ambiguous")

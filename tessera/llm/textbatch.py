@@ -73,12 +73,15 @@ _POWERS = _Powers()
 
 @dataclass
 class Run:
-    """Consecutive rows of a batch: ``first[i]:first[i+1]`` are row i's words."""
+    """Consecutive rows of a batch: ``first[i]:first[i+1]`` are row i's words.
+    ``stem`` has, for each wanted stem length, a hash of the first bytes of
+    each word (0: the word is no longer than that)."""
 
     row0: int
     rows: int
     first: np.ndarray
     word: np.ndarray
+    stem: np.ndarray
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -121,17 +124,22 @@ def word_spans(data: np.ndarray, lo: int, hi: int, bounds: np.ndarray, in_word:
     return np.flatnonzero(start) + lo, np.flatnonzero(end) + lo + 1
 
 
-def _hash_piece(data, lo, hi, bounds, in_word):
+def _hash_piece(data, lo, hi, bounds, in_word, stems):
     s, e = word_spans(data, lo, hi, bounds, in_word)
     up, down = _POWERS.get(hi - lo + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(hi - lo + 1, _U)
         np.cumsum(BYTE_HASH[data[lo:hi]] * up[:hi - lo], out=total[1:])
-        h = (total[e - lo] - total[s - lo]) * down[s - lo]
-    return s, mix(h)
+        h = mix((total[e - lo] - total[s - lo]) * down[s - lo])
+        cut = np.zeros((len(stems), len(s)), _U)
+        for i, n in enumerate(stems):
+            long = np.flatnonzero(e - s > n)
+            at = s[long] - lo
+            cut[i, long] = mix((total[at + n] - total[at]) * down[at] + _U(n))
+    return s, h, cut
 
 
-def runs(column: pa.Array, in_word: np.ndarray, run_bytes: int = RUN_BYTES) -> Iterator[Run]:
+def runs(column: pa.Array, in_word: np.ndarray, run_bytes: int = RUN_BYTES, stems: tuple[int, ...] = ()) -> Iterator[Run]:
     """Runs of rows with the hashes of their words."""
     data, off = text_bytes(column)
     n, row = len(off) - 1, 0
@@ -139,25 +147,51 @@ def runs(column: pa.Array, in_word: np.ndarray, run_bytes: int = RUN_BYTES) -> I
         last = int(np.searchsorted(off, off[row] + run_bytes, side="right")) - 1
         last = min(max(last, row + 1), n)
         own = off[row:last + 1]
-        starts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, _U)]
+        starts, hashes, cuts = [np.zeros(0, np.int64)], [np.zeros(0, _U)], [np.zeros((len(stems), 0), _U)]
         for lo, hi in _pieces(data, int(own[0]), int(own[-1]), in_word):
-            s, h = _hash_piece(data, lo, hi, own, in_word)
+            s, h, cut = _hash_piece(data, lo, hi, own, in_word, stems)
             starts.append(s)
             hashes.append(h)
+            cuts.append(cut)
         first = np.searchsorted(np.concatenate(starts), own)
-        yield Run(row, last - row, first, np.concatenate(hashes))
+        yield Run(row, last - row, first, np.concatenate(hashes), np.concatenate(cuts, axis=1))
         row = last
 
 
+class Lookup:
+    """Sorted distinct hashes behind a small bitmap, which most others fail."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.unique(hashes)
+        self.bits = max(16, int(32 * max(len(self.hashes), 1)).bit_length())
+        self.bitmap = np.zeros(1 << self.bits, bool)
+        self.bitmap[(self.hashes >> _U(64 - self.bits)).astype(np.int64)] = True
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions in ``h``, indices of the hash found there)."""
+        at = np.flatnonzero(self.bitmap[(h >> _U(64 - self.bits)).astype(np.int64)])
+        if not len(at) or not len(self.hashes):
+            return at[:0], at[:0]
+        i = np.searchsorted(self.hashes, h[at])
+        i[i == len(self.hashes)] = 0
+        ok = self.hashes[i] == h[at]
+        return at[ok], i[ok]
+
+
 def shingles(word: np.ndarray, k: int) -> np.ndarray:
     """Hash of each ``k`` consecutive words (``len(word) - k + 1`` of them)."""
     n = len(word) - k + 1
     if n <= 0:
         return np.zeros(0, _U)
+    return shingle_of([word[j:j + n] for j in range(k)])
+
+
+def shingle_of(words: list[np.ndarray]) -> np.ndarray:
+    """Hash of the shingles whose j-th words are ``words[j]``."""
     with np.errstate(over="ignore"):
-        acc = np.full(n, _U(k), _U)
-        for j in range(k):
-            acc = acc * _SHINGLE_BASE + word[j:j + n]
+        acc = np.full(len(words[0]), _U(len(words)), _U)
+        for w in words:
+            acc = acc * _SHINGLE_BASE + w
         return mix(acc)
 
 
