@@ -5,11 +5,14 @@ the same."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import decontam, langid, toxicity
+from . import ann, chat, decontam, langid, toxicity
+from . import token_count as tokens
 from .jaccard import jaccard_components
 from .sampling import held_out
 
@@ -31,6 +34,11 @@ def op2_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query
+def op3_block_matrix_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
@@ -42,9 +50,40 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def conversation_events(rows: DataFrame) -> DataFrame:
+    """The log of a table of turns: each row opens a message at its turn and
+    streams its text as one delta; equal rows are messages of their own."""
+    nth = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
+    message = rows.select("conv_id", "role", "text", F.struct("turn", nth.alias("nth")).alias("msg"))
+    opened = message.select("conv_id", "msg", F.struct(F.col("msg.turn"), F.lit(0).alias("step")).alias("seq"),
+                            F.lit("open").alias("op"), "role", F.lit("").alias("text"))
+    delta = message.select("conv_id", "msg", F.struct(F.col("msg.turn"), F.lit(1).alias("step")).alias("seq"),
+                           F.lit("delta").alias("op"), F.lit(None).cast("string").alias("role"), "text")
+    return opened.union(delta)
+
+
+@query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"),
+                                                               F.lit(role).alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+                                                      for turn, role in enumerate(("user", "assistant"))])).alias("r")).select("r.*")
+    messages = chat.fold_events(conversation_events(rows.union(probe)))
+    return chat.digests(chat.format_conversations(messages))
+
+
 @query
 def op9_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 5, 0)
     model = langid.fit(docs.where(~out))
     got = langid.predict(docs, model, carry=["doc_id"]).select("row.doc_id", "lang_pred", "score", "ambiguous")
     return got.select("doc_id", out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokens.Vocabulary.read(os.environ.get("TESSERA_UNIGRAM_MODEL", TOKENIZER))
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary, carry=["doc_id"]).select("row.doc_id", "n_tokens")
