@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, chat, decontam, langid, toxicity
+from . import ann, chat, decontam, html_extract, langid, license_scan, mixing, toxicity
 from . import token_count as tokens
 from .jaccard import jaccard_components
 from .sampling import held_out
@@ -25,6 +25,17 @@ def query(fn):
     return fn
 
 
+#: Mixing: targets are the sources' sizes in characters to this power; a block has so many characters.
+TEMPER, BLOCK = 0.5, 65_536
+
+
+@query
+def op1_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.char_length("text").alias("chars"))
+    got = mixing.mix(docs, "source", TEMPER, BLOCK, F.col("chars"))
+    return got.select("row.doc_id", "row.source", "row.chars", "phase", "block", "slot", "at")
+
+
 @query
 def op2_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -39,6 +50,21 @@ def op3_block_matrix_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+@query
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    got = html_extract.main_text(pages, html_extract.learn_weights(pages), carry=["page_id", "url"])
+    return got.select("row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_matches(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op5_license_scan"] = license_scan.oracle()
+
+
 @query
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
