@@ -1,16 +1,15 @@
 """Main text of HTML pages by the maximum-scoring subsequence.
 
-Method.  A page is a sequence of words and tags.  A word scores +1, or -1 inside
-an element that is furniture (menus, headers, footers, sidebars, notices,
-adverts, forms, comments: by element name or by class, id and role); a tag has a
-negative score of its kind.  One scan finds the contiguous run of greatest sum,
-the content region.  Its text, without furniture, scripts, styles, comments and
-tags, comes out in blocks.
+Method.  A page is a sequence of words and tags.  A word scores +1, a tag has a
+negative score of its kind.  An element that is furniture (menus, headers,
+footers, sidebars, notices, adverts, forms, comments: by element name or by class,
+id and role) scores -0.5 as a whole.  One scan finds the contiguous run of
+greatest sum, the content region.  Its text, without furniture, scripts, styles,
+comments and tags, comes out in blocks.
 
 Weights.  The scores of tags come from labelled pages: those with exactly one
 ``article`` element, whose inside is the label.  A kind of tag (name, opening or
-closing, furniture or not) scores three times the log odds of being inside, at
-most -0.05.  Kinds that were not seen have a default.  They are counted on a
+closing) scores three times the log odds of being inside, at most -0.05.  Kinds that were not seen have a default.  They are counted on a
 bounded sample (at most about ``pages`` labelled pages, by hash of the html).
 
 Text.  Character references are decoded, white space inside a block becomes one
@@ -56,7 +55,7 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]{0,5000}"|'[^']{0,5000}'|[
 _HINTED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=$|[\s=/])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _PARTS = re.compile(r"[a-z]+|\d+")
-UNSEEN, UNSEEN_INLINE = -4.0, -0.05
+UNSEEN, UNSEEN_INLINE, SKIPPED = -4.0, -0.05, -0.5
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -101,7 +100,7 @@ def is_furniture(name: str, attrs: str, within: bool) -> bool:
 
 def items(page: str) -> Iterator[tuple[str, str, bool]]:
     """(kind, text, furniture): words have the kind 'text', tags their name, with
-    a slash if closing and a plus if they are furniture or inside it."""
+    a slash if closing and a plus if they open furniture."""
     stack: list[tuple[str, bool]] = []  # open elements, and whether each starts furniture
     dark = articles = 0
     for what, name, attrs in tokens(page):
@@ -109,7 +108,7 @@ def items(page: str) -> Iterator[tuple[str, str, bool]]:
             yield "text", name, dark > 0
         elif what == "open":
             own = name not in VOID and is_furniture(name, attrs, articles > 0)
-            yield name + "+" * (own or dark > 0), "", dark > 0 or own
+            yield name + "+" * own, "", dark > 0 or own
             if name in VOID or attrs.endswith("/") or (name not in BLOCKS and not own):
                 continue
             if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == name:
@@ -125,20 +124,21 @@ def items(page: str) -> Iterator[tuple[str, str, bool]]:
                     dark -= was
                     articles -= left == "article"
                 del stack[at:]
-            yield "/" + name + "+" * own, "", own
+            yield "/" + name, "", own
 
 
 def region(seq: list[tuple[str, str, bool]], weights: dict[str, float]) -> tuple[int, int]:
     """Start and end of the items of greatest sum (0, 0 if none is positive)."""
     best, span, total, start = 0.0, (0, 0), 0.0, 0
     for i, (kind, text, dark) in enumerate(seq):
-        if kind == "text":
-            n = len(text.split())
-            score = -n if dark else n
+        if dark:
+            score = SKIPPED if kind[-1] == "+" else 0.0
+        elif kind == "text":
+            score = len(text.split())
         else:
             score = weights.get(kind)
             if score is None:
-                score = UNSEEN if kind.strip("/+") in BLOCKS or "+" in kind else UNSEEN_INLINE
+                score = UNSEEN if kind.strip("/") in BLOCKS else UNSEEN_INLINE
         if total <= 0:
             total, start = 0.0, i
         total += score
@@ -175,8 +175,8 @@ def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if names.count("article") != 1 or names.count("/article") != 1:
                 continue
             lo, hi = names.index("article"), names.index("/article")
-            for i, (kind, _, _) in enumerate(seq):
-                if kind != "text":
+            for i, (kind, _, dark) in enumerate(seq):
+                if kind != "text" and not dark:
                     (inside if lo < i < hi else outside)[kind] += 1
     every = sorted(inside.keys() | outside.keys())
     yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), pa.array([inside[k] for k in every], pa.int64()),
