@@ -37,17 +37,15 @@ def _in(c, lo, hi):
 
 
 def values_at_ranks(df: DataFrame, targets: Sequence[tuple[str, int]], small: int = 200_000,
-                    accuracy: int = 10_000, max_rounds: int = 12) -> dict[tuple[str, int], float]:
+                    accuracy: int = 10_000) -> dict[tuple[str, int], float]:
     """Exact value at 0-based rank ``r`` among non-null, ascending values of ``c``."""
     targets = list(dict.fromkeys(targets))
     state = {t: [None, None] for t in targets}  # bracket [lo, hi], inclusive
     result: dict[tuple[str, int], float] = {}
     cols = sorted({c for c, _ in targets})
     src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    for _ in range(max_rounds):
-        pending = [t for t in targets if t not in result]
-        if not pending:
-            break
+    while pending := [t for t in targets if t not in result]:
+        before = {t: list(state[t]) for t in pending}
         aggs = []
         for i, (c, r) in enumerate(pending):
             lo, hi = state[(c, r)]
@@ -84,20 +82,15 @@ def values_at_ranks(df: DataFrame, targets: Sequence[tuple[str, int]], small: in
                 new_lo = lo if q - 3.0 / accuracy <= 0 else plo
                 new_hi = hi if q + 3.0 / accuracy >= 1 else phi
                 state[t] = [new_lo, new_hi]
-    missing = [t for t in targets if t not in result]
-    if missing:
-        result.update(_exact_stage(src, [(t, None, None) for t in missing], state, recount=True))
+        if all(state[t] == before[t] and t not in result for t in pending):
+            raise RuntimeError(f"no bracket of {pending} gets smaller; raise accuracy or small")
     return result
 
 
-def _exact_stage(src: DataFrame, items, state, recount: bool = False):
+def _exact_stage(src: DataFrame, items, state):
     """Exact pick inside small brackets: (value, count) pairs + running count.
 
     Targets sharing a column and bracket share one scan group."""
-    if recount:
-        below = src.agg(*[(F.count_if(F.col(t[0]) < F.lit(state[t][0])) if state[t][0] is not None
-                           else F.lit(0)).alias(f"b{i}") for i, (t, _, _) in enumerate(items)]).first()
-        items = [(t, below[f"b{i}"], None) for i, (t, _, _) in enumerate(items)]
     groups: dict[tuple, int] = {}
     for t, _, _ in items:
         groups.setdefault((t[0], *state[t]), len(groups))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -57,24 +59,32 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a))
 
 
-def hash_unit(row_id: str | Column) -> Column:
+def hash_multiplier(seed: int = 0) -> int:
+    """Odd 32-bit multiplier of a seed; another seed deals rows out anew."""
+    if seed == 0:
+        return 2654435761
+    return int.from_bytes(hashlib.sha256(str(seed).encode()).digest()[:4], "big") | 1
+
+
+def hash_unit(row_id: str | Column, seed: int = 0) -> Column:
     """Stable pseudo-random integer in [0, 2^32) from an integer key.
 
     Multiplicative hashing with plain BIGINT arithmetic, identical in any SQL
-    engine, and free of overflow for any non-negative 64-bit key.
+    engine, and free of overflow for any 64-bit key, negative ones too.
     """
-    return ((col_(row_id) % 2147483648) * 2654435761) % 4294967296
+    low = F.pmod(col_(row_id).cast("bigint"), F.lit(2147483648).cast("bigint"))
+    return (low * hash_multiplier(seed)) % 4294967296
 
 
 def fold_of(row_id: str | Column, k: int, seed: int = 0) -> Column:
     """Fold number in [0, k) from the row key (SPL-2)."""
-    return ((hash_unit(row_id) + seed) % 4294967296) % k
+    return hash_unit(row_id, seed) % k
 
 
 def is_holdout(row_id: str | Column, test_ratio: float = 0.2, seed: int = 0) -> Column:
     """Hold-out membership by hashed key (SPL-1): stable under repartitioning."""
     cut = int(round(test_ratio * 1000))
-    return ((hash_unit(row_id) + seed) % 4294967296) % 1000 < cut
+    return hash_unit(row_id, seed) % 1000 < cut
 
 
 def nan_to_null(c: str | Column) -> Column:

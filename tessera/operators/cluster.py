@@ -23,43 +23,6 @@ def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return affine(df, standard_params(df, list(cols)))
 
 
-def eps_pairs(pts: DataFrame, eps: float, id_col: str = "point_id", x: str = "x", y: str = "y") -> DataFrame:
-    """(a, b, d) for every ordered pair with Euclidean distance <= eps, self included."""
-    a = pts.select(F.col(id_col).alias("a"), F.col(x).alias("ax"), F.col(y).alias("ay"),
-                   F.floor(F.col(x) / eps).alias("cx"), F.floor(F.col(y) / eps).alias("cy"))
-    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    b = (pts.select(F.col(id_col).alias("b"), F.col(x).alias("bx"), F.col(y).alias("by"),
-                    F.floor(F.col(x) / eps).alias("qx"), F.floor(F.col(y) / eps).alias("qy"))
-         .select("*", F.explode(offs).alias("o"))
-         .select("b", "bx", "by", (F.col("qx") + F.col("o.dx")).alias("cx"), (F.col("qy") + F.col("o.dy")).alias("cy")))
-    d2 = (F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("ay") - F.col("by")) * (F.col("ay") - F.col("by"))
-    return a.join(b, ["cx", "cy"]).where(d2 <= F.lit(eps * eps)).select("a", "b", F.sqrt(d2).alias("d"))
-
-
-def connected_min_label(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """(id, label) with label = smallest id in the node's component.
-
-    ``edges`` (a, b) must be symmetric.  Each round takes the minimum label
-    over neighbours, then jumps once through the label table (a label is a
-    node of the same component, so its own label is also valid); the jump
-    roughly halves the remaining distance, so rounds grow with the log of the
-    component diameter.  Stops when no label changes."""
-    lab = cut_lineage(nodes.select(F.col("id"), F.col("id").alias("label")))
-    for _ in range(max_rounds):
-        nb = edges.join(lab.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("label").alias("nl"))
-        step = lab.join(nb.withColumnRenamed("a", "id"), "id", "left") \
-                  .select("id", F.least("label", F.coalesce("nl", "label")).alias("label"), F.col("label").alias("old"))
-        hop = step.select(F.col("id").alias("label"), F.col("label").alias("hl"))
-        new = step.join(hop, "label", "left") \
-                  .select("id", F.least("label", F.coalesce("hl", "label")).alias("label"), "old")
-        new = cut_lineage(new.withColumn("ch", F.col("label") < F.col("old")).drop("old"))
-        changed = new.where("ch").limit(1).count()
-        lab = new.select("id", "label")
-        if not changed:
-            break
-    return lab
-
-
 def dbscan(pts: DataFrame, eps: float = 0.5, min_samples: int = 5, id_col: str = "point_id",
            x: str = "x", y: str = "y") -> DataFrame:
     """CLU-2: (point_id, label, cluster_size); noise is -1.
@@ -124,14 +87,14 @@ def dbscan(pts: DataFrame, eps: float = 0.5, min_samples: int = 5, id_col: str =
     return out.join(size, "label").select(id_col, "label", "cluster_size")
 
 
-def connected_min_value(edges: DataFrame, nodes: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def connected_min_value(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(cell, label): the smallest node value ``m`` in each connected
     component of ``edges`` (a, b) over cells; min propagation plus one jump
     through the current labels per round, until nothing changes."""
     lab = cut_lineage(nodes.select("cell", F.col("m").alias("label")))
     sym = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     sym = cut_lineage(sym)
-    for _ in range(max_rounds):
+    while True:
         nb = sym.join(lab.withColumnRenamed("cell", "b"), "b").groupBy("a").agg(F.min("label").alias("nl"))
         step = lab.join(nb.withColumnRenamed("a", "cell"), "cell", "left") \
                   .select("cell", F.least("label", F.coalesce("nl", "label")).alias("label"), F.col("label").alias("old"))
@@ -144,8 +107,7 @@ def connected_min_value(edges: DataFrame, nodes: DataFrame, max_rounds: int = 10
         changed = new.where("ch").limit(1).count()
         lab = new.select("cell", "label")
         if not changed:
-            break
-    return lab
+            return lab
 
 
 def k_distance(pts: DataFrame, k: int = 5, start: float = 0.05, id_col: str = "point_id", x: str = "x",
@@ -156,10 +118,13 @@ def k_distance(pts: DataFrame, k: int = 5, start: float = 0.05, id_col: str = "p
     location holding >= k points has distance 0).  Exact: a location is
     resolved at radius r once the points within r (counted with
     multiplicity) reach k; unresolved locations retry with a larger radius
-    until the grid spans the data."""
+    until the grid spans the data.  With fewer than k points in all, every
+    distance is null."""
     from pyspark.sql import Window
     p = pts.select(F.col(id_col).alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
     loc = cut_lineage(p.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("lid")))
+    if loc.agg(F.sum("w")).first()[0] in (None, 0):
+        return p.select(F.col("id").alias(id_col), F.lit(None).cast("double").alias("kdist"))
     ext = loc.agg(F.min("x").alias("a"), F.max("x").alias("b"), F.min("y").alias("c"), F.max("y").alias("d")).first()
     full = ((ext["b"] - ext["a"]) ** 2 + (ext["d"] - ext["c"]) ** 2) ** 0.5 + 1e-9
     allw = loc.select(F.col("lid").alias("b"), F.col("w").alias("bw"))
@@ -185,7 +150,7 @@ def k_distance(pts: DataFrame, k: int = 5, start: float = 0.05, id_col: str = "p
     for d in done[1:]:
         res = res.unionByName(d)
     members = p.join(loc.select("x", "y", "lid"), ["x", "y"])
-    return members.join(res, "lid").select(F.col("id").alias(id_col), "kdist")
+    return members.join(res, "lid", "left").select(F.col("id").alias(id_col), "kdist")
 
 
 def eps_pairs_between(left: DataFrame, right: DataFrame, eps: float, id_col: str, x: str, y: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import hash_unit, haversine_km
+from .ordering import with_position
 
 
 def stack_train_test(train: DataFrame, test: DataFrame, flag: str = "is_test", target: str = "target",
@@ -69,16 +70,16 @@ def lookup_fill(df: DataFrame, book: DataFrame, key: str, cols: Sequence[str]) -
 
 def landmark_distance(df: DataFrame, marks: DataFrame, key: str = "district", lat: str = "lat", lon: str = "lon",
                       mark_lat: str = "lead_lat", mark_lon: str = "lead_lon", out: str = "landmark_km") -> DataFrame:
-    """JOI-1 + GEO-2: inner join to a per-district landmark (one row per
-    district: bounded by the number of districts) and the haversine km."""
-    return df.join(F.broadcast(marks), key, "inner") \
+    """JOI-1 + GEO-2: inner join to a per-district landmark and the haversine
+    km; the join strategy follows the landmark table's size at run time."""
+    return df.join(marks, key, "inner") \
              .withColumn(out, haversine_km(F.col(lat), F.col(lon), F.col(mark_lat), F.col(mark_lon)))
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
     """SMP-2: deterministic fraction sample by hashed key (oracle-checkable)."""
     cut = int(round(fraction * 1000))
-    return df.where(((hash_unit(key) + seed) % 4294967296) % 1000 < cut)
+    return df.where(hash_unit(key, seed) % 1000 < cut)
 
 
 def bootstrap(df: DataFrame, fraction: float = 0.02, seed: int = 42) -> DataFrame:
@@ -86,29 +87,14 @@ def bootstrap(df: DataFrame, fraction: float = 0.02, seed: int = 42) -> DataFram
     return df.sample(withReplacement=True, fraction=fraction, seed=seed)
 
 
-def bootstrap_exact(df: DataFrame, n: int, seed: int = 42, max_draws: int = 12) -> DataFrame:
-    """SMP-1 exact-size variant: each row is drawn k times with k ~ Poisson(lam)
-    (inverse CDF on a seeded uniform, lam a little above n / rows), the
-    draws are exploded, and exactly ``n`` are kept by a seeded random order
-    (a top-n, the one place a limit is the feature)."""
-    import math
+def bootstrap_exact(df: DataFrame, n: int, key: str = "row_id", seed: int = 42) -> DataFrame:
+    """SMP-1 exact-size variant: ``n`` independent draws of a dense row position,
+    joined to the rows; exactly ``n`` rows for any ``n`` (none from no rows)."""
     rows = df.count()
     if rows == 0 or n <= 0:
         return df.limit(0)
-    lam = n / rows
-    lam = lam + 4 * math.sqrt(lam / rows) + 1.0 / rows  # the total falls short of n with tiny odds
-    u = F.rand(seed)
-    k, cdf, p = F.lit(max_draws), 0.0, math.exp(-lam)
-    thresholds = []
-    for i in range(max_draws):
-        cdf += p
-        thresholds.append((i, cdf))
-        p *= lam / (i + 1)
-    for i, c in reversed(thresholds):
-        k = F.when(u < F.lit(c), F.lit(i)).otherwise(k)
-    drawn = df.withColumn("_k", k).where(F.col("_k") > 0) \
-              .withColumn("_d", F.explode(F.sequence(F.lit(1), F.col("_k")))).drop("_k", "_d")
-    return drawn.orderBy(F.rand(seed + 1)).limit(n)
+    draws = df.sparkSession.range(n).select(F.least(F.floor(F.rand(seed) * rows), F.lit(rows - 1)).alias("_pos"))
+    return with_position(df, key, "_pos").join(draws, "_pos").drop("_pos")
 
 
 def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:

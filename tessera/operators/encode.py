@@ -157,21 +157,23 @@ def target_encode(train: DataFrame, test: DataFrame, cols: Sequence[str], target
     return train, test
 
 
-def one_hot(train: DataFrame, df: DataFrame, col: str, max_levels: int = 1000, prefix: str | None = None) -> DataFrame:
+def one_hot(train: DataFrame, df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
     """ENC-7: one 0/1 column per train category; unknown values get all zeros.
-
-    The number of output columns is the number of categories, so it is
-    checked against ``max_levels`` (an error, never a silent cut).
-    """
+    The output is as wide as the train table has categories; ``one_hot_long``
+    has them as rows."""
     prefix = prefix or col
-    levels = [r[0] for r in train.where(F.col(col).isNotNull()).select(col).distinct()
-              .orderBy(col).limit(max_levels + 1).collect()]
-    if len(levels) > max_levels:
-        raise ValueError(f"{col}: more than {max_levels} categories; use label_encode")
+    levels = [r[0] for r in train.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col).collect()]
     return df.select("*", *[F.coalesce(F.col(col) == F.lit(v), F.lit(False)).cast("int").alias(f"{prefix}_{v}")
                             for v in levels])
 
 
+def one_hot_long(train: DataFrame, df: DataFrame, col: str, key: str = "row_id") -> DataFrame:
+    """ENC-7, sparse form: (key, level) for each row whose value is a train
+    category; any number of categories, none on the driver."""
+    levels = train.where(F.col(col).isNotNull()).select(F.col(col).alias("level")).distinct()
+    return df.select(key, F.col(col).alias("level")).join(levels, "level").select(key, "level")
+
+
 def target_means_oof(df: DataFrame, col: str, target: str, fold: str = "fold", out: str | None = None) -> DataFrame:
     """ENC-6 option: out-of-fold target means (a row never sees its own fold),
     from one aggregation by (category, fold): (S_c - S_cf) / (N_c - N_cf).

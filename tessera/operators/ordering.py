@@ -1,129 +1,45 @@
 """Global order without a single-partition window.
 
 A window with ``orderBy`` and no ``partitionBy`` moves the whole table into
-one task.  ``range_buckets`` instead cuts the key range into balanced buckets
-(bounds from a bounded key sample, like Spark's range partitioner, but fixed
-as literals so recomputation after an executor loss gives the same buckets).
+one task.  ``range_buckets`` instead lets Spark deal the rows by key range
+(nulls first, in the key's own type) and writes them with their bucket, so
+every later read, also after the loss of an executor, sees the same buckets.
 Each bucket is ordered on its own; a small per-bucket table (one row per
 bucket) carries offsets and boundary values between buckets.
 """
 
 from __future__ import annotations
 
-import bisect
 import math
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-MAX_NUMERIC_BUCKETS = 100_000  # 1e12 rows -> ~1e7 rows per ordered bucket
-MAX_TEXT_BUCKETS = 256
-
-
-def _min_buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-
-
-def choose_buckets(spark: SparkSession, n: int, rows_per_bucket: int, numeric: bool) -> int:
-    cap = MAX_NUMERIC_BUCKETS if numeric else MAX_TEXT_BUCKETS
-    want = max(_min_buckets(spark), math.ceil(n / max(rows_per_bucket, 1)))
-    return max(1, min(cap, want, max(n, 1)))
-
-
-def _sample_keys(df: DataFrame, key: str, n: int, buckets: int) -> tuple[list, bool]:
-    """Sorted bounded sample of the key (at most 40 keys per bucket, capped
-    at 1e6); the flag says whether the sample is the whole input."""
-    sample_size = min(1_000_000, 40 * buckets)
-    frac = min(1.0, sample_size / max(n, 1))
-    keys = df.select(key).where(F.col(key).isNotNull())
-    if frac < 1.0:
-        keys = keys.sample(withReplacement=False, fraction=frac, seed=17)
-    return sorted(r[0] for r in keys.collect()), frac >= 1.0
-
-
-def _cuts(vals: list, buckets: int) -> list:
-    """B-1 increasing cut points from sorted sample values."""
-    if buckets <= 1 or not vals:
-        return []
-    cuts = []
-    for i in range(1, buckets):
-        v = vals[min(len(vals) - 1, (i * len(vals)) // buckets)]
-        if not cuts or v > cuts[-1]:
-            cuts.append(v)
-    if cuts and cuts[0] == vals[0]:
-        cuts = cuts[1:]
-    return cuts
-
-
-def _bounds(df: DataFrame, key: str, n: int, buckets: int) -> list:
-    """B-1 increasing cut points from a bounded sample of the key."""
-    if buckets <= 1 or n == 0:
-        return []
-    vals, _ = _sample_keys(df, key, n, buckets)
-    return _cuts(vals, buckets)
-
-
-def _case_tree(x: Column, cuts: list, lo: int, hi: int) -> Column:
-    """Bucket index = number of cuts <= x, as a balanced CASE tree (log depth)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2  # cuts[mid] separates buckets <= mid from > mid
-    return F.when(x < F.lit(cuts[mid]), _case_tree(x, cuts, lo, mid)).otherwise(_case_tree(x, cuts, mid + 1, hi))
+from ..sources.store import cut_lineage
 
 
 def range_buckets(df: DataFrame, key: str, rows_per_bucket: int = 2_000_000,
-                  bucket_col: str = "_bucket", n: int | None = None,
-                  min_buckets: int | None = None, cuts: list | None = None) -> tuple[DataFrame, int]:
-    """Add a range-bucket id in [0, B) that is monotone in ``key``
-    (bucket = number of cut points <= key)."""
+                  bucket_col: str = "_bucket") -> tuple[DataFrame, int]:
+    """(``df`` with a bucket id that is monotone in ``key``, number of buckets).
+
+    Null keys are first; equal keys share a bucket.  The number of buckets
+    follows the number of rows and is the session's shuffle partitions at least."""
     spark = df.sparkSession
-    numeric = isinstance(df.schema[key].dataType, T.NumericType)
-    if cuts is None:
-        if n is None:
-            n = df.select(key).count()
-        buckets = choose_buckets(spark, n, rows_per_bucket, numeric)
-        if min_buckets is not None:
-            buckets = max(1, min(buckets, max(min_buckets, math.ceil(n / max(rows_per_bucket, 1)))))
-        cuts = _bounds(df, key, n, buckets)
-    if not cuts:
-        return df.withColumn(bucket_col, F.lit(0)), 1
-    if numeric:
-        splits = [-float("inf")] + [float(c) for c in cuts] + [float("inf")]
-        tmp = "_bk_in"
-        b = Bucketizer(splits=splits, inputCol=tmp, outputCol=bucket_col, handleInvalid="keep")
-        out = b.transform(df.withColumn(tmp, F.col(key).cast("double")))
-        return out.drop(tmp).withColumn(bucket_col, F.col(bucket_col).cast("int")), len(cuts) + 1
-    return df.withColumn(bucket_col, _case_tree(F.col(key), cuts, 0, len(cuts))), len(cuts) + 1
+    n = df.select(key).count()
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), math.ceil(n / max(rows_per_bucket, 1)))
+    dealt = df.repartitionByRange(buckets, F.col(key).asc_nulls_first())
+    return cut_lineage(dealt.withColumn(bucket_col, F.spark_partition_id()), "range_buckets"), buckets
 
 
 def with_position(df: DataFrame, key: str, pos_col: str = "pos", rows_per_bucket: int = 2_000_000) -> DataFrame:
-    """Dense 0-based position of each row in ascending ``key`` order (key unique)."""
-    spark = df.sparkSession
-    n = df.select(key).count()
-    if n <= 1:  # nothing to order
-        return df.withColumn(pos_col, F.lit(0).cast("long"))
-    numeric = isinstance(df.schema[key].dataType, T.NumericType)
-    buckets = choose_buckets(spark, n, rows_per_bucket, numeric)
-    vals, whole = _sample_keys(df, key, n, buckets)
-    cuts = _cuts(vals, buckets)
-    bdf, nb = range_buckets(df, key, rows_per_bucket, n=n, cuts=cuts)
-    if whole:
-        # the sample is the whole (small) input: bucket sizes follow from it
-        sizes = [0] * nb
-        for v in vals:
-            sizes[bisect.bisect_right(cuts, v)] += 1
-        counts = list(enumerate(sizes))
-    else:
-        counts = sorted((r[0], r[1]) for r in bdf.groupBy("_bucket").count().collect())
-    offs, acc = [], 0
-    for b, c in counts:
-        offs.append((int(b), acc))
-        acc += c
-    off_df = spark.createDataFrame(offs, "_bucket int, _off long")
-    w = Window.partitionBy("_bucket").orderBy(key)
-    return (bdf.withColumn("_lp", F.row_number().over(w))
-            .join(F.broadcast(off_df), "_bucket")
+    """Dense 0-based position of each row in ascending ``key`` order, null keys
+    first (key unique; rows of equal keys get adjacent positions in any order)."""
+    bdf, _ = range_buckets(df, key, rows_per_bucket)
+    # the prefix sum runs over one row per bucket
+    before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = bdf.groupBy("_bucket").count().select("_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_off"))
+    own = Window.partitionBy("_bucket").orderBy(F.col(key).asc_nulls_first())
+    return (bdf.withColumn("_lp", F.row_number().over(own))
+            .join(F.broadcast(offsets), "_bucket")  # one row per bucket
             .withColumn(pos_col, F.col("_off") + F.col("_lp") - 1)
             .drop("_bucket", "_lp", "_off"))

@@ -210,10 +210,14 @@ def split_sanity(df: DataFrame, flag: str = "is_test", target: str = "target") -
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """AGG-14: equal-width bins between min and max (max in the last bin)."""
+    """AGG-14: equal-width bins between min and max (max in the last bin); a
+    constant column is one bin, 0, an empty one has none."""
     mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    lo, hi = F.lit(float(mm["lo"])), F.lit(float(mm["hi"]))
-    b = F.least(F.floor((F.col(col) - lo) / ((hi - lo) / F.lit(bins))), F.lit(bins - 1))
+    if mm["lo"] is None or mm["lo"] == mm["hi"]:
+        b = F.lit(0)
+    else:
+        lo, hi = F.lit(float(mm["lo"])), F.lit(float(mm["hi"]))
+        b = F.least(F.floor((F.col(col) - lo) / ((hi - lo) / F.lit(bins))), F.lit(bins - 1))
     return df.where(F.col(col).isNotNull()).groupBy(b.cast("bigint").alias("bin")).count()
 
 
@@ -221,6 +225,8 @@ def box_numbers(df: DataFrame, col: str, digits: int = 6) -> DataFrame:
     """AGG-14: five-number summary plus whisker limits (1.5 IQR)."""
     q = quantiles(df, [col], [0.0, 0.25, 0.5, 0.75, 1.0])
     mn, q1, med, q3, mx = (q[(col, p)] for p in (0.0, 0.25, 0.5, 0.75, 1.0))
+    if mn is None:  # an empty column has no numbers
+        return df.sparkSession.createDataFrame([], "column string, stat string, value double")
     lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     wl = df.agg(F.min(F.when(F.col(col) >= lo, F.col(col))).alias("a"),
                 F.max(F.when(F.col(col) <= hi, F.col(col))).alias("b")).first()

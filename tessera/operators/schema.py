@@ -145,23 +145,32 @@ def numeric_categorical(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[lis
     return num, cat
 
 
+def find_columns(df: DataFrame, part: str) -> list[str]:
+    """FUN-10: names of the columns that contain ``part``."""
+    return [c for c in df.columns if part in c]
+
+
+_BASE = ["district", "area", "contract_ym", "built_year", "hood", "complex"]
+_EXTRA = ["bal", "contract_day"]
 # Feature presets over the trades view.
 PRESETS = {
-    "baseline": {"drop": ["addr", "complex", "mostly_null"]},
-    "manual": {"keep": ["district", "hood", "area", "built_year", "contract_ym", "heating", "lon", "lat"]},
-    "minimum": {"keep": ["district", "area", "built_year", "contract_ym"]},
-    "features_all": {"drop": []},
-    "remove_all": {"keep": []},
+    "baseline": {"drop": ["addr", "deal_type", "mostly_null"]},
+    "manual": {"keep": ["area", "contract_ym", "contract_day", "district", "hood", "built_year"]},
+    "minimum": {"keep": [*_BASE, "heating", "lat", "lon"]},
+    "features_all": {"keep": [*_BASE, *_EXTRA]},
+    "remove_all": {"drop": ["addr", "deal_type", "mostly_null", "heating", "district", "complex"]},
+    "wrapper": {"keep": [*_BASE, *_EXTRA]},
 }
 
 
 def select_preset(df: DataFrame, preset: str, keep_list: Sequence[str] | None = None,
                   id_cols: Sequence[str] = ID_COLS) -> DataFrame:
-    """PRJ-1: column preset; keep-lists are intersected with existing columns
-    and the id columns are always kept.  ``wrapper`` takes ``keep_list``."""
-    spec = {"keep": list(keep_list or [])} if preset == "wrapper" else PRESETS[preset]
+    """PRJ-1: column preset; lists are intersected with the existing columns
+    and the id columns are always kept.  ``keep_list`` replaces the list of
+    ``wrapper``."""
+    spec = {"keep": list(keep_list)} if preset == "wrapper" and keep_list is not None else PRESETS[preset]
     ids = [c for c in id_cols if c in df.columns]
     if "drop" in spec:
-        return df.select(*[c for c in df.columns if c not in spec["drop"]])
+        return df.select(*[c for c in df.columns if c in ids or c not in spec["drop"]])
     keep = [c for c in spec["keep"] if c in df.columns and c not in ids]
     return df.select(*ids, *keep)

@@ -65,66 +65,64 @@ def gram(df: DataFrame, cols: Sequence[str], centered: bool = True) -> tuple[np.
     return g / np.outer(s, s), row["n"]
 
 
+def _vif_values(m: np.ndarray) -> list[float]:
+    """1 / (1 - R^2) of each column on the others, from their normalised Gram
+    matrix; infinite only for columns that the others determine."""
+    out = []
+    for j in range(len(m)):
+        rest = [i for i in range(len(m)) if i != j]
+        if not rest or not np.isfinite(m[j, j]):
+            out.append(1.0 if np.isfinite(m[j, j]) else math.inf)
+            continue
+        inner = np.nan_to_num(m[np.ix_(rest, rest)])
+        cross = np.nan_to_num(m[rest, j])
+        left = m[j, j] - cross @ np.linalg.pinv(inner, rcond=1e-10, hermitian=True) @ cross
+        out.append(math.inf if left < 1e-9 else 1.0 / left)
+    return out
+
+
 def vif(df: DataFrame, cols: Sequence[str], centered: bool = True, threshold: float = 10.0,
         digits: int = 6) -> DataFrame:
-    """SEL-3 (with intercept: inverse correlation matrix) / SEL-4 (without
-    intercept: inverse normalised uncentred Gram).  Singular -> inf -> reported
-    as threshold + 1 (SEL-4 rule).  The intercept itself is never scored."""
+    """SEL-3 (with intercept: correlation matrix) / SEL-4 (without intercept:
+    normalised uncentred Gram).  A column that others determine, or that is
+    constant under SEL-3, has an infinite VIF, reported as threshold + 1; the
+    other columns keep their own.  The intercept itself is never scored."""
     m, _ = gram(df, cols, centered)
-    try:
-        inv = np.linalg.inv(m)
-        v = np.diag(inv)
-    except np.linalg.LinAlgError:
-        v = np.full(len(cols), np.inf)
     rows = []
-    for c, x in zip(cols, v):
-        x = float(x)
-        if not math.isfinite(x):
-            x = threshold + 1
+    for c, x in zip(cols, _vif_values(m)):
+        x = float(x) if math.isfinite(x) else threshold + 1
         rows.append((c, round(x, digits), x > threshold if centered else x >= threshold))
     return df.sparkSession.createDataFrame(rows, "column string, vif double, flagged boolean")
 
 
-def contingency(df: DataFrame, a: str, b: str, missing: str = "missing") -> DataFrame:
-    """(v1, v2, n) counts with null -> 'missing' (text)."""
-    return df.select(F.coalesce(F.col(a).cast("string"), F.lit(missing)).alias("v1"),
-                     F.coalesce(F.col(b).cast("string"), F.lit(missing)).alias("v2")).groupBy("v1", "v2").count()
-
-
-def chi2_stats(df: DataFrame, a: str, b: str, yates: bool = True) -> tuple[float, int, int, int]:
-    """(chi2, n, rows, cols) from counts + marginals; Yates correction when
-    the table is 2 x 2 (as scipy's default)."""
-    ct = contingency(df, a, b)
-    r1 = ct.groupBy("v1").agg(F.sum("count").alias("r"))
-    c1 = ct.groupBy("v2").agg(F.sum("count").alias("c"))
-    dims = ct.agg(F.sum("count").alias("n"), F.countDistinct("v1").alias("r"), F.countDistinct("v2").alias("k")).first()
-    n, r, k = dims["n"], dims["r"], dims["k"]
-    if r < 2 or k < 2:
-        return 0.0, n, r, k
-    if yates and r == 2 and k == 2:
-        cells = r1.crossJoin(c1).join(ct, ["v1", "v2"], "left").fillna(0, subset=["count"])
-        e = F.col("r") * F.col("c") / F.lit(float(n))
-        dev = F.abs(F.col("count") - e)
-        chi2 = cells.agg(F.sum(F.pow(dev - F.least(F.lit(0.5), dev), 2) / e)).first()[0]
-    else:
-        s = ct.join(r1, "v1").join(c1, "v2").agg(F.sum(F.col("count") * F.col("count") / (F.col("r") * F.col("c")))).first()[0]
-        chi2 = n * (s - 1.0)
-    return float(chi2), n, r, k
+def safe_corr(a: str, b: str):
+    """Pearson's r over complete pairs; null where a side has no spread."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def cramers_v(df: DataFrame, a: str, b: str, corrected: bool = True) -> float:
-    """SEL-5 (bias corrected) / SEL-6 (plain) Cramér's V; 0 below 2 levels."""
-    chi2, n, r, k = chi2_stats(df, a, b)
-    if r < 2 or k < 2 or n < 2:
-        return 0.0
-    phi2 = chi2 / n
-    if not corrected:
-        return math.sqrt(phi2 / min(k - 1, r - 1))
-    phi2c = max(0.0, phi2 - (k - 1) * (r - 1) / (n - 1))
-    rc = r - (r - 1) ** 2 / (n - 1)
-    kc = k - (k - 1) ** 2 / (n - 1)
-    den = min(kc - 1, rc - 1)
-    return 0.0 if den <= 0 else math.sqrt(phi2c / den)
+def select_by_target_corr(df: DataFrame, cols: Sequence[str], target: str, threshold: float = 0.1) -> DataFrame:
+    """SEL-10: columns whose correlation with the target exceeds ``threshold``
+    in size, strongest first; a constant column has none and is left out."""
+    wide = df.agg(*[safe_corr(c, target).alias(f"r{i}") for i, c in enumerate(cols)])
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("r")) for i, c in enumerate(cols)]))
+    return (wide.select(each.alias("x")).select("x.*").where(F.abs("r") > threshold)
+            .orderBy(F.desc(F.abs("r")), "column"))
+
+
+def cramers_drop(table: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """SEL-6: sum of each column's V over its pairs above ``threshold``; of a
+    strongly associated pair the column of greater sum is dropped (ties: the
+    later name).  ``table`` has (c1, c2, v); returns (column, score, dropped)."""
+    strong = table.where(F.col("v") > threshold)
+    score = (strong.select(F.col("c1").alias("column"), "v").unionByName(strong.select(F.col("c2").alias("column"), "v"))
+             .groupBy("column").agg(F.sum("v").alias("score")))
+    one = score.select(F.col("column").alias("c1"), F.col("score").alias("s1"))
+    two = score.select(F.col("column").alias("c2"), F.col("score").alias("s2"))
+    worse = F.when((F.col("s1") > F.col("s2")) | ((F.col("s1") == F.col("s2")) & (F.col("c1") > F.col("c2"))), F.col("c1")).otherwise(F.col("c2"))
+    gone = strong.join(one, "c1").join(two, "c2").select(worse.alias("column")).distinct().withColumn("dropped", F.lit(True))
+    return score.join(gone, "column", "left").select("column", "score", F.coalesce("dropped", F.lit(False)).alias("dropped"))
 
 
 def f_regression(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
@@ -132,13 +130,16 @@ def f_regression(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     aggs = []
     for c in cols:
         ok = F.col(c).isNotNull() & F.col(target).isNotNull()
-        aggs += [F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"r_{c}"),
+        aggs += [safe_corr(c, target).alias(f"r_{c}"),
                  F.count_if(ok).alias(f"n_{c}")]
     wide = df.agg(*aggs)
     arr = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"r_{c}").alias("r"), F.col(f"n_{c}").alias("n"))
                               for c in cols]))
     x = wide.select(arr.alias("p")).select("p.*")
-    return x.select("column", (F.col("r") ** 2 / (1 - F.col("r") ** 2) * (F.col("n") - 2)).alias("f"))
+    # r = +-1 has an infinite F; a constant column (r null) has none
+    left = 1 - F.col("r") ** 2
+    f = F.when(left < 1e-14, F.lit(float("inf"))).otherwise(F.try_divide(F.col("r") ** 2, left) * (F.col("n") - 2))
+    return x.select("column", F.when(F.col("r").isNotNull(), f).alias("f"))
 
 
 def k_best(scores: DataFrame, k: int, score: str) -> DataFrame:
@@ -146,6 +147,15 @@ def k_best(scores: DataFrame, k: int, score: str) -> DataFrame:
     return scores.orderBy(F.desc(score), "column").limit(k)
 
 
+def _equal_width(x, mm, bins: int):
+    """Bin of ``x`` between the row ``mm``'s lo and hi; a constant or empty
+    column has the one bin 0."""
+    if mm["lo"] is None or mm["lo"] == mm["hi"]:
+        return F.when(x.isNotNull(), F.lit(0).cast("bigint"))
+    lo, hi = F.lit(float(mm["lo"])), F.lit(float(mm["hi"]))
+    return F.least(F.floor((x - lo) / ((hi - lo) / F.lit(bins))), F.lit(bins - 1))
+
+
 def mutual_info(df: DataFrame, cols: Sequence[str], target: str, bins: int = 10) -> DataFrame:
     """SEL-8: mutual information (nats) of each feature with a class target;
     numeric features are cut into equal-width bins first."""
@@ -156,8 +166,7 @@ def mutual_info(df: DataFrame, cols: Sequence[str], target: str, bins: int = 10)
         if numeric:
             mm = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
             base = df
-            lo, hi = F.lit(float(mm["lo"])), F.lit(float(mm["hi"]))
-            x = F.least(F.floor((F.col(c) - lo) / ((hi - lo) / F.lit(bins))), F.lit(bins - 1)).cast("string")
+            x = _equal_width(F.col(c), mm, bins).cast("string")
         else:
             base = df
         ct = base.where(F.col(c).isNotNull() & F.col(target).isNotNull()) \
@@ -185,7 +194,7 @@ def anova_f(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
         s = j.agg(F.sum(F.col("ng") * (F.col("mg") - F.col("m")) ** 2).alias("ssb"),
                   F.sum(F.col("ng") * F.col("vg")).alias("ssw"), F.count(F.lit(1)).alias("k"), F.first("n").alias("n"))
         f = s.select(F.lit(c).alias("column"),
-                     ((F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("n") - F.col("k")))).alias("f"))
+                     F.try_divide(F.try_divide(F.col("ssb"), F.col("k") - 1), F.try_divide(F.col("ssw"), F.col("n") - F.col("k"))).alias("f"))
         out = f if out is None else out.unionByName(f)
     return out
 
@@ -199,8 +208,7 @@ def correlated_groups(df: DataFrame, cols: Sequence[str], target: str, threshold
     groups = pairs.select(F.col("c2").alias("key"), F.col("c1").alias("column")) \
                   .unionByName(pairs.select(F.col("c2").alias("key"), F.col("c2").alias("column"))).distinct()
     mm = df.agg(F.min(target).alias("lo"), F.max(target).alias("hi")).first()
-    lo, hi = F.lit(float(mm["lo"])), F.lit(float(mm["hi"]))
-    binned = df.withColumn("_yb", F.least(F.floor((F.col(target) - lo) / ((hi - lo) / F.lit(bins))), F.lit(bins - 1)))
+    binned = df.withColumn("_yb", _equal_width(F.col(target), mm, bins))
     mi = mutual_info(binned, list(cols), "_yb", bins)
     g = groups.join(mi, "column")
     best = g.groupBy("key").agg(F.max_by("column", F.struct("mi", F.col("column"))).alias("column"))

@@ -150,11 +150,17 @@ def q_comma_list(spark, sf):
 # Projection, filter, schema (2.2)
 # ---------------------------------------------------------------------------
 
-@query("prj_preset_minimum", ("PRJ-1", "PRJ-9"), with_views("""
-SELECT row_id, target, is_test, district, area, built_year, contract_ym FROM trades
-""", "trades"))
-def q_preset(spark, sf):
-    return schema.select_preset(views.trades(spark, sf), "minimum")
+_PRESETS = {
+    "minimum": "row_id, target, is_test, district, area, contract_ym, built_year, hood, complex, heating, lat, lon",
+    "manual": "row_id, target, is_test, area, contract_ym, contract_day, district, hood, built_year",
+    "features_all": "row_id, target, is_test, district, area, contract_ym, built_year, hood, complex, bal, contract_day",
+    "wrapper": "row_id, target, is_test, district, area, contract_ym, built_year, hood, complex, bal, contract_day",
+    "baseline": "row_id, district, hood, complex, contract_ym, contract_day, built_year, area, heating, bal, lon, lat, target, is_test",
+    "remove_all": "row_id, hood, contract_ym, contract_day, built_year, area, bal, lon, lat, target, is_test",
+}
+for _name, _cols in _PRESETS.items():
+    query(f"prj_preset_{_name}", "PRJ-1", with_views(f"SELECT {_cols} FROM trades", "trades"))(
+        lambda spark, sf, _name=_name: schema.select_preset(views.trades(spark, sf), _name))
 
 
 @query("prj_drop_present_dedupe", ("PRJ-2", "PRJ-3", "PRJ-4", "PRJ-5"), with_views("""
@@ -360,11 +366,16 @@ def q_pred_cast(spark, sf):
 
 
 @query("src_csv_roundtrip", ("SRC-1", "SNK-1"), with_views("""
-SELECT row_id, district, heating, deal_type, area, built_year FROM trades
+SELECT row_id, district, heating, deal_type, area, built_year,
+       CASE row_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'say "' || hood || '", ' || district WHEN 2 THEN hood || chr(10) || district
+                       WHEN 3 THEN NULL ELSE '\"' END AS note FROM trades
 """, "trades"))
 def q_csv(spark, sf):
     from ..sources import files
-    t = views.trades(spark, sf).select("row_id", "district", "heating", "deal_type", "area", "built_year")
+    m = F.col("row_id") % 5
+    note = (F.when(m == 0, "").when(m == 1, F.concat(F.lit('say "'), "hood", F.lit('", '), "district"))
+            .when(m == 2, F.concat("hood", F.lit("\n"), "district")).when(m == 4, F.lit('\\"')))
+    t = views.trades(spark, sf).select("row_id", "district", "heating", "deal_type", "area", "built_year", note.alias("note"))
     return files.csv_roundtrip(t, "trades_csv")
 
 

@@ -110,7 +110,7 @@ CRAMER_PAIRS = [("district", "hood"), ("district", "heating"), ("hood", "deal_ty
                 ("district", "region"), ("is_core", "is_test")]
 
 
-@query("sel_cramers_v", ("SEL-5", "SEL-6"), with_views(
+@query("sel_cramers_v", "SEL-5", with_views(
     ", t2 AS (SELECT *, split_part(addr, ' ', 1) AS region, CAST(row_id % 3 = 0 AS INTEGER) AS is_core FROM trades)\n"
     + _cramer_sql(CRAMER_PAIRS, "t2"), "trades"))
 def q_cramer(spark, sf):
@@ -130,11 +130,11 @@ SELECT round(sum(pow(abs(o - e) - least(0.5, abs(o - e)), 2) / e), 6) AS chi2 FR
 """)
 def q_yates(spark, sf):
     li = table(spark, sf, "lineitem").select("l_linestatus", (F.col("l_quantity") > 25).cast("string").alias("big"))
-    chi2, _, _, _ = sel.chi2_stats(li, "l_linestatus", "big")
-    return spark.createDataFrame([(round(chi2, 6),)], "chi2 double")
+    plain = sel.cramers_table(li, [("l_linestatus", "big")], corrected=False, digits=16).select("v")
+    return plain.select(F.round(F.col("v") * F.col("v") * li.count(), 6).alias("chi2"))  # a 2 x 2 table: chi2 = n * V^2
 
 
-@query("sel_k_best_f", ("SEL-7", "SEL-10"), with_views(f"""
+@query("sel_k_best_f", "SEL-7", with_views(f"""
 SELECT "column", round(f, 4) AS f FROM ({_u([
     f"SELECT '{c}' AS column, pow(corr(CAST({c} AS DOUBLE), target), 2) / (1 - pow(corr(CAST({c} AS DOUBLE), target), 2)) "
     f"* (count(*) FILTER (WHERE {c} IS NOT NULL) - 2) AS f FROM trades" for c in ["mix", "bal", "built_year", "contract_day", "lat"]])})
@@ -146,6 +146,34 @@ def q_kbest(spark, sf):
     return sel.k_best(f, 3, "f").select("column", F.round("f", 4).alias("f"))
 
 
+@query("sel_target_corr", "SEL-10", with_views(f"""
+SELECT "column", round(r, 6) AS r FROM ({_u([f"SELECT '{c}' AS column, corr(CAST({c} AS DOUBLE), target) AS r FROM trades"
+                                             for c in ["area", "bal", "built_year", "contract_day", "lat"]])})
+WHERE abs(r) > 0.01
+""", "trades"))
+def q_target_corr(spark, sf):
+    t = views.trades(spark, sf)
+    return sel.select_by_target_corr(t, ["area", "bal", "built_year", "contract_day", "lat"], "target", 0.01) \
+              .select("column", F.round("r", 6).alias("r"))
+
+
+@query("sel_cramers_drop", "SEL-6", with_views(
+    ", t2 AS (SELECT *, split_part(addr, ' ', 1) AS region, CAST(row_id % 3 = 0 AS INTEGER) AS is_core FROM trades),\n"
+    + "p AS (" + _cramer_sql(CRAMER_PAIRS, "t2") + """),
+s AS (SELECT c1, c2, v FROM p WHERE v > 0.02),
+e AS (SELECT c1 AS col, v FROM s UNION ALL SELECT c2, v FROM s),
+sc AS (SELECT col, sum(v) AS score FROM e GROUP BY 1),
+d AS (SELECT DISTINCT CASE WHEN a.score > b.score OR (a.score = b.score AND s.c1 > s.c2) THEN s.c1 ELSE s.c2 END AS col
+      FROM s JOIN sc a ON a.col = s.c1 JOIN sc b ON b.col = s.c2)
+SELECT sc.col AS "column", round(score, 5) AS score, d.col IS NOT NULL AS dropped FROM sc LEFT JOIN d ON d.col = sc.col
+""", "trades"))
+def q_cramers_drop(spark, sf):
+    t = views.trades(spark, sf).withColumn("region", F.split("addr", " ").getItem(0)) \
+             .withColumn("is_core", (F.col("row_id") % 3 == 0).cast("int"))
+    got = sel.cramers_drop(sel.cramers_table(t, CRAMER_PAIRS), 0.02)
+    return got.select("column", F.round("score", 5).alias("score"), "dropped")
+
+
 def _mi_sql(cols, num):
     parts = []
     for c in cols:

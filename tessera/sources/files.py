@@ -8,35 +8,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from ..session import scratch_path
 
-CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-             "nullValue": "", "emptyValue": '""', "encoding": "UTF-8"}
-CSV_READ = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-            "nullValue": "", "emptyValue": "", "mode": "FAILFAST"}
+# The dialect of pandas: quotes doubled inside quoted fields, newlines kept.
+# Empty text is written quoted and null as nothing, so both come back.
+_DIALECT = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+            "quote": '"', "escape": '"', "nullValue": "", "encoding": "UTF-8"}
+CSV_WRITE = {**_DIALECT, "emptyValue": '""'}
+_EMPTY = "\ue000"  # how a quoted empty field is read, so that it isn't taken for null
+CSV_READ = {**_DIALECT, "emptyValue": _EMPTY, "mode": "FAILFAST"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             encoding: str = "UTF-8", index_col: str | None = None) -> DataFrame:
+             encoding: str = "UTF-8", index_col: str | None = None, multi_line: bool = True) -> DataFrame:
     """SRC-1: header CSV with a given schema (``None`` infers: one more pass).
 
     A UTF-8 byte-order mark in the header is removed from the first name.
-    ``index_col`` names a column to drop after reading (pandas index)."""
-    r = spark.read.options(**CSV_READ).option("encoding", encoding)
+    ``index_col`` names a column to drop after reading (pandas index).  Files
+    without newlines inside fields can be split among tasks: ``multi_line=False``."""
+    r = spark.read.options(**CSV_READ).option("encoding", encoding).option("multiLine", multi_line)
     df = r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", "true").csv(path)
     first = df.columns[0] if df.columns else None
     if first and first.startswith("﻿"):
         df = df.withColumnRenamed(first, first.lstrip("﻿"))
     if index_col and index_col in df.columns:
         df = df.drop(index_col)
-    return df
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    return df.select(*[F.when(F.col(f"`{c}`") == _EMPTY, "").otherwise(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`")
+                       for c in df.columns])
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", bom: bool = False) -> str:
-    """SNK-1: header CSV; ``bom`` is accepted for call compatibility (Spark
-    writes plain UTF-8; readers here strip a BOM if one is present)."""
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
+    """SNK-1: header CSV in UTF-8, without a byte-order mark."""
     df.write.mode(mode).options(**CSV_WRITE).csv(path)
     return path
 

@@ -42,15 +42,28 @@ def cache_key(name: str, **params) -> str:
     return f"{name}-{hashlib.sha1(blob).hexdigest()[:16]}"
 
 
+def file_versions(df: DataFrame) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of the files that ``df`` reads."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in sorted(df.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        out.append((name, status.getLen(), status.getModificationTime()))
+    return out
+
+
 def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame],
-                root: str | None = None, **params) -> DataFrame:
+                root: str | None = None, inputs: tuple[DataFrame, ...] = (), **params) -> DataFrame:
     """MAT-1: read the table if a complete copy exists, else build, write, read.
 
-    The key includes ``params`` (input paths, options), so a changed input
-    never returns a stale table.  Completion is marked by ``_SUCCESS``.
+    The key has ``params`` (options) and the files of ``inputs`` with their
+    lengths and times, so rewritten input does not return a stale table.
+    Completion is marked by ``_SUCCESS``.
     """
     root = root or os.path.join(checkpoint_root(spark), "materialized")
-    path = os.path.join(root, cache_key(name, **params))
+    path = os.path.join(root, cache_key(name, _files=[file_versions(d) for d in inputs], **params))
     if not _exists(spark, path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

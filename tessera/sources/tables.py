@@ -16,16 +16,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
-class Tables:
-    """Attribute access to the driver tables of one scale factor."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return table(self.spark, self.sf_dir, name)
-        raise AttributeError(name)

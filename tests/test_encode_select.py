@@ -51,15 +51,37 @@ def test_vif_three_columns_closed_form(spark):
         assert math.isclose(got[k], inv[i, i], rel_tol=1e-8)
 
 
-def test_cramers_v_2x2_yates(spark):
-    rows = [("x", "p")] * 30 + [("x", "q")] * 10 + [("y", "p")] * 12 + [("y", "q")] * 25
-    df = spark.createDataFrame(rows, "a string, b string")
-    chi2, n, r, k = select.chi2_stats(df, "a", "b")
-    o = np.array([[30, 10], [12, 25]], float)
-    e = o.sum(1)[:, None] * o.sum(0)[None, :] / o.sum()
+def plain_cramers_v(a, b, corrected):
+    """From the definition, on lists (None: 'missing')."""
+    x, y = ([("missing" if v is None else v) for v in c] for c in (a, b))
+    o = pd.crosstab(pd.Series(x), pd.Series(y)).to_numpy(float)
+    n, (r, k) = o.sum(), o.shape
+    e = np.outer(o.sum(1), o.sum(0)) / n
     dev = np.abs(o - e)
-    ref = (((dev - np.minimum(0.5, dev)) ** 2) / e).sum()
-    assert math.isclose(chi2, ref, rel_tol=1e-12) and (n, r, k) == (77, 2, 2)
+    if (r, k) == (2, 2):
+        dev = dev - np.minimum(0.5, dev)
+    phi2 = (dev ** 2 / e).sum() / n
+    if not corrected:
+        return math.sqrt(phi2 / (min(r, k) - 1))
+    shrink = [m - (m - 1) ** 2 / (n - 1) for m in (r, k)]
+    return math.sqrt(max(0.0, phi2 - (r - 1) * (k - 1) / (n - 1)) / (min(shrink) - 1))
+
+
+def test_vif_flags_only_the_dependent_columns(spark):
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=500), rng.normal(size=500)
+    df = spark.createDataFrame(pd.DataFrame({"a": a, "twin": a, "b": b, "one": np.ones(500)}))
+    got = {r.column: r for r in select.vif(df, ["a", "twin", "b"]).collect()}
+    assert got["a"].flagged and got["twin"].flagged and not got["b"].flagged and got["b"].vif < 1.1
+
+
+def test_scores_of_constant_and_perfect_columns(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i, 1.0, i % 2) for i in range(40)], "y double, x double, c double, g int")
+    f = {r.column: r.f for r in select.f_regression(df, ["x", "c"], "y").collect()}
+    assert f["x"] == math.inf and f["c"] is None
+    assert [r.column for r in select.select_by_target_corr(df, ["x", "c"], "y", 0.5).collect()] == ["x"]
+    assert {r.column: r.mi for r in select.mutual_info(df, ["c"], "g").collect()}["c"] == 0.0
+    select.anova_f(df, ["c"], "g").collect()
 
 
 def test_column_name_operators(spark):
@@ -69,8 +91,7 @@ def test_column_name_operators(spark):
     assert schema.clean_names_word(df).columns == ["a", "b_c", "Unnamed__0"]
     cov = schema.coverage(df, ["a"], ["b-c"], groups=["g"])
     assert cov == {"absent_groups": ["g"], "unlisted": ["Unnamed: 0"], "listed_absent": []}
-    # FUN-10: substring lookup in column names
-    assert [c for c in df.columns if "nam" in c] == ["Unnamed: 0"]
+    assert schema.find_columns(df, "nam") == ["Unnamed: 0"]
 
 
 def test_cramers_table_equals_pairwise(spark):
@@ -83,8 +104,10 @@ def test_cramers_table_equals_pairwise(spark):
     df = spark.createDataFrame(pdf)
     pairs = [("a", "b"), ("a", "c"), ("b", "c")]
     got = {(r.c1, r.c2): r.v for r in select.cramers_table(df, pairs, digits=12).collect()}
+    plain = {(r.c1, r.c2): r.v for r in select.cramers_table(df, pairs, corrected=False, digits=12).collect()}
     for x, y in pairs:
-        assert math.isclose(got[(x, y)], select.cramers_v(df, x, y), rel_tol=1e-9, abs_tol=1e-12)
+        assert math.isclose(got[(x, y)], plain_cramers_v(pdf[x], pdf[y], True), rel_tol=1e-9, abs_tol=1e-11)
+        assert math.isclose(plain[(x, y)], plain_cramers_v(pdf[x], pdf[y], False), rel_tol=1e-9, abs_tol=1e-11)
 
 
 def test_target_means_oof_excludes_own_fold(spark):
@@ -108,6 +131,15 @@ def test_rename_on_clash_and_dedup_report(spark):
     assert kept.count() == 2 and (r.rows_before, r.rows_after, r.removed) == (3, 2, 1)
 
 
+def test_seeds_deal_rows_out_anew(spark):
+    from tessera.functions.scalar import fold_of, is_holdout
+    ids = spark.range(-5000, 20000)
+    a, b = is_holdout("id", 0.2, 2023), is_holdout("id", 0.2, 2024)
+    r = ids.agg(F.avg(a.cast("int")).alias("a"), F.avg((a & b).cast("int")).alias("both"), F.min(fold_of("id", 5, 3)).alias("lo"),
+                F.avg((fold_of("id", 5, 1) == fold_of("id", 5, 2)).cast("int")).alias("same")).first()
+    assert abs(r.a - 0.2) < 0.02 and abs(r.both - 0.04) < 0.02 and abs(r.same - 0.2) < 0.03 and r.lo == 0
+
+
 def test_table_diff_bag_semantics(spark):
     from tessera.operators.combine import table_diff
     a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "z")], "k int, v string")
@@ -119,8 +151,9 @@ def test_table_diff_bag_semantics(spark):
 def test_bootstrap_exact_size_and_power_refine(spark):
     from tessera.operators import combine, scale
     df = spark.range(0, 5000).withColumnRenamed("id", "k")
-    s = combine.bootstrap_exact(df, 120, seed=3)
+    s = combine.bootstrap_exact(df, 120, key="k", seed=3)
     assert s.count() == 120
+    assert combine.bootstrap_exact(df.where("k < 100"), 1500, key="k").count() == 1500
     d = spark.range(1, 3000).select((F.col("id") * F.col("id") / 100.0).alias("x"))
     lam0, l0 = scale.power_lambda(d, "x")
     lam1, l1 = scale.power_lambda_refined(d, "x")

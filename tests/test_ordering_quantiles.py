@@ -24,6 +24,18 @@ def test_with_position_text_keys(spark):
     assert list(got["pos"]) == list(range(3000))
 
 
+def test_with_position_null_and_large_keys(spark):
+    for n, rows in ((40, 2_000_000), (4000, 100)):
+        big = [(None if i % 5 == 0 else 2**60 + i,) for i in range(n)]
+        got = with_position(spark.createDataFrame(big, "k long"), "k", "pos", rows_per_bucket=rows).orderBy("pos").collect()
+        assert [r.pos for r in got] == list(range(n))
+        keys = [r.k for r in got]
+        assert keys == sorted(keys, key=lambda k: (k is not None, k or 0)) and keys.count(None) == n // 5
+    text = [(None,)] * 3 + [(f"v{i:06d}",) for i in range(3000)]
+    got = with_position(spark.createDataFrame(text, "v string"), "v", "pos", rows_per_bucket=5).collect()  # 600 buckets
+    assert sorted(r.pos for r in got) == list(range(3003))
+
+
 def test_range_buckets_monotone(spark):
     df = spark.range(0, 20000).withColumnRenamed("id", "k")
     b, n = range_buckets(df, "k", rows_per_bucket=1000)
