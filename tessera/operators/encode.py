@@ -13,10 +13,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import quantiles
+from ..sources.store import cut_lineage
 from .ordering import with_position
 
 NULL_LABEL = "NULL"
@@ -100,6 +101,26 @@ def min_frequency(df: DataFrame, col: str, base: float = 0.05, strategy: str = "
     return max(1, int(math.floor(v)))
 
 
+def min_frequencies(df: DataFrame, cols: Sequence[str], base: float = 0.05) -> DataFrame:
+    """ENC-4 for many columns and both strategies: (column, strategy, min_freq)
+    from one count of all columns' values; the quantile is read off the
+    number of values that have each count, with linear interpolation."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]))
+    counts = cut_lineage(df.select(pairs.alias("x")).select("x.*").groupBy("column", "value").count()
+                         .groupBy("column", F.col("value").isNull().alias("missing"), F.col("count").alias("n"))
+                         .agg(F.count(F.lit(1)).alias("values")), "min_frequency")
+    own = Window.partitionBy("column").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    known = counts.where("not missing")
+    total = known.groupBy("column").agg(F.sum("values").alias("total")).withColumn("h", (F.col("total") - 1) * base)
+    ranked = known.withColumn("upto", F.sum("values").over(own)).join(total, "column")
+    at = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("n")))
+    low, high = F.floor("h"), F.least(F.floor("h") + 1, F.col("total") - 1)
+    q = (ranked.groupBy("column").agg(at(low).alias("a"), at(high).alias("b"), F.first("h").alias("h"))
+         .select("column", F.lit("percentile").alias("strategy"), (F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h"))).alias("v")))
+    fixed = counts.groupBy("column").agg((F.sum(F.col("n") * F.col("values")) * base).alias("v")).select("column", F.lit("fixed").alias("strategy"), "v")
+    return q.unionByName(fixed).select("column", "strategy", F.greatest(F.lit(1), F.floor("v")).cast("bigint").alias("min_freq"))
+
+
 def rare_codes(train: DataFrame, col: str, min_count: int) -> tuple[DataFrame, DataFrame]:
     """ENC-5 fit: values with train count >= ``min_count`` keep their label,
     others (and null) become 'OTHER'; codes over sorted labels.

@@ -163,6 +163,15 @@ for _name, _cols in _PRESETS.items():
         lambda spark, sf, _name=_name: schema.select_preset(views.trades(spark, sf), _name))
 
 
+@query("prj_xy_split", "PRJ-9", with_views("""
+SELECT row_id, district, area, target AS y FROM trades
+""", "trades"))
+def q_xy_split(spark, sf):
+    t = views.trades(spark, sf).select("row_id", "is_test", "district", "area", "target")
+    x, y = schema.xy_split(t, "target")
+    return x.join(y.withColumnRenamed("target", "y"), "row_id").select("row_id", "district", "area", "y")
+
+
 @query("prj_drop_present_dedupe", ("PRJ-2", "PRJ-3", "PRJ-4", "PRJ-5"), with_views("""
 SELECT row_id, district, hood, area, target FROM trades
 """, "trades"))
@@ -326,7 +335,7 @@ def q_restack(spark, sf):
     return a.unionByName(b).select("row_id", "has_coord")
 
 
-@query("srt_worst_best_100", ("SRT-1", "SRT-3", "EVA-6"), with_views("""
+@query("srt_worst_best_100", ("SRT-1", "EVA-6"), with_views("""
 , m AS (SELECT district, avg(target) AS te FROM trades WHERE is_test = 0 GROUP BY district),
 e AS (SELECT t.row_id, round((t.target - m.te) * (t.target - m.te), 2) AS sq_err
       FROM trades t JOIN m ON t.district = m.district WHERE t.is_test = 1),
@@ -361,14 +370,18 @@ def q_bootstrap(spark, sf):
 SELECT row_id, CAST(trunc(target / 3e0) AS BIGINT) AS pred FROM trades WHERE is_test = 1
 """, "trades"))
 def q_pred_cast(spark, sf):
+    from ..session import scratch_path
+    from ..sources import files
     t = views.trades(spark, sf).where("is_test = 1")
-    return t.select("row_id", (F.col("target") / F.lit(3.0)).cast("bigint").alias("pred"))
+    pred = t.select("row_id", (F.col("target") / F.lit(3.0)).alias("pred"))
+    path = files.write_predictions(pred, scratch_path(spark, "predictions"), "r1", pred="pred")
+    return spark.read.parquet(path)
 
 
 @query("src_csv_roundtrip", ("SRC-1", "SNK-1"), with_views("""
 SELECT row_id, district, heating, deal_type, area, built_year,
        CASE row_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'say "' || hood || '", ' || district WHEN 2 THEN hood || chr(10) || district
-                       WHEN 3 THEN NULL ELSE '\"' END AS note FROM trades
+                       WHEN 3 THEN NULL ELSE '\\"' END AS note FROM trades
 """, "trades"))
 def q_csv(spark, sf):
     from ..sources import files

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import encode
 from ..operators.ordering import with_position
 from ..sources import views
+from ..sources.store import cut_lineage
 from ..sources.tables import table
 from .registry import query
 from .sqltext import with_views
@@ -28,7 +29,7 @@ SELECT t.row_id, t.is_test, ch.code AS heating_code, ch.v AS heating_decoded, cc
 FROM trades t JOIN ch ON coalesce(t.heating, 'NULL') = ch.v JOIN cc ON coalesce(t.complex, 'NULL') = cc.v
 """, "trades"))
 def q_label(spark, sf):
-    t = views.trades(spark, sf).select("row_id", "is_test", "heating", "complex")
+    t = cut_lineage(views.trades(spark, sf).select("row_id", "is_test", "heating", "complex"), "labels")
     train, test = t.where("is_test = 0"), t.where("is_test = 1")
     ch = encode.label_codes(train, test, "heating")
     cc = encode.label_codes(train, test, "complex")
@@ -56,11 +57,7 @@ def q_label_union(spark, sf):
        for c in ["district", "hood", "complex", "heating"]]), "trades"))
 def q_min_freq(spark, sf):
     t = views.trades(spark, sf)
-    rows = []
-    for strategy in ("percentile", "fixed"):
-        for c in ["district", "hood", "complex", "heating"]:
-            rows.append((c, strategy, encode.min_frequency(t, c, 0.05, strategy)))
-    return spark.createDataFrame(rows, "column string, strategy string, min_freq bigint")
+    return encode.min_frequencies(t, ["district", "hood", "complex", "heating"], 0.05)
 
 
 RARE_MIN = 12
@@ -121,6 +118,16 @@ def q_dense(spark, sf):
     return p.join(codes, "p_type").select("p_partkey", "type_code")
 
 
+@query("win_dense_codes_null_bigid", "WIN-4", """
+SELECT o_orderkey, CAST(row_number() OVER (ORDER BY k NULLS FIRST) - 1 AS BIGINT) AS pos
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey <> 7 THEN o_orderkey + 1152921504606846976 END AS k FROM orders)
+""")
+def q_dense_big(spark, sf):
+    k = F.when(F.col("o_orderkey") != 7, F.col("o_orderkey") + F.lit(1152921504606846976))  # beyond 2^53; one null
+    o = table(spark, sf, "orders").select("o_orderkey", k.alias("k"))
+    return with_position(o, "k", "pos").select("o_orderkey", "pos")
+
+
 _FOLD5 = "CAST(((((row_id % 2147483648) * 2654435761) % 4294967296) % 4294967296) % 5 AS INTEGER)"
 
 

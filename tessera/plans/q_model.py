@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from ..operators import cluster, encode, model, runs
-from ..operators.schema import align_to
+from ..functions.scalar import hash_multiplier
+from ..operators import cluster, combine, encode, model, runs
 from ..session import scratch_path
 from ..sources import files, views
 from ..sources.tables import table
@@ -55,7 +55,7 @@ def q_kdist(spark, sf):
     return cluster.k_distance(pts, 5).select("point_id", F.round("kdist", 8).alias("kdist"))
 
 
-@query("clu_kmeans_features", ("CLU-1", "CLU-4", "AGG-10"))
+@query("clu_kmeans_features", ("CLU-1", "AGG-10"))
 def q_kmeans(spark, sf):
     pts = views.cluster_points(spark, sf)
     km = cluster.kmeans_features(pts, ["x", "y"], k=5, seed=42, prefix="cluster_select")
@@ -79,6 +79,30 @@ def q_folds(spark, sf):
     return t.withColumn("holdout", model.is_holdout("row_id", 0.2))
 
 
+_SEEDED = ", ".join(f"((row_id % 2147483648) * {hash_multiplier(s)}) % 4294967296 % 1000 < 200 AS holdout_{s}" for s in (2023, 2024))
+
+
+@query("spl_seeded_holdouts", ("SPL-1", "SPL-2"), with_views(f"""
+SELECT row_id, {_SEEDED}, CAST(((row_id % 2147483648) * {hash_multiplier(2023)}) % 4294967296 % 5 AS INTEGER) AS fold FROM trades
+""", "trades"))
+def q_seeded(spark, sf):
+    t = views.trades(spark, sf).select("row_id")
+    for seed in (2023, 2024):
+        t = t.withColumn(f"holdout_{seed}", model.is_holdout("row_id", 0.2, seed))
+    return model.add_folds(t, 5, seed=2023)
+
+
+@query("smp_bootstrap_exact", "SMP-1", with_views("""
+SELECT 3 * count(*) AS n, 0 AS strangers FROM trades
+""", "trades"))
+def q_bootstrap_exact(spark, sf):
+    """Three times as many draws as rows: the size is exact and every draw is a row."""
+    t = views.trades(spark, sf).select("row_id")
+    drawn = combine.bootstrap_exact(t, 3 * t.count())
+    known = drawn.join(t.withColumnRenamed("row_id", "_known"), F.col("row_id") == F.col("_known"), "left")
+    return known.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_known").isNull()).cast("int").alias("strangers"))
+
+
 @query("eva_kfold_group_mean", ("EVA-2", "EVA-3", "EVA-6"), with_views(f"""
 , d AS (SELECT row_id, district, target, CAST({_FOLD} AS INTEGER) AS fold FROM trades),
 oof AS (SELECT t1.row_id, avg(t2.target) AS m FROM d t1 JOIN d t2 ON t1.district = t2.district AND t2.fold <> t1.fold
@@ -169,7 +193,7 @@ def q_perm(spark, sf):
     return model.permutation_importance(m, val.select("row_id", "target", *cols), cols, repeats=3)
 
 
-@query("exp_runs_table", ("EXP-1", "EXP-2", "EXP-3", "EXP-4", "SNK-3"))
+@query("exp_runs_table", ("EXP-1", "EXP-2", "EXP-3", "EXP-4"))
 def q_runs(spark, sf):
     t = views.trades(spark, sf)
     base = dict(zip(runs.SPACE, ["minimum", "hierarchical", "iqr", "target", "none", "holdout", "linear"]))

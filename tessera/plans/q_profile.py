@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import profile as pf
+from ..operators import schema
 from ..sources import views
+from ..sources.store import cut_lineage
 from ..sources.tables import table
 from .registry import query
 from .sqltext import with_views
@@ -51,8 +53,9 @@ def _profile_sql(num, cat, src="trades", d=D):
 
 @query("agg_profile", ("AGG-1", "TYP-1"), with_views(_profile_sql(NUM, CAT), "trades"))
 def q_profile(spark, sf):
-    t = views.trades(spark, sf)
-    return pf.profile(t, NUM, CAT, digits=D)
+    t = cut_lineage(views.trades(spark, sf).select(*NUM, *CAT), "profile")  # read by several aggregations
+    num, cat = schema.numeric_categorical(t)
+    return pf.profile(t, num, cat, digits=D)
 
 
 def _profile_diff_sql():

@@ -237,7 +237,7 @@ def q_groups(spark, sf):
     return sel.correlated_groups(t, ["area", "area2", "bal", "contract_day"], "target")
 
 
-@query("sel_forward_selection", ("SEL-13", "SEL-14"))
+@query("sel_forward_selection", "SEL-13")
 def q_sfs(spark, sf):
     t = views.trades(spark, sf).where("is_test = 0").select("row_id", "target", "area", "bal", "built_year",
                                                            "contract_day", "lat")
@@ -245,7 +245,7 @@ def q_sfs(spark, sf):
     return spark.createDataFrame(rows, "k int, added string, cv_rmse double, cv_std double")
 
 
-@query("sel_recursive_elimination", ("SEL-12", "SEL-14"))
+@query("sel_recursive_elimination", "SEL-12")
 def q_rfe(spark, sf):
     t = views.trades(spark, sf).where("is_test = 0").select("row_id", "target", "area", "bal", "built_year",
                                                            "contract_day", "lat")
