@@ -100,6 +100,20 @@ def fit_predict(train: DataFrame, test: DataFrame, features, kind: str = "rf", l
     return model, model.transform(assemble(test, features))
 
 
+def cross_validate(df: DataFrame, features, kind: str = "rf", label: str = "target", fold: str = "fold", digits: int = 4, **p) -> DataFrame:
+    """EVA-2: a model fitted for each fold on the other folds; (fold, n, rmse,
+    mae) on the fold itself."""
+    folds = sorted(r[0] for r in df.select(fold).distinct().collect())  # k rows
+    out = None
+    for f in folds:
+        _, pred = fit_predict(df.where(F.col(fold) != f), df.where(F.col(fold) == f), features, kind, label, **p)
+        err = F.col(label) - F.col("prediction")
+        one = pred.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), F.round(F.sqrt(F.avg(err * err)), digits).alias("rmse"),
+                                     F.round(F.avg(F.abs(err)), digits).alias("mae"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def importances(model, features) -> list[tuple[str, float]]:
     """EVA-4 / SRT-2: tree feature importances, sorted descending (k rows)."""
     imp = model.featureImportances.toArray()

@@ -195,15 +195,23 @@ def q_perm(spark, sf):
 
 @query("exp_runs_table", ("EXP-1", "EXP-2", "EXP-3", "EXP-4"))
 def q_runs(spark, sf):
-    t = views.trades(spark, sf)
     base = dict(zip(runs.SPACE, ["minimum", "hierarchical", "iqr", "target", "none", "holdout", "linear"]))
-    configs = [base, {**base, "null": "interpolate"}, {**base, "model": "rf", "params": runs.draw(
-        {"n_estimators": ("int_uniform", 3, 6), "max_depth": ("int_uniform", 3, 6)}, 1, seed=7)[0]}]
-    path = scratch_path(spark, "runs")
-    for i, cfg in enumerate(configs):
-        runs.log_run(spark, path, cfg, runs.run_config(t, cfg), run_id=f"run-{i}")
-    files.write_json(spark.read.parquet(path).select("run_id", "rmse"), os.path.join(path + "_json"))
-    return runs.best_run(spark, path).select("run_id", "rmse")
+    drawn = runs.draw({"n_estimators": ("int_uniform", 3, 6), "max_depth": ("int_uniform", 3, 6)}, 1, seed=7)[0]
+    configs = [base, {**base, "split": "kfold", "features": "features_all"}, {**base, "encoding": "frequency", "scaling": "standard"},
+               {**base, "null": "interpolate", "outlier": "none"}, {**base, "model": "rf", "params": drawn}]
+    return runs.search(views.trades(spark, sf), configs, scratch_path(spark, "runs")).select("run_id", "rmse")
+
+
+@query("eva_kfold_linear", ("EVA-2", "EVA-3"), with_views(f"""
+, d AS (SELECT area + bal / 500e0 AS x, target AS y, {_FOLD} AS fold FROM trades WHERE area IS NOT NULL AND is_test = 0),
+f AS (SELECT g.fold, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM d, (SELECT DISTINCT fold FROM d) g WHERE d.fold <> g.fold GROUP BY 1)
+SELECT CAST(d.fold AS INTEGER) AS fold, count(*) AS n, round(sqrt(avg(pow(y - a * x - b, 2))), 3) AS rmse,
+       round(avg(abs(y - a * x - b)), 3) AS mae FROM d JOIN f ON d.fold = f.fold GROUP BY 1
+""", "trades"))
+def q_kfold_linear(spark, sf):
+    t = views.trades(spark, sf).where("area IS NOT NULL AND is_test = 0") \
+             .select("row_id", "target", (F.col("area") + F.col("bal") / F.lit(500.0)).alias("mix"))
+    return model.cross_validate(model.add_folds(t, 5), ["mix"], "linear", digits=3)
 
 
 @query("clu_fixed_centres", ("CLU-1", "AGG-10"), with_views(_Z + """,
