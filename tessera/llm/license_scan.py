@@ -119,15 +119,20 @@ def license_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.posexplode(_signature(F.col("template"), F.col("bands"))).alias("tband", "tvalue")))
 
     text = F.translate(F.col(text_col).cast("string"), _UPPER, _LOWER)
+    # explode(array(x)) has x computed once for a row: the optimizer repeats an expression wherever it is referred to,
+    # inside lambdas for each element, but it doesn't look through a generator.
+    once = lambda x: F.explode(F.array(x))
     texts = (docs.where(F.col(text_col).cast("string").rlike("(?i)" + "|".join(anchors)))  # (?i) without u: A-Z only
-             .select(F.col(id_col).alias("id"), F.regexp_extract_all(text, F.lit("[a-z0-9]+"), F.lit(0)).alias("words")))
-    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains(lits(anchors), F.element_at("words", i + 1)))
-    placed = (texts.where(F.size("words") > 0).withColumn("at", at).where(F.size("at") > 0).withColumn("kind", F.explode(kinds)).select("*", "kind.*"))
+             .select(F.col(id_col).alias("id"), once(F.regexp_extract_all(text, F.lit("[a-z0-9]+"), F.lit(0))).alias("words")))
+    is_anchor = F.transform("words", lambda w: F.array_contains(lits(anchors), w))
+    at = F.filter(F.transform(is_anchor, lambda hit, i: F.when(hit, i)), lambda i: i.isNotNull())
+    placed = (texts.select("id", "words", once(at).alias("at")).where(F.size("at") > 0)
+              .withColumn("kind", F.explode(kinds)).select("*", "kind.*"))
     starts = F.array_distinct(F.flatten(F.transform("at", lambda p: F.array(
         F.floor(p / F.col("step")).cast("int") * F.col("step"),
         F.greatest(F.floor(p / F.col("step")).cast("int") * F.col("step") - F.col("step"), F.lit(0))))))
     windows = (placed.select("id", "k", "step", "bands", F.explode(F.transform(starts, lambda s: F.slice("words", s + 1, 2 * F.col("step")))).alias("window"))
-               .select("id", "k", "step", "bands", _shingles(F.col("window"), F.col("k")).alias("own")).where(F.size("own") > 0))
+               .select("id", "k", "step", "bands", once(_shingles(F.col("window"), F.col("k"))).alias("own")).where(F.size("own") > 0))
     banded = windows.select("id", "k", "step", "own", F.posexplode(_signature(F.col("own"), F.col("bands"))).alias("band", "value"))
     found = banded.join(F.broadcast(wanted), (F.col("band") == F.col("tband")) & (F.col("value") == F.col("tvalue"))  # bounded: TEMPLATES * bands rows
                         & (F.col("k") == F.col("tk")) & (F.col("step") == F.col("tstep")))
