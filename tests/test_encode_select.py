@@ -201,3 +201,19 @@ def test_schema_split_types_blank_and_prediction_sink(spark):
     assert spark.read.parquet(path).first().target == 12   # truncated as astype(int)
     with pytest.raises(Exception):
         files.write_predictions(df, base, "r1")             # an existing run folder is an error
+
+def test_runs_read_every_axis_and_refuse_unknown_options(spark):
+    from conftest import SF001
+    from tessera.operators import runs
+    from tessera.sources import views
+    assert len(list(runs.grid())) == 6 * 2 * 3 * 3 * 3 * 2 * 4
+    t = views.trades(spark, SF001)
+    base = dict(zip(runs.SPACE, ["minimum", "interpolate", "none", "frequency", "none", "holdout", "linear"]))
+    prefix = runs.cut_lineage(runs.prepared(t, "interpolate", "none"), "test_prefix")
+    scores = [runs.run_config(t, {**base, **change}, prefix)["rmse"] for change in ({}, {"features": "manual"}, {"encoding": "target"}, {"scaling": "log_target"})]
+    assert len(set(scores)) == len(scores) and all(math.isfinite(s) for s in scores)
+    folds = runs.run_config(t, {**base, "split": "kfold"}, prefix)
+    assert len(folds["folds"]) == 5 and math.isclose(folds["rmse"], sum(folds["folds"]) / 5) and folds["n_valid"] == prefix.count()
+    for bad in ({"features": "none such"}, {"colour": "red"}):
+        with pytest.raises(ValueError):
+            runs.run_config(t, bad, prefix)
