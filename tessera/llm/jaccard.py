@@ -7,8 +7,9 @@ Equal sets collapse to one *set*, known by a 64-bit digest of the array.
    min-hash keys, a hashed bitmap signature (its width follows the size) and
    counts of hashed shingles, from which the frequent ones become known.
 2. Sets that share a min-hash key are checked against the key's smallest set,
-   one pair for each set.  This joins most large groups of copies with as many
-   pairs as sets; it only spares work, it decides nothing.
+   one pair for each set, then one for each two components that still meet.
+   This joins most large groups of copies with as many pairs as sets; it only
+   spares work, it decides nothing.
 3. A second pass emits the prefix of each set in order (frequent last, then by
    hash): two sets that link must share a prefix shingle.  Shingles of one set
    only are dropped; so are those whose sets are all one component already.
@@ -18,7 +19,9 @@ Equal sets collapse to one *set*, known by a 64-bit digest of the array.
    sizes and then bit counts of the signatures bound the overlap from above;
    only pairs of different components that may still link come out.
 5. Such pairs are verified by exact intersection of the sorted arrays, and
-   the links give the components.
+   the links give the components.  Steps 4 and 5 run twice: first with the most
+   likely pair of each two components, then, among the components that this
+   leaves apart, with all pairs.
 
 No pair is lost: prefix, size and bitmap tests are necessary conditions, and
 pairs that are not looked at are joined already.  Two different texts count as
@@ -34,7 +37,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,7 @@ _U = np.uint64
 BANDS, ROWS = 6, 2
 SKETCH_BITS = 20
 TILE = 4096
+PAIRS = 1 << 18
 #: Odd multipliers of the min-hash permutations.
 _PERM = tb.mix(np.arange(101, 101 + BANDS * ROWS, dtype=_U)) | _U(1)
 
@@ -155,68 +159,128 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(t[keep]), pa.array(s[keep]), pa.array(n[keep])], ["token", "set_id", "n"])
 
 
-def may_link(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: int, percent: int) -> np.ndarray:
-    """Which rows of signatures ``a`` (sets of sizes ``na``) may link with the
-    one signature ``b``: bits set on one side only bound the overlap."""
-    while a.shape[1] > len(b):
+def _folded(a: np.ndarray, words: int) -> np.ndarray:
+    """Signatures (rows) brought to a width of ``words`` by ORing halves."""
+    while a.shape[1] > words:
         a = a[:, :a.shape[1] // 2] | a[:, a.shape[1] // 2:]
-    while len(b) > a.shape[1]:
-        b = b[:len(b) // 2] | b[len(b) // 2:]
-    only_a = np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64)
-    only_b = np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64)
-    most = np.minimum(na - only_a, nb - only_b)
-    return (100 + percent) * most >= percent * (na + nb)
-
-
-def _tile_pairs(percent: int, across: bool, rows: dict, out: set) -> None:
-    """Candidate pairs of one tile: of home rows with each other, of home rows
-    with guests, and across blocks only pairs of one block with the other."""
-    by_width: dict[int, list[int]] = {}
-    for i, s in enumerate(rows["sig"]):
-        by_width.setdefault(len(s), []).append(i)
-    ids, n, comp, home, block = (np.array(rows[c]) for c in ("set_id", "n", "comp", "home", "block"))
-    groups = {w: (np.array(at), np.frombuffer(b"".join(rows["sig"][i] for i in at), _U).reshape(len(at), w // 8)) for w, at in by_width.items()}
-    for at, sigs in groups.values():
-        for j, i in enumerate(at.tolist()):
-            if not home[i]:
-                continue
-            for others, theirs in groups.values():
-                ok = (comp[others] != comp[i]) & ((ids[others] > ids[i]) | ~home[others])
-                if across:
-                    ok &= block[others] != block[i]
-                ok &= (100 * n[others] >= percent * n[i]) & (percent * n[others] <= 100 * n[i])
-                if not ok.any():
-                    continue
-                near = np.flatnonzero(ok)
-                near = near[may_link(theirs[near], n[others[near]], sigs[j], int(n[i]), percent)]
-                out.update((min(int(ids[i]), x), max(int(ids[i]), x)) for x in ids[others[near]].tolist())
-
-
-def _tiles(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by tile; one tile at a time is held (at most two blocks)."""
-    names = ["token", "band", "bi", "bj", "set_id", "n", "comp", "home", "block", "sig"]
-    out: set = set()
-    tile, held = None, {c: [] for c in names}
+    return a
+
+
+def slack(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """For rows of signatures ``a`` and ``b`` (sets of sizes ``na``, ``nb``): at
+    least 0 if the two sets may link.  Bits that are set on one side only bound
+    the overlap from above."""
+    words = min(a.shape[1], b.shape[1])
+    a, b = _folded(a, words), _folded(b, words)
+    both = np.bitwise_count(a & b).sum(axis=1, dtype=np.int64)
+    only_a = np.bitwise_count(a).sum(axis=1, dtype=np.int64) - both
+    only_b = np.bitwise_count(b).sum(axis=1, dtype=np.int64) - both
+    return (100 + percent) * np.minimum(na - only_a, nb - only_b) - percent * (na + nb)
+
+
+class _Rows:
+    """Rows of whole tiles, sorted by tile and home rows first."""
+
+    def __init__(self, parts: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(parts).combine_chunks()
+        get = lambda c: table[c].combine_chunks().to_numpy(zero_copy_only=False)
+        keys = [get(c) for c in ("token", "band", "bi", "bj")]
+        self.ids, self.n, self.comp, self.home, self.block = (get(c) for c in ("set_id", "n", "comp", "home", "block"))
+        self.n, self.home = self.n.astype(np.int64), self.home.astype(bool)
+        self.across = keys[2] != keys[3]
+        change = np.zeros(max(len(self.ids) - 1, 0), bool)
+        for k in keys:
+            change |= k[1:] != k[:-1]
+        self.starts = np.r_[0, np.flatnonzero(change) + 1]
+        sig = table["sig"].combine_chunks().cast(pa.large_binary())
+        off = np.frombuffer(sig.buffers()[1], np.int64)[sig.offset:sig.offset + len(sig) + 1]
+        data = np.frombuffer(sig.buffers()[2], np.uint8)
+        self.words, self.at, self.sig = np.diff(off) // 8, np.zeros(len(sig), np.int64), {}
+        for w in np.unique(self.words).tolist():
+            rows = np.flatnonzero(self.words == w)
+            self.at[rows] = np.arange(len(rows))
+            self.sig[w] = data[off[rows][:, None] + np.arange(8 * w)].view(_U)
+
+    def slack(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+        out = np.empty(len(i), np.int64)
+        kind = self.words[i] * 256 + self.words[j]
+        for k in np.unique(kind).tolist():
+            own = np.flatnonzero(kind == k)
+            step = max(1, (1 << 20) // max(k // 256, k % 256))  # about 8 MB of signatures at once
+            for lo in range(0, len(own), step):
+                p = own[lo:lo + step]
+                out[p] = slack(self.sig[k // 256][self.at[i[p]]], self.n[i[p]], self.sig[k % 256][self.at[j[p]]], self.n[j[p]], percent)
+        return out
+
+
+def _tile_pairs(percent: int, rows: _Rows, out: dict, best_only: bool) -> None:
+    """Candidate pairs of some tiles: home rows with later home rows and with
+    guests, where blocks differ only across them."""
+    stop = np.repeat(np.r_[rows.starts[1:], len(rows.ids)], np.diff(np.r_[rows.starts, len(rows.ids)]))
+    here = np.arange(len(rows.ids))
+    many = np.where(rows.home, stop - here - 1, 0)
+    upto = np.cumsum(many)
+    lo = 0
+    while lo < len(here):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, side="right")))
+        i = np.repeat(here[lo:hi], many[lo:hi])
+        j = i + 1 + np.arange(len(i)) - np.repeat(upto[lo:hi] - many[lo:hi] - (upto[lo - 1] if lo else 0), many[lo:hi])
+        lo = hi
+        ok = (rows.comp[i] != rows.comp[j]) & (100 * rows.n[j] >= percent * rows.n[i]) & (percent * rows.n[j] <= 100 * rows.n[i])
+        ok &= ~rows.across[i] | (rows.block[i] != rows.block[j])
+        i, j = i[ok], j[ok]
+        a, b = np.minimum(rows.ids[i], rows.ids[j]), np.maximum(rows.ids[i], rows.ids[j])
+        order = np.lexsort((b, a))  # a pair meets in many tiles
+        once = np.r_[True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])][:len(order)]
+        i, j, a, b = (x[order[once]] for x in (i, j, a, b))
+        spare = rows.slack(i, j, percent)
+        near = spare >= 0
+        i, j, a, b, likely = i[near], j[near], a[near], b[near], spare[near] / (rows.n[i[near]] + rows.n[j[near]])
+        ca, cb = np.minimum(rows.comp[i], rows.comp[j]), np.maximum(rows.comp[i], rows.comp[j])
+        if best_only and len(a):
+            order = np.lexsort((likely, cb, ca))
+            last = order[np.r_[(ca[order][1:] != ca[order][:-1]) | (cb[order][1:] != cb[order][:-1]), True]]
+            a, b, ca, cb, likely = (x[last] for x in (a, b, ca, cb, likely))
+        for x, y, u, v, z in zip(a.tolist(), b.tolist(), ca.tolist(), cb.tolist(), likely.tolist()):
+            key = (u, v) if best_only else (x, y)
+            if key not in out or z > out[key][4]:
+                out[key] = (x, y, u, v, z)
+
+
+def _tiles(percent: int, best_only: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs from rows sorted by tile, some whole tiles at a time (one
+    tile has at most two blocks).  ``best_only``: one pair for each two
+    components."""
+    out: dict = {}
+    held: list[pa.RecordBatch] = []
 
     def flush():
-        pairs = pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], ["a", "b"])
+        types = [pa.int64()] * 4 + [pa.float64()]
+        cols = list(zip(*out.values())) or [[]] * 5
+        pairs = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["a", "b", "ca", "cb", "likely"])
         out.clear()
         return pairs
 
     for batch in batches:
-        cols = {c: batch.column(c).to_pylist() for c in names}
-        keys = list(zip(*(cols[c] for c in names[:4])))
-        for r, key in enumerate(keys):
-            if key != tile:
-                if len(held["n"]) > 1:
-                    _tile_pairs(percent, tile[2] != tile[3], held, out)
-                tile, held = key, {c: [] for c in names}
-            for c in names[4:]:
-                held[c].append(cols[c][r])
+        if not len(batch):
+            continue
+        keys = [batch.column(c).to_numpy() for c in ("token", "band", "bi", "bj")]
+        change = np.zeros(len(batch) - 1, bool)
+        for k in keys:
+            change |= k[1:] != k[:-1]
+        if held and any(h.column(c)[-1].as_py() != batch.column(c)[0].as_py() for h in held[-1:] for c in ("token", "band", "bi", "bj")):
+            _tile_pairs(percent, _Rows(held), out, best_only)
+            held = []
+        cuts = np.flatnonzero(change)
+        if len(cuts):
+            _tile_pairs(percent, _Rows([*held, batch.slice(0, int(cuts[-1]) + 1)]), out, best_only)
+            held = []
+            batch = batch.slice(int(cuts[-1]) + 1)
+        held.append(batch)
         if len(out) > 100_000:
             yield flush()
-    if len(held["n"]) > 1:
-        _tile_pairs(percent, tile[2] != tile[3], held, out)
+    if held:
+        _tile_pairs(percent, _Rows(held), out, best_only)
     yield flush()
 
 
@@ -267,6 +331,21 @@ def _verified(spark: SparkSession, texts: DataFrame, pairs: DataFrame, sets: Dat
     return written(arrow_map(both.select("a", "b", "x", "y"), partial(_overlaps, percent), "a long, b long"), "jac-links")
 
 
+def _one_each(pairs: DataFrame, by: str) -> DataFrame:
+    """Of pairs (a, b) with their components (ca, cb): the one of greatest ``by``
+    for each two components."""
+    return (pairs.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y"))
+            .agg(F.max_by(F.struct("a", "b"), F.struct(by, "a", "b")).alias("p")).select("p.a", "p.b"))
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs of sets of different components, with those as ca and cb."""
+    one = comps.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    two = comps.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    return (pairs.join(one, "a", "left").join(two, "b", "left")
+            .withColumn("ca", F.coalesce("la", "a")).withColumn("cb", F.coalesce("lb", "b")).where("ca <> cb"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        k: int = 5, percent: int = 75) -> DataFrame:
     """(id_col, n_shingles, component_id) for each row of ``docs``: the number
@@ -282,13 +361,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                    .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")),
                    "jac-sets")
 
-    # Groups of copies: one pair for each set, with the smallest set of the key that it shares most often.
+    # Groups of copies: each set with the smallest set of the key that it shares most often, then components that meet.
     keyed = sets.select("set_id", F.explode("keys").alias("key"))
     hubs = keyed.groupBy("key").agg(F.min("set_id").alias("b"), F.max("set_id").alias("top")).where("b <> top").select("key", "b")
-    pairs = (keyed.join(hubs, "key").where("set_id <> b").groupBy("set_id", "b").count()
-             .groupBy(F.col("set_id").alias("a")).agg(F.max_by("b", F.struct("count", "b")).alias("b")))
-    known = _verified(spark, texts, written(pairs, "jac-copies"), sets, k, percent)
-    comps = components(known)
+    met = written(keyed.join(hubs, "key").where("set_id <> b").groupBy(F.col("set_id").alias("a"), "b").count(), "jac-met")
+    links = [_verified(spark, texts, written(met.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")), "jac-copies"), sets, k, percent)]
+    for _ in range(2):
+        apart = _apart(met, components(reduce(DataFrame.union, links)))
+        pairs = written(_one_each(apart, "count"), "jac-copies")
+        if not pairs.take(1):
+            break
+        links.append(_verified(spark, texts, pairs, sets, k, percent))
 
     heavy = profile.where("slot is not null").groupBy("slot").agg(F.sum("seen").alias("seen")).toPandas()  # at most 2**SKETCH_BITS rows
     rank = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -297,24 +380,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     schema = "token long, set_id long, n int"
     prefixes = arrow_map(texts.select("text"), partial(_prefixes, k, percent, rank), schema)
     shared = arrow_map(prefixes.repartition("token").sortWithinPartitions("token", "set_id"), _shared, schema)
-    shared = written(shared.join(comps.withColumnRenamed("node", "set_id"), "set_id", "left")
-                     .select("token", "set_id", "n", F.coalesce("label", "set_id").alias("comp")), "jac-shared")
-    mixed = (shared.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"))
-             .where("x <> y").select("token", "members"))
+    shared = written(shared, "jac-shared")
     band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
-    blocks = F.ceil(F.col("members") / TILE).cast("int")
-    placed = (shared.join(mixed, "token").join(sets.select("set_id", "sig"), "set_id")
-              .withColumn("own", band).withColumn("blocks", blocks)
-              .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other"))
-              .withColumn("home", F.explode(F.array(F.lit(True), F.lit(False))))
-              .withColumn("band", F.when(F.col("home"), F.col("own")).otherwise(F.col("own") - 1)))
-    tiles = (placed.select("token", "band", "bi", "bj", "set_id", "n", "comp", "home", "block", "sig")
-             .repartition("token", "band", "bi", "bj").sortWithinPartitions("token", "band", "bi", "bj"))
-    tiled = arrow_map(tiles, partial(_tiles, percent), "a long, b long").distinct()
-    more = _verified(spark, texts, written(tiled, "jac-candidates"), sets, k, percent)
-    labels = components(known.union(more))
+    for best_only in (True, False):
+        comps = components(reduce(DataFrame.union, links)).withColumnRenamed("node", "set_id")
+        known = shared.join(comps, "set_id", "left").withColumn("comp", F.coalesce("label", "set_id")).drop("label")
+        mixed = (known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"))
+                 .where("x <> y").select("token", F.ceil(F.col("members") / TILE).cast("int").alias("blocks")))
+        placed = (known.join(mixed, "token").join(sets.select("set_id", "sig"), "set_id").withColumn("own", band)
+                  .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                  .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other"))
+                  .withColumn("home", F.explode(F.array(F.lit(True), F.lit(False))))
+                  .withColumn("band", F.when(F.col("home"), F.col("own")).otherwise(F.col("own") - 1)))
+        tile = ["token", "band", "bi", "bj"]
+        dealt = (placed.select(*tile, "set_id", "n", "comp", "home", "block", "sig")
+                 .repartition(*tile).sortWithinPartitions(*tile, F.desc("home")))
+        found = arrow_map(dealt, partial(_tiles, percent, best_only), "a long, b long, ca long, cb long, likely double")
+        pairs = written(_one_each(found, "likely") if best_only else found.select("a", "b").distinct(), "jac-candidates")
+        if not pairs.take(1):
+            break
+        links.append(_verified(spark, texts, pairs, sets, k, percent))
+    labels = components(reduce(DataFrame.union, links))
 
     member = (rows.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
               .select("id", "n", F.coalesce("label", "set_id").alias("comp")))
