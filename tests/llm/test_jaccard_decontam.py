@@ -50,7 +50,7 @@ def test_long_text_is_hashed_in_pieces():
 def test_bitmap_bound_never_rules_out_a_link(a, extra, data):
     b = {x for x in a if data.draw(st.booleans())} | extra or {1}
     u, v = (np.array(sorted(s), np.uint64) for s in (a, b))
-    spare = slack(signature(u)[None], np.array([len(u)]), signature(v), len(v), 75)[0]
+    spare = slack(signature(u)[None], np.array([len(u)]), signature(v)[None], np.array([len(v)]), 75)[0]
     common = len(a & b)
     assert spare >= 175 * common - 75 * (len(a) + len(b))
     assert (set_digest(u) == set_digest(v)) == (a == b)
