@@ -34,16 +34,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of near-equal shingle sets hold
-    together: the one of smallest id.  A document without words has no links and
-    stays.  Rows that repeat an id are one document, the least of them by the
-    other columns."""
-    groups = jaccard_components(docs.select("doc_id", "text"))
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    if docs.groupBy("doc_id").count().where("count > 1").take(1):
-        rest = [c for c in docs.columns if c != "doc_id"]
-        docs = docs.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row")).select("doc_id", "_row.*").select(*docs.columns)
-    return docs.join(kept, docs.doc_id.eqNullSafe(F.col("_kept")), "left_semi")
+    """One row of each group that links of near-equal shingle sets hold together:
+    the one of smallest id (a null id is the largest; rows that share the id:
+    any one).  A row without words has no links and stays.  Rows are told apart
+    by a key of their own, so those that only share an id, or have none, stay."""
+    keyed = written(docs.withColumn("_key", F.monotonically_increasing_id()), "pipeline-keyed")
+    groups = jaccard_components(keyed, "_key").join(keyed.select("_key", "doc_id"), "_key")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key"))
+    kept = groups.groupBy("component_id").agg(least.alias("least")).select(F.col("least._key").alias("_key"))
+    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

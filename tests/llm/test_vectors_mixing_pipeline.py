@@ -147,3 +147,15 @@ def test_pipeline_stages(spark):
     empty = docs.select(*columns).where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_near_copies_go_by_row_and_not_by_id(spark):
+    words = lambda tag: " ".join(f"{tag}{i}" for i in range(30))
+    rows = [(3, words("a")), (5, words("a")), (5, words("b")), (None, words("c")), (None, words("d")), (None, words("d")), (None, words("b")),
+            (7, words("e")), (7, words("f")), (8, None), (8, None), (9, words("a") + " more")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], spark.read.parquet(f"{SF}/documents.parquet").schema)
+    for n in (1, 5):
+        got = corpus_pipeline.drop_near_copies(spark, docs.repartition(n), SF)
+        assert got.columns == docs.columns
+        assert sorted((str(r.doc_id), str(r.text)[0]) for r in got.collect()) == sorted(
+            [("3", "a"), ("5", "b"), ("None", "c"), ("None", "d"), ("7", "e"), ("7", "f"), ("8", "N"), ("8", "N")])
