@@ -8,15 +8,14 @@ block of earliest deadline.  As the weights add up to one, no deadline is missed
 so after any number of slots t a source has had between t * w - 1 and t * w + 1
 blocks, and never differs from its target by a block or more.
 
-Scale.  Weights are rounded to parts of ``period`` slots.  A schedule of such
-weights repeats after a period, so only one period is computed, on the driver; a
-block's slot follows from its number by a lookup and an addition.  When a source
-ends, the weights of the rest are scaled up and a next phase begins, with the
-same bound; nothing is repeated and nothing is left out.  There are at most as
-many phases as sources, so the broadcast lookup table has at most sources *
-period numbers, whatever the number of blocks; more than ``SOURCES`` sources are
-an error.  The hashed order is made in buckets of a source, so a source that holds
-most rows is ordered by many tasks.
+Scale.  Weights are exact fractions, nothing is rounded.  When a source ends, the
+weights of the rest are scaled up and a next phase begins, with the same bound;
+nothing is repeated and nothing is left out.  The driver schedules the blocks, not
+the rows: it holds two numbers for each block (12 bytes), and sends them to the
+tasks as a lookup table of ``PIECE`` blocks a row.  Weights that repeat within
+``period`` slots are scheduled for one period only.  More than ``SOURCES`` sources
+are an error.  The hashed order is made in buckets of a source, so a source that
+holds most rows is ordered by many tasks.
 
 Nulls and the like: a null source is a source of its own, named "null".  A target
 that no row has is left out and the rest scaled up; a source without a target, or
@@ -28,6 +27,8 @@ as often as they went in.  No rows: no rows.
 from __future__ import annotations
 
 import heapq
+import math
+from array import array
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -37,63 +38,53 @@ from pyspark.sql import functions as F
 from .scratch import written
 
 SOURCES = 2000
-_TABLE = "source string, phase int, base long, from_block long, to_block long, parts int, length int, slots array<int>"
+PIECE = 2048
+_TABLE = "source string, piece long, slots array<long>, phases array<int>"
 
 
-def rounded(weights: dict[str, Fraction], period: int) -> dict[str, int]:
-    """Parts of ``period`` for each weight: at least one each, largest
-    remainders first, adding up to ``period``."""
-    total = sum(weights.values())
-    exact = {s: w * period / total for s, w in weights.items()}
-    parts = {s: max(1, int(x)) for s, x in exact.items()}
-    order = sorted(weights, key=lambda s: (parts[s] - exact[s], s))
-    i = 0
-    while sum(parts.values()) < period:
-        parts[order[i % len(order)]] += 1
-        i += 1
-    while sum(parts.values()) > period:
-        largest = max(parts, key=lambda s: (parts[s], s))
-        parts[largest] -= 1
-    return parts
-
-
-def one_period(parts: dict[str, int]) -> list[str]:
-    """The source of each slot of a period, by earliest deadline among the
-    released blocks (ties: the heavier source, then by name)."""
+def earliest_deadline(parts: dict[str, int], blocks: dict[str, int], length: int) -> list[str]:
+    """The source of each slot by earliest deadline among the released blocks
+    (ties: the heavier source, then by name), for weights in proportion to
+    ``parts``, up to the slot in which a source has had all its blocks, and for
+    ``length`` slots at most."""
     period = sum(parts.values())
     coming = [(0, s, 1) for s in sorted(parts)]
     heapq.heapify(coming)
     ready: list = []
     out = []
-    for slot in range(period):
+    for slot in range(length):
         while coming and coming[0][0] <= slot:
             _, s, j = heapq.heappop(coming)
             heapq.heappush(ready, (-(-j * period // parts[s]), -parts[s], s, j))
         _, _, s, j = heapq.heappop(ready)
         out.append(s)
-        if j < parts[s]:
-            heapq.heappush(coming, (j * period // parts[s], s, j + 1))
+        if j == blocks[s]:
+            break
+        heapq.heappush(coming, (j * period // parts[s], s, j + 1))
     return out
 
 
 def phases(weights: dict[str, Fraction], blocks: dict[str, int], period: int) -> Iterator[tuple[int, dict, dict, list[str]]]:
-    """(first slot, blocks already had, parts, slots of a period) of each phase;
-    a phase ends with the slot in which one of its sources ends."""
+    """(first slot, blocks already had, exact targets, source of each slot) of
+    each phase; a phase ends with the slot in which one of its sources ends.
+    Weights that repeat within ``period`` slots are scheduled for one period."""
+    unit = math.lcm(*(w.denominator for w in weights.values()))
+    whole = {s: int(w * unit) for s, w in weights.items()}
     had, base = dict.fromkeys(weights, 0), 0
-    while live := {s: weights[s] for s in weights if had[s] < blocks[s]}:
-        parts = rounded(live, max(period, len(live)))
-        slots = one_period(parts)
-        yield base, dict(had), parts, slots
-        nth: dict[str, list[int]] = {s: [] for s in live}
-        for i, s in enumerate(slots):
-            nth[s].append(i)
-        length = len(slots)
-        last = {s: (blocks[s] - had[s] - 1) // parts[s] * length + nth[s][(blocks[s] - had[s] - 1) % parts[s]] for s in live}
-        end = min(last.values())  # the slot in which the first source ends
-        whole, rest = divmod(end + 1, length)
-        for s in live:
-            had[s] += whole * parts[s] + sum(1 for i in nth[s] if i < rest)
-        base += end + 1
+    while live := sorted(s for s in weights if had[s] < blocks[s]):
+        common = math.gcd(*(whole[s] for s in live))
+        parts = {s: whole[s] // common for s in live}
+        total, left = sum(parts.values()), {s: blocks[s] - had[s] for s in live}
+        if total <= period:
+            again = min((left[s] - 1) // parts[s] for s in live)  # whole periods before the one in which a source ends
+            slots = earliest_deadline(parts, dict.fromkeys(live, 0), total) * again
+            slots += earliest_deadline(parts, {s: left[s] - again * parts[s] for s in live}, total)
+        else:
+            slots = earliest_deadline(parts, left, sum(left.values()))
+        yield base, dict(had), {s: Fraction(parts[s] * len(slots), total) for s in live}, slots
+        for s in slots:
+            had[s] += 1
+        base += len(slots)
 
 
 def mix(rows: DataFrame, source_col: str, weights: dict[str, float] | float, block: int, size: Column | None = None,
@@ -120,16 +111,16 @@ def mix(rows: DataFrame, source_col: str, weights: dict[str, float] | float, blo
     wanted = weights if isinstance(weights, dict) else {s: n ** weights for s, n in totals.items()}
     targets = {s: Fraction(w) for s, w in wanted.items() if s in blocks and w > 0}
     others = {s: Fraction(n) for s, n in blocks.items() if s not in targets}
-    table, base, number = [], 0, 0
+    slot_of, phase_of, slot, number = {s: array("q") for s in blocks}, {s: array("i") for s in blocks}, 0, 0
     for group in (targets, others):
-        spans = list(phases(group, blocks, period))
-        for i, (start, had, parts, slots) in enumerate(spans):
-            after = spans[i + 1][1] if i + 1 < len(spans) else blocks
-            for s in parts:
-                own = [at for at, name in enumerate(slots) if name == s] if len(parts) > 1 else list(range(len(slots)))
-                table.append((s, number, base + start, had[s], after[s], parts[s], len(slots), own))
+        for _, _, _, slots in phases(group, blocks, period):
+            for s in slots:
+                slot_of[s].append(slot)
+                phase_of[s].append(number)
+                slot += 1
             number += 1
-        base += sum(blocks[s] for s in group)
+    table = [(s, lo // PIECE, slot_of[s][lo:lo + PIECE].tolist(), phase_of[s][lo:lo + PIECE].tolist())
+             for s in sorted(blocks) for lo in range(0, blocks[s], PIECE)]
 
     before = lambda w: F.coalesce(F.sum("units").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sums.select("source", "bucket", before(Window.partitionBy("source").orderBy("bucket")).alias("offset"))
@@ -137,9 +128,7 @@ def mix(rows: DataFrame, source_col: str, weights: dict[str, float] | float, blo
               .join(F.broadcast(offsets), ["source", "bucket"])  # at most SOURCES * buckets rows
               .withColumn("start", F.col("start") + F.col("offset")).withColumn("block", F.floor(F.col("start") / block)))
     lookup = F.broadcast(spark.createDataFrame(table, _TABLE).withColumnRenamed("source", "of"))
-    into = F.col("block") - F.col("from_block")
-    return (placed.join(lookup, (F.col("source") == F.col("of")) & (F.col("block") >= F.col("from_block")) & (F.col("block") < F.col("to_block")))
-            .select("row", "phase", "block",
-                    (F.col("base") + F.floor(into / F.col("parts")) * F.col("length")
-                     + F.element_at("slots", (into % F.col("parts") + 1).cast("int"))).alias("slot"),
+    nth = (F.col("block") % PIECE + 1).cast("int")
+    return (placed.join(lookup, (F.col("source") == F.col("of")) & (F.floor(F.col("block") / PIECE) == F.col("piece")))
+            .select("row", F.element_at("phases", nth).alias("phase"), "block", F.element_at("slots", nth).alias("slot"),
                     (F.col("start") - F.col("block") * block).alias("at")))

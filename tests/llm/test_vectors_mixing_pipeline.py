@@ -86,6 +86,19 @@ def test_schedule_stays_within_a_block():
         assert had == blocks
 
 
+def test_schedule_stays_within_a_block_of_the_exact_weights():
+    many = {f"s{i}": Fraction(1, 2 * 1499) for i in range(1499)} | {"half": Fraction(1, 2)}
+    for weights, blocks in ((dict(a=Fraction(0.5 ** 0.5), b=Fraction(3 ** -0.5), c=Fraction(1, 9_000)), dict(a=60_000, b=60_000, c=60_000)),
+                            (dict(a=Fraction(1, 3), b=Fraction(1, 3_001)), dict(a=20_000, b=20_000)), (many, dict.fromkeys(many, 4_000))):
+        (start, before, _, slots), count = next(mixing.phases(weights, blocks, 2000)), dict.fromkeys(weights, 0)
+        assert start == 0 and not any(before.values())
+        total, some = sum(weights.values()), sorted(weights)[:3]
+        for t, s in enumerate(slots, 1):
+            count[s] += 1
+            assert all(abs(count[s] - float(weights[s] * t / total)) < 1 for s in (some if t % 1000 else weights))
+        assert max(count.values()) == max(blocks.values())
+
+
 def check_mix(rows, got, size, block):
     """Every row once; blocks of a source in order; a slot has one block."""
     assert sorted(str(r.row) for r in got) == sorted(map(str, rows))
