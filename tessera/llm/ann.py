@@ -69,6 +69,10 @@ def nearest(queries: Block, cands: Block, best: tuple[np.ndarray, np.ndarray], k
     about[own] = -np.inf
     low = about - slack
     floor = scores[:, -1]
+    own_id, nth_id = np.unique(cands.ids, return_inverse=True)
+    if len(own_id) < len(cands.ids):  # one bound for each id, its best, as results count an id once
+        order = np.argsort(nth_id, kind="stable")
+        low = np.maximum.reduceat(low[:, order], np.searchsorted(nth_id[order], np.arange(len(own_id))), axis=1)
     if low.shape[1] >= k:
         floor = np.maximum(floor, -np.partition(-low, k - 1, axis=1)[:, k - 1])
     row, col = np.nonzero((about + slack >= floor[:, None]) & ~own)

@@ -62,6 +62,15 @@ def test_neighbours_edge_cases(spark, block):
     assert ann.nearest_neighbours(frame.where("false"), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_neighbours_where_an_id_repeats(spark):
+    from pyspark.sql import functions as F
+    rows = [(0, [1.0, 0.0])] + [(1, [1.0, 0.1 + i / 1000]) for i in range(40)] + [(i, [1.0, float(i)]) for i in range(2, 9)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = found(ann.nearest_neighbours(frame, F.col("vec_id") == 0))
+    assert [i for i, _ in got[0]] == [1, 2, 3, 4, 5]
+    same(got, neighbours(rows, {0}, 5))
+
+
 def _scaled(rows):
     small = [(i, [x / 1e300 for x in v] if i == 210 else v) for i, v in rows]
     return neighbours(small, {i for i, _ in rows if i is not None and i % 10 == 0}, 5)
