@@ -18,8 +18,9 @@ page order.  Nothing is cut or capped.
 
 Nulls and the like: a null or empty page, or one whose best region has no word,
 has the empty text.  Malformed markup is read as browsers do it for the cases that
-matter: unclosed elements end with their container, an unclosed script or comment
-runs to the end, a ``<`` that starts no tag is text.  Of equal regions the first
+matter: unclosed elements end with their container, at any depth, and rows, cells,
+items and paragraphs with the next one of their kind in it; an unclosed script or
+comment runs to the end, a ``<`` that starts no tag is text.  Of equal regions the first
 counts.  Every row comes out once, repeated ones too.
 """
 
@@ -56,6 +57,14 @@ _HINTED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=$|[\s=/])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _PARTS = re.compile(r"[a-z]+|\d+")
 UNSEEN, UNSEEN_INLINE, SKIPPED = -4.0, -0.05, -0.5
+#: An opening tag of a key ends the open elements of the first names that no element of the second names holds.
+_CELL, _ROWS = ("td", "th"), ("tbody", "thead", "tfoot")
+SIBLINGS = {name: (group, walls) for names, group, walls in (
+    (("td", "th"), _CELL, ("table",)), (("tr",), ("tr", *_CELL), ("table",)), (_ROWS, (*_ROWS, "tr", *_CELL), ("table",)),
+    (("option",), ("option",), ("select", "datalist", "table"))) for name in names}
+#: The same for list items and paragraphs, of which the walls are all blocks that are not in ``LOOSE`` (for p: all blocks).
+ITEMS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "p": ("p",)}
+LOOSE = frozenset("address div p".split())
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -98,32 +107,73 @@ def is_furniture(name: str, attrs: str, within: bool) -> bool:
     return any(not HINTS.isdisjoint(_PARTS.findall((a or b or c).lower())) for a, b, c in _HINTED.findall(attrs))
 
 
+class _Open:
+    """The open elements of a page, each found by its name at any depth."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool]] = []  # name, and whether it starts furniture
+        self.at: dict[str, list[int]] = {}  # places of each name in the stack
+        self.blocks: list[int] = []  # places of blocks
+        self.walls: list[int] = []  # places of blocks not in LOOSE
+        self.dark = 0  # how many start furniture
+
+    def last(self, name: str) -> int:
+        own = self.at.get(name)
+        return own[-1] if own else -1
+
+    def push(self, name: str, own: bool) -> None:
+        place = len(self.stack)
+        self.stack.append((name, own))
+        self.at.setdefault(name, []).append(place)
+        if name in BLOCKS or name == "button":
+            self.blocks.append(place)
+            if name not in LOOSE:
+                self.walls.append(place)
+        self.dark += own
+
+    def end(self, place: int) -> None:
+        """The element at a place, and all inside it, end."""
+        while len(self.stack) > place:
+            name, own = self.stack.pop()
+            self.at[name].pop()
+            self.dark -= own
+        for places in (self.blocks, self.walls):
+            while places and places[-1] >= place:
+                places.pop()
+
+    def end_siblings(self, name: str) -> None:
+        """What an opening tag ends: the open row, cell, item or paragraph
+        before it in the same container."""
+        if name in ITEMS:
+            places = self.blocks if name == "p" else self.walls
+            if places and self.stack[places[-1]][0] in ITEMS[name]:
+                self.end(places[-1])
+        elif name in SIBLINGS:
+            group, walls = SIBLINGS[name]
+            wall = max(map(self.last, walls))
+            if places := [p for p in map(self.last, group) if p > wall]:
+                self.end(min(places))
+
+
 def items(page: str) -> Iterator[tuple[str, str, bool]]:
     """(kind, text, furniture): words have the kind 'text', tags their name, with
     a slash if closing and a plus if they open furniture."""
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each starts furniture
-    dark = articles = 0
+    open_ = _Open()
     for what, name, attrs in tokens(page):
         if what == "text":
-            yield "text", name, dark > 0
+            yield "text", name, open_.dark > 0
         elif what == "open":
-            own = name not in VOID and is_furniture(name, attrs, articles > 0)
-            yield name + "+" * own, "", dark > 0 or own
+            open_.end_siblings(name)
+            own = name not in VOID and is_furniture(name, attrs, open_.last("article") >= 0)
+            yield name + "+" * own, "", open_.dark > 0 or own
             if name in VOID or attrs.endswith("/") or (name not in BLOCKS and not own):
                 continue
-            if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == name:
-                dark -= stack.pop()[1]
-            stack.append((name, own))
-            dark += own
-            articles += name == "article"
+            open_.push(name, own)
         else:
-            own = dark > 0
-            at = next((i for i in range(len(stack) - 1, max(-1, len(stack) - 200), -1) if stack[i][0] == name), None)
-            if at is not None:
-                for left, was in stack[at:]:
-                    dark -= was
-                    articles -= left == "article"
-                del stack[at:]
+            own = open_.dark > 0
+            at = open_.last(name)
+            if at >= 0:
+                open_.end(at)
             yield "/" + name, "", own
 
 

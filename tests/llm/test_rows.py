@@ -45,6 +45,21 @@ def test_extraction_cases(page, text):
     assert html_extract.extract(page, WEIGHTS) == text
 
 
+@pytest.mark.parametrize("unit", ["<div>m ", "<li><p>m ", "<table><tr><td>m ", "<tr><td>m ", "<dt>m<dd>m ", "<p><span class=ad>m "])
+@pytest.mark.parametrize("outer", ["nav", "form", "section class=comments"])
+def test_extraction_closes_containers_at_any_depth(outer, unit):
+    page = f"<{outer}>{unit * 300}</{outer.split()[0]}><article><p>the article text</p></article>"
+    assert html_extract.extract(page, WEIGHTS | {"article": -0.05, "/article": -0.05}) == "the article text"
+
+
+def test_extraction_ends_open_siblings():
+    dark = lambda page: [(t.strip(), d) for k, t, d in html_extract.items(page) if k == "text"]
+    assert dark("<ul><li class=ad><p>a<li>b<ul><li class=ad>c</ul>d</ul>") == [("a", True), ("b", False), ("c", True), ("d", False)]
+    assert dark("<dl><dt class=ad>a<dd>b<dt>c</dl>") == [("a", True), ("b", False), ("c", False)]
+    assert dark("<table><tr><td class=ad><div>a<td>b<tr class=ad><td>c<table><tr><td>d</table>e<tr><td>f</table>") == [
+        ("a", True), ("b", False), ("c", True), ("d", True), ("e", True), ("f", False)]
+
+
 def test_extraction_of_odd_markup_is_linear():
     for page in ("<a <a <a" * 30_000, "<" * 200_000, '<a "' * 30_000, "<div>" * 50_000 + "x", "</p>" * 50_000 + "x"):
         html_extract.extract(page, WEIGHTS)
