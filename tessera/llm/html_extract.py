@@ -19,8 +19,9 @@ page order.  Nothing is cut or capped.
 Nulls and the like: a null or empty page, or one whose best region has no word,
 has the empty text.  Malformed markup is read as browsers do it for the cases that
 matter: unclosed elements end with their container, at any depth, and rows, cells,
-items and paragraphs with the next one of their kind in it; an unclosed script or
-comment runs to the end, a ``<`` that starts no tag is text.  Of equal regions the first
+items and paragraphs with the next one of their kind in it; quoted attribute values
+have any length, and a tag whose quote or end is missing ends at its first ``>``; an
+unclosed script or comment runs to the end, a ``<`` that starts no tag is text.  Of equal regions the first
 counts.  Every row comes out once, repeated ones too.
 """
 
@@ -52,9 +53,11 @@ HINTS = frozenset("ad ads advert advertisement advertising sponsor sponsored pro
                   "notification alert modal popup overlay sidebar rail menu nav navbar navigation breadcrumb breadcrumbs pagination pager "
                   "footer masthead topbar toolbar comment comments reply replies disqus respond share sharing social related recommended "
                   "newsletter subscribe subscription signup login search widget contentinfo complementary".split())
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]{0,5000}"|'[^']{0,5000}'|[^'">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<!--|<[!?/][^>]*>""")
-_HINTED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=$|[\s=/])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)|<!--|<[!?/][^>]*>""")
+_VALUE = re.compile(r"""=\s*(?:(["'])|[^\s>]*)|>""")
+_TELLING = re.compile(r"class|id|role|style", re.I)  # "hidden" has "id", too
+_ATTRIBUTE = re.compile(r"""([^\s/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]*)))?""")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[a-z]+|\d+")
 UNSEEN, UNSEEN_INLINE, SKIPPED = -4.0, -0.05, -0.5
 #: An opening tag of a key ends the open elements of the first names that no element of the second names holds.
@@ -67,24 +70,51 @@ ITEMS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "p": ("p",)}
 LOOSE = frozenset("address div p".split())
 
 
+def _tag_end(page: str, at: int, lost: set[int], unclosed: set[str]) -> int:
+    """Where the ``>`` of a tag lies whose attributes begin at ``at``: the first
+    outside quoted values, or the first of all if a quote or the tag never ends.
+    ``lost`` has the values from which no end was found, ``unclosed`` the quotes
+    that do not occur again, so that no part of a page is searched many times."""
+    first = page.find(">", at)
+    if page.find("=", at, first) < 0:
+        return first
+    seen, pos = [], at
+    while (m := _VALUE.search(page, pos)) is not None and m.start() not in lost:
+        if m[0] == ">":
+            return m.start()
+        seen.append(m.start())
+        pos = m.end()
+        if m[1]:
+            stop = -1 if m[1] in unclosed else page.find(m[1], pos)
+            if stop < 0:
+                unclosed.add(m[1])
+                break
+            pos = stop + 1
+    lost.update(seen)
+    return first
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     """('text', raw text, '') and ('open' or 'close', name, attributes); what
     comments, scripts, styles and their like hold is left out."""
     at, end = 0, page.rfind(">") + 1
+    lost: set[int] = set()
+    unclosed: set[str] = set()
     while at < end and (m := _TAG.search(page, at, end)) is not None:
         if m.start() > at:
             yield "text", page[at:m.start()], ""
         at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        name = (m[2] or "").lower()
         if not name:
             if m[0] == "<!--":
                 stop = page.find("-->", at)
                 at = stop + 3 if stop >= 0 else len(page)
             continue
-        if m[1] or m[4]:
+        stop = _tag_end(page, at, lost, unclosed)
+        attrs, at = page[at:stop], stop + 1
+        if m[1]:
             yield "close", name, ""
             continue
-        attrs = m[3] or m[6] or ""
         if name in RAW:
             if not attrs.endswith("/"):
                 stop = re.compile(rf"</{re.escape(name)}\s*>?", re.I).search(page, at)
@@ -102,9 +132,15 @@ def is_furniture(name: str, attrs: str, within: bool) -> bool:
         return True
     if not attrs or name in ("html", "body", "article", "main"):
         return False
-    if _HIDDEN.search(attrs):
-        return True
-    return any(not HINTS.isdisjoint(_PARTS.findall((a or b or c).lower())) for a, b, c in _HINTED.findall(attrs))
+    if not _TELLING.search(attrs):
+        return False
+    for key, *values in _ATTRIBUTE.findall(attrs):
+        key, value = key.lower(), "".join(values).lower()
+        if key == "hidden" or (key == "aria-hidden" and value.strip().startswith("true")) or (key == "style" and _NONE.search(value)):
+            return True
+        if re.split("[-:]", key)[-1] in ("class", "id", "role") and not HINTS.isdisjoint(_PARTS.findall(value)):
+            return True
+    return False
 
 
 class _Open:

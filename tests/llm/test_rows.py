@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -60,6 +61,22 @@ def test_extraction_ends_open_siblings():
         ("a", True), ("b", False), ("c", True), ("d", True), ("e", True), ("f", False)]
 
 
+@pytest.mark.parametrize("quote, value", [('"', "<script>var a = '1' > 0;"), ("'", '<div class="nav" hidden> five words of the value')])
+def test_extraction_long_attribute_values(quote, value):
+    for n in (1, 1000):
+        page = f"<p data-x={quote}{value * n}{quote}>kept</p><p title = {quote}>{quote}>too</p>"
+        assert html_extract.extract(page, WEIGHTS) == "kept\n\ntoo"
+    assert html_extract.extract(f"<p title={quote}never closed>kept</p>", WEIGHTS) == "kept"
+    assert html_extract.extract("<p title=5\">kept</p><p title=a>too</p>", WEIGHTS) == "kept\n\ntoo"
+
+
+def test_extraction_of_unclosed_values_is_linear():
+    start = time.monotonic()
+    for page in ('<a x=">" ' * 50_000, '<a x=">" ' * 50_000 + "='", "<a x='>\">' y=\">" * 50_000, "<div>" * 50_000 + "<li>x</li>" * 50_000, '<a x="' * 50_000 + ">"):
+        html_extract.extract(page, WEIGHTS)
+    assert time.monotonic() - start < 20
+
+
 def test_extraction_of_odd_markup_is_linear():
     for page in ("<a <a <a" * 30_000, "<" * 200_000, '<a "' * 30_000, "<div>" * 50_000 + "x", "</p>" * 50_000 + "x"):
         html_extract.extract(page, WEIGHTS)
