@@ -159,10 +159,17 @@ def score(model, df: DataFrame, train_cols, key: str = "row_id", out: str = "tar
 # ---------------------------------------------------------------------------
 
 def fold_gram(df: DataFrame, features, label: str, fold: str = "fold"):
+    """Gram sums of every row that has a label, by fold.  As in the reference,
+    nulls (and infinite values) of a feature are filled with its mean first; a
+    feature without any value is 0."""
     import numpy as np
+
+    from .nulls import fill_by_strategy, inf_to_null_cols
     cols = ["_one", *features]
     d = df.select(F.lit(1.0).alias("_one"), *[F.col(c).cast("double").alias(c) for c in features],
-                  F.col(label).cast("double").alias("_y"), fold).dropna()
+                  F.col(label).cast("double").alias("_y"), fold)
+    d = inf_to_null_cols(d, [*features, "_y"]).dropna(subset=["_y"])
+    d = fill_by_strategy(d, features, "mean").fillna(0.0, subset=list(features))
     aggs = [F.sum(F.col(a) * F.col(b)).alias(f"{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
     aggs += [F.sum(F.col(a) * F.col("_y")).alias(f"{i}_y") for i, a in enumerate(cols)]
     aggs += [F.sum(F.col("_y") * F.col("_y")).alias("yy")]

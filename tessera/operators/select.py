@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.store import cut_lineage
+from .nulls import fill_by_strategy, inf_to_null_cols
 from .profile import corr_pairs
 
 
@@ -42,8 +43,12 @@ def correlation_filter(df: DataFrame, cols: Sequence[str], threshold: float = 0.
 
 def gram(df: DataFrame, cols: Sequence[str], centered: bool = True) -> tuple[np.ndarray, int]:
     """k x k correlation (centered) or normalised uncentred Gram matrix from
-    one aggregation over complete rows."""
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    one aggregation over all rows.  As in the reference, infinite values become
+    null and nulls the column's median; a column without any value is 0."""
+    d = inf_to_null_cols(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols)
+    some = d.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    if holes := [c for c in cols if some[c]]:
+        d = fill_by_strategy(d, holes, "median").fillna(0.0, subset=holes)
     k = len(cols)
     if centered:
         aggs = [F.corr(cols[i], cols[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i + 1, k)]

@@ -184,6 +184,31 @@ def test_gram_cv_rmse_equals_numpy_ols(spark):
     assert rows[0][1] == "a" and rows[1][1] == "b"
 
 
+def test_gram_sums_take_every_row(spark):
+    from tessera.operators import model
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(300, 3))
+    x[:, 2] += x[:, 0]
+    y, holes = x @ [2.0, 0.5, 0.0] + rng.normal(size=300), rng.random((300, 3)) < 0.3
+    rows = [(i, *(None if h else float(v) for v, h in zip(x[i], holes[i])), None, float(y[i])) for i in range(300)]
+    rows[0] = (0, float("inf"), *rows[0][2:])
+    rows[1] = (1, rows[1][1], float("nan"), *rows[1][3:])
+    holes[0, 0] = holes[1, 1] = True
+    df = spark.createDataFrame(rows, "row_id long, a double, b double, c double, d double, target double")
+
+    def filled(how):
+        return np.column_stack([np.where(h, how(v[~h]), v) for v, h in zip(x.T, holes.T)])
+
+    grams = model.fold_gram(model.add_folds(df, 3), ["a", "b", "c", "d"], "target")
+    full = np.column_stack([np.ones(300), filled(np.mean), np.zeros(300)])
+    assert np.allclose(sum(g for g, _, _ in grams.values()), full.T @ full)
+    assert np.allclose(sum(b for _, b, _ in grams.values()), full.T @ y)
+    r = np.linalg.inv(np.corrcoef(filled(np.median).T))
+    got = {v.column: v.vif for v in select.vif(df, ["a", "b", "c"], digits=10).collect()}
+    assert np.allclose([got[c] for c in "abc"], np.diag(r))
+    assert select.gram(df, ["a", "b", "c"])[1] == select.gram(df, ["a", "b", "c"], centered=False)[1] == 300
+
+
 def test_schema_split_types_blank_and_prediction_sink(spark):
     import os
     import tempfile
