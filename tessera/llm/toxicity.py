@@ -16,8 +16,9 @@ on w and L2 on v fit the machine.
 
 The machine is fitted on a bounded sample: at most ``toxic`` texts of label 1 and
 ``other`` texts of label 0 (the smallest hashes of the id), whose terms are counted
-by Spark; the driver receives the selected terms only.  Scoring reads every whole
-text once.
+by Spark; the driver receives the selected terms only.  Rows that repeat an id, or
+have none, teach as one: the text of smallest hash.  Scoring reads every whole text
+once.
 
 Nulls and the like: a null or empty text has no terms and the score of the bias.
 Null labels teach nothing; an id with several labels has their maximum.  With no
@@ -142,7 +143,8 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
     if len(classes) < 2:
         return nothing(1 - 1e-9 if classes == [1] else 1e-9)
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = own.join(F.broadcast(sample), own.id.eqNullSafe(sample._id))  # at most toxic + other ids
+    joined = own.join(F.broadcast(sample), own.id.eqNullSafe(sample._id))
+    texts = joined.groupBy("_id", "_label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))  # at most toxic + other rows
     rows = written(arrow_map(texts.select("text", "_label"), _sample_terms, "label int, terms array<long>"), "tox-sample")
     n1, n0 = rows.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
     if not n1 or not n0:

@@ -89,3 +89,15 @@ def test_toxicity_edge_cases(spark):
     for none in (labels.where("false"), labels.where("toxic = 0")):
         assert all(r.score < 1e-6 for r in toxicity.score(docs, toxicity.fit(docs, none)).collect())
     assert all(r.score > 1 - 1e-6 for r in toxicity.score(docs, toxicity.fit(docs, labels.where("toxic = 1"))).collect())
+
+
+def test_toxicity_sample_has_one_text_an_id(spark, monkeypatch):
+    rows = [(i, ("vile scum " if i % 4 == 0 else "nice day ") + f"other{i % 5}") for i in range(100)]
+    rows += [(None if i % 2 else 4, f"flood other{i % 5}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(100)] + [(None, 0)], "doc_id long, toxic int")
+    fitted, train = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda x, y, *a, **b: fitted.append(y) or train(x, y, *a, **b))
+    by = {r.row.text: r.score for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert len(fitted[0]) == 101 and fitted[0].sum() == 25
+    assert by["vile scum other3"] > 0.7 and by["nice day other1"] < 0.3
