@@ -228,7 +228,7 @@ def test_schema_split_types_blank_and_prediction_sink(spark):
         files.write_predictions(df, base, "r1")             # an existing run folder is an error
 
 def test_runs_read_every_axis_and_refuse_unknown_options(spark):
-    from conftest import SF001
+    from places import SF001
     from tessera.operators import runs
     from tessera.sources import views
     assert len(list(runs.grid())) == 6 * 2 * 3 * 3 * 3 * 2 * 4

@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from conftest import ROOT, SF001
+from places import ROOT, SF001
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 

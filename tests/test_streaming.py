@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from places import SF001
 from tessera.operators import encode
 from tessera.sources import views
 from tessera.streaming.scoring import score_stream
