@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, chat, decontam, html_extract, langid, license_scan, mixing, toxicity
+from . import align, ann, chat, decontam, html_extract, langid, license_scan, mixing, toxicity
 from . import token_count as tokens
 from .jaccard import jaccard_components
 from .sampling import held_out
@@ -113,3 +113,14 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = tokens.Vocabulary.read(os.environ.get("TESSERA_UNIGRAM_MODEL", TOKENIZER))
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary, carry=["doc_id"]).select("row.doc_id", "n_tokens")
+
+
+#: Of alignment: a byte-level BPE of the ``tokenizers`` library and a sentencepiece model.
+BYTE_BPE, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair = align.TokenizerPair.read(os.environ.get("TESSERA_BYTE_BPE", BYTE_BPE), os.environ.get("TESSERA_PIECES", PIECES))
+    got = align.alignment_counts(table(spark, sf_dir, "documents"), pair, carry=["doc_id"])
+    return got.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
