@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import align, ann, chat, decontam, html_extract, langid, license_scan, mixing, toxicity
+from . import align, ann, chat, decontam, html_extract, langid, license_scan, mixing, repair, toxicity, warc
 from . import token_count as tokens
 from .jaccard import jaccard_components
 from .sampling import held_out
@@ -124,3 +124,20 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     pair = align.TokenizerPair.read(os.environ.get("TESSERA_BYTE_BPE", BYTE_BPE), os.environ.get("TESSERA_PIECES", PIECES))
     got = align.alignment_counts(table(spark, sf_dir, "documents"), pair, carry=["doc_id"])
     return got.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op12_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.archive_pages(table(spark, sf_dir, "pages"))
+    files = warc.export_warc(archive)
+    archive.close()
+    return warc.page_report(warc.read_warc(spark, files))
+
+
+ORACLE_SQL["op12_warc_archive"] = warc.oracle()
+
+
+@query
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.report(repair.damaged(rows), rows)

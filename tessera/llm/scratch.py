@@ -22,17 +22,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this library on the Python workers' path, for
-    sessions whose workers were not started with it (on a cluster the package
-    is installed or shipped, and the extra path does no harm)."""
+def _with_library(df: DataFrame) -> None:
     env = df.sparkSession.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
+
+
+def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this library on the Python workers' path, for
+    sessions whose workers were not started with it (on a cluster the package
+    is installed or shipped, and the extra path does no harm)."""
+    _with_library(df)
     return df.mapInArrow(fn, schema)
 
 
+def pandas_map(df: DataFrame, fn, schema: str) -> DataFrame:
+    """The same for ``df.mapInPandas``."""
+    _with_library(df)
+    return df.mapInPandas(fn, schema)
+
+
 class IdFilter:
     """A bitmap of 2**bits hashed ids: a superset test of fixed size.  It has
     no misses; ids that only share a bit are removed by a later join."""
