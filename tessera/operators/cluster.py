@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import hash_unit
 from ..sources.store import cut_lineage
 from .ordering import with_position
 from .scale import affine, standard_params
@@ -199,3 +200,69 @@ def assign_to_centres(pts: DataFrame, centres: list[tuple[float, ...]], cols: Se
     out = pts.select(id_col, *cols, best.cast("bigint").alias(prefix), F.sqrt(bd).alias(f"{prefix}_dist"))
     size = out.groupBy(prefix).agg(F.count(F.lit(1)).alias(f"{prefix}_count"))
     return out.join(size, prefix)
+
+
+# ---------------------------------------------------------------------------
+# CLU-1: mini-batch k-means
+# ---------------------------------------------------------------------------
+
+def batches_of(pts: DataFrame, cols: Sequence[str], n: int, batch: int, rounds: int, seed: int = 42, id_col: str = "point_id") -> DataFrame:
+    """(id, cols, ``_hash``, ``_round``): the rows of each round's batch.  An epoch deals all
+    rows into ``ceil(n / batch)`` batches by a hash of their id, another epoch by
+    another hash; only the rounds asked for are kept, so at most about ``rounds *
+    batch`` rows are, whatever the table."""
+    per_epoch = max(1, -(-n // batch))
+    epochs = -(-rounds // per_epoch)
+    first = hash_unit(id_col, seed)
+    turns = F.array(*[F.lit(e * per_epoch).cast("bigint") + hash_unit(id_col, seed + e) % per_epoch for e in range(epochs)])
+    drawn = pts.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols], first.alias("_hash"), F.explode(turns).alias("_round"))
+    return drawn.where(F.col("_round") < rounds)
+
+
+def minibatch_centres(pts: DataFrame, cols: Sequence[str], k: int = 5, batch: int = 1000, rounds: int = 100, seed: int = 42,
+                      id_col: str = "point_id", tol: float = 0.0) -> list[tuple[float, ...]]:
+    """CLU-1: the centres of mini-batch k-means.
+
+    The batches are written once, sorted by round, so a round reads its own rows only:
+    one aggregation of sums and counts by nearest centre, k rows to the driver.  A
+    centre moves to the mean of all rows it has ever been given (its rate is one over
+    that count).  The first centres are the k distinct batch rows of smallest hash (then
+    id); fewer distinct rows give fewer centres.  Rows with a null or a value that is not
+    finite take no part.  Stops early when no centre moved by more than ``tol`` > 0."""
+    fine = F.lit(True)
+    for c in cols:
+        x = F.col(c).cast("double")
+        fine = fine & x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    pts = pts.where(fine & F.col(id_col).isNotNull())
+    drawn = batches_of(pts, cols, pts.count(), batch, rounds, seed, id_col)
+    drawn = cut_lineage(drawn.repartitionByRange("_round").sortWithinPartitions("_round"), "kmeans_batches")
+    start = drawn.groupBy(*cols).agg(F.min(F.struct("_hash", id_col)).alias("_first")).orderBy("_first").limit(k).collect()
+    centres = [tuple(float(r[c]) for c in cols) for r in start]
+    given = [0] * len(centres)
+    for r in range(rounds if centres else 0):
+        own = nearest_centre(drawn.where(F.col("_round") == r), centres, cols)
+        sums = own.groupBy("_near").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(cols)]).collect()  # k rows
+        moved = 0.0
+        for s in sums:
+            j = s["_near"]
+            given[j] += s["n"]
+            new = tuple(a + (s[f"s{i}"] - s["n"] * a) / given[j] for i, a in enumerate(centres[j]))
+            moved = max(moved, sum((a - b) ** 2 for a, b in zip(new, centres[j])) ** 0.5)
+            centres[j] = new
+        if tol > 0 and moved <= tol:
+            break
+    return centres
+
+
+def nearest_centre(pts: DataFrame, centres: list[tuple[float, ...]], cols: Sequence[str]) -> DataFrame:
+    """``pts`` with ``_near``, the index of the nearest centre (ties to the lower)."""
+    d2 = [sum((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, ctr)) for ctr in centres]
+    return pts.withColumn("_near", F.array_position(F.array(*d2), F.array_min(F.array(*d2))).cast("int") - 1)
+
+
+def minibatch_kmeans(pts: DataFrame, cols: Sequence[str], k: int = 5, batch: int = 1000, rounds: int = 100, seed: int = 42,
+                     id_col: str = "point_id", prefix: str = "cluster") -> DataFrame:
+    """CLU-1 as in the reference: standardised columns, mini-batch centres, then label,
+    distance to the own centre and cluster size of every row."""
+    z = standardize(pts.select(id_col, *cols), cols)
+    return assign_to_centres(z, minibatch_centres(z, cols, k, batch, rounds, seed, id_col), cols, id_col, prefix).drop(*cols)

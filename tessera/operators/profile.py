@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.quantiles import quantiles
+from ..sources.store import cut_lineage
+from .ordering import range_buckets
 
 
 def value_counts_long(df: DataFrame, cols: Sequence[str], keep_null: bool = False) -> DataFrame:
@@ -178,16 +180,39 @@ def corr_with_target(df: DataFrame, cols: Sequence[str], target: str, digits: in
 
 
 def spearman_pairs(df: DataFrame, cols: Sequence[str], digits: int = 8) -> DataFrame:
-    """AGG-9: Spearman rho via ``pyspark.ml.stat.Correlation`` (distributed
-    ranking with average ranks for ties); rows with any null are dropped.
-    The k x k matrix (sized by columns) becomes a long pair table."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    v = VectorAssembler(inputCols=list(cols), outputCol="_v").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna())
-    m = Correlation.corr(v, "_v", "spearman").first()[0].toArray()
-    rows = [(a, b, round(float(m[i][j]), digits)) for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i]
-    return df.sparkSession.createDataFrame(rows, "c1 string, c2 string, rho double")
+    """AGG-9: Spearman's rho of every column pair (c1 before c2) over the rows that
+    both columns have, as pandas does: average ranks for ties, null where a side has
+    no spread.
+
+    All pairs go through one plan.  Rows become (pair, x, y) counts; the values of each
+    (pair, side) are ordered by the range buckets of ``ordering``, so no window holds a
+    column; ranks come from prefix sums of counts, one row a (bucket, pair, side)
+    between buckets; the correlation is a sum over the counts, weighted."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    x = {c: F.col(c).cast("double") for c in cols}
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("p"), x[a].alias("x"), x[b].alias("y")) for i, (a, b) in enumerate(pairs)]))
+    joint = df.select(each.alias("e")).select("e.*").where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
+    joint = cut_lineage(joint.groupBy("p", "x", "y").agg(F.count(F.lit(1)).alias("n")), "spearman_joint")
+    sides = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.col(s).alias("v")) for s in ("x", "y")]))
+    values = (joint.select("p", "n", sides.alias("e")).groupBy(F.struct("p", "e.s", "e.v").alias("k")).agg(F.sum("n").alias("n")))
+    buckets, _ = range_buckets(values, "k")
+    buckets = buckets.select("_bucket", "k.p", "k.s", "k.v", "n")
+    before = Window.partitionBy("p", "s").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (buckets.groupBy("_bucket", "p", "s").agg(F.sum("n").alias("bn"))
+               .select("_bucket", "p", "s", F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("off")))
+    own = Window.partitionBy("_bucket", "p", "s").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = (buckets.withColumn("upto", F.sum("n").over(own)).join(F.broadcast(offsets), ["_bucket", "p", "s"])  # buckets x pairs rows
+             .select("p", "s", "v", (F.col("off") + F.col("upto") - (F.col("n") - 1) / 2.0).alias("r")))
+    ranks = cut_lineage(ranks, "spearman_ranks")
+    rx, ry = (ranks.where(F.col("s") == s).select("p", F.col("v").alias(s), F.col("r").alias(f"r{s}")) for s in ("x", "y"))
+    total = joint.groupBy("p").agg(F.sum("n").alias("m"))
+    # ranks have the mean (m + 1) / 2 on both sides
+    d = joint.join(rx, ["p", "x"]).join(ry, ["p", "y"]).join(F.broadcast(total), "p")
+    dx, dy = (F.col(c) - (F.col("m") + 1) / 2.0 for c in ("rx", "ry"))
+    s = d.groupBy("p").agg(*[F.sum(F.col("n") * a * b).alias(name) for name, a, b in (("xy", dx, dy), ("xx", dx, dx), ("yy", dy, dy))])
+    rho = F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy")))
+    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "p int, c1 string, c2 string")
+    return names.join(s, "p", "left").select("c1", "c2", F.round(rho, digits).alias("rho"))
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], col: str, digits: int = 2) -> DataFrame:

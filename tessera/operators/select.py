@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import quantiles
 from ..sources.store import cut_lineage
 from .nulls import fill_by_strategy, inf_to_null_cols
 from .profile import corr_pairs
@@ -161,31 +162,46 @@ def _equal_width(x, mm, bins: int):
     return F.least(F.floor((x - lo) / ((hi - lo) / F.lit(bins))), F.lit(bins - 1))
 
 
-def mutual_info(df: DataFrame, cols: Sequence[str], target: str, bins: int = 10) -> DataFrame:
-    """SEL-8: mutual information (nats) of each feature with a class target;
-    numeric features are cut into equal-width bins first."""
-    out = None
-    for c in cols:
-        numeric = dict(df.dtypes)[c] not in ("string",)
-        x = F.col(c)
-        if numeric:
-            mm = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
-            base = df
-            x = _equal_width(F.col(c), mm, bins).cast("string")
-        else:
-            base = df
-        ct = base.where(F.col(c).isNotNull() & F.col(target).isNotNull()) \
-                 .groupBy(x.alias("x"), F.col(target).alias("y")).count()
-        ct = cut_lineage(ct)
-        n = F.lit(float(ct.agg(F.sum("count")).first()[0] or 0))
-        px = ct.groupBy("x").agg(F.sum("count").alias("nx"))
-        py = ct.groupBy("y").agg(F.sum("count").alias("ny"))
-        j = ct.join(px, "x").join(py, "y").withColumn("n", n)
-        p = F.col("count") / F.col("n")
-        mi = j.agg(F.sum(p * F.ln(F.col("count") * F.col("n") / (F.col("nx") * F.col("ny")))).alias("mi")) \
-              .select(F.lit(c).alias("column"), "mi")
-        out = mi if out is None else out.unionByName(mi)
-    return out
+def quantile_edges(df: DataFrame, cols: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
+    """Inner edges of quantile bins, repeated ones once, of all columns in one
+    exact-quantile pass; a column without values has none."""
+    probs = [i / bins for i in range(1, bins)]
+    q = quantiles(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), list(cols), probs) if cols else {}
+    return {c: sorted({q[(c, p)] for p in probs if q[(c, p)] is not None}) for c in cols}
+
+
+def _quantile_bin(c: str, edges: list[float]):
+    """Number of edges below the value: bins are closed on the right."""
+    x = F.col(c).cast("double")
+    return F.when(x.isNotNull(), sum((F.when(x > F.lit(e), 1).otherwise(0) for e in edges), F.lit(0)).cast("bigint"))
+
+
+def mutual_info(df: DataFrame, cols: Sequence[str], target: str, bins: int = 10, how: str = "width") -> DataFrame:
+    """SEL-8: mutual information (nats) of each feature with a class target; a
+    numeric feature is cut into bins first, of equal ``width`` or by ``quantile``.
+
+    A fixed number of jobs for any number of columns: one pass for the edges, then
+    one joint count of (column, bin, class); a row counts for the columns where both
+    sides are there.  A column without such rows has a null."""
+    kinds = dict(df.dtypes)
+    numeric = [c for c in cols if kinds[c] != "string"]
+    if how == "quantile":
+        edges = quantile_edges(df, numeric, bins)
+        binned = {c: _quantile_bin(c, edges[c]) for c in numeric}
+    else:
+        ends = df.agg(F.lit(0), *[f(c).alias(f"{n}{i}") for i, c in enumerate(numeric) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+        binned = {c: _equal_width(F.col(c), {"lo": ends[f"lo{i}"], "hi": ends[f"hi{i}"]}, bins) for i, c in enumerate(numeric)}
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), binned.get(c, F.col(c)).cast("string").alias("x")) for c in cols]))
+    joint = df.where(F.col(target).isNotNull()).select(each.alias("e"), F.col(target).alias("y")).where("e.x IS NOT NULL")
+    counts = cut_lineage(joint.groupBy("e.column", "e.x", "y").agg(F.count(F.lit(1)).alias("o")), "mutual_info")
+    n = counts.groupBy("column").agg(F.sum("o").alias("n"))
+    nx = counts.groupBy("column", "x").agg(F.sum("o").alias("nx"))
+    ny = counts.groupBy("column", "y").agg(F.sum("o").alias("ny"))
+    o = F.col("o").cast("double")
+    mi = (counts.join(nx, ["column", "x"]).join(ny, ["column", "y"]).join(n, "column").groupBy("column")
+          .agg(F.sum(o / F.col("n") * F.ln(o * F.col("n") / (F.col("nx").cast("double") * F.col("ny")))).alias("mi")))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(mi, "column", "left")
 
 
 def anova_f(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
@@ -205,16 +221,18 @@ def anova_f(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
 
 
 def correlated_groups(df: DataFrame, cols: Sequence[str], target: str, threshold: float = 0.9,
-                      bins: int = 10) -> DataFrame:
+                      bins: int = 10, how: str = "width") -> DataFrame:
     """SEL-11: for each later column, the group of earlier columns with
     |r| > threshold; the best member of a group by mutual information with
     the (binned) target is kept, plus every ungrouped column."""
     pairs = corr_pairs(df, cols, digits=16).where(F.abs("r") > threshold)
     groups = pairs.select(F.col("c2").alias("key"), F.col("c1").alias("column")) \
                   .unionByName(pairs.select(F.col("c2").alias("key"), F.col("c2").alias("column"))).distinct()
-    mm = df.agg(F.min(target).alias("lo"), F.max(target).alias("hi")).first()
-    binned = df.withColumn("_yb", _equal_width(F.col(target), mm, bins))
-    mi = mutual_info(binned, list(cols), "_yb", bins)
+    if how == "quantile":
+        cut = _quantile_bin(target, quantile_edges(df, [target], bins)[target])
+    else:
+        cut = _equal_width(F.col(target), df.agg(F.min(target).alias("lo"), F.max(target).alias("hi")).first(), bins)
+    mi = mutual_info(df.withColumn("_yb", cut), list(cols), "_yb", bins, how)
     g = groups.join(mi, "column")
     best = g.groupBy("key").agg(F.max_by("column", F.struct("mi", F.col("column"))).alias("column"))
     grouped = groups.select("column").distinct()

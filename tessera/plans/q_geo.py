@@ -72,3 +72,30 @@ FROM trades
 """, "trades"))
 def q_box(spark, sf):
     return geo.box_report(views.trades(spark, sf))
+
+
+def _sums_sql(distance):
+    return with_views(f"""
+, loc AS (SELECT DISTINCT lon, lat FROM trades WHERE lon IS NOT NULL AND lat IS NOT NULL),
+s AS (SELECT t.lon, t.lat, sum({distance}) AS d FROM loc t, pois p GROUP BY 1, 2),
+b AS (SELECT t.lon, t.lat, sum({distance}) AS d FROM loc t, bus_stops p GROUP BY 1, 2)
+SELECT t.row_id, round(s.d, 6) AS distance_sum_subway, round(b.d, 6) AS distance_sum_bus
+FROM trades t LEFT JOIN s ON t.lon = s.lon AND t.lat = s.lat LEFT JOIN b ON t.lon = b.lon AND t.lat = b.lat
+""", "trades", "pois", "bus_stops")
+
+
+def _sums(spark, sf, metric):
+    t = views.trades(spark, sf).select("row_id", "lon", "lat")
+    t = geo.distance_sums(t, views.pois(spark, sf), "distance_sum_subway", metric=metric)
+    t = geo.distance_sums(t, views.bus_stops(spark, sf), "distance_sum_bus", metric=metric)
+    return t.select("row_id", *[F.round(c, 6).alias(c) for c in ("distance_sum_subway", "distance_sum_bus")])
+
+
+@query("geo_distance_sums", ("GEO-8", "JOI-5"), _sums_sql("sqrt(pow(t.lon - p.lon, 2) + pow(t.lat - p.lat, 2))"))
+def q_distance_sums(spark, sf):
+    return _sums(spark, sf, "plane")
+
+
+@query("geo_distance_sums_km", "GEO-8", _sums_sql(HAV))
+def q_distance_sums_km(spark, sf):
+    return _sums(spark, sf, "km")

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..functions.scalar import hash_multiplier
-from ..operators import cluster, combine, encode, model, runs
+from ..operators import cluster, combine, encode, model, nulls, runs
 from ..session import scratch_path
 from ..sources import files, views
 from ..sources.tables import table
@@ -120,11 +120,11 @@ def q_kfold(spark, sf):
 
 @query("mdl_linear_one_feature", "MDL-3", with_views("""
 SELECT round(regr_slope(target, area), 6) AS slope, round(regr_intercept(target, area), 4) AS intercept
-FROM trades WHERE area IS NOT NULL AND is_test = 0
+FROM (SELECT target, coalesce(area, (SELECT avg(area) FROM trades WHERE is_test = 0)) AS area, bal FROM trades WHERE is_test = 0)
 """, "trades").replace("regr_slope(target, area)", "regr_slope(target, area + bal / 500e0)").replace(
     "regr_intercept(target, area)", "regr_intercept(target, area + bal / 500e0)"))
 def q_linear(spark, sf):
-    t = views.trades(spark, sf).where("area IS NOT NULL AND is_test = 0") \
+    t = nulls.fill_by_strategy(views.trades(spark, sf).where("is_test = 0"), ["area"], "mean") \
              .withColumn("mix", F.col("area") + F.col("bal") / F.lit(500.0))
     m = model.make_regressor("linear", label="target").fit(model.assemble(t, ["mix"]))
     return spark.createDataFrame([(round(float(m.coefficients[0]), 6), round(float(m.intercept), 4))],
@@ -203,13 +203,13 @@ def q_runs(spark, sf):
 
 
 @query("eva_kfold_linear", ("EVA-2", "EVA-3"), with_views(f"""
-, d AS (SELECT area + bal / 500e0 AS x, target AS y, {_FOLD} AS fold FROM trades WHERE area IS NOT NULL AND is_test = 0),
+, d AS (SELECT coalesce(area, (SELECT avg(area) FROM trades WHERE is_test = 0)) + bal / 500e0 AS x, target AS y, {_FOLD} AS fold FROM trades WHERE is_test = 0),
 f AS (SELECT g.fold, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM d, (SELECT DISTINCT fold FROM d) g WHERE d.fold <> g.fold GROUP BY 1)
 SELECT CAST(d.fold AS INTEGER) AS fold, count(*) AS n, round(sqrt(avg(pow(y - a * x - b, 2))), 3) AS rmse,
        round(avg(abs(y - a * x - b)), 3) AS mae FROM d JOIN f ON d.fold = f.fold GROUP BY 1
 """, "trades"))
 def q_kfold_linear(spark, sf):
-    t = views.trades(spark, sf).where("area IS NOT NULL AND is_test = 0") \
+    t = nulls.fill_by_strategy(views.trades(spark, sf).where("is_test = 0"), ["area"], "mean") \
              .select("row_id", "target", (F.col("area") + F.col("bal") / F.lit(500.0)).alias("mix"))
     return model.cross_validate(model.add_folds(t, 5), ["mix"], "linear", digits=3)
 
@@ -231,3 +231,44 @@ def q_fixed_centres(spark, sf):
     stats = a.groupBy("cluster").agg(F.round(F.avg("x"), 2).alias("x_mean"), F.round(F.stddev_samp("x"), 2).alias("x_std"))
     return a.join(stats, "cluster").select("point_id", "cluster", F.round("cluster_dist", 8).alias("cluster_dist"),
                                            "cluster_count", "x_mean", "x_std")
+
+
+@query("clu_minibatch_kmeans", "CLU-1")
+def q_minibatch(spark, sf):
+    pts = views.trades(spark, sf).select("row_id", "bal", "target", "contract_day")
+    return cluster.minibatch_kmeans(pts, ["bal", "target", "contract_day"], k=5, batch=1000, rounds=12, id_col="row_id")
+
+
+def _two_rounds_sql(k, batch, seed):
+    """Two rounds of mini-batch k-means over ``bal`` and ``target``."""
+    h = [f"((row_id % 2147483648) * {hash_multiplier(seed + e)}) % 4294967296" for e in (0, 1)]
+
+    def nearest(src, centres):
+        return f"""SELECT * FROM (SELECT {src}.*, {centres}.j, (x - cx) * (x - cx) + (y - cy) * (y - cy) AS d2,
+          row_number() OVER (PARTITION BY row_id ORDER BY (x - cx) * (x - cx) + (y - cy) * (y - cy), {centres}.j) AS rn FROM {src}, {centres}) WHERE rn = 1"""
+
+    return with_views(f"""
+, st AS (SELECT avg(bal) AS mx, stddev_pop(bal) AS sx, avg(target) AS my, stddev_pop(target) AS sy, CAST(ceil(count(*) / {batch}e0) AS BIGINT) AS m FROM trades),
+z AS (SELECT row_id, (bal - mx) / sx AS x, (target - my) / sy AS y, {h[0]} AS h, ({h[0]}) % m = 0 AS in0,
+             CASE WHEN m = 1 THEN TRUE ELSE ({h[0]}) % m = 1 END AS in1 FROM trades, st),
+b0 AS (SELECT * FROM z WHERE in0), b1 AS (SELECT * FROM z WHERE in1),
+c0 AS (SELECT row_number() OVER (ORDER BY h, id) - 1 AS j, x AS cx, y AS cy FROM (
+        SELECT x, y, min(h) AS h, arg_min(row_id, h) AS id FROM z WHERE in0 OR in1 GROUP BY x, y ORDER BY 3, 4 LIMIT {k})),
+n0 AS ({nearest("b0", "c0")}),
+s0 AS (SELECT j, count(*) AS n, sum(x) AS sx, sum(y) AS sy FROM n0 GROUP BY j),
+c1 AS (SELECT c0.j, coalesce(cx + (s0.sx - n * cx) / n, cx) AS cx, coalesce(cy + (s0.sy - n * cy) / n, cy) AS cy, coalesce(n, 0) AS given
+       FROM c0 LEFT JOIN s0 ON c0.j = s0.j),
+n1 AS ({nearest("b1", "c1")}),
+s1 AS (SELECT j, count(*) AS n, sum(x) AS sx, sum(y) AS sy FROM n1 GROUP BY j),
+c2 AS (SELECT c1.j, coalesce(cx + (s1.sx - n * cx) / (given + n), cx) AS cx, coalesce(cy + (s1.sy - n * cy) / (given + n), cy) AS cy
+       FROM c1 LEFT JOIN s1 ON c1.j = s1.j),
+f AS ({nearest("z", "c2")})
+SELECT row_id, j AS cluster, round(sqrt(d2), 6) AS cluster_dist, count(*) OVER (PARTITION BY j) AS cluster_count FROM f
+""", "trades")
+
+
+@query("clu_minibatch_two_rounds", "CLU-1", _two_rounds_sql(4, 4000, 42))
+def q_two_rounds(spark, sf):
+    pts = views.trades(spark, sf).select("row_id", "bal", "target")
+    got = cluster.minibatch_kmeans(pts, ["bal", "target"], k=4, batch=4000, rounds=2, seed=42, id_col="row_id")
+    return got.select("row_id", "cluster", F.round("cluster_dist", 6).alias("cluster_dist"), "cluster_count")

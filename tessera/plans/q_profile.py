@@ -157,6 +157,24 @@ def q_spearman(spark, sf):
     return pf.spearman_pairs(views.trades(spark, sf), SPEAR)
 
 
+GAPS = ["area", "lat", "mostly_null", "built_year", "target"]
+
+
+def _spearman_gaps_sql():
+    """Each pair ranked over the rows that have both."""
+    parts = []
+    for a, b in ((a, b) for i, a in enumerate(GAPS) for b in GAPS[i + 1:]):
+        ranks = ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2e0 AS r{k}" for k, c in enumerate((a, b)))
+        rho = "CASE WHEN stddev_pop(r0) > 0 AND stddev_pop(r1) > 0 THEN round(corr(r0, r1), 8) END"
+        parts.append(f"SELECT '{a}' AS c1, '{b}' AS c2, {rho} AS rho FROM (SELECT {ranks} FROM trades WHERE {a} IS NOT NULL AND {b} IS NOT NULL)")
+    return with_views(_union(parts), "trades")
+
+
+@query("agg_spearman_gaps", "AGG-9", _spearman_gaps_sql())
+def q_spearman_gaps(spark, sf):
+    return pf.spearman_pairs(views.trades(spark, sf), GAPS)
+
+
 @query("agg_group_mean_std", ("AGG-10", "AGG-11"), with_views("""
 SELECT district, hood, count(*) AS n, round(avg(target), 2) AS mean, round(stddev_samp(target), 2) AS std
 FROM trades GROUP BY district, hood

@@ -66,21 +66,30 @@ def _vif3_sql(src, cols, centered):
 VIF = ["area", "target", "bal"]
 
 
+def _filled(cols, src):
+    """``src`` with the nulls of ``cols`` filled with the column's median."""
+    fills = ", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM {src})) AS {c}" for c in cols)
+    return f"SELECT {fills} FROM {src}"
+
+
+VIF_U = ["contract_day", "lat", "lon"]
+
+
 @query("sel_vif_intercept", "SEL-3", with_views(
-    ", s AS (SELECT area, area * 100e0 + bal / 100e0 + contract_day * 5e0 AS target, bal FROM trades WHERE area IS NOT NULL)\n"
-    + _vif3_sql("s", VIF, True), "trades"))
+    ", r AS (SELECT area, area * 100e0 + bal / 100e0 + contract_day * 5e0 AS target, bal FROM trades),\n"
+    + "s AS (" + _filled(VIF, "r") + ")\n" + _vif3_sql("s", VIF, True), "trades"))
 def q_vif(spark, sf):
-    t = views.trades(spark, sf).where(F.col("area").isNotNull()) \
+    t = views.trades(spark, sf) \
              .select("area", (F.col("area") * 100.0 + F.col("bal") / 100.0 + F.col("contract_day") * 5.0).alias("target"), "bal")
     return sel.vif(t, VIF, centered=True, digits=4)
 
 
 @query("sel_vif_uncentered", "SEL-4", with_views(
-    ", s AS (SELECT CAST(contract_day AS DOUBLE) AS contract_day, lat, lon FROM trades WHERE lat IS NOT NULL)\n"
-    + _vif3_sql("s", ["contract_day", "lat", "lon"], False), "trades"))
+    ", r AS (SELECT CAST(contract_day AS DOUBLE) AS contract_day, lat, lon FROM trades),\n"
+    + "s AS (" + _filled(VIF_U, "r") + ")\n" + _vif3_sql("s", VIF_U, False), "trades"))
 def q_vif_u(spark, sf):
-    t = views.trades(spark, sf).where(F.col("lat").isNotNull()).select("contract_day", "lat", "lon")
-    return sel.vif(t, ["contract_day", "lat", "lon"], centered=False, digits=4)
+    t = views.trades(spark, sf).select("contract_day", "lat", "lon")
+    return sel.vif(t, VIF_U, centered=False, digits=4)
 
 
 def _cramer_sql(pairs, src="trades"):
@@ -194,6 +203,31 @@ def q_mi(spark, sf):
     return sel.mutual_info(d, ["n_chars", "lang", "source"], "quality").select("column", F.round("mi", 8).alias("mi"))
 
 
+def _quantile_bin_sql(c, src):
+    """Number of distinct inner quantile edges below the value."""
+    edges = f"(SELECT list_distinct(quantile_cont(CAST({c} AS DOUBLE), [{', '.join(f'{i / 10}' for i in range(1, 10))}])) FROM {src})"
+    return f"len(list_filter({edges}, lambda e: CAST({c} AS DOUBLE) > e))"
+
+
+def _mi_quantile_sql(features, numeric, src, target):
+    parts = []
+    for c in features:
+        x = _quantile_bin_sql(c, src) if c in numeric else c
+        parts.append(f"""SELECT '{c}' AS column, round(sum(o / n * ln(o * n / (nx * ny))), 8) AS mi FROM (
+  SELECT o, sum(o) OVER () AS n, sum(o) OVER (PARTITION BY x) AS nx, sum(o) OVER (PARTITION BY y) AS ny FROM (
+    SELECT x, y, count(*) AS o FROM (SELECT {x} AS x, {target} AS y FROM {src} WHERE {c} IS NOT NULL) GROUP BY 1, 2))""")
+    return _u(parts)
+
+
+MI_Q = ["area", "bal", "built_year", "contract_day", "lat", "heating", "district"]
+
+
+@query("sel_mutual_info_quantile", "SEL-8", with_views("\n" + _mi_quantile_sql(MI_Q, MI_Q[:5], "trades", "hood"), "trades"))
+def q_mi_quantile(spark, sf):
+    t = views.trades(spark, sf).select("hood", *MI_Q)
+    return sel.mutual_info(t, MI_Q, "hood", how="quantile").select("column", F.round("mi", 8).alias("mi"))
+
+
 @query("sel_anova_f", "SEL-9", """
 WITH e AS (SELECT value AS x, label AS g FROM embeddings, (SELECT 1) WHERE false),
 d AS (SELECT CAST(d.n_chars AS DOUBLE) AS x, l.quality AS g FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
