@@ -39,6 +39,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +51,9 @@ from .scratch import arrow_map, written
 
 MARK = "▁"
 PART = 1 << 20
-#: Segments kept by a worker, and the links of all of them.
+#: Segments kept by a worker, and the links of all of them; new segments encoded as one line.
 KEPT, KEPT_LINKS = 400_000, 4_000_000
+LINE = 200
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -156,75 +158,82 @@ class Aligner:
     def _segments(self, text: str) -> list[str]:
         return _CUT.split(text) if self.cut else [text]
 
-    def _token_ends(self, segments: list[str]):
-        """For both sides: ids, byte ends (all segments one after the other) and
-        the number of tokens of each segment; and which segments come back whole."""
-        raw = [(" " + s).encode("utf-8", "surrogatepass") for s in segments]
+    def _spans(self, lines: list[str], raw: list[bytes]):
+        """For both sides: ids, how many of each line, and where the coarse spans start
+        and end in the bytes of all lines, one after the other."""
         size = np.array([len(r) for r in raw], np.int64)
         base = np.cumsum(size) - size
-        codes = self.a.encode_batch([" " + s for s in segments], add_special_tokens=False)
-        out, ok = [], np.ones(len(segments), bool)
-
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        starts = np.flatnonzero((data & 0xC0) != 0x80)  # of the characters of all segments
-        chars = np.array([len(s) + 1 for s in segments], np.int64)
-        to_byte = np.r_[starts, len(data)]
-        ids, many = [c.ids for c in codes], np.array([len(c.ids) for c in codes], np.int64)
-        spans = _flat([np.asarray(c.offsets, np.int64).reshape(-1, 2) + f for c, f in zip(codes, (np.cumsum(chars) - chars).tolist())], np.int64).reshape(-1, 2)
-        out.append((_flat(ids, np.int64), many, to_byte[spans[:, 0]], to_byte[spans[:, 1]], self.a_bytes, self.a_size))
-
-        protos = [p.pieces for p in self.b.encode(segments, return_type="proto", num_threads=1)]
-        many = np.array([len(p) for p in protos], np.int64)
-        rows = _flat([[(q.id, q.begin, q.end) for q in p] for p in protos if len(p)], np.int64).reshape(-1, 3)
+        codes = self.a.encode_batch([" " + s for s in lines], add_special_tokens=False)
+        to_byte = np.r_[np.flatnonzero((np.frombuffer(b"".join(raw), np.uint8) & 0xC0) != 0x80), int(size.sum())]
+        chars = np.array([len(s) + 1 for s in lines], np.int64)
+        many = np.array([len(c) for c in codes], np.int64)
+        spans = np.array([x for c in codes for x in c.offsets], np.int64).reshape(-1, 2) + np.repeat(np.cumsum(chars) - chars, many)[:, None]
+        yield np.array([i for c in codes for i in c.ids], np.int64), many, to_byte[spans[:, 0]], to_byte[spans[:, 1]], self.a_bytes, self.a_size
+        pieces = [p.pieces for p in self.b.encode(lines, return_type="proto", num_threads=1)]
+        many = np.array([len(p) for p in pieces], np.int64)
         shift = np.repeat(base + 1, many)
-        out.append((rows[:, 0], many, rows[:, 1] + shift, rows[:, 2] + shift, self.b_bytes, self.b_size))
+        ids, lo, hi = (np.array([f(q) for p in pieces for q in p], np.int64) for f in (attrgetter("id"), attrgetter("begin"), attrgetter("end")))
+        yield ids, many, lo + shift, hi + shift, self.b_bytes, self.b_size
 
-        ends = []
-        for ids, many, lo, hi, decoded, length in out:
+    def _token_ends(self, lines: list[str]):
+        """For both sides: ids and byte ends of the tokens of the lines that come back
+        whole; and which do."""
+        raw = [(" " + s).encode("utf-8", "surrogatepass") for s in lines]
+        size = np.array([len(r) for r in raw], np.int64)
+        base, ok, sides = np.cumsum(size) - size, np.ones(len(lines), bool), []
+        for ids, many, lo, hi, decoded, length in self._spans(lines, raw):
             first = np.r_[0, np.cumsum(many)]
-            listed = ids.tolist()
-            whole = np.array([b"".join([decoded[t] for t in listed[f:g]]) == r for f, g, r in zip(first.tolist(), first[1:].tolist(), raw)], bool)
-            ok &= whole
+            listed = [decoded[t] for t in ids.tolist()]
+            if b"".join(listed) != b"".join(raw):
+                ok &= np.array([b"".join(listed[f:g]) == r for f, g, r in zip(first.tolist(), first[1:].tolist(), raw)], bool)
             own = length[ids]
             exact = hi - lo == own
-            if len(ids):
-                exact[first[:-1][many > 0]] = True  # a segment's first token starts at its first byte
-                lo[first[:-1][many > 0]] = base[many > 0]
+            some = many > 0
+            exact[first[:-1][some]] = True  # a line's first token starts at its first byte
+            lo[first[:-1][some]] = base[some]
             run = np.maximum.accumulate(np.where(exact, np.arange(len(ids)), 0))  # the last exact cut up to each token
             before = np.cumsum(own) - own
-            start = lo[run] + before - before[run] if len(ids) else lo
-            ends.append((ids, first, start + own))
-        return ends, ok, base + size
+            sides.append((ids, many, lo[run] + before - before[run] + own))
+        return [(ids[keep], end[keep]) for ids, many, end in sides for keep in (np.repeat(ok, many),)], ok
 
     def learn(self, segments: list[str]) -> None:
-        """Align segments that are not known yet, as one batch."""
-        (a, a_first, a_end), (b, b_first, b_end) = (ends := self._token_ends(segments))[0]
-        ok, stop = ends[1], ends[2]
-        good_a, good_b = np.repeat(ok, np.diff(a_first)), np.repeat(ok, np.diff(b_first))
-        a, a_end, b, b_end = a[good_a], a_end[good_a], b[good_b], b_end[good_b]
-        cuts, links = np.intersect1d(a_end, b_end), np.union1d(a_end, b_end)
+        """Align segments that are not known yet, as one batch: those that may stand
+        between single blanks many a line, the others one a line."""
+        plain = [s for s in segments if s and not s[0].isspace() and not s[-1].isspace() and MARK not in s] if self.cut else []
+        other = [s for s in segments if not s or s[0].isspace() or s[-1].isspace() or MARK in s] if self.cut else segments
+        segments = plain + other
+        lines = [plain[i:i + LINE] for i in range(0, len(plain), LINE)]
+        stop = np.cumsum([1 + len(s.encode("utf-8", "surrogatepass")) for s in segments])
+        ends, ok = self._token_ends([" ".join(x) for x in lines] + other)
+        ok = np.repeat(ok, [*map(len, lines), *[1] * len(other)])
+        if not ok[:len(plain)].all() or any(not np.isin(stop[ok], end).all() for _, end in ends):
+            ends, ok = self._token_ends(segments)
+        (a, a_end), (b, b_end) = ends
+        both = np.concatenate([a_end, b_end])
+        both.sort(kind="stable")
+        twice = both[1:] == both[:-1]
+        cuts, links = both[1:][twice], both[np.r_[True, ~twice][:len(both)]]
         of = lambda at: np.diff(np.r_[0, np.searchsorted(at, stop, side="right")])
         measures = np.column_stack([of(a_end), of(b_end), of(cuts), of(links)])
-        self.groups += self._texts(a, a_end, b, b_end, cuts, measures[:, 2])
+        self.groups += self._texts(a, a_end, b, b_end, cuts, measures)
         self.number.update(zip(segments, range(self.known.n, self.known.n + len(segments))))
         start = self.pairs.n + np.cumsum(measures[:, 3]) - measures[:, 3]
         self.known.add(np.column_stack([measures, start, ok]))
         self.pairs.add(a[np.searchsorted(a_end, links)] * self.base + b[np.searchsorted(b_end, links)])
 
-    @staticmethod
-    def _texts(a, a_end, b, b_end, cuts, many) -> list[str]:
+    def _texts(self, a, a_end, b, b_end, cuts, measures) -> list[str]:
         """The groups of each segment as text: ``a1,a2|b1;a3|b2,b3``."""
-        x, y = np.searchsorted(a_end, cuts, side="right").tolist(), np.searchsorted(b_end, cuts, side="right").tolist()
-        sa, sb = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups, i, j = [], 0, 0
-        for p, q in zip(x, y):
-            groups.append(f"{','.join(sa[i:p])}|{','.join(sb[j:q])}")
-            i, j = p, q
-        out, at = [], 0
-        for n in many.tolist():
-            out.append(";".join(groups[at:at + n]))
-            at += n
-        return out
+        ga, gb = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
+        last_a, last_b = cuts[ga] == a_end, cuts[gb] == b_end
+        # each token's number with the mark behind it, in order of groups, A before B
+        mark = np.r_[a, b] * 3 + np.r_[last_a.astype(np.int64), 2 * last_b.astype(np.int64)]
+        order = np.argsort(np.r_[2 * ga, 2 * gb + 1], kind="stable")
+        mark = mark[order]
+        used, at = np.unique(mark, return_inverse=True)
+        names = [f"{u // 3}{',|;'[u % 3]}" for u in used.tolist()]
+        words = [names[i] for i in at.tolist()]
+        upto = np.cumsum(measures[:, 0] + measures[:, 1]).tolist()
+        return ["".join(words[f:g])[:-1] for f, g in zip([0, *upto], upto)]
 
     def align(self, texts: list[str | None], detail: bool = False) -> Iterator:
         """For each text (measures, hex digest of the groups, sorted linked pairs,
