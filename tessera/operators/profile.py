@@ -160,13 +160,20 @@ def iqr_outlier_counts(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> Da
     return wide.select(pairs.alias("p")).select("p.column", "p.n_outliers")
 
 
+def pearson(a: str, b: str):
+    """Pearson's r over the rows that have both; null where a side has no spread."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def corr_pairs(df: DataFrame, cols: Sequence[str], digits: int = 8) -> DataFrame:
     """AGG-7: Pearson r of every column pair (c1 before c2), one aggregation.
 
     Rows with a null in either column are skipped per pair (pairwise
-    complete), as pandas ``corr``."""
+    complete), as pandas ``corr``; r is null where a column has no spread."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[pearson(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     arr = F.explode(F.array(*[F.struct(F.lit(a).alias("c1"), F.lit(b).alias("c2"), F.col(f"{i}").alias("r"))
                               for i, (a, b) in enumerate(pairs)]))
     return wide.select(arr.alias("p")).select("p.c1", "p.c2", F.round("p.r", digits).alias("r"))
@@ -174,7 +181,7 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], digits: int = 8) -> DataFrame
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str, digits: int = 8) -> DataFrame:
     """AGG-8: r of each column with the target, sorted by r descending."""
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols])
+    wide = df.agg(*[pearson(c, target).alias(c) for c in cols])
     arr = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("r")) for c in cols]))
     return wide.select(arr.alias("p")).select("p.column", F.round("p.r", digits).alias("r")).orderBy(F.desc("r"))
 

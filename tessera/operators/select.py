@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.quantiles import quantiles
 from ..sources.store import cut_lineage
 from .nulls import fill_by_strategy, inf_to_null_cols
-from .profile import corr_pairs
+from .profile import corr_pairs, pearson
 
 
 def variance_filter(df: DataFrame, cols: Sequence[str], threshold: float = 0.1) -> DataFrame:
@@ -101,17 +101,10 @@ def vif(df: DataFrame, cols: Sequence[str], centered: bool = True, threshold: fl
     return df.sparkSession.createDataFrame(rows, "column string, vif double, flagged boolean")
 
 
-def safe_corr(a: str, b: str):
-    """Pearson's r over complete pairs; null where a side has no spread."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def select_by_target_corr(df: DataFrame, cols: Sequence[str], target: str, threshold: float = 0.1) -> DataFrame:
     """SEL-10: columns whose correlation with the target exceeds ``threshold``
     in size, strongest first; a constant column has none and is left out."""
-    wide = df.agg(*[safe_corr(c, target).alias(f"r{i}") for i, c in enumerate(cols)])
+    wide = df.agg(*[pearson(c, target).alias(f"r{i}") for i, c in enumerate(cols)])
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("r")) for i, c in enumerate(cols)]))
     return (wide.select(each.alias("x")).select("x.*").where(F.abs("r") > threshold)
             .orderBy(F.desc(F.abs("r")), "column"))
@@ -136,7 +129,7 @@ def f_regression(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     aggs = []
     for c in cols:
         ok = F.col(c).isNotNull() & F.col(target).isNotNull()
-        aggs += [safe_corr(c, target).alias(f"r_{c}"),
+        aggs += [pearson(c, target).alias(f"r_{c}"),
                  F.count_if(ok).alias(f"n_{c}")]
     wide = df.agg(*aggs)
     arr = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"r_{c}").alias("r"), F.col(f"n_{c}").alias("n"))

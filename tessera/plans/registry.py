@@ -45,5 +45,5 @@ def query(name: str, ids: str | tuple[str, ...], oracle: str | None = None,
 def load_all() -> dict[str, Query]:
     """Import every query module so that its decorators run."""
     from . import (q_core, q_profile, q_nulls, q_encode, q_scale, q_geo,  # noqa: F401
-                   q_select, q_model)
+                   q_select, q_model, q_wrapper)
     return REGISTRY

@@ -70,6 +70,23 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_selection(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """SNK-3: rows (method, set, feature) as one JSON object, from ``method_set`` to
+    the sorted list of its features (its size follows the number of columns)."""
+    lists = df.groupBy(F.concat_ws("_", "method", "set").alias("name")).agg(F.sort_array(F.collect_set("feature")).alias("features"))
+    whole = lists.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "features")))).alias("m"))
+    whole.select(F.to_json("m").alias("value")).coalesce(1).write.mode(mode).text(path)
+    return path
+
+
+def read_selection(spark: SparkSession, path: str) -> DataFrame:
+    """(method, set, feature) of what ``write_selection`` wrote."""
+    read = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string, array<string>>")).alias("name", "features"))
+    last = F.element_at(F.split("name", "_"), -1)
+    return read.select(F.expr("left(name, length(name) - length(element_at(split(name, '_'), -1)) - 1)").alias("method"), last.alias("set"),
+                       F.explode("features").alias("feature"))
+
+
 def save_model(model, path: str) -> str:
     """SNK-4: persist a fitted ``pyspark.ml`` model / pipeline."""
     model.write().overwrite().save(path)
