@@ -6,7 +6,8 @@ radius wide (longitude cells widened by 1/cos of the largest |lat|), each POI
 is copied to its 9 neighbouring cells, and an *equi-join on the cell id*
 yields exactly the candidates that can be within the radius.  The exact
 distance filter follows.  Work is done per distinct location, then joined
-back to the rows that share it.
+back to the rows that share it.  Cells go around the globe, so points on both sides
+of the date line meet; a cell that holds very many locations is split into several keys.
 
 Nearest-POI search grows the radius (x4 per round) only for the locations
 still unresolved, until the grid's neighbourhood covers every POI, so the
@@ -43,12 +44,17 @@ def _max_abs_lat(*frames: DataFrame) -> float:
     return max((extent(f)["mal"] or 0.0) for f in frames)
 
 
-def _cells(radius_km: float, max_abs_lat: float) -> tuple[float, float]:
-    """Cell size in degrees (lat, lon) so that a cell spans at least the radius."""
+#: Locations of one grid cell that one join key may have; a cell of more is split.
+CELL_LOCATIONS = 10_000
+
+
+def _cells(radius_km: float, max_abs_lat: float) -> tuple[float, int]:
+    """Height of a cell in degrees, and the number of cells around the globe, so that
+    a cell spans at least the radius; near the poles one cell goes around."""
     cl = radius_km / KM_PER_DEG
-    lat_edge = min(89.0, max_abs_lat + cl)
-    cn = min(360.0, radius_km / (KM_PER_DEG * math.cos(math.radians(lat_edge))))
-    return cl, cn
+    lat_edge = max_abs_lat + cl
+    width = radius_km / (KM_PER_DEG * math.cos(math.radians(lat_edge))) if lat_edge < 89.0 else 360.0
+    return cl, max(1, int(360.0 / min(360.0, width)))
 
 
 def stack_pois(pois: DataFrame, poi_id: str = "poi_id") -> DataFrame:
@@ -58,18 +64,35 @@ def stack_pois(pois: DataFrame, poi_id: str = "poi_id") -> DataFrame:
                .groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("_w"), F.min(poi_id).alias("_poi"))
 
 
+def _column(lon: str, around: int):
+    """The cell of a longitude: cells go around the globe and meet at 180 degrees."""
+    return F.least(F.floor(F.pmod(F.col(lon) + 180.0, F.lit(360.0)) / (360.0 / around)), F.lit(around - 1)).cast("bigint")
+
+
 def candidate_pairs(locs: DataFrame, pois: DataFrame, radius_km: float, max_abs_lat: float,
-                    loc_id: str = "loc_id", poi_id: str = "poi_id") -> DataFrame:
-    """(loc_id, poi_id, km) for every pair within ``radius_km`` via a grid equi-join."""
-    cl, cn = _cells(radius_km, max_abs_lat)
-    p = locs.select(loc_id, "lat", "lon", F.floor(F.col("lon") / cn).alias("cx"), F.floor(F.col("lat") / cl).alias("cy"))
-    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+                    loc_id: str = "loc_id", poi_id: str = "poi_id", most: int = CELL_LOCATIONS) -> DataFrame:
+    """(loc_id, poi_id, km) for every pair within ``radius_km`` via a grid equi-join.
+
+    A cell with more than ``most`` locations is split by a hash of the location into
+    as many keys as it needs, and the POIs around it go to each of them."""
+    cl, around = _cells(radius_km, max_abs_lat)
+    p = locs.select(loc_id, "lat", "lon", _column("lon", around).alias("cx"), F.floor(F.col("lat") / cl).alias("cy"))
+    beside = sorted({dx % around for dx in (-1, 0, 1)})
+    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in beside for dy in (-1, 0, 1)])
     stacked = pois if "_w" in pois.columns else stack_pois(pois, poi_id)
     q = (stacked.select("_poi", "_w", F.col("lat").alias("plat"), F.col("lon").alias("plon"),
-                        F.floor(F.col("lon") / cn).alias("qx"), F.floor(F.col("lat") / cl).alias("qy"))
+                        _column("lon", around).alias("qx"), F.floor(F.col("lat") / cl).alias("qy"))
          .select("*", F.explode(offs).alias("o"))
-         .select("_poi", "_w", "plat", "plon", (F.col("qx") + F.col("o.dx")).alias("cx"), (F.col("qy") + F.col("o.dy")).alias("cy")))
-    j = p.join(q, ["cx", "cy"])
+         .select("_poi", "_w", "plat", "plon", F.pmod(F.col("qx") + F.col("o.dx"), F.lit(around)).alias("cx"), (F.col("qy") + F.col("o.dy")).alias("cy")))
+    keys = ["cx", "cy"]
+    dense = (p.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+             .select(*keys, F.ceil(F.col("n") / most).cast("int").alias("parts")))
+    if not dense.isEmpty():
+        dense = cut_lineage(dense, "dense_cells")
+        p = p.join(dense, keys, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("lon", "lat"), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
+        q = q.join(dense, keys, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+        keys.append("part")
+    j = p.join(q, keys)
     d = haversine_km(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
     return j.select(loc_id, F.col("_poi").alias(poi_id), F.col("_w").alias("w"), d.alias("km")) \
             .where(F.col("km") <= F.lit(radius_km))
@@ -108,7 +131,7 @@ def nearest(locs: DataFrame, pois: DataFrame, start_km: float = 1.5, max_abs_lat
     mal = max(pe["mal"], le["mal"]) if max_abs_lat is None else max_abs_lat
     span = (max(pe["lat1"], le["lat1"]) - min(pe["lat0"], le["lat0"])
             + max(pe["lon1"], le["lon1"]) - min(pe["lon0"], le["lon0"]))
-    full_km = (abs(span) + 1.0) * KM_PER_DEG  # covers every pair
+    full_km = min((abs(span) + 1.0) * KM_PER_DEG, 182.0 * KM_PER_DEG)  # covers every pair
     todo, done, r = locs.select("loc_id", "lat", "lon"), [], min(start_km, full_km)
     while True:
         last = r >= full_km

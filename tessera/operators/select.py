@@ -152,7 +152,7 @@ def _equal_width(x, mm, bins: int):
     if mm["lo"] is None or mm["lo"] == mm["hi"]:
         return F.when(x.isNotNull(), F.lit(0).cast("bigint"))
     lo, hi = F.lit(float(mm["lo"])), F.lit(float(mm["hi"]))
-    return F.least(F.floor((x - lo) / ((hi - lo) / F.lit(bins))), F.lit(bins - 1))
+    return F.when(x.isNotNull(), F.least(F.floor((x - lo) / ((hi - lo) / F.lit(bins))), F.lit(bins - 1)))  # least() skips nulls
 
 
 def quantile_edges(df: DataFrame, cols: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
@@ -227,7 +227,8 @@ def correlated_groups(df: DataFrame, cols: Sequence[str], target: str, threshold
         cut = _equal_width(F.col(target), df.agg(F.min(target).alias("lo"), F.max(target).alias("hi")).first(), bins)
     mi = mutual_info(df.withColumn("_yb", cut), list(cols), "_yb", bins, how)
     g = groups.join(mi, "column")
-    best = g.groupBy("key").agg(F.max_by("column", F.struct("mi", F.col("column"))).alias("column"))
+    # columns that are binned alike have one score but for the order of summation
+    best = g.groupBy("key").agg(F.max_by("column", F.struct(F.round("mi", 10), F.col("column"))).alias("column"))
     grouped = groups.select("column").distinct()
     ungrouped = mi.select("column").join(grouped, "column", "left_anti")
     return best.select("column").unionByName(ungrouped).distinct()

@@ -272,3 +272,12 @@ def q_two_rounds(spark, sf):
     pts = views.trades(spark, sf).select("row_id", "bal", "target")
     got = cluster.minibatch_kmeans(pts, ["bal", "target"], k=4, batch=4000, rounds=2, seed=42, id_col="row_id")
     return got.select("row_id", "cluster", F.round("cluster_dist", 6).alias("cluster_dist"), "cluster_count")
+
+
+@query("exp_seeded_search", ("EXP-1", "EXP-2", "EXP-3", "EXP-4"))
+def q_seeded_search(spark, sf):
+    """Six seeded configurations in which every option of every axis comes up."""
+    path = scratch_path(spark, "search")
+    best = runs.search(views.trades(spark, sf), runs.covering_draw(6, seed=2023), path)
+    tried = spark.read.parquet(path).select("run_id", "config", "rmse", F.get_json_object("metrics", "$.stopped").alias("stopped"))
+    return tried.join(best.select("run_id", F.lit(True).alias("best")), "run_id", "left").withColumn("best", F.coalesce("best", F.lit(False)))

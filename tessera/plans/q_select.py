@@ -258,7 +258,7 @@ tb AS (SELECT s.*, least(floor((target - lo) / ((hi - lo) / 10e0)), 9) AS yb FRO
 mi AS ({_u(mi)}),
 pairs AS ({_u(pairs)}),
 g AS (SELECT c2 AS key, c1 AS col FROM pairs WHERE ar > 0.9 UNION SELECT c2, c2 FROM pairs WHERE ar > 0.9),
-best AS (SELECT col FROM (SELECT g.key, g.col, row_number() OVER (PARTITION BY g.key ORDER BY mi.mi DESC, g.col DESC) AS rn
+best AS (SELECT col FROM (SELECT g.key, g.col, row_number() OVER (PARTITION BY g.key ORDER BY round(mi.mi, 10) DESC, g.col DESC) AS rn
                           FROM g JOIN mi ON g.col = mi.col) WHERE rn = 1)
 SELECT DISTINCT col AS "column" FROM (SELECT col FROM best UNION ALL SELECT col FROM mi WHERE col NOT IN (SELECT col FROM g))
 """, "trades")
