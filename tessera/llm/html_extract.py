@@ -9,8 +9,15 @@ comments and tags, comes out in blocks.
 
 Weights.  The scores of tags come from labelled pages: those with exactly one
 ``article`` element, whose inside is the label.  A kind of tag (name, opening or
-closing) scores three times the log odds of being inside, at most -0.05.  Kinds that were not seen have a default.  They are counted on a
-bounded sample (at most about ``pages`` labelled pages, by hash of the html).
+closing) scores three times the log odds of being inside, at most -0.05.  A kind of block
+that was not seen has the score of all blocks seen taken together (key ``*``; a default,
+if none was), so that an article is not cut at its first list, table or figure; inline
+kinds have a default.  They are counted on a bounded sample (at most about ``sample``
+labelled pages, by hash of the html).
+
+Hints.  A class, id or role hints at furniture if one of its names is made of hint words
+and words that go with them.  A hint does not count on an element that holds several
+blocks and more than half of the page's words (comments of readers apart): it names the layout.
 
 Text.  Character references are decoded, white space inside a block becomes one
 blank, blocks are trimmed, empty ones left out, and joined by two newlines in
@@ -53,6 +60,13 @@ HINTS = frozenset("ad ads advert advertisement advertising sponsor sponsored pro
                   "notification alert modal popup overlay sidebar rail menu nav navbar navigation breadcrumb breadcrumbs pagination pager "
                   "footer masthead topbar toolbar comment comments reply replies disqus respond share sharing social related recommended "
                   "newsletter subscribe subscription signup login search widget contentinfo complementary".split())
+#: Hints that stay furniture however long they are: reader comments may be longer than the article.
+READERS = frozenset("comment comments reply replies disqus respond".split())
+#: Words that may stand beside a hint in a name ("site-footer", "ad-slot-2"); beside any other word a hint
+#: says something else ("has-sidebar", "search-results", "related-work").
+BESIDE = frozenset("area bar block body bottom box button buttons center col column container content footer form global group header "
+                   "holder icons inner item items js left link links list main outer page panel primary region right row section "
+                   "secondary site slot top unit wide wrap wrapper".split())
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)|<!--|<[!?/][^>]*>""")
 _VALUE = re.compile(r"""=\s*(?:(["'])|[^\s>]*)|>""")
 _TELLING = re.compile(r"class|id|role|style", re.I)  # "hidden" has "id", too
@@ -126,38 +140,52 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         yield "text", rest, ""
 
 
-def is_furniture(name: str, attrs: str, within: bool) -> bool:
-    """Whether an element is furniture; a ``header`` inside an article is not."""
+NO, ALWAYS, READER, HINT = range(4)
+
+
+def is_furniture(name: str, attrs: str, within: bool) -> int:
+    """Whether an element is furniture: ``ALWAYS``, as comments of readers, or by a
+    hint that counts unless the element holds most of the page; a ``header`` inside
+    an article is not."""
     if name in FURNITURE and not (name == "header" and within):
-        return True
+        return ALWAYS
     if not attrs or name in ("html", "body", "article", "main"):
-        return False
+        return NO
     if not _TELLING.search(attrs):
-        return False
+        return NO
+    found = NO
     for key, *values in _ATTRIBUTE.findall(attrs):
         key, value = key.lower(), "".join(values).lower()
         if key == "hidden" or (key == "aria-hidden" and value.strip().startswith("true")) or (key == "style" and _NONE.search(value)):
-            return True
-        if re.split("[-:]", key)[-1] in ("class", "id", "role") and not HINTS.isdisjoint(_PARTS.findall(value)):
-            return True
-    return False
+            return ALWAYS
+        if re.split("[-:]", key)[-1] in ("class", "id", "role"):
+            for word in value.split():
+                parts = _PARTS.findall(word)
+                if not HINTS.isdisjoint(parts) and all(p in HINTS or p in BESIDE or p.isdigit() for p in parts):
+                    found = READER if not READERS.isdisjoint(parts) else found or HINT
+    return found
 
 
 class _Open:
     """The open elements of a page, each found by its name at any depth."""
 
     def __init__(self):
-        self.stack: list[tuple[str, bool]] = []  # name, and whether it starts furniture
+        self.stack: list[tuple[str, int]] = []  # name, and what furniture it starts
         self.at: dict[str, list[int]] = {}  # places of each name in the stack
         self.blocks: list[int] = []  # places of blocks
         self.walls: list[int] = []  # places of blocks not in LOOSE
         self.dark = 0  # how many start furniture
+        self.always = 0  # how many of them by more than a hint
+        self.words = 0  # so far, outside the latter
+        self.made = 0  # blocks so far, outside the latter
+        self.hints: list[tuple[int, int, int, int]] = []  # open hints: place, number, words and blocks when it began
+        self.held: dict[int, tuple[int, int]] = {}  # words and blocks in each hint that has ended
 
     def last(self, name: str) -> int:
         own = self.at.get(name)
         return own[-1] if own else -1
 
-    def push(self, name: str, own: bool) -> None:
+    def push(self, name: str, own: int, number: int) -> None:
         place = len(self.stack)
         self.stack.append((name, own))
         self.at.setdefault(name, []).append(place)
@@ -165,17 +193,26 @@ class _Open:
             self.blocks.append(place)
             if name not in LOOSE:
                 self.walls.append(place)
-        self.dark += own
+        self.dark += own != NO
+        self.always += own in (ALWAYS, READER)
+        if own == HINT:
+            self.hints.append((place, number, self.words, self.made))
+        elif name in BLOCKS and not self.always:
+            self.made += 1
 
     def end(self, place: int) -> None:
         """The element at a place, and all inside it, end."""
         while len(self.stack) > place:
             name, own = self.stack.pop()
             self.at[name].pop()
-            self.dark -= own
+            self.dark -= own != NO
+            self.always -= own in (ALWAYS, READER)
         for places in (self.blocks, self.walls):
             while places and places[-1] >= place:
                 places.pop()
+        while self.hints and self.hints[-1][0] >= place:
+            _, number, words, made = self.hints.pop()
+            self.held[number] = self.words - words, self.made - made
 
     def end_siblings(self, name: str) -> None:
         """What an opening tag ends: the open row, cell, item or paragraph
@@ -191,26 +228,41 @@ class _Open:
                 self.end(min(places))
 
 
-def items(page: str) -> Iterator[tuple[str, str, bool]]:
-    """(kind, text, furniture): words have the kind 'text', tags their name, with
-    a slash if closing and a plus if they open furniture."""
-    open_ = _Open()
+def _items(page: str, kept: set[int]) -> tuple[list[tuple[str, str, bool]], set[int]]:
+    """The items of a page, where the hints numbered in ``kept`` are not furniture, and
+    the numbers of the hints that hold several blocks and more than half of the page's words."""
+    open_, out, number = _Open(), [], 0
     for what, name, attrs in tokens(page):
         if what == "text":
-            yield "text", name, open_.dark > 0
+            if not open_.always:
+                open_.words += len(name.split())
+            out.append(("text", name, open_.dark > 0))
         elif what == "open":
             open_.end_siblings(name)
-            own = name not in VOID and is_furniture(name, attrs, open_.last("article") >= 0)
-            yield name + "+" * own, "", open_.dark > 0 or own
+            own = is_furniture(name, attrs, open_.last("article") >= 0) if name not in VOID else NO
+            if own == HINT:
+                number += 1
+                own = NO if number in kept else HINT
+            out.append((name + "+" * (own != NO), "", open_.dark > 0 or own != NO))
             if name in VOID or attrs.endswith("/") or (name not in BLOCKS and not own):
                 continue
-            open_.push(name, own)
+            open_.push(name, own, number)
         else:
             own = open_.dark > 0
             at = open_.last(name)
             if at >= 0:
                 open_.end(at)
-            yield "/" + name, "", own
+            out.append(("/" + name, "", own))
+    open_.end(0)
+    return out, {k for k, (words, made) in open_.held.items() if made > 1 and 2 * words > open_.words}
+
+
+def items(page: str) -> list[tuple[str, str, bool]]:
+    """(kind, text, furniture): words have the kind 'text', tags their name, with
+    a slash if closing and a plus if they open furniture.  A hint on an element that
+    holds several blocks and more than half of the page's words names the layout, not furniture."""
+    seq, wrappers = _items(page, set())
+    return _items(page, wrappers)[0] if wrappers else seq
 
 
 def region(seq: list[tuple[str, str, bool]], weights: dict[str, float]) -> tuple[int, int]:
@@ -224,7 +276,7 @@ def region(seq: list[tuple[str, str, bool]], weights: dict[str, float]) -> tuple
         else:
             score = weights.get(kind)
             if score is None:
-                score = UNSEEN if kind.strip("/") in BLOCKS else UNSEEN_INLINE
+                score = weights.get("*", UNSEEN) if kind.strip("/") in BLOCKS else UNSEEN_INLINE
         if total <= 0:
             total, start = 0.0, i
         total += score
@@ -235,7 +287,7 @@ def region(seq: list[tuple[str, str, bool]], weights: dict[str, float]) -> tuple
 
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The main text of one page."""
-    seq = list(items(page or ""))
+    seq = items(page or "")
     lo, hi = region(seq, weights)
     blocks, parts = [], []
     for kind, text, dark in seq[lo:hi]:
@@ -256,7 +308,7 @@ def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     inside, outside = Counter(), Counter()
     for batch in batches:
         for page in batch.column(0).to_pylist():
-            seq = list(items(page))
+            seq = items(page)
             names = [kind.rstrip("+") for kind, _, _ in seq]
             if names.count("article") != 1 or names.count("/article") != 1:
                 continue
@@ -278,7 +330,10 @@ def learn_weights(pages: DataFrame, html_col: str = "html", sample: int = 2000,
         labelled = labelled.where(F.pmod(F.xxhash64("html"), F.lit(1 << 20)) < int(sample / n * (1 << 20)))
     counts = (arrow_map(labelled, _kinds, "kind string, a long, b long").groupBy("kind").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
               .orderBy(F.desc(F.col("a") + F.col("b")), "kind").limit(kinds).collect())
-    return {r["kind"]: min(-0.05, 3 * math.log((r["a"] + 0.5) / (r["b"] + 0.5))) for r in counts}
+    score = lambda a, b: min(-0.05, 3 * math.log((a + 0.5) / (b + 0.5)))
+    text_blocks = [r for r in counts if r["kind"].strip("/") in BLOCKS - {"article", "body", "head", "main"}]
+    pooled = {"*": max(UNSEEN, score(sum(r["a"] for r in text_blocks), sum(r["b"] for r in text_blocks)))} if text_blocks else {}
+    return {r["kind"]: score(r["a"], r["b"]) for r in counts} | pooled
 
 
 def _extract(weights: dict[str, float], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
