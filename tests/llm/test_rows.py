@@ -223,3 +223,42 @@ def test_licenses_planted_in_long_and_edited_texts(spark):
 def test_licenses_plan_is_native(spark):
     plan = QUERIES["op5_license_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|ExistingRDD", plan)
+
+
+ARTICLE = "".join(f"<p>{' '.join(f'w{i}x{j}' for j in range(20))}.</p>" for i in range(8))
+POOLED = {"article": -25.0, "/article": -25.0, "*": -0.05}
+
+
+@pytest.mark.parametrize("wrapper", ['div class="layout has-sidebar"', 'div class="content search-results"', 'div id="page" class="menu-open"',
+                                     'div class="social-news-app"', 'section role="search"', 'div class="main"', 'div class="sidebar"'])
+def test_extraction_keeps_articles_in_wrappers_of_any_name(wrapper):
+    page = f"<body><nav>a b</nav><{wrapper}>{ARTICLE}</{wrapper.split()[0]}><footer>x y</footer></body>"
+    assert html_extract.extract(page, POOLED) == ARTICLE.replace("<p>", "").replace("</p>", "\n\n").strip()
+
+
+def test_extraction_keeps_tables_lists_and_figures_that_were_not_learned():
+    page = ("<body><article><p>" + "long " * 20 + "</p><table>" + "<tr><td>a</td><td>b</td></tr>" * 6 + "</table><ul>" + "<li>item one</li>" * 4
+            + "</ul><figure><figcaption>a figure</figcaption></figure><p class='related-work'>related work</p><div class=menu-card>card</div>"
+            "<div class='share-buttons'>share</div><div class=ad><p>buy</p><p>now</p></div><p>" + "last " * 10 + "</p></article>"
+            "<div class=comments>" + ARTICLE * 3 + "</div></body>")
+    got = html_extract.extract(page, POOLED).split("\n\n")
+    assert got == ["long " * 19 + "long", *["a", "b"] * 6, *["item one"] * 4, "a figure", "related work", "card", "last " * 9 + "last"]
+    short = '<body><div class="ad">A text that is much longer than the article of this page.</div><article><p>Short one.</p></article></body>'
+    assert html_extract.extract(short, POOLED) == "Short one."
+
+
+def test_region_is_the_best_of_all_runs():
+    import random
+    rng, kinds = random.Random(1), [("text", "a b c", False), ("p", "", False), ("div", "", False), ("i", "", False), ("text", "x", True), ("nav+", "", True), ("/p", "", False)]
+    weights = {"p": -1.5, "/p": -0.5, "*": -2.0}
+
+    def score(kind, text, dark):
+        if dark:
+            return html_extract.SKIPPED if kind[-1] == "+" else 0.0
+        return len(text.split()) if kind == "text" else weights.get(kind, -2.0 if kind == "div" else html_extract.UNSEEN_INLINE)
+
+    for _ in range(300):
+        seq = [rng.choice(kinds) for _ in range(rng.randint(0, 14))]
+        best = max((sum(score(*x) for x in seq[a:b]) for a in range(len(seq)) for b in range(a + 1, len(seq) + 1)), default=0.0)
+        lo, hi = html_extract.region(seq, weights)
+        assert abs(sum(score(*x) for x in seq[lo:hi]) - max(best, 0.0)) < 1e-9
