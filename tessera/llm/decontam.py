@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbatch as tb
-from .scratch import arrow_map, written
+from .scratch import arrow_map, row_and_text, text_of, written
 
 _U = np.uint64
 CHUNK = 4096
@@ -163,13 +163,13 @@ def _merge(begins: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
     return [x[0] for x in out], [x[1] for x in out]
 
 
-def _match(index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _match(index, field: str | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ix: PrefixIndex = index.value
     names = ["n_words", "begins", "ends", "items"]
     for batch in batches:
         n_words = np.zeros(len(batch), np.int64)
         begins, ends, items = (batch.column(c).to_pylist() for c in names[1:])
-        for run in tb.runs(batch.column("text"), tb.ALNUM):
+        for run in tb.runs(text_of(batch, field), tb.ALNUM):
             n_words[run.row0:run.row0 + run.rows] = np.diff(run.first)
             row, begin, win = ix.occurrences(run)
             order = np.argsort(row, kind="stable")
@@ -197,8 +197,8 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", it
     total = chunks.agg(F.sum(F.size("words") - F.col("size") + 1)).first()[0] or 0
     blocks = -(-total // block_windows)
     none = F.array().cast("array<long>")
-    out = docs.select(F.col(text_col).cast("string").alias("text"), F.struct(*[docs[c] for c in carry or docs.columns]).alias("row"),
-                      F.lit(0).cast("long").alias("n_words"), none.alias("begins"), none.alias("ends"), F.array().cast("array<string>").alias("items"))
+    columns, field = row_and_text(docs, text_col, carry)
+    out = docs.select(*columns, F.lit(0).cast("long").alias("n_words"), none.alias("begins"), none.alias("ends"), F.array().cast("array<string>").alias("items"))
     for b in range(max(1, blocks)):
         own = chunks.where(F.pmod(F.xxhash64("words"), F.lit(max(1, blocks))) == b).collect()  # bounded: about block_windows
         windows = Windows.of(own, window, k)
@@ -211,7 +211,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", it
             for r in counted.groupBy("at").agg(F.sum("seen").alias("seen")).toLocalIterator():
                 seen[r["at"]] = r["seen"]
         index = spark.sparkContext.broadcast(PrefixIndex.of(windows, table, seen))
-        out = arrow_map(out, partial(_match, index), out.schema)
+        out = arrow_map(out, partial(_match, index, field), out.schema)
         if b % 2 and b < blocks - 1:
             out = written(out, "dec-rows")
     return out.drop("text")

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from . import textbatch as tb
 from .sampling import per_class
-from .scratch import arrow_map
+from .scratch import arrow_map, row_and_text, text_of
 
 GRAMS = (2, 3, 4)
 BITS = 16
@@ -172,14 +172,14 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     return Model(names, code, weight, (trust / trust.mean()).astype(np.float32))
 
 
-def _predict(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _predict(model, field: str | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     m: Model = model.value
     names = np.array(m.languages + ["und"], object)
     und = len(m.languages)
     for batch in batches:
         sums, count = np.zeros((len(batch), m.code.shape[1]), np.float64), np.zeros(len(batch), np.int64)
         if m.code.shape[1]:
-            for r0, n, slots, starts in _gram_runs(batch.column("text")):
+            for r0, n, slots, starts in _gram_runs(text_of(batch, field)):
                 sums[r0:r0 + n] += _row_sums(m.weight[slots], starts)
                 count[r0:r0 + n] += _row_sums((slots < 1 << BITS).astype(np.int64), starts)
         if und:
@@ -201,8 +201,7 @@ def _predict(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``row`` (struct of the ``carry`` columns; all, if not given), lang_pred,
     score and ambiguous, for every row and whole text."""
-    text = F.col(text_col).cast("string")
-    rows = docs.select(text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"),
-                       F.struct(*[docs[c] for c in carry or docs.columns]).alias("row"))
+    columns, field = row_and_text(docs, text_col, carry)
+    rows = docs.select(*columns, F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     schema = (T.StructType([rows.schema["row"]]).add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean"))
-    return arrow_map(rows, partial(_predict, docs.sparkSession.sparkContext.broadcast(model)), schema)
+    return arrow_map(rows, partial(_predict, docs.sparkSession.sparkContext.broadcast(model), field), schema)

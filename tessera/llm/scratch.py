@@ -5,12 +5,30 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
 
+def row_and_text(docs: DataFrame, text_col: str, carry: list[str] | None) -> tuple[list[Column], str | None]:
+    """Columns ``row`` (struct of the ``carry`` columns; all, if not given) and, only
+    if the row does not hold it, ``text``; and the field of the row that is the text.  So
+    a text goes to the Python workers once."""
+    names = carry or docs.columns
+    row = F.struct(*[docs[c] for c in names]).alias("row")
+    if names.count(text_col) == 1 and dict(docs.dtypes).get(text_col) == "string":
+        return [row], text_col
+    return [row, F.col(text_col).cast("string").alias("text")], None
+
+
+def text_of(batch: pa.RecordBatch, field: str | None) -> pa.Array:
+    """The texts of a batch with the columns of ``row_and_text``."""
+    return batch.column("text") if field is None else pc.struct_field(batch.column("row"), field)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder (cuts lineage; after
     the loss of an executor it is read again, not computed again)."""

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from . import textbatch as tb
 from .sampling import per_class
-from .scratch import arrow_map, written
+from .scratch import arrow_map, row_and_text, text_of, written
 
 _U = np.uint64
 STEMS = (4, 5)
@@ -175,11 +175,11 @@ def _selected(kept, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(at, pa.list_(pa.int32()))], ["label", "at"])
 
 
-def _score(machine, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _score(machine, field: str | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     m: Machine = machine.value
     for batch in batches:
         out = np.zeros(len(batch))
-        for run in tb.runs(batch.column("text"), tb.ALNUM, stems=STEMS):
+        for run in tb.runs(text_of(batch, field), tb.ALNUM, stems=STEMS):
             out[run.row0:run.row0 + run.rows] = m.scores(*_terms(run, m.terms), run.rows)
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out)], ["row", "score"])
 
@@ -187,6 +187,7 @@ def _score(machine, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def score(docs: DataFrame, machine: Machine, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``row`` (struct of the ``carry`` columns; all, if not given) and score (0
     to 1, higher: toxic likelier) for every row and whole text."""
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.struct(*[docs[c] for c in carry or docs.columns]).alias("row"))
-    return arrow_map(rows, partial(_score, docs.sparkSession.sparkContext.broadcast(machine)),
+    columns, field = row_and_text(docs, text_col, carry)
+    rows = docs.select(*columns)
+    return arrow_map(rows, partial(_score, docs.sparkSession.sparkContext.broadcast(machine), field),
                      T.StructType([rows.schema["row"]]).add("score", "double"))
