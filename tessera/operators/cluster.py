@@ -1,13 +1,14 @@
 """Clustering (CLU-1 .. CLU-4).
 
-DBSCAN and k-distance use an eps-grid equi-join for neighbour pairs (no
-cross join); connected components of core points come from iterative
-min-label propagation over the core-core edges, with a reliable checkpoint
+DBSCAN and k-distance use an eps-grid equi-join (no cross join); DBSCAN links
+cells, not points, so a clump gives no point pairs.  Connected components come from iterative
+min-label propagation over the cells' edges, with a written table
 per round, so labels are global (no per-batch restarts).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -24,6 +25,54 @@ def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return affine(df, standard_params(df, list(cols)))
 
 
+#: Directions in which a cell's outermost points stand for it.
+DIRECTIONS = tuple((math.cos(2 * math.pi * i / 16), math.sin(2 * math.pi * i / 16)) for i in range(16))
+
+
+def outermost(points: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row a cell: ``reps``, its outermost points in 16 directions (so at most 16,
+    whatever the cell holds), and its bounding box."""
+    ends = [F.max_by(F.struct("x", "y"), F.struct(F.col("x") * c + F.col("y") * s, "x", "y")) for c, s in DIRECTIONS]
+    return points.groupBy(*by).agg(F.array_distinct(F.array(*ends)).alias("reps"), F.min("x").alias("x0"), F.max("x").alias("x1"),
+                                   F.min("y").alias("y0"), F.max("y").alias("y1"))
+
+
+def _d2(p, q):
+    return (p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"])
+
+
+def _to_box(x, y, side: str):
+    """Squared distance of a point to the box of a side of a cell pair."""
+    dx = F.greatest(F.col(side + "x0") - x, x - F.col(side + "x1"), F.lit(0.0))
+    dy = F.greatest(F.col(side + "y0") - y, y - F.col(side + "y1"), F.lit(0.0))
+    return dx * dx + dy * dy
+
+
+def near_cells(left: DataFrame, right: DataFrame, eps: float, once: bool) -> DataFrame:
+    """Pairs (a, b) of a cell of ``left`` and another of ``right`` that have points
+    within ``eps`` of each other; ``left`` and ``right`` hold points (cx, cy, x, y) in cells of
+    side eps / sqrt(2).  ``once``: each pair in one direction only.
+
+    A cell has at most 24 neighbours.  Most pairs are settled by the cells' outermost
+    points alone; for the rest only points that are within ``eps`` of the other cell's box are
+    compared, and of them a pair of cells comes out once, so no point pairs are listed."""
+    offsets = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if (dx, dy) > (0, 0) or not once]
+    one, two = (cut_lineage(outermost(d, ["cx", "cy"]), "cell_reps") for d in (left, right))
+    l = one.select(F.struct("cx", "cy").alias("a"), *[F.col(c).alias("a" + c) for c in ("reps", "x0", "x1", "y0", "y1")],
+                   F.explode(F.array(*[F.struct((F.col("cx") + dx).alias("cx"), (F.col("cy") + dy).alias("cy")) for dx, dy in offsets])).alias("b"))
+    r = two.select(F.struct("cx", "cy").alias("b"), *[F.col(c).alias("b" + c) for c in ("reps", "x0", "x1", "y0", "y1")])
+    gap = lambda lo, hi: F.greatest(F.col("b" + lo) - F.col("a" + hi), F.col("a" + lo) - F.col("b" + hi), F.lit(0.0))
+    boxes = F.pow(gap("x0", "x1"), 2) + F.pow(gap("y0", "y1"), 2)
+    slack = 1 + 1e-9  # of bounds only: the points themselves are compared exactly
+    met = F.exists("areps", lambda p: F.exists("breps", lambda q: _d2(p, q) <= eps * eps))
+    pairs = cut_lineage(l.join(r, "b").where(boxes <= eps * eps * slack).withColumn("met", met), "cell_pairs")
+    open_ = pairs.where(~F.col("met")).select("a", "b", *[f"{s}{c}" for s in "ab" for c in ("x0", "x1", "y0", "y1")])
+    near = [d.select(F.struct("cx", "cy").alias(own), "x", "y").join(open_, own).where(_to_box(F.col("x"), F.col("y"), other) <= eps * eps * slack)
+            .select("a", "b", F.struct("x", "y").alias("p" + own)) for d, own, other in ((left, "a", "b"), (right, "b", "a"))]
+    found = near[0].join(near[1], ["a", "b"]).where(_d2(F.col("pa"), F.col("pb")) <= eps * eps).select("a", "b").distinct()
+    return pairs.where("met").select("a", "b").union(found)
+
+
 def dbscan(pts: DataFrame, eps: float = 0.5, min_samples: int = 5, id_col: str = "point_id",
            x: str = "x", y: str = "y") -> DataFrame:
     """CLU-2: (point_id, label, cluster_size); noise is -1.
@@ -40,46 +89,41 @@ def dbscan(pts: DataFrame, eps: float = 0.5, min_samples: int = 5, id_col: str =
       cell are within eps of each other: a cell holding >= min_samples
       points makes every point in it core without counting pairs, and a
       cell is one node of the component graph;
-    * neighbour pairs are enumerated between distinct locations only where
-      needed: to count neighbours of locations in sparse cells, to link
-      core cells, and to attach border points.
+    * a location of a sparse cell is core at once if the outermost points of the
+      cells around make up ``min_samples``; neighbours are counted for the others only;
+    * cells are linked, and border points attached, by ``near_cells``, which lists
+      pairs of cells, not of points.
     """
     side = eps / 2 ** 0.5
-    cell = F.concat_ws(":", F.floor(F.col("x") / side).cast("string"), F.floor(F.col("y") / side).cast("string"))
     p = pts.select(F.col(id_col).alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
     loc = cut_lineage(p.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("lid"))
-                      .withColumn("cell", cell))
-    cells = loc.groupBy("cell").agg(F.sum("w").alias("cw"))
-    loc = loc.join(cells, "cell")
-    dense = loc.where(F.col("cw") >= min_samples)
-    sparse = loc.where(F.col("cw") < min_samples)
-    # neighbour weight for locations of sparse cells (each such cell has < min_samples points)
-    sp_pairs = eps_pairs_between(sparse.select(F.col("lid").alias("point_id"), "x", "y"),
+                      .withColumn("cx", F.floor(F.col("x") / side)).withColumn("cy", F.floor(F.col("y") / side)))
+    cells = loc.groupBy("cx", "cy").agg(F.sum("w").alias("cw"))
+    loc = cut_lineage(loc.join(cells, ["cx", "cy"]), "dbscan_locations")
+    sparse = loc.where(F.col("cw") < min_samples)  # each such cell has < min_samples points
+    around = F.explode(F.array(*[F.struct((F.col("cx") + dx).alias("cx"), (F.col("cy") + dy).alias("cy")) for dx in range(-2, 3) for dy in range(-2, 3)]))
+    beside = (sparse.select("lid", F.struct("x", "y").alias("p"), around.alias("c")).join(
+        outermost(loc, ["cx", "cy"]).select(F.struct("cx", "cy").alias("c"), "reps"), "c"))
+    seen = beside.groupBy("lid").agg(F.sum(F.size(F.filter("reps", lambda q: _d2(F.col("p"), q) <= eps * eps))).alias("n"))
+    sure = cut_lineage(seen.where(F.col("n") >= min_samples).select("lid"), "dbscan_sure")  # distinct points: a lower bound
+    rest = sparse.join(sure, "lid", "left_anti")
+    sp_pairs = eps_pairs_between(rest.select(F.col("lid").alias("point_id"), "x", "y"),
                                  loc.select(F.col("lid").alias("point_id"), "x", "y"), eps, "point_id", "x", "y")
     wts = loc.select(F.col("lid").alias("b"), F.col("w").alias("bw"))
     deg = sp_pairs.join(wts, "b").groupBy("a").agg(F.sum("bw").alias("deg"))
-    core_sparse = deg.where(F.col("deg") >= min_samples).select(F.col("a").alias("lid"))
-    core = cut_lineage(dense.select("lid", "x", "y", "cell")
-                       .unionByName(sparse.join(core_sparse, "lid").select("lid", "x", "y", "cell")))
-    # links between different cells through core locations within eps
-    cc = eps_pairs_between(core.select(F.col("lid").alias("point_id"), "x", "y"),
-                           core.select(F.col("lid").alias("point_id"), "x", "y"), eps, "point_id", "x", "y")
-    ca = core.select(F.col("lid").alias("a"), F.col("cell").alias("ca"))
-    cb = core.select(F.col("lid").alias("b"), F.col("cell").alias("cb"))
-    cell_edges = cc.join(ca, "a").join(cb, "b").where(F.col("ca") != F.col("cb")) \
-                   .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    core_ids = deg.where(F.col("deg") >= min_samples).select(F.col("a").alias("lid")).union(sure)
+    core = cut_lineage(loc.where(F.col("cw") >= min_samples).select("lid", "x", "y", "cx", "cy")
+                       .unionByName(sparse.join(core_ids, "lid").select("lid", "x", "y", "cx", "cy")), "dbscan_core")
+    cell_edges = near_cells(core, core, eps, once=True)
     # a cell's smallest core point id (over every point at its core locations)
     members = p.join(loc.select("x", "y", "lid"), ["x", "y"])
-    core_ids = members.join(core.select("lid", "cell"), "lid")
-    cell_min = core_ids.groupBy("cell").agg(F.min("id").alias("m"))
+    cell = F.struct("cx", "cy").alias("cell")
+    cell_min = members.join(core.select("lid", cell), "lid").groupBy("cell").agg(F.min("id").alias("m"))
     comp_cells = connected_min_value(cell_edges, cell_min)
-    core_lab = core.join(comp_cells, "cell").select("lid", "label")
-    # border locations: non-core locations with a core location within eps
+    core_lab = core.select("lid", cell).join(comp_cells, "cell").select("lid", "label")
+    # border locations, each as a cell of its own at its place: the smallest label of the core cells within reach
     nonc = loc.join(core.select("lid"), "lid", "left_anti")
-    bp = eps_pairs_between(nonc.select(F.col("lid").alias("point_id"), "x", "y"),
-                           core.select(F.col("lid").alias("point_id"), "x", "y"), eps, "point_id", "x", "y")
-    border = bp.join(core_lab.withColumnRenamed("lid", "b"), "b").groupBy("a").agg(F.min("label").alias("label")) \
-               .withColumnRenamed("a", "lid")
+    border = _attached(nonc, core, comp_cells, eps)
     loc_lab = core_lab.unionByName(border)
     codes = with_position(loc_lab.select("label").distinct(), "label", "cluster")
     out = members.join(loc_lab, "lid", "left").join(codes, "label", "left") \
@@ -88,6 +132,20 @@ def dbscan(pts: DataFrame, eps: float = 0.5, min_samples: int = 5, id_col: str =
     return out.join(size, "label").select(id_col, "label", "cluster_size")
 
 
+def _attached(nonc: DataFrame, core: DataFrame, comp_cells: DataFrame, eps: float) -> DataFrame:
+    """(lid, label) of the non-core locations that have a core point within ``eps``."""
+    reps = cut_lineage(outermost(core, ["cx", "cy"]).select(F.struct("cx", "cy").alias("cell"), "reps", *[F.col(c).alias("b" + c) for c in ("x0", "x1", "y0", "y1")])
+                       .join(comp_cells.select("cell", "label"), "cell"), "border_cells")
+    around = F.explode(F.array(*[F.struct((F.col("cx") + dx).alias("cx"), (F.col("cy") + dy).alias("cy")) for dx in range(-2, 3) for dy in range(-2, 3)]))
+    met = F.exists("reps", lambda q: _d2(F.col("p"), q) <= eps * eps)
+    tried = nonc.select("lid", F.struct("x", "y").alias("p"), around.alias("cell")).join(reps, "cell") \
+                .where(_to_box(F.col("p.x"), F.col("p.y"), "b") <= eps * eps * (1 + 1e-9)).withColumn("met", met)
+    tried = cut_lineage(tried.select("lid", "p", "cell", "label", "met"), "border_tried")
+    points = core.select(F.struct("cx", "cy").alias("cell"), F.struct("x", "y").alias("q"))
+    found = tried.where(~F.col("met")).join(points, "cell").where(_d2(F.col("p"), F.col("q")) <= eps * eps).select("lid", "label")
+    return tried.where("met").select("lid", "label").union(found).groupBy("lid").agg(F.min("label").alias("label"))
+
+
 def connected_min_value(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(cell, label): the smallest node value ``m`` in each connected
     component of ``edges`` (a, b) over cells; min propagation plus one jump
