@@ -178,12 +178,14 @@ def target_encode(train: DataFrame, test: DataFrame, cols: Sequence[str], target
     return train, test
 
 
-def one_hot(train: DataFrame, df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
+def one_hot(train: DataFrame, df: DataFrame, col: str, prefix: str | None = None, most: int = 2000) -> DataFrame:
     """ENC-7: one 0/1 column per train category; unknown values get all zeros.
-    The output is as wide as the train table has categories; ``one_hot_long``
-    has them as rows."""
+    The output is as wide as the train table has categories; more than ``most`` are an
+    error, and a case for ``one_hot_long``, which has them as rows."""
     prefix = prefix or col
-    levels = [r[0] for r in train.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col).collect()]
+    levels = sorted(r[0] for r in train.where(F.col(col).isNotNull()).select(col).distinct().take(most + 1))
+    if len(levels) > most:
+        raise ValueError(f"{col} has more than {most} categories: use one_hot_long")
     return df.select("*", *[F.coalesce(F.col(col) == F.lit(v), F.lit(False)).cast("int").alias(f"{prefix}_{v}")
                             for v in levels])
 

@@ -122,24 +122,22 @@ def importances(model, features) -> list[tuple[str, float]]:
 
 def permutation_importance(model, df: DataFrame, features, label: str = "target", key: str = "row_id",
                            repeats: int = 3, seed: int = 7) -> DataFrame:
-    """EVA-5: drop in negative MSE when one column is permuted.  A column is
-    permuted by pairing each row's rank under a seeded hash with the value
-    at the same rank under the row order: a join on a dense position, no
-    driver shuffle; all (column, repeat) variants scored in one union plan."""
+    """EVA-5: drop in negative MSE when one column is permuted.  A repeat pairs each
+    row's rank under a seeded hash with the row at the same rank under the row order: one
+    join on a dense position a repeat, no driver shuffle; the donor's values then take
+    the place of one column at a time, all variants of a row in one pass."""
     from .ordering import with_position
     base = model.transform(assemble(df, features)).agg(F.avg((F.col(label) - F.col("prediction")) ** 2)).first()[0]
-    pos = with_position(df.select(key), key, "_p")
-    frames = []
+    donors = (df.join(with_position(df.select(key), key, "_p"), key)
+              .select(F.col("_p").alias("_q"), F.struct(*[F.col(f) for f in features]).alias("_d")))
+    variant = lambda f: F.struct(F.lit(f).alias("feature"), *[F.col(f"_d.{g}" if g == f else g).alias(g) for g in features])
+    allv = None
     for r in range(repeats):
-        perm = with_position(df.select(key, F.xxhash64(F.col(key), F.lit(seed + r)).alias("_h")), "_h", "_q") \
-                 .select(key, "_q")
-        for f in features:
-            donor = df.select(key, f).join(pos, key).select(F.col("_p").alias("_q"), F.col(f).alias("_pf"))
-            shuffled = df.join(perm, key).join(donor, "_q").drop(f, "_q").withColumnRenamed("_pf", f)
-            frames.append(shuffled.select(F.lit(f).alias("feature"), F.lit(r).alias("rep"), *df.columns))
-    allv = frames[0]
-    for fr in frames[1:]:
-        allv = allv.unionByName(fr)
+        perm = with_position(df.select(key, F.xxhash64(F.col(key), F.lit(seed + r)).alias("_h")), "_h", "_q").select(key, "_q")
+        one = (df.join(perm, key).join(donors, "_q")
+               .select(F.lit(r).alias("rep"), F.col(label), F.explode(F.array(*[variant(f) for f in features])).alias("_v"))
+               .select("rep", label, "_v.*"))
+        allv = one if allv is None else allv.unionByName(one)
     scored = model.transform(assemble(allv, features))
     mse = scored.groupBy("feature", "rep").agg(F.avg((F.col(label) - F.col("prediction")) ** 2).alias("mse"))
     return mse.groupBy("feature").agg((F.avg("mse") - F.lit(base)).alias("importance"),

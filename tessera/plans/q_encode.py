@@ -109,6 +109,15 @@ def q_one_hot(spark, sf):
     return oh.drop("heating", "is_test")
 
 
+@query("enc_one_hot_long", "ENC-7", with_views("""
+SELECT row_id, complex AS level FROM trades WHERE complex IN (SELECT complex FROM trades WHERE is_test = 0)
+""", "trades"))
+def q_one_hot_long(spark, sf):
+    """A category for each complex: too many for columns."""
+    t = views.trades(spark, sf).select("row_id", "complex", "is_test")
+    return encode.one_hot_long(t.where("is_test = 0"), t, "complex")
+
+
 @query("win_dense_codes", "WIN-4", """
 SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS BIGINT) AS type_code FROM part
 """)
