@@ -13,15 +13,14 @@ Equal sets collapse to one *set*, known by a 64-bit digest of the array.
 3. A second pass emits the prefix of each set in order (frequent last, then by
    hash): two sets that link must share a prefix shingle.  Shingles of one set
    only are dropped; so are those whose sets are all one component already.
-4. What is left is dealt into tiles (shingle, size band); a band holds sizes
-   within a factor of 1/threshold, and a tile compares its band with itself
-   and with the next.  Tiles with many sets are cut into blocks.  In a tile,
-   sizes and then bit counts of the signatures bound the overlap from above;
-   only pairs of different components that may still link come out.
+4. What is left is dealt into tiles, one a shingle (more where it has many sets, cut
+   into blocks), sorted by size.  A set is compared with those of its size band, up
+   to 1/threshold of its size; bit counts of the signatures bound the overlap from
+   above; only pairs of different components that may still link come out.
 5. Such pairs are verified by exact intersection of the sorted arrays, and
-   the links give the components.  Steps 4 and 5 run twice: first with the most
-   likely pair of each two components, then, among the components that this
-   leaves apart, with all pairs.
+   the links give the components.  Steps 4 and 5 run twice: first with the
+   likeliest partner of each set, so with as many pairs as sets at most, then, among
+   the components that this leaves apart, with all pairs.
 
 No pair is lost: prefix, size and bitmap tests are necessary conditions, and
 pairs that are not looked at are joined already.  Two different texts count as
@@ -35,7 +34,6 @@ and is never the smallest.  Other columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import partial, reduce
 
@@ -52,6 +50,7 @@ _U = np.uint64
 BANDS, ROWS = 6, 2
 SKETCH_BITS = 20
 TILE = 4096
+_TILE = ("token", "bi", "bj")
 PAIRS = 1 << 18
 #: Odd multipliers of the min-hash permutations.
 _PERM = tb.mix(np.arange(101, 101 + BANDS * ROWS, dtype=_U)) | _U(1)
@@ -179,19 +178,18 @@ def slack(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, percent:
 
 
 class _Rows:
-    """Rows of whole tiles, sorted by tile and home rows first."""
+    """Rows of whole tiles, sorted by tile and size."""
 
     def __init__(self, parts: list[pa.RecordBatch]):
         table = pa.Table.from_batches(parts).combine_chunks()
         get = lambda c: table[c].combine_chunks().to_numpy(zero_copy_only=False)
-        keys = [get(c) for c in ("token", "band", "bi", "bj")]
-        self.ids, self.n, self.comp, self.home, self.block = (get(c) for c in ("set_id", "n", "comp", "home", "block"))
-        self.n, self.home = self.n.astype(np.int64), self.home.astype(bool)
-        self.across = keys[2] != keys[3]
+        keys = [get(c) for c in _TILE]
+        self.ids, self.n, self.comp, self.block = (get(c) for c in ("set_id", "n", "comp", "block"))
+        self.n, self.across = self.n.astype(np.int64), keys[1] != keys[2]
         change = np.zeros(max(len(self.ids) - 1, 0), bool)
         for k in keys:
             change |= k[1:] != k[:-1]
-        self.starts = np.r_[0, np.flatnonzero(change) + 1]
+        self.tile = np.r_[0, np.cumsum(change)]
         sig = table["sig"].combine_chunks().cast(pa.large_binary())
         off = np.frombuffer(sig.buffers()[1], np.int64)[sig.offset:sig.offset + len(sig) + 1]
         data = np.frombuffer(sig.buffers()[2], np.uint8)
@@ -201,6 +199,11 @@ class _Rows:
             self.at[rows] = np.arange(len(rows))
             self.sig[w] = data[off[rows][:, None] + np.arange(8 * w)].view(_U)
 
+    def followers(self, percent: int) -> np.ndarray:
+        """How many of the next rows are in a row's size band: at most 1 / threshold of its size."""
+        key = (self.tile << 32) + self.n
+        return np.searchsorted(key, (self.tile << 32) + 100 * self.n // percent, side="right") - np.arange(len(key)) - 1
+
     def slack(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
         out = np.empty(len(i), np.int64)
         kind = self.words[i] * 256 + self.words[j]
@@ -214,11 +217,10 @@ class _Rows:
 
 
 def _tile_pairs(percent: int, rows: _Rows, out: dict, best_only: bool) -> None:
-    """Candidate pairs of some tiles: home rows with later home rows and with
-    guests, where blocks differ only across them."""
-    stop = np.repeat(np.r_[rows.starts[1:], len(rows.ids)], np.diff(np.r_[rows.starts, len(rows.ids)]))
+    """Candidate pairs of some tiles: rows with the next rows of their size band,
+    of other blocks where a tile has two.  ``best_only``: the likeliest partner of each set."""
     here = np.arange(len(rows.ids))
-    many = np.where(rows.home, stop - here - 1, 0)
+    many = rows.followers(percent)
     upto = np.cumsum(many)
     lo = 0
     while lo < len(here):
@@ -226,8 +228,7 @@ def _tile_pairs(percent: int, rows: _Rows, out: dict, best_only: bool) -> None:
         i = np.repeat(here[lo:hi], many[lo:hi])
         j = i + 1 + np.arange(len(i)) - np.repeat(upto[lo:hi] - many[lo:hi] - (upto[lo - 1] if lo else 0), many[lo:hi])
         lo = hi
-        ok = (rows.comp[i] != rows.comp[j]) & (100 * rows.n[j] >= percent * rows.n[i]) & (percent * rows.n[j] <= 100 * rows.n[i])
-        ok &= ~rows.across[i] | (rows.block[i] != rows.block[j])
+        ok = (rows.comp[i] != rows.comp[j]) & (~rows.across[i] | (rows.block[i] != rows.block[j]))
         i, j = i[ok], j[ok]
         a, b = np.minimum(rows.ids[i], rows.ids[j]), np.maximum(rows.ids[i], rows.ids[j])
         order = np.lexsort((b, a))  # a pair meets in many tiles
@@ -236,39 +237,37 @@ def _tile_pairs(percent: int, rows: _Rows, out: dict, best_only: bool) -> None:
         spare = rows.slack(i, j, percent)
         near = spare >= 0
         i, j, a, b, likely = i[near], j[near], a[near], b[near], spare[near] / (rows.n[i[near]] + rows.n[j[near]])
-        ca, cb = np.minimum(rows.comp[i], rows.comp[j]), np.maximum(rows.comp[i], rows.comp[j])
-        if best_only and len(a):
-            order = np.lexsort((likely, cb, ca))
-            last = order[np.r_[(ca[order][1:] != ca[order][:-1]) | (cb[order][1:] != cb[order][:-1]), True]]
-            a, b, ca, cb, likely = (x[last] for x in (a, b, ca, cb, likely))
-        for x, y, u, v, z in zip(a.tolist(), b.tolist(), ca.tolist(), cb.tolist(), likely.tolist()):
-            key = (u, v) if best_only else (x, y)
-            if key not in out or z > out[key][4]:
-                out[key] = (x, y, u, v, z)
+        if not best_only:
+            out.update(dict.fromkeys(zip(a.tolist(), b.tolist()), 0.0))
+            continue
+        own, other, likely = np.r_[rows.ids[i], rows.ids[j]], np.r_[rows.ids[j], rows.ids[i]], np.r_[likely, likely]
+        order = np.lexsort((other, likely, own))
+        last = order[np.r_[own[order][1:] != own[order][:-1], True]] if len(own) else order
+        for x, y, z in zip(own[last].tolist(), other[last].tolist(), likely[last].tolist()):
+            if x not in out or z > out[x][1]:
+                out[x] = (y, z)
 
 
 def _tiles(percent: int, best_only: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs from rows sorted by tile, some whole tiles at a time (one
-    tile has at most two blocks).  ``best_only``: one pair for each two
-    components."""
+    """Candidate pairs (set, partner) from rows sorted by tile and size, some whole
+    tiles at a time (one tile has at most two blocks).  ``best_only``: one row for each
+    set here, with its likeliest partner of another component."""
     out: dict = {}
     held: list[pa.RecordBatch] = []
 
     def flush():
-        types = [pa.int64()] * 4 + [pa.float64()]
-        cols = list(zip(*out.values())) or [[]] * 5
-        pairs = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["a", "b", "ca", "cb", "likely"])
+        cols = [list(out), *zip(*out.values())] if best_only and out else [*zip(*out), list(out.values())] if out else [[], [], []]
         out.clear()
-        return pairs
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "likely"])
 
     for batch in batches:
         if not len(batch):
             continue
-        keys = [batch.column(c).to_numpy() for c in ("token", "band", "bi", "bj")]
+        keys = [batch.column(c).to_numpy() for c in _TILE]
         change = np.zeros(len(batch) - 1, bool)
         for k in keys:
             change |= k[1:] != k[:-1]
-        if held and any(h.column(c)[-1].as_py() != batch.column(c)[0].as_py() for h in held[-1:] for c in ("token", "band", "bi", "bj")):
+        if held and any(held[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in _TILE):
             _tile_pairs(percent, _Rows(held), out, best_only)
             held = []
         cuts = np.flatnonzero(change)
@@ -277,13 +276,24 @@ def _tiles(percent: int, best_only: bool, batches: Iterator[pa.RecordBatch]) ->
             held = []
             batch = batch.slice(int(cuts[-1]) + 1)
         held.append(batch)
-        if len(out) > 100_000:
+        if len(out) > 200_000:
             yield flush()
     if held:
         _tile_pairs(percent, _Rows(held), out, best_only)
     yield flush()
 
 
+def _possible(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs with sizes and signatures those that may link."""
+    for batch in batches:
+        cols = {c: batch.column(c).to_pylist() for c in ("na", "sa", "nb", "sb")}
+        keep = []
+        for i, (m, x, n, y) in enumerate(zip(cols["na"], cols["sa"], cols["nb"], cols["sb"])):
+            if 100 * min(m, n) >= percent * max(m, n) and slack(np.frombuffer(x, _U)[None], np.array([m]), np.frombuffer(y, _U)[None], np.array([n]), percent)[0] >= 0:
+                keep.append(i)
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], ["a", "b"])
+
+
 def _arrays(k: int, wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(set_id, arr) of the wanted texts, each set once for a task if it can."""
     done: set = set()
@@ -298,37 +308,57 @@ def _arrays(k: int, wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
                     if len(done) < 200_000:
                         done.add(key)
                     keys.append(key)
-                    arrs.append(u.tobytes())
+                    arrs.append(packed(u))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(arrs, pa.binary())], ["set_id", "arr"])
 
 
+def packed(u: np.ndarray) -> bytes:
+    """The upper six bytes of sorted hashes: only two sets at a time are compared by
+    them, so that unlike shingles agree is still as good as impossible."""
+    return (u >> _U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8")[:, 0]
+
+
 def _overlaps(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that link, by exact intersection, from rows (a, b, side, arr) sorted by pair and side."""
+    pair, first = None, None
     for batch in batches:
-        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
         keep = []
-        for i in range(len(a)):
-            p, q = np.frombuffer(x[i], _U), np.frombuffer(y[i], _U)
-            p, q = (p, q) if len(p) <= len(q) else (q, p)
-            at = np.searchsorted(q, p)
-            at[at == len(q)] = 0
-            common = int((q[at] == p).sum())
-            if 100 * common >= percent * (len(p) + len(q) - common):
-                keep.append(i)
-        yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"])
+        for a, b, side, arr in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "side", "arr"))):
+            if (a, b) != pair:
+                pair, first = (a, b), None
+            if side == 0:
+                first = unpacked(arr)
+            elif first is not None:
+                p, q, first = first, unpacked(arr), None  # a set may come twice: once is enough
+                p, q = (p, q) if len(p) <= len(q) else (q, p)
+                at = np.searchsorted(q, p)
+                at[at == len(q)] = 0
+                common = int((q[at] == p).sum())
+                if 100 * common >= percent * (len(p) + len(q) - common):
+                    keep.append(pair)
+        yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in keep], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
 def _verified(spark: SparkSession, texts: DataFrame, pairs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of sets that link, by exact intersection."""
-    ends = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    needed = sets.join(ends, "set_id").select(F.xxhash64("rep").alias("h"))
+    """The pairs (a, b) of sets that link.  Signatures rule pairs out first; then the
+    sorted arrays of both sides are sent to each pair that is left."""
+    known = sets.select("set_id", "n", "sig")
+    signed = pairs.join(known.toDF("a", "na", "sa"), "a").join(known.toDF("b", "nb", "sb"), "b")
+    left = written(arrow_map(signed, partial(_possible, percent), "a long, b long"), "jac-possible")
+    ends = left.select(F.col("a").alias("set_id"), "a", "b", F.lit(0).alias("side")).union(left.select("b", "a", "b", F.lit(1)))
+    needed = sets.join(ends.select("set_id").distinct(), "set_id").select(F.xxhash64("rep").alias("h"))
     wanted = spark.sparkContext.broadcast(IdFilter.of(needed, F.col("h")))
-    arrays = (arrow_map(texts.select("text", F.xxhash64("id").alias("h")), partial(_arrays, k, wanted), "set_id long, arr binary")
-              .join(ends, "set_id", "left_semi").groupBy("set_id").agg(F.first("arr").alias("arr")))
-    arrays = written(arrays, "jac-arrays")
-    both = (pairs.join(arrays.select(F.col("set_id").alias("a"), F.col("arr").alias("x")), "a")
-            .join(arrays.select(F.col("set_id").alias("b"), F.col("arr").alias("y")), "b"))
-    return written(arrow_map(both.select("a", "b", "x", "y"), partial(_overlaps, percent), "a long, b long"), "jac-links")
+    arrays = arrow_map(texts.select("text", F.xxhash64("id").alias("h")), partial(_arrays, k, wanted), "set_id long, arr binary")
+    sided = arrays.join(ends, "set_id").select("a", "b", "side", "arr").repartition("a", "b").sortWithinPartitions("a", "b", "side")
+    links = written(arrow_map(sided, partial(_overlaps, percent), "a long, b long"), "jac-links")
+    wanted.unpersist()
+    return links
 
 
 def _one_each(pairs: DataFrame, by: str) -> DataFrame:
@@ -366,12 +396,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hubs = keyed.groupBy("key").agg(F.min("set_id").alias("b"), F.max("set_id").alias("top")).where("b <> top").select("key", "b")
     met = written(keyed.join(hubs, "key").where("set_id <> b").groupBy(F.col("set_id").alias("a"), "b").count(), "jac-met")
     links = [_verified(spark, texts, written(met.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")), "jac-copies"), sets, k, percent)]
-    for _ in range(2):
-        apart = _apart(met, components(reduce(DataFrame.union, links)))
-        pairs = written(_one_each(apart, "count"), "jac-copies")
-        if not pairs.take(1):
-            break
-        links.append(_verified(spark, texts, pairs, sets, k, percent))
+    apart = _apart(met, components(links[0]))
+    links.append(_verified(spark, texts, written(_one_each(apart, "count"), "jac-copies"), sets, k, percent))
 
     heavy = profile.where("slot is not null").groupBy("slot").agg(F.sum("seen").alias("seen")).toPandas()  # at most 2**SKETCH_BITS rows
     rank = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -381,23 +407,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prefixes = arrow_map(texts.select("text"), partial(_prefixes, k, percent, rank), schema)
     shared = arrow_map(prefixes.repartition("token").sortWithinPartitions("token", "set_id"), _shared, schema)
     shared = written(shared, "jac-shared")
-    band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
     for best_only in (True, False):
         comps = components(reduce(DataFrame.union, links)).withColumnRenamed("node", "set_id")
-        known = shared.join(comps, "set_id", "left").withColumn("comp", F.coalesce("label", "set_id")).drop("label")
+        known = written(shared.join(comps, "set_id", "left").withColumn("comp", F.coalesce("label", "set_id")).drop("label"), "jac-known")
         mixed = (known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"))
                  .where("x <> y").select("token", F.ceil(F.col("members") / TILE).cast("int").alias("blocks")))
-        placed = (known.join(mixed, "token").join(sets.select("set_id", "sig"), "set_id").withColumn("own", band)
+        placed = (known.join(mixed, "token").join(sets.select("set_id", "sig"), "set_id")
                   .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
                   .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                  .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other"))
-                  .withColumn("home", F.explode(F.array(F.lit(True), F.lit(False))))
-                  .withColumn("band", F.when(F.col("home"), F.col("own")).otherwise(F.col("own") - 1)))
-        tile = ["token", "band", "bi", "bj"]
-        dealt = (placed.select(*tile, "set_id", "n", "comp", "home", "block", "sig")
-                 .repartition(*tile).sortWithinPartitions(*tile, F.desc("home")))
-        found = arrow_map(dealt, partial(_tiles, percent, best_only), "a long, b long, ca long, cb long, likely double")
-        pairs = written(_one_each(found, "likely") if best_only else found.select("a", "b").distinct(), "jac-candidates")
+                  .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
+        dealt = placed.select(*_TILE, "set_id", "n", "comp", "block", "sig").repartition(*_TILE).sortWithinPartitions(*_TILE, "n")
+        found = arrow_map(dealt, partial(_tiles, percent, best_only), "a long, b long, likely double")
+        if best_only:
+            found = found.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b"))
+        pairs = written(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jac-candidates")
         if not pairs.take(1):
             break
         links.append(_verified(spark, texts, pairs, sets, k, percent))
@@ -405,7 +428,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     member = (rows.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
               .select("id", "n", F.coalesce("label", "set_id").alias("comp")))
-    first = sets.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").groupBy(F.coalesce("label", "set_id").alias("comp")).agg(F.min("rep").alias("least"))
+    # written, so that the join deals out both sides for itself and Spark can split a huge component
+    first = written(sets.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+                    .groupBy(F.coalesce("label", "set_id").alias("comp")).agg(F.min("rep").alias("least")), "jac-least")
     return (member.join(first, "comp", "left")
             .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
                     F.coalesce("least", "id").alias("component_id")))
