@@ -79,12 +79,12 @@ class Windows:
                 block[:, j] = w[j:j + n]
             words.append(block)
             sizes.append(np.full(n, r["size"], np.int64))
-            item += [r["item"]] * n
+            item += [r["items"]] * n
         every = np.column_stack([np.concatenate(words), np.concatenate(sizes).astype(_U)])
         table, back = np.unique(every, axis=0, return_inverse=True)
         items: list[set] = [set() for _ in table]
         for i, u in enumerate(back.ravel().tolist()):
-            items[u].add(item[i])
+            items[u].update(item[i])
         size, table = table[:, -1].astype(np.int64), np.ascontiguousarray(table[:, :-1])
         offsets = np.arange(window)
         valid = offsets[None, :] <= (size - np.minimum(size, k))[:, None]
@@ -193,7 +193,8 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", it
     spark = docs.sparkSession
     chunks = written(arrow_map(items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"),
                                             F.col(item_text).cast("string").alias("text")),
-                               partial(_item_chunks, window), "item string, size int, words array<long>"), "dec-items")
+                               partial(_item_chunks, window), "item string, size int, words array<long>")
+                     .groupBy("size", "words").agg(F.collect_set("item").alias("items")), "dec-items")  # items that repeat count once
     total = chunks.agg(F.sum(F.size("words") - F.col("size") + 1)).first()[0] or 0
     blocks = -(-total // block_windows)
     none = F.array().cast("array<long>")
