@@ -19,8 +19,9 @@ Equal sets collapse to one *set*, known by a 64-bit digest of the array.
    above; only pairs of different components that may still link come out.
 5. Such pairs are verified by exact intersection of the sorted arrays, and
    the links give the components.  Steps 4 and 5 run twice: first with the
-   likeliest partner of each set, so with as many pairs as sets at most, then, among
-   the components that this leaves apart, with all pairs.
+   likeliest partner of each set, so with as many pairs as sets at most; then, among
+   the components that this leaves apart and only for sets that had a partner, with all
+   pairs that signatures of eight times the width leave open.
 
 No pair is lost: prefix, size and bitmap tests are necessary conditions, and
 pairs that are not looked at are joined already.  Two different texts count as
@@ -52,6 +53,8 @@ SKETCH_BITS = 20
 TILE = 4096
 _TILE = ("token", "bi", "bj")
 PAIRS = 1 << 18
+#: A wide signature has so many times the bits of a narrow one.
+WIDE = 8
 #: Odd multipliers of the min-hash permutations.
 _PERM = tb.mix(np.arange(101, 101 + BANDS * ROWS, dtype=_U)) | _U(1)
 
@@ -65,10 +68,10 @@ def set_digest(u: np.ndarray) -> int:
         return int(tb.mix(np.array([x + _U(len(u))], _U)).view(np.int64)[0])
 
 
-def signature(u: np.ndarray) -> np.ndarray:
+def signature(u: np.ndarray, wide: int = 1) -> np.ndarray:
     """Hashed bitmap of a set: a power of two of bits, twice the size or more,
-    from 64 to 8192, as 64-bit words.  Halving ORs its two halves."""
-    bits = min(8192, max(64, 1 << (2 * len(u) - 1).bit_length()))
+    from 64 to 8192, ``wide`` times as many, as 64-bit words.  Halving ORs its two halves."""
+    bits = wide * min(8192, max(64, 1 << (2 * len(u) - 1).bit_length()))
     at = u & _U(bits - 1)
     out = np.zeros(bits // 64, _U)
     np.bitwise_or.at(out, (at >> _U(6)).astype(np.int64), _U(1) << (at & _U(63)))
@@ -206,13 +209,13 @@ class _Rows:
 
     def slack(self, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
         out = np.empty(len(i), np.int64)
-        kind = self.words[i] * 256 + self.words[j]
+        kind = (self.words[i] << 20) + self.words[j]
         for k in np.unique(kind).tolist():
             own = np.flatnonzero(kind == k)
-            step = max(1, (1 << 20) // max(k // 256, k % 256))  # about 8 MB of signatures at once
+            step = max(1, (1 << 20) // max(k >> 20, k & 0xFFFFF))  # about 8 MB of signatures at once
             for lo in range(0, len(own), step):
                 p = own[lo:lo + step]
-                out[p] = slack(self.sig[k // 256][self.at[i[p]]], self.n[i[p]], self.sig[k % 256][self.at[j[p]]], self.n[j[p]], percent)
+                out[p] = slack(self.sig[k >> 20][self.at[i[p]]], self.n[i[p]], self.sig[k & 0xFFFFF][self.at[j[p]]], self.n[j[p]], percent)
         return out
 
 
@@ -294,8 +297,9 @@ def _possible(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], ["a", "b"])
 
 
-def _arrays(k: int, wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(set_id, arr) of the wanted texts, each set once for a task if it can."""
+def _arrays(k: int, wanted, form, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(set_id, arr) of the wanted texts, each set once for a task if it can; ``form``
+    makes bytes of a sorted array."""
     done: set = set()
     for batch in batches:
         hit = np.flatnonzero(wanted.value.test(batch.column(1).to_numpy().view(_U)))
@@ -308,7 +312,7 @@ def _arrays(k: int, wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
                     if len(done) < 200_000:
                         done.add(key)
                     keys.append(key)
-                    arrs.append(packed(u))
+                    arrs.append(form(u))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(arrs, pa.binary())], ["set_id", "arr"])
 
 
@@ -318,6 +322,10 @@ def packed(u: np.ndarray) -> bytes:
     return (u >> _U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
+def wide_signature(u: np.ndarray) -> bytes:
+    return signature(u, WIDE).tobytes()
+
+
 def unpacked(raw: bytes) -> np.ndarray:
     out = np.zeros((len(raw) // 6, 8), np.uint8)
     out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
@@ -345,6 +353,14 @@ def _overlaps(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in keep], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
+def _of_sets(spark: SparkSession, texts: DataFrame, sets: DataFrame, ids: DataFrame, k: int, form):
+    """(set_id, arr) of the sets whose ``set_id`` is in ``ids`` (and perhaps of some others), by
+    their first texts; and the broadcast to free."""
+    needed = sets.join(ids.select("set_id").distinct(), "set_id").select(F.xxhash64("rep").alias("h"))
+    wanted = spark.sparkContext.broadcast(IdFilter.of(needed, F.col("h")))
+    return arrow_map(texts.select("text", F.xxhash64("id").alias("h")), partial(_arrays, k, wanted, form), "set_id long, arr binary"), wanted
+
+
 def _verified(spark: SparkSession, texts: DataFrame, pairs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of sets that link.  Signatures rule pairs out first; then the
     sorted arrays of both sides are sent to each pair that is left."""
@@ -352,9 +368,7 @@ def _verified(spark: SparkSession, texts: DataFrame, pairs: DataFrame, sets: Dat
     signed = pairs.join(known.toDF("a", "na", "sa"), "a").join(known.toDF("b", "nb", "sb"), "b")
     left = written(arrow_map(signed, partial(_possible, percent), "a long, b long"), "jac-possible")
     ends = left.select(F.col("a").alias("set_id"), "a", "b", F.lit(0).alias("side")).union(left.select("b", "a", "b", F.lit(1)))
-    needed = sets.join(ends.select("set_id").distinct(), "set_id").select(F.xxhash64("rep").alias("h"))
-    wanted = spark.sparkContext.broadcast(IdFilter.of(needed, F.col("h")))
-    arrays = arrow_map(texts.select("text", F.xxhash64("id").alias("h")), partial(_arrays, k, wanted), "set_id long, arr binary")
+    arrays, wanted = _of_sets(spark, texts, sets, ends, k, packed)
     sided = arrays.join(ends, "set_id").select("a", "b", "side", "arr").repartition("a", "b").sortWithinPartitions("a", "b", "side")
     links = written(arrow_map(sided, partial(_overlaps, percent), "a long, b long"), "jac-links")
     wanted.unpersist()
@@ -376,6 +390,20 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
             .withColumn("ca", F.coalesce("la", "a")).withColumn("cb", F.coalesce("lb", "b")).where("ca <> cb"))
 
 
+def _candidates(shared: DataFrame, links: DataFrame, signatures: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    """What ``_tiles`` makes of the shared prefix shingles, with the components of ``links`` and these signatures."""
+    comps = components(links).withColumnRenamed("node", "set_id")
+    known = written(shared.join(comps, "set_id", "left").withColumn("comp", F.coalesce("label", "set_id")).drop("label"), "jac-known")
+    mixed = (known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"))
+             .where("x <> y").select("token", F.ceil(F.col("members") / TILE).cast("int").alias("blocks")))
+    placed = (known.join(mixed, "token").join(signatures, "set_id")
+              .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
+    dealt = placed.select(*_TILE, "set_id", "n", "comp", "block", "sig").repartition(*_TILE).sortWithinPartitions(*_TILE, "n")
+    return arrow_map(dealt, partial(_tiles, percent, best_only), "a long, b long, likely double")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        k: int = 5, percent: int = 75) -> DataFrame:
     """(id_col, n_shingles, component_id) for each row of ``docs``: the number
@@ -407,23 +435,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prefixes = arrow_map(texts.select("text"), partial(_prefixes, k, percent, rank), schema)
     shared = arrow_map(prefixes.repartition("token").sortWithinPartitions("token", "set_id"), _shared, schema)
     shared = written(shared, "jac-shared")
-    for best_only in (True, False):
-        comps = components(reduce(DataFrame.union, links)).withColumnRenamed("node", "set_id")
-        known = written(shared.join(comps, "set_id", "left").withColumn("comp", F.coalesce("label", "set_id")).drop("label"), "jac-known")
-        mixed = (known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"))
-                 .where("x <> y").select("token", F.ceil(F.col("members") / TILE).cast("int").alias("blocks")))
-        placed = (known.join(mixed, "token").join(sets.select("set_id", "sig"), "set_id")
-                  .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                  .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
-        dealt = placed.select(*_TILE, "set_id", "n", "comp", "block", "sig").repartition(*_TILE).sortWithinPartitions(*_TILE, "n")
-        found = arrow_map(dealt, partial(_tiles, percent, best_only), "a long, b long, likely double")
-        if best_only:
-            found = found.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b"))
-        pairs = written(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jac-candidates")
-        if not pairs.take(1):
-            break
-        links.append(_verified(spark, texts, pairs, sets, k, percent))
+    found = _candidates(shared, reduce(DataFrame.union, links), sets.select("set_id", "sig"), percent, True)
+    best = written(found.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b")), "jac-best")
+    if best.take(1):
+        pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links.append(_verified(spark, texts, written(pairs, "jac-candidates"), sets, k, percent))
+        # a set without any candidate was not given out and needs no second look
+        again = best.select(F.col("a").alias("set_id"))
+        made, wanted = _of_sets(spark, texts, sets, again, k, wide_signature)
+        wide = written(made.join(again, "set_id", "left_semi").groupBy("set_id").agg(F.first("arr").alias("sig")), "jac-wide")
+        wanted.unpersist()
+        pairs = _candidates(shared.join(again, "set_id", "left_semi"), reduce(DataFrame.union, links), wide, percent, False).select("a", "b").distinct()
+        links.append(_verified(spark, texts, written(pairs, "jac-candidates"), sets, k, percent))
     labels = components(reduce(DataFrame.union, links))
 
     member = (rows.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
