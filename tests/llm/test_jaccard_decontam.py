@@ -87,6 +87,18 @@ def test_tile_blocks_keep_all_links(spark, monkeypatch):
     assert components(spark, list(enumerate(texts))) == sorted(expected, key=str)
 
 
+def test_long_sets_near_the_threshold_match_brute_force(spark):
+    """Heavily edited copies of long texts: many pairs just above and below the threshold, signatures of many widths."""
+    rng = random.Random(9)
+    texts = []
+    for size in (90, 700, 3000):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        for share in (0.0, 0.01, 0.02, 0.025, 0.03, 0.03, 0.035, 0.04, 0.05):
+            texts.append(" ".join(f"e{rng.randrange(10**6)}" if rng.random() < share else w for w in base))
+    expected = [(i, n, c) for i, (n, c) in enumerate(brute.jaccard_components(texts))]
+    assert components(spark, list(enumerate(texts))) == sorted(expected, key=str)
+
+
 def test_jaccard_edge_cases(spark):
     rows = [(1, None, 9), (2, "", 9), (3, " \t", 9), (4, "A b", 9), (5, "a B", 9), (5, "a B", 9), (None, "a b", 9), (7, "a b c d e f", 9)]
     got = components(spark, rows, "doc_id long, text string, n int")
