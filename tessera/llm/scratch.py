@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, with_library
 
 
 def row_and_text(docs: DataFrame, text_col: str, carry: list[str] | None) -> tuple[list[Column], str | None]:
@@ -37,27 +35,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def _with_library(df: DataFrame) -> None:
-    env = df.sparkSession.sparkContext.environment
-    paths = env.get("PYTHONPATH", "").split(os.pathsep)
-    if _ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
-
-
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this library on the Python workers' path, for
     sessions whose workers were not started with it (on a cluster the package
     is installed or shipped, and the extra path does no harm)."""
-    _with_library(df)
+    with_library(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
 def pandas_map(df: DataFrame, fn, schema: str) -> DataFrame:
     """The same for ``df.mapInPandas``."""
-    _with_library(df)
+    with_library(df.sparkSession)
     return df.mapInPandas(fn, schema)
 
 

@@ -19,10 +19,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import haversine_km
+from ..functions.scalar import EARTH_RADIUS_KM, haversine_km
+from ..session import with_library
 from ..sources.store import cut_lineage
 
 KM_PER_DEG = 6371.0 * math.pi / 180.0
@@ -213,15 +216,69 @@ def box_report(df: DataFrame, box=BOX, lon: str = "lon", lat: str = "lat") -> Da
 # GEO-8: sum of the distances to all points, by block reduction
 # ---------------------------------------------------------------------------
 
-def _plane(x, y, px, py):
-    return F.sqrt((x - px) * (x - px) + (y - py) * (y - py))
-
-
-def _great_circle(lon, lat, plon, plat):
-    return haversine_km(lat, lon, plat, plon)
-
-
-METRICS = {"plane": _plane, "km": _great_circle}
+def _add_plane(total, x, y, px, py, w):
+    """Adds to ``total`` the weighted distances of the places (x, y) to the points, point after point."""
+    a, b = np.empty_like(x), np.empty_like(x)
+    for qx, qy, n in zip(px.tolist(), py.tolist(), w.tolist()):
+        np.subtract(x, qx, out=a)
+        np.multiply(a, a, out=a)
+        np.subtract(y, qy, out=b)
+        np.multiply(b, b, out=b)
+        np.add(a, b, out=a)
+        np.sqrt(a, out=a)
+        np.multiply(a, n, out=a)
+        np.add(total, a, out=total)
+
+
+def _halves(degrees):
+    half = np.radians(degrees) / 2
+    return np.sin(half), np.cos(half)
+
+
+def _add_great_circle(total, x, y, px, py, w):
+    """As ``_add_plane``, in km: the sines of half differences come from those of the halves."""
+    (sx, cx), (sy, cy), at = _halves(x), _halves(y), np.cos(np.radians(y))
+    (qsx, qcx), (qsy, qcy), qat = _halves(px), _halves(py), np.cos(np.radians(py))
+    a, b, c = np.empty_like(x), np.empty_like(x), np.empty_like(x)
+    for s1, c1, s2, c2, k, n in zip(qsx.tolist(), qcx.tolist(), qsy.tolist(), qcy.tolist(), qat.tolist(), w.tolist()):
+        np.multiply(sy, c2, out=a)
+        np.multiply(cy, s2, out=b)
+        np.subtract(a, b, out=a)
+        np.multiply(a, a, out=a)
+        np.multiply(sx, c1, out=b)
+        np.multiply(cx, s1, out=c)
+        np.subtract(b, c, out=b)
+        np.multiply(b, b, out=b)
+        np.multiply(b, at, out=b)
+        np.multiply(b, k, out=b)
+        np.add(a, b, out=a)
+        np.sqrt(a, out=a)
+        np.minimum(a, 1.0, out=a)
+        np.arcsin(a, out=a)
+        np.multiply(a, 2 * EARTH_RADIUS_KM * n, out=a)
+        np.add(total, a, out=total)
+
+
+METRICS = {"plane": _add_plane, "km": _add_great_circle}
+#: Places whose columns stay in a core's cache while it goes through the points.
+PLACES = 4096
+
+
+def _folder(metric: str):
+    """Function of a part of the places and the blocks of points sent to it: the places
+    with the blocks folded into their sums."""
+    add = METRICS[metric]
+
+    def fold(places, blocks):
+        x, y = places["_x"].to_numpy(), places["_y"].to_numpy()
+        total = places["_sum"].to_numpy().copy()
+        with np.errstate(all="ignore"):
+            for i in np.argsort(blocks["_block"].to_numpy()):
+                own = [blocks[c][int(i)].values.to_numpy(zero_copy_only=False) for c in ("px", "py", "w")]
+                for s in range(0, len(x), PLACES):
+                    add(total[s:s + PLACES], x[s:s + PLACES], y[s:s + PLACES], *own)
+        return places.set_column(places.column_names.index("_sum"), "_sum", pa.array(total))
+    return fold
 
 
 def distance_sums(df: DataFrame, points: DataFrame, out: str = "distance_sum", x: str = "lon", y: str = "lat",
@@ -231,13 +288,13 @@ def distance_sums(df: DataFrame, points: DataFrame, out: str = "distance_sum", x
     ``metric``: ``plane`` (in the coordinates' own unit, as in the reference) or
     ``km`` (great circle).  Equal points are packed as one with a weight; the points,
     in order of their coordinates, are cut into blocks of at most ``block``, each one
-    array.  Every distinct location folds a block into its running sum, ``per_pass``
-    blocks a pass, so there are no pair rows, locations are not shuffled, a task holds
-    ``per_pass`` blocks, and the order of summation, hence the result, does not depend
-    on the block size.  Rows without coordinates get null, points without are
-    left out; without points the sum is 0."""
+    row of arrays.  The distinct locations are dealt into parts; a pass sends ``per_pass``
+    blocks to every part, whose locations fold them into their running sums as arrays.
+    So there are no pair rows, a task holds a part and ``per_pass`` blocks, and the order of
+    summation, hence the result, does not depend on the block size or the parts.  Rows
+    without coordinates get null, points without are left out; without points the sum is 0."""
     from .ordering import with_position
-    distance = METRICS[metric]
+    with_library(df.sparkSession)
     spots = (points.where(F.col(px).isNotNull() & F.col(py).isNotNull())
              .groupBy(F.struct(F.col(px).cast("double").alias("x"), F.col(py).cast("double").alias("y")).alias("at"))
              .agg(F.count(F.lit(1)).cast("double").alias("w")))
@@ -245,12 +302,15 @@ def distance_sums(df: DataFrame, points: DataFrame, out: str = "distance_sum", x
     n = spots.count()
     locs = cut_lineage(df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).dropna().distinct()
                        .withColumn("_sum", F.lit(0.0)), "distance_locations")
-    for b in range(-(-n // block)):
-        own = spots.where((F.col("pos") >= b * block) & (F.col("pos") < (b + 1) * block))
-        packed = own.agg(F.array_sort(F.collect_list(F.struct("pos", "x", "y", "w"))).alias("points"))  # at most ``block`` points
-        fold = F.aggregate("_points", F.col("_sum"), lambda acc, p: acc + p["w"] * distance(F.col("_x"), F.col("_y"), p["x"], p["y"]))
-        locs = locs.withColumn("_points", packed.scalar()).select("_x", "_y", fold.alias("_sum"))
-        if b % per_pass == per_pass - 1:
-            locs = cut_lineage(locs, "distance_sums")
-    locs = locs.withColumnRenamed("_sum", out)
+    found = locs.count()
+    parts = max(1, min(256, -(-found // 512)), -(-found // 32768))
+    locs = locs.withColumn("_part", F.pmod(F.xxhash64("_x", "_y"), F.lit(parts)).cast("int"))
+    for first in range(0, n, block * per_pass):
+        own = spots.where((F.col("pos") >= first) & (F.col("pos") < first + block * per_pass))
+        packed = own.groupBy(F.floor(F.col("pos") / block).alias("_block")).agg(F.array_sort(F.collect_list(F.struct("pos", "x", "y", "w"))).alias("p"))
+        sent = packed.select("_block", F.col("p.x").alias("px"), F.col("p.y").alias("py"), F.col("p.w").alias("w"),
+                             F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part")).repartition(parts, "_part")
+        folded = locs.repartition(parts, "_part").groupBy("_part").cogroup(sent.groupBy("_part")).applyInArrow(_folder(metric), locs.schema)
+        locs = cut_lineage(folded, "distance_sums")
+    locs = locs.drop("_part").withColumnRenamed("_sum", out)
     return df.join(locs, (df[x].cast("double") == locs["_x"]) & (df[y].cast("double") == locs["_y"]), "left").drop("_x", "_y")

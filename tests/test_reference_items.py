@@ -156,3 +156,19 @@ def test_seeded_search_covers_the_axes_and_shares_steps(spark, tmp_path, monkeyp
     runs.log_run(spark, str(tmp_path / "runs"), base, {**early, "rmse": 0.0}, "run-stopped")
     assert runs.best_run(spark, str(tmp_path / "runs")).first().run_id != "run-stopped"
     assert spark.read.parquet(str(tmp_path / "runs")).where(F.col("run_id") == "run-stopped").count() == 1
+
+
+def test_distance_sums_fold_arrays_not_rows_of_expressions(spark):
+    """Many points: each place takes them as arrays in Python workers; a fold by an
+    expression, pair after pair, is too slow for tables of this library's size."""
+    rng = random.Random(5)
+    places = [(i, rng.uniform(126, 128), rng.uniform(37, 38)) for i in range(700)]
+    points = [(rng.uniform(126, 128), rng.uniform(37, 38)) for _ in range(300)] + [(-53.0, -37.5), places[0][1:]]
+    df = spark.createDataFrame(places, "row_id long, lon double, lat double")
+    pdf = spark.createDataFrame(points, "lon double, lat double")
+    for metric, distance in (("plane", lambda a, b: math.hypot(a[0] - b[0], a[1] - b[1])), ("km", lambda a, b: km(a[::-1], b[::-1]))):
+        got = geo.distance_sums(df, pdf, metric=metric, block=100, per_pass=50)
+        assert "aggregate(" not in got._jdf.queryExecution().optimizedPlan().toString()
+        found = {r.row_id: r.distance_sum for r in got.collect()}
+        for i, *at in places[:40]:
+            assert math.isclose(found[i], sum(distance(at, p) for p in points), rel_tol=1e-11)
