@@ -1,7 +1,7 @@
 """Clustering (CLU-1 .. CLU-4).
 
-DBSCAN and k-distance use an eps-grid equi-join (no cross join); DBSCAN links
-cells, not points, so a clump gives no point pairs.  Connected components come from iterative
+DBSCAN uses an eps-grid equi-join (no cross join) and links cells, not points, so a
+clump gives no point pairs; k-distance compares tiles of equal counts.  Connected components come from iterative
 min-label propagation over the cells' edges, with a written table
 per round, so labels are global (no per-batch restarts).
 """
@@ -11,10 +11,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import hash_unit
+from ..session import with_library
 from ..sources.store import cut_lineage
 from .ordering import with_position
 from .scale import affine, standard_params
@@ -169,47 +172,88 @@ def connected_min_value(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             return lab
 
 
+#: Locations of one tile, compared with each other at once.
+TILE = 512
+
+
+def tiled(loc: DataFrame, size: int = TILE) -> DataFrame:
+    """``loc`` (distinct x, y) with ``strip`` and ``tile``: strips of equal counts by x, each cut by y
+    into tiles of ``size`` locations, whatever their density; the last tile may have fewer."""
+    n = loc.count()
+    tiles = -(-n // size)
+    per_strip = -(-tiles // max(1, math.isqrt(tiles))) * size
+    along = with_position(loc.withColumn("_at", F.struct("x", "y")), "_at", "_p").drop("_at").withColumn("strip", F.floor(F.col("_p") / per_strip))
+    across = with_position(along.drop("_p").withColumn("_at", F.struct("strip", "y", "x")), "_at", "_p").drop("_at")
+    return across.withColumn("tile", F.floor(F.col("_p") / size)).drop("_p")
+
+
+def _nearest_of(k: int):
+    """Function of places and the locations of a tile: per place the squared distances
+    and weights of its ``k`` nearest locations that are nearer than ``bound``, if it has one."""
+
+    def near(places, own):
+        own_x, own_y, own_w = (own[c].to_numpy() for c in ("x", "y", "w"))
+        x, y = places["x"].to_numpy(), places["y"].to_numpy()
+        bound = places["bound"].to_numpy() if "bound" in places.column_names else None
+        dists, weights, few = [], [], min(k, len(own_x))
+        for s in range(0, len(x), TILE):
+            dx, dy = x[s:s + TILE, None] - own_x, y[s:s + TILE, None] - own_y
+            d2 = dx * dx + dy * dy
+            at = np.argpartition(d2, few - 1, axis=1)[:, :few] if few < len(own_x) else np.tile(np.arange(few), (len(d2), 1))
+            d2, w = np.take_along_axis(d2, at, 1), own_w[at]
+            kept = np.ones(d2.shape, bool) if bound is None else d2 < bound[s:s + TILE, None]
+            dists += [d[m].tolist() for d, m in zip(d2, kept)]
+            weights += [v[m].tolist() for v, m in zip(w, kept)]
+        near = pa.StructArray.from_arrays([pa.array([v for d in dists for v in d], pa.float64()), pa.array([v for d in weights for v in d], pa.int64())], ["d2", "w"])
+        ends = np.cumsum([0, *map(len, dists)]).astype(np.int32)
+        return pa.table({"x": x, "y": y, "strip": places["strip"], "tile": places["tile"], "near": pa.ListArray.from_arrays(pa.array(ends), near)})
+    return near
+
+
+_NEAR = "x double, y double, strip bigint, tile bigint, near array<struct<d2: double, w: bigint>>"
+
+
+def _kth(near, k: int):
+    """The squared distance at which the weights of ``near`` reach ``k``, else null."""
+    none = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("d2"))
+    step = lambda acc, v: F.struct((acc["n"] + v["w"]).alias("n"), F.when(acc["n"] >= k, acc["d2"]).when(acc["n"] + v["w"] >= k, v["d2"]).alias("d2"))
+    return F.aggregate(F.array_sort(near), none, step)["d2"]
+
+
 def k_distance(pts: DataFrame, k: int = 5, start: float = 0.05, id_col: str = "point_id", x: str = "x",
-               y: str = "y", growth: float = 2.0) -> DataFrame:
+               y: str = "y", growth: float = 2.0, tile: int = TILE) -> DataFrame:
     """CLU-3: distance to the k-th nearest point, itself included.
 
     Identical coordinates collapse to one location with a multiplicity (a
-    location holding >= k points has distance 0).  Exact: a location is
-    resolved at radius r once the points within r (counted with
-    multiplicity) reach k; unresolved locations retry with a larger radius
-    until the grid spans the data.  With fewer than k points in all, every
-    distance is null."""
-    from pyspark.sql import Window
-    p = pts.select(F.col(id_col).alias("id"), F.col(x).alias("x"), F.col(y).alias("y"))
-    loc = cut_lineage(p.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("lid")))
-    if loc.agg(F.sum("w")).first()[0] in (None, 0):
-        return p.select(F.col("id").alias(id_col), F.lit(None).cast("double").alias("kdist"))
-    ext = loc.agg(F.min("x").alias("a"), F.max("x").alias("b"), F.min("y").alias("c"), F.max("y").alias("d")).first()
-    full = ((ext["b"] - ext["a"]) ** 2 + (ext["d"] - ext["c"]) ** 2) ** 0.5 + 1e-9
-    allw = loc.select(F.col("lid").alias("b"), F.col("w").alias("bw"))
-    todo, done, r = loc, [], start
-    while True:
-        last = r >= full
-        cand = eps_pairs_between(todo.select(F.col("lid").alias("point_id"), "x", "y"),
-                                 loc.select(F.col("lid").alias("point_id"), "x", "y"), r, "point_id", "x", "y")
-        cand = cand.join(allw, "b")
-        w = Window.partitionBy("a").orderBy("d", "b").rowsBetween(Window.unboundedPreceding, 0)
-        cum = cand.withColumn("_cum", F.sum("bw").over(w))
-        kth = cum.where((F.col("_cum") >= k) & (F.col("_cum") - F.col("bw") < k)) \
-                 .select(F.col("a").alias("lid"), F.col("d").alias("kdist"))
-        kth = cut_lineage(kth)
-        done.append(kth)
-        if last:
-            break
-        todo = cut_lineage(todo.join(kth.select("lid"), "lid", "left_anti"))
-        if todo.isEmpty():
-            break
-        r = min(r * growth, full)
-    res = done[0]
-    for d in done[1:]:
-        res = res.unionByName(d)
-    members = p.join(loc.select("x", "y", "lid"), ["x", "y"])
-    return members.join(res, "lid", "left").select(F.col("id").alias(id_col), "kdist")
+    location holding >= k points has distance 0).  Exact at any density: locations are
+    cut into tiles of equal counts; the k nearest in its own tile bound a location's
+    distance, and it is sent on only to those tiles whose bounding box is nearer than
+    that.  Only a location's k nearest of a tile come out, so no pairs are listed, and no
+    radius is searched (``start`` and ``growth`` have no effect).  With fewer than k
+    points in all, every distance is null; so is that of a point that is not finite."""
+    with_library(pts.sparkSession)
+    p = pts.select(F.col(id_col).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    p = p.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    finite = lambda c: ~F.isnan(c) & (F.abs(c) != float("inf"))
+    loc = cut_lineage(p.where(finite("x") & finite("y")).groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")), "kdist_locations")
+    loc = cut_lineage(tiled(loc, max(tile, k)), "kdist_tiles")
+    near_of = _nearest_of(k)
+    own = loc.groupBy("tile").applyInArrow(lambda t: near_of(t, t), _NEAR)
+    own = cut_lineage(own.withColumn("bound", _kth(F.col("near"), k)), "kdist_own")
+    tiles = loc.groupBy("strip", "tile").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    tiles = cut_lineage(tiles, "kdist_boxes")  # one row a tile
+    strips = tiles.groupBy(F.col("strip").alias("to_strip")).agg(F.min("x0").alias("sx0"), F.max("x1").alias("sx1"))
+    away = lambda c, lo, hi: F.greatest(F.col(lo) - F.col(c), F.col(c) - F.col(hi), F.lit(0.0))
+    open_ = own.select("x", "y", F.col("tile").alias("from"), F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+    sent = (open_.join(F.broadcast(strips), away("x", "sx0", "sx1") * away("x", "sx0", "sx1") < F.col("bound"))
+            .join(F.broadcast(tiles.withColumnRenamed("strip", "to_strip")), "to_strip")
+            .where((F.col("tile") != F.col("from")) & (away("x", "x0", "x1") * away("x", "x0", "x1") + away("y", "y0", "y1") * away("y", "y0", "y1") < F.col("bound")))
+            .select("x", "y", F.col("to_strip").alias("strip"), "tile", "bound"))
+    found = sent.groupBy("tile").cogroup(loc.groupBy("tile")).applyInArrow(near_of, _NEAR)
+    found = found.groupBy("x", "y").agg(F.flatten(F.collect_list("near")).alias("far"))
+    near = F.concat("near", F.coalesce("far", F.array().cast("array<struct<d2: double, w: bigint>>")))
+    res = own.join(found, ["x", "y"], "left").select("x", "y", F.sqrt(F.when(F.col("far").isNull(), F.col("bound")).otherwise(_kth(near, k))).alias("kdist"))
+    return p.join(res, ["x", "y"], "left").select(F.col("id").alias(id_col), "kdist")
 
 
 def eps_pairs_between(left: DataFrame, right: DataFrame, eps: float, id_col: str, x: str, y: str) -> DataFrame:

@@ -108,3 +108,17 @@ def test_assign_to_centres_ties_to_lower_index(spark):
                  .toPandas().set_index("point_id")
     assert list(got.loc[[1, 2, 3], "cluster"]) == [0, 1, 0]   # point 3 is equidistant -> lower index
     assert list(got.loc[[1, 2, 3], "cluster_count"]) == [2, 1, 2]
+
+
+def test_k_distance_of_clumps_lists_no_pairs(spark):
+    rng = np.random.default_rng(12)
+    pts = np.concatenate([rng.normal((0, 0), 1e-4, (400, 2)), rng.uniform(-50, 50, (60, 2)), np.tile([[7.0, 7.0]], (4, 1)), [[1e6, 0.0]]])
+    pdf = pd.DataFrame({"point_id": np.arange(len(pts)), "x": pts[:, 0], "y": pts[:, 1]})
+    df = spark.createDataFrame(pdf)
+    d = np.sort(np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1)), axis=1)
+    for k, tile in ((5, 16), (1, 512), (9, 100)):
+        got = cluster.k_distance(df, k, tile=tile)
+        assert np.array_equal(got.toPandas().set_index("point_id")["kdist"].loc[pdf.point_id].to_numpy(), d[:, k - 1])
+    assert cluster.k_distance(df.limit(3), 4).toPandas()["kdist"].isna().all()
+    odd = spark.createDataFrame([(1, 0.0, 0.0), (2, 3.0, 4.0), (3, None, 1.0), (4, float("nan"), 0.0)], "point_id long, x double, y double")
+    assert {r.point_id: r.kdist for r in cluster.k_distance(odd, 2).collect()} == {1: 5.0, 2: 5.0, 4: None}
