@@ -157,13 +157,13 @@ class Selection:
 
 
 def forward_selection(df: DataFrame, features: Sequence[str], label: str, estimator, score: Score = MAE, folds: int = 3,
-                      key: str = "row_id", concurrency: int = 4) -> Selection:
+                      key: str = "row_id", concurrency: int = 4, table: DataFrame | None = None) -> Selection:
     """SEL-13: at each size the feature that helps most is added, by the mean score
     over the folds (ties to the earlier feature); the size of best mean is chosen
-    (ties to the smaller)."""
+    (ties to the smaller).  ``table``: the fold table of ``df``, if there is one already."""
     if not features:
         raise ValueError("no features to choose from")
-    table, chosen, sizes = fold_table(df, features, label, folds, key), [], []
+    table, chosen, sizes = table or fold_table(df, features, label, folds, key), [], []
     numbers = folds_of(table)
     while len(chosen) < len(features):
         rest = [f for f in features if f not in chosen]
@@ -186,13 +186,14 @@ def _weakest(strengths: dict[str, float], features: list[str], n: int) -> list[s
 
 
 def recursive_elimination(df: DataFrame, features: Sequence[str], label: str, estimator, score: Score = MAE, folds: int = 3,
-                          key: str = "row_id", step: int | None = None, concurrency: int = 4) -> Selection:
+                          key: str = "row_id", step: int | None = None, concurrency: int = 4, table: DataFrame | None = None) -> Selection:
     """SEL-12: in every fold the ``step`` weakest features (a tenth of all, one at
     least) are dropped again and again, each size scored on the fold; the size of best
-    mean is chosen (ties to the smaller), and its features by dropping on all rows."""
+    mean is chosen (ties to the smaller), and its features by dropping on all rows.
+    ``table``: the fold table of ``df``, if there is one already."""
     features = list(features)
     step = step or max(1, len(features) // 10)
-    table = fold_table(df, features, label, folds, key)
+    table = table or fold_table(df, features, label, folds, key)
 
     def one(fold: int) -> list[float]:
         left, out = features, []
@@ -250,8 +251,10 @@ def selection_bundle(df: DataFrame, numeric: Sequence[str], text: Sequence[str],
                      folds: int = 3, concurrency: int = 4) -> DataFrame:
     """SEL-14: a long table (method, set, feature) of VIF, Cramér's V, the filters,
     the k best numeric features (F test) and, with a ``class_label``, text features
-    (mutual information), and both wrapper methods over the numeric features."""
+    (mutual information), and both wrapper methods over the numeric features.  The rows
+    are written once for all filters, the fold table once for both wrappers."""
     spark, numeric, text = df.sparkSession, list(numeric), list(text)
+    df = cut_lineage(df.select(*dict.fromkeys([key, label, *numeric, *text, *([class_label] if class_label else [])])), "bundle_rows")
     rows = [("vif", "flagged", r["column"]) for r in select.vif(df, numeric, threshold=vif_threshold).where("flagged").collect()]
     pairs = [(a, b) for i, a in enumerate(text) for b in text[i + 1:]]
     if pairs:
@@ -261,8 +264,9 @@ def selection_bundle(df: DataFrame, numeric: Sequence[str], text: Sequence[str],
     rows += [("k_best", "numeric", r["column"]) for r in select_k_best(df, numeric, label, select.f_regression, k).collect()]
     if text and class_label:
         rows += [("k_best", "text", r["column"]) for r in select_k_best(df, text, class_label, select.mutual_info, k).collect()]
-    rfe = recursive_elimination(df, numeric, label, estimator, score, folds, key, concurrency=concurrency).chosen
-    sfs = forward_selection(df, numeric, label, estimator, score, folds, key, concurrency=concurrency).chosen
+    table = fold_table(df, numeric, label, folds, key)
+    rfe = recursive_elimination(df, numeric, label, estimator, score, folds, key, concurrency=concurrency, table=table).chosen
+    sfs = forward_selection(df, numeric, label, estimator, score, folds, key, concurrency=concurrency, table=table).chosen
     rows += [("rfe", "selected", f) for f in rfe] + [("sfs", "selected", f) for f in sfs]
     rows += compared(spark, "wrapper", rfe, sfs, numeric)
     return spark.createDataFrame(rows, "method string, set string, feature string")

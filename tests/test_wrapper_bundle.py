@@ -110,3 +110,23 @@ def test_correlation_of_a_constant_is_null(spark):
     t = views.trades(spark, SF001)
     got = {(r.c1, r.c2): r.r for r in select.corr_pairs(t, ["bal", "mostly_null", "target"]).collect()}
     assert got["bal", "mostly_null"] is None and got["bal", "target"] is not None
+
+
+def test_bundle_and_folds_compute_their_rows_once(spark, monkeypatch):
+    """The rows come from a join; neither the fits nor the filters may run it again."""
+    from tessera.operators import model
+    keys = spark.range(60).withColumn("k", F.col("id") % 7)
+    side = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 3 % 5).cast("double").alias("b"), F.concat(F.lit("t"), F.col("id") % 2).alias("t"))
+    df = keys.join(F.broadcast(side), "k").select(F.col("id").alias("row_id"), "b", "t", (F.col("id") % 11).cast("double").alias("a")) \
+             .withColumn("u", F.concat("t", F.col("row_id") % 3)).withColumn("target", 2 * F.col("a") - F.col("b") + F.col("row_id") % 2)
+    scored = model.cross_validate(model.add_folds(df, 3), ["a", "b"], "linear")
+    assert "Join" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(r.n for r in scored.collect()) == 60
+    tables, plans = [], []
+    made, vif = wrapper.fold_table, wrapper.select.vif
+    monkeypatch.setattr(wrapper, "fold_table", lambda d, *a, **k: tables.append(1) or made(d, *a, **k))
+    monkeypatch.setattr(wrapper.select, "vif", lambda d, *a, **k: plans.append(d._jdf.queryExecution().optimizedPlan().toString()) or vif(d, *a, **k))
+    from pyspark.ml.regression import LinearRegression
+    got = wrapper.selection_bundle(df, ["a", "b"], ["t", "u"], "target", wrapper.MLEstimator(lambda: LinearRegression()), k=1, class_label="t")
+    assert {"vif", "filter", "k_best", "rfe", "sfs"} & {r.method for r in got.collect()}
+    assert len(tables) == 1 and "Join" not in plans[0]
