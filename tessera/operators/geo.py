@@ -9,9 +9,9 @@ distance filter follows.  Work is done per distinct location, then joined
 back to the rows that share it.  Cells go around the globe, so points on both sides
 of the date line meet; a cell that holds very many locations is split into several keys.
 
-Nearest-POI search grows the radius (x4 per round) only for the locations
-still unresolved, until the grid's neighbourhood covers every POI, so the
-answer is exact with no cap on candidates.
+Zone counts and near distances are taken from arrays, a cell with the POIs around it
+at a time; a location with no POI near is compared with the bounding boxes of tiles of POIs, then
+with the tiles that can hold its nearest, so the answer is exact with no cap on candidates.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import EARTH_RADIUS_KM, haversine_km
 from ..session import with_library
 from ..sources.store import cut_lineage
+from .cluster import tiled
 
 KM_PER_DEG = 6371.0 * math.pi / 180.0
 # Radius zones in metres (station area, direct, indirect influence).
@@ -72,17 +73,12 @@ def _column(lon: str, around: int):
     return F.least(F.floor(F.pmod(F.col(lon) + 180.0, F.lit(360.0)) / (360.0 / around)), F.lit(around - 1)).cast("bigint")
 
 
-def candidate_pairs(locs: DataFrame, pois: DataFrame, radius_km: float, max_abs_lat: float,
-                    loc_id: str = "loc_id", poi_id: str = "poi_id", most: int = CELL_LOCATIONS) -> DataFrame:
-    """(loc_id, poi_id, km) for every pair within ``radius_km`` via a grid equi-join.
-
-    A cell with more than ``most`` locations is split by a hash of the location into
-    as many keys as it needs, and the POIs around it go to each of them."""
+def _in_cells(locs: DataFrame, stacked: DataFrame, radius_km: float, max_abs_lat: float, loc_id: str, most: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Locations in their cell, stacked POIs in each of the nine cells around theirs, and the columns of a cell's key."""
     cl, around = _cells(radius_km, max_abs_lat)
     p = locs.select(loc_id, "lat", "lon", _column("lon", around).alias("cx"), F.floor(F.col("lat") / cl).alias("cy"))
     beside = sorted({dx % around for dx in (-1, 0, 1)})
     offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in beside for dy in (-1, 0, 1)])
-    stacked = pois if "_w" in pois.columns else stack_pois(pois, poi_id)
     q = (stacked.select("_poi", "_w", F.col("lat").alias("plat"), F.col("lon").alias("plon"),
                         _column("lon", around).alias("qx"), F.floor(F.col("lat") / cl).alias("qy"))
          .select("*", F.explode(offs).alias("o"))
@@ -95,6 +91,16 @@ def candidate_pairs(locs: DataFrame, pois: DataFrame, radius_km: float, max_abs_
         p = p.join(dense, keys, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("lon", "lat"), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
         q = q.join(dense, keys, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
         keys.append("part")
+    return p, q, keys
+
+
+def candidate_pairs(locs: DataFrame, pois: DataFrame, radius_km: float, max_abs_lat: float,
+                    loc_id: str = "loc_id", poi_id: str = "poi_id", most: int = CELL_LOCATIONS) -> DataFrame:
+    """(loc_id, poi_id, km) for every pair within ``radius_km`` via a grid equi-join.
+
+    A cell with more than ``most`` locations is split by a hash of the location into
+    as many keys as it needs, and the POIs around it go to each of them."""
+    p, q, keys = _in_cells(locs, pois if "_w" in pois.columns else stack_pois(pois, poi_id), radius_km, max_abs_lat, loc_id, most)
     j = p.join(q, keys)
     d = haversine_km(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
     return j.select(loc_id, F.col("_poi").alias(poi_id), F.col("_w").alias("w"), d.alias("km")) \
@@ -120,37 +126,77 @@ def radius_counts(locs: DataFrame, pois: DataFrame, radii_m: Sequence[int], pref
     return out.fillna(0, subset=[f"{prefix}_{n}_count" for n in names])
 
 
-def nearest(locs: DataFrame, pois: DataFrame, start_km: float = 1.5, max_abs_lat: float | None = None,
-            growth: float = 4.0, loc_ext: dict | None = None, poi_ext: dict | None = None) -> DataFrame:
-    """GEO-5: exact nearest POI distance (km) per location by growing rings.
-
-    A location is resolved at radius r when its best candidate is within r
-    (every POI within r is a candidate).  Unresolved locations retry with a
-    larger r; once r exceeds the data's extent every POI is a candidate."""
-    pe = poi_ext or extent(pois)
-    le = loc_ext or extent(locs)
-    if not pe["n"] or not le["n"]:
-        return locs.withColumn("nearest_km", F.lit(None).cast("double"))
-    mal = max(pe["mal"], le["mal"]) if max_abs_lat is None else max_abs_lat
-    span = (max(pe["lat1"], le["lat1"]) - min(pe["lat0"], le["lat0"])
-            + max(pe["lon1"], le["lon1"]) - min(pe["lon0"], le["lon0"]))
-    full_km = min((abs(span) + 1.0) * KM_PER_DEG, 182.0 * KM_PER_DEG)  # covers every pair
-    todo, done, r = locs.select("loc_id", "lat", "lon"), [], min(start_km, full_km)
-    while True:
-        last = r >= full_km
-        best = candidate_pairs(todo, pois, r, mal).groupBy("loc_id").agg(F.min("km").alias("nearest_km"))
-        ok = cut_lineage(best if last else best.where(F.col("nearest_km") <= F.lit(r)))
-        done.append(ok)
-        if last:
-            break
-        todo = cut_lineage(todo.join(ok.select("loc_id"), "loc_id", "left_anti"))
-        if todo.isEmpty():
-            break
-        r = min(r * growth, full_km)
-    res = done[0]
-    for d in done[1:]:
-        res = res.unionByName(d)
-    return locs.join(res, "loc_id", "left")
+#: Pairs of a location and a POI held at a time.
+PAIRS = 65_536
+
+
+def _on_sphere(lat, lon):
+    """Unit vectors, one column each; a chord between two of them grows with the distance."""
+    la, lo = np.radians(lat), np.radians(lon)
+    return np.stack([np.cos(la) * np.cos(lo), np.cos(la) * np.sin(lo), np.sin(la)])
+
+
+def _km(lat, lon, plat, plon):
+    """``haversine_km`` of arrays."""
+    la, pla = np.radians(lat), np.radians(plat)
+    a = np.sin((pla - la) / 2) ** 2 + np.cos(la) * np.cos(pla) * np.sin((np.radians(plon) - np.radians(lon)) / 2) ** 2
+    return 2 * EARTH_RADIUS_KM * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
+
+
+def _tiles_near(locs, boxes):
+    """The tiles, of all, in which a location's nearest POI can be: their bounding boxes are no farther
+    than the nearest of the tiles' first POIs."""
+    ids, lat, lon, tile = (t[c].to_numpy() for t, c in ((locs, "loc_id"), (locs, "lat"), (locs, "lon"), (boxes, "tile")))
+    here, rep = _on_sphere(lat, lon), _on_sphere(boxes["y"].to_numpy(), boxes["x"].to_numpy())
+    low, high = (np.stack([boxes[f"{end}{i}"].to_numpy() for i in range(3)]) for end in ("low", "high"))
+    at, to = [], []
+    step = max(1, PAIRS // max(1, len(tile)))
+    for s in range(0, len(ids) if len(tile) else 0, step):
+        own = here[:, s:s + step, None]
+        bound = sum((own[i] - rep[i]) ** 2 for i in range(3)).min(axis=1, keepdims=True)
+        least = sum(np.maximum(np.maximum(low[i] - own[i], own[i] - high[i]), 0.0) ** 2 for i in range(3))
+        a, b = np.nonzero(least <= bound * (1 + 1e-9) + 1e-15)  # slack of bounds only
+        at.append(s + a)
+        to.append(b)
+    at, to = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (at, to))
+    return pa.table({"loc_id": ids[at], "lat": lat[at], "lon": lon[at], "tile": tile[to]})
+
+
+def _nearest_in(locs, pois):
+    """The distance of each location to the nearest POI of a tile."""
+    ids, lat, lon, plat, plon = (t[c].to_numpy() for t, c in ((locs, "loc_id"), (locs, "lat"), (locs, "lon"), (pois, "y"), (pois, "x")))
+    here, there, km = _on_sphere(lat, lon), _on_sphere(plat, plon), np.empty(len(ids))
+    step = max(1, PAIRS // len(plat))
+    for s in range(0, len(ids), step):
+        at = sum((here[i, s:s + step, None] - there[i]) ** 2 for i in range(3)).argmin(axis=1)
+        km[s:s + step] = _km(lat[s:s + step], lon[s:s + step], plat[at], plon[at])
+    return pa.table({"loc_id": ids, "nearest_km": km})
+
+
+def nearest(locs: DataFrame, pois: DataFrame, start_km: float = 1.5) -> DataFrame:
+    """GEO-5: exact nearest POI distance (km) per location, however far it is.
+
+    The POIs are cut into tiles of equal counts; a location is compared with the tiles' bounding
+    boxes (of points on the sphere, so neither poles nor the date line matter), then
+    with the POIs of those tiles only that can hold its nearest.  No radius is searched
+    (``start_km`` has no effect)."""
+    with_library(locs.sparkSession)
+    stacked = pois if "_w" in pois.columns else stack_pois(pois)
+    finite = lambda c: ~F.isnan(c) & (F.abs(c) != float("inf"))
+    at = stacked.select(F.col("lon").cast("double").alias("x"), F.col("lat").cast("double").alias("y")).where(finite("x") & finite("y"))
+    tiles = cut_lineage(tiled(at).select("tile", "x", "y"), "poi_tiles")
+    la, lo = F.radians("y"), F.radians("x")
+    sphere = (F.cos(la) * F.cos(lo), F.cos(la) * F.sin(lo), F.sin(la))
+    boxes = tiles.groupBy("tile").agg(F.min(F.struct("x", "y")).alias("p"), *[f(v).alias(f"{end}{i}") for end, f in (("low", F.min), ("high", F.max)) for i, v in enumerate(sphere)])
+    boxes = boxes.select("tile", "p.x", "p.y", *[f"{end}{i}" for end in ("low", "high") for i in range(3)])  # one row a tile
+    todo = locs.select("loc_id", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
+    parts = max(1, min(32, -(-todo.count() // 64)), -(-todo.count() // 20_000))
+    todo = todo.withColumn("_part", F.pmod(F.xxhash64("lon", "lat"), F.lit(parts)).cast("int")).repartition(parts, "_part")
+    sent = boxes.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).repartition(parts, "_part")
+    pairs = todo.groupBy("_part").cogroup(sent.groupBy("_part")).applyInArrow(_tiles_near, "loc_id bigint, lat double, lon double, tile bigint")
+    parts = max(32, parts)
+    found = pairs.repartition(parts, "tile").groupBy("tile").cogroup(tiles.repartition(parts, "tile").groupBy("tile")).applyInArrow(_nearest_in, "loc_id bigint, nearest_km double")
+    return locs.join(found.groupBy("loc_id").agg(F.min("nearest_km").alias("nearest_km")), "loc_id", "left")
 
 
 def spacing_km(poi_ext: dict) -> float:
@@ -166,6 +212,54 @@ def zone_type(nearest_m: str) -> F.Column:
     return (F.when(d <= 200, 1).when(d <= 500, 2).when(d <= 1500, 3).otherwise(0)).cast("int")
 
 
+def _zones_of(radii_m: Sequence[float], radius_km: float):
+    """Function of the locations of a cell and the POIs around it: per location with a POI within ``radius_km``
+    the weight of those within each radius, and the distance to the nearest.  Squared chords decide; only a pair
+    as near to a radius as rounding is long is measured again."""
+    edges = [float(r) / 1000.0 for r in radii_m]
+    chords = [4.0 * math.sin(min(e / EARTH_RADIUS_KM, math.pi) / 2) ** 2 for e in edges]
+
+    def zones(locs, pois):
+        ids, lat, lon = (locs[c].to_numpy() for c in ("loc_id", "lat", "lon"))
+        plat, plon, w = (pois[c].to_numpy() for c in ("plat", "plon", "_w"))
+        rows = []
+        fine = np.isfinite(plat) & np.isfinite(plon)
+        plat, plon, w = plat[fine], plon[fine], w[fine]
+        if len(w):
+            here, there, plain = _on_sphere(lat, lon), _on_sphere(plat, plon), bool((w == 1).all())
+            step = max(1, PAIRS // len(w))
+            for s in range(0, len(ids), step):
+                d2 = sum((here[i, s:s + step, None] - there[i]) ** 2 for i in range(3))
+                at = d2.argmin(axis=1)
+                km = _km(lat[s:s + step], lon[s:s + step], plat[at], plon[at])
+                counts = []
+                for edge, chord in zip(edges, chords):
+                    within, near = d2 <= chord * (1 - 1e-9) - 1e-15, d2 <= chord * (1 + 1e-9) + 1e-15
+                    if np.count_nonzero(near) != np.count_nonzero(within):
+                        a, b = np.nonzero(near & ~within)
+                        within[a, b] = _km(lat[s + a], lon[s + a], plat[b], plon[b]) * 1000.0 <= edge * 1000.0
+                    counts.append(np.count_nonzero(within, axis=1) if plain else within @ w)
+                kept = km <= radius_km
+                rows.append([ids[s:s + step][kept], *[c[kept] for c in counts], km[kept]])
+        names = ["loc_id", *[f"z{i}" for i in range(len(edges))], "nearest_km"]
+        got = [np.concatenate([r[i] for r in rows]) if rows else np.empty(0) for i in range(len(names))]
+        return pa.table({n: pa.array(g, pa.float64() if n == "nearest_km" else pa.int64()) for n, g in zip(names, got)})
+    return zones
+
+
+def zone_counts(locs: DataFrame, pois: DataFrame, radii_m: Sequence[int], names: Sequence[str], radius_km: float, max_abs_lat: float) -> DataFrame:
+    """(loc_id, one count a radius, nearest_km) of the locations that have one of the stacked
+    ``pois`` within ``radius_km``; no pair leaves the task that compares a cell with the POIs around it."""
+    with_library(locs.sparkSession)
+    parts = max(32, -(-locs.count() // 20_000))
+    p, q, keys = _in_cells(locs, pois, radius_km, max_abs_lat, "loc_id", CELL_LOCATIONS)
+    p, q = p.select(*keys, "loc_id", "lat", "lon"), q.select(*keys, "plat", "plon", "_w")
+    schema = "loc_id bigint, " + ", ".join(f"z{i} bigint" for i in range(len(radii_m))) + ", nearest_km double"
+    got = p.repartition(parts, *keys).groupBy(*keys).cogroup(q.repartition(parts, *keys).groupBy(*keys)) \
+           .applyInArrow(_zones_of(radii_m, radius_km), schema)
+    return got.toDF("loc_id", *names, "nearest_km")
+
+
 def transport_features(df: DataFrame, pois: DataFrame, prefix: str, zones=ZONES, lon: str = "lon",
                        lat: str = "lat") -> DataFrame:
     """GEO-3/4/5/6 for one POI table: zone counts, nearest distance (m) and
@@ -174,7 +268,7 @@ def transport_features(df: DataFrame, pois: DataFrame, prefix: str, zones=ZONES,
 
     One grid join at radius r0 = max(largest zone, 2 x typical POI spacing)
     yields the zone counts and, for every location with a POI within r0, its
-    exact nearest distance; only the rest go to the growing-ring search."""
+    exact nearest distance; only the rest go to the search over tiles of POIs."""
     locs = cut_lineage(locations(df, lon, lat))
     pois = cut_lineage(stack_pois(pois))
     pe, le = extent(pois), extent(locs)
@@ -185,13 +279,9 @@ def transport_features(df: DataFrame, pois: DataFrame, prefix: str, zones=ZONES,
     else:
         mal = max(pe["mal"], le["mal"])
         r0 = max(max(r for _, r in zones) / 1000.0, 2.0 * spacing_km(pe))
-        pairs = candidate_pairs(locs, pois, r0, mal)
-        agg = cut_lineage(pairs.groupBy("loc_id").agg(
-            *[F.sum(F.when(F.col("km") * 1000.0 <= F.lit(float(r)), F.col("w")).otherwise(0)).cast("bigint")
-              .alias(f"{prefix}_{n}_count") for n, r in zones],
-            F.min("km").alias("nearest_km")))
+        agg = cut_lineage(zone_counts(locs, pois, [r for _, r in zones], [f"{prefix}_{n}_count" for n in names], r0, mal), "zone_counts")
         rest = locs.join(agg.select("loc_id"), "loc_id", "left_anti")
-        far = nearest(cut_lineage(rest), pois, r0 * 4.0, mal, loc_ext=le, poi_ext=pe).select("loc_id", "nearest_km")
+        far = nearest(cut_lineage(rest), pois).select("loc_id", "nearest_km")
         feat = locs.select("loc_id").join(agg, "loc_id", "left").fillna(0, subset=[f"{prefix}_{n}_count" for n in names])
         feat = feat.join(far.withColumnRenamed("nearest_km", "_far"), "loc_id", "left") \
                    .withColumn("nearest_km", F.coalesce("nearest_km", "_far")).drop("_far")

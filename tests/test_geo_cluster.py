@@ -122,3 +122,20 @@ def test_k_distance_of_clumps_lists_no_pairs(spark):
     assert cluster.k_distance(df.limit(3), 4).toPandas()["kdist"].isna().all()
     odd = spark.createDataFrame([(1, 0.0, 0.0), (2, 3.0, 4.0), (3, None, 1.0), (4, float("nan"), 0.0)], "point_id long, x double, y double")
     assert {r.point_id: r.kdist for r in cluster.k_distance(odd, 2).collect()} == {1: 5.0, 2: 5.0, 4: None}
+
+
+def test_transport_features_list_no_pairs(spark, monkeypatch):
+    """Stacked POIs, POIs at exactly a zone's edge's side, and locations far from all POIs; no pair rows."""
+    rng = np.random.default_rng(3)
+    pois = [(i, 127.0 + rng.random() * 0.02, 37.5 + rng.random() * 0.02) for i in range(700)] + [(900 + i, 127.01, 37.51) for i in range(6)]
+    rows = [(i, 127.0 + rng.random() * 0.02, 37.5 + rng.random() * 0.02) for i in range(60)] + [(100, 127.01, 37.51), (101, 128.5, 37.2), (102, -60.0, -37.5), (103, None, 37.5)]
+    monkeypatch.setattr(geo, "candidate_pairs", None)
+    got = geo.transport_features(spark.createDataFrame(rows, "row_id long, lon double, lat double"), spark.createDataFrame(pois, "poi_id long, lon double, lat double"), "s").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.lon is None:
+            assert r.s_shortest_distance is None
+            continue
+        d = [hav(r.lat, r.lon, p[2], p[1]) * 1000 for p in pois]
+        assert [r.s_station_area_count, r.s_direct_influence_count, r.s_indirect_influence_count] == [sum(x <= z for x in d) for z in (200, 500, 1500)]
+        assert abs(r.s_shortest_distance - min(d)) < 1e-6
