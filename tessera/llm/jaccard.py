@@ -15,14 +15,17 @@ Equal sets collapse to one *set*, known by a 64-bit digest of the array.
    only are dropped; so are those whose sets are all one component already.
 4. What is left is dealt into tiles, one a shingle (more where it has many sets, cut
    into blocks), sorted by size.  A set is compared with those of its size band, up
-   to 1/threshold of its size; bit counts of the signatures bound the overlap from
-   above; only pairs of different components that may still link come out.
+   to 1/threshold of its size.  A pair need come out only at its first common
+   shingle, where its overlap is at most what either set has from there on; so a row
+   carries that rest, and a pair whose rests are too small for a link is left to an
+   earlier tile, or cannot link.  Bit counts of the signatures bound the overlap too;
+   only pairs of different components that may still link come out.
 5. Such pairs are verified by exact intersection of the sorted arrays, and
    the links give the components.  Steps 4 and 5 run twice: first with the
    likeliest partner of each set, so with as many pairs as sets at most, then, among
    the components that this leaves apart, with all pairs.
 
-No pair is lost: prefix, size and bitmap tests are necessary conditions, and
+No pair is lost: prefix, size, rest and bitmap tests are necessary conditions, and
 pairs that are not looked at are joined already.  Two different texts count as
 equal only if 64-bit hashes collide.
 
@@ -110,12 +113,13 @@ def _profile(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _prefixes(k: int, percent: int, heavy, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, set_id, n) of each set's prefix.  ``heavy`` has the counts of
-    frequent shingles by hash slot; those are last in every set's order."""
+    """(token, set_id, rest) of each set's prefix: ``rest`` is how many shingles the set
+    has from the token on in its order.  ``heavy`` has the counts of frequent
+    shingles by hash slot; those are last in every set's order."""
     rank, done = heavy.value, set()
     for batch in batches:
         for run in tb.runs(batch.column(0), tb.SPACED):
-            tokens, sets, sizes = [], [], []
+            tokens, sets, rests = [], [], []
             for _, u in tb.shingle_sets(run, k):
                 n = len(u)
                 if not n or (key := set_digest(u)) in done:
@@ -129,18 +133,18 @@ def _prefixes(k: int, percent: int, heavy, batches: Iterator[pa.RecordBatch]) ->
                     light = u[np.lexsort((u, w))]
                 tokens.append(light[:take])
                 sets.append(key)
-                sizes.append(n)
+                rests.append(np.arange(n, n - take, -1, dtype=np.int32))
             if tokens:
                 reps = [len(t) for t in tokens]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(sets, np.int64), reps)),
-                     pa.array(np.repeat(np.array(sizes, np.int32), reps))], ["token", "set_id", "n"])
+                     pa.array(np.concatenate(rests))], ["token", "set_id", "rest"])
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (token, set_id): those whose token has more than one
     set, each (token, set_id) once."""
-    last = None  # the last row seen: token, set, n, whether it has been given out
+    last = None  # the last row seen: token, set, rest, whether it has been given out
     for batch in batches:
         t, s, n = (batch.column(i).to_numpy() for i in range(3))
         if not len(t):
@@ -155,7 +159,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (t[-1], s[-1], n[-1], bool(keep[-1]) or (given and len(t) == 1))
         if given:
             keep[0] = False
-        yield pa.RecordBatch.from_arrays([pa.array(t[keep]), pa.array(s[keep]), pa.array(n[keep])], ["token", "set_id", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(t[keep]), pa.array(s[keep]), pa.array(n[keep])], ["token", "set_id", "rest"])
 
 
 def _folded(a: np.ndarray, words: int) -> np.ndarray:
@@ -184,8 +188,8 @@ class _Rows:
         table = pa.Table.from_batches(parts).combine_chunks()
         get = lambda c: table[c].combine_chunks().to_numpy(zero_copy_only=False)
         keys = [get(c) for c in _TILE]
-        self.ids, self.n, self.comp, self.block = (get(c) for c in ("set_id", "n", "comp", "block"))
-        self.n, self.across = self.n.astype(np.int64), keys[1] != keys[2]
+        self.ids, self.n, self.rest, self.comp, self.block = (get(c) for c in ("set_id", "n", "rest", "comp", "block"))
+        self.n, self.rest, self.across = self.n.astype(np.int64), self.rest.astype(np.int64), keys[1] != keys[2]
         change = np.zeros(max(len(self.ids) - 1, 0), bool)
         for k in keys:
             change |= k[1:] != k[:-1]
@@ -229,6 +233,7 @@ def _tile_pairs(percent: int, rows: _Rows, out: dict, best_only: bool) -> None:
         j = i + 1 + np.arange(len(i)) - np.repeat(upto[lo:hi] - many[lo:hi] - (upto[lo - 1] if lo else 0), many[lo:hi])
         lo = hi
         ok = (rows.comp[i] != rows.comp[j]) & (~rows.across[i] | (rows.block[i] != rows.block[j]))
+        ok &= (100 + percent) * np.minimum(rows.rest[i], rows.rest[j]) >= percent * (rows.n[i] + rows.n[j])
         i, j = i[ok], j[ok]
         a, b = np.minimum(rows.ids[i], rows.ids[j]), np.maximum(rows.ids[i], rows.ids[j])
         order = np.lexsort((b, a))  # a pair meets in many tiles
@@ -403,20 +408,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rank = np.zeros(1 << SKETCH_BITS, np.int64)
     rank[heavy["slot"].to_numpy(np.int64)] = heavy["seen"].to_numpy(np.int64)
     rank = spark.sparkContext.broadcast(np.minimum(rank, 2**31 - 1).astype(np.int32))
-    schema = "token long, set_id long, n int"
+    schema = "token long, set_id long, rest int"
     prefixes = arrow_map(texts.select("text"), partial(_prefixes, k, percent, rank), schema)
     shared = arrow_map(prefixes.repartition("token").sortWithinPartitions("token", "set_id"), _shared, schema)
     shared = written(shared, "jac-shared")
     for best_only in (True, False):
         comps = components(reduce(DataFrame.union, links)).withColumnRenamed("node", "set_id")
-        known = written(shared.join(comps, "set_id", "left").withColumn("comp", F.coalesce("label", "set_id")).drop("label"), "jac-known")
-        mixed = (known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"))
-                 .where("x <> y").select("token", F.ceil(F.col("members") / TILE).cast("int").alias("blocks")))
-        placed = (known.join(mixed, "token").join(sets.select("set_id", "sig"), "set_id")
+        each = sets.select("set_id", "n").join(comps, "set_id", "left").select("set_id", "n", F.coalesce("label", "set_id").alias("comp"))
+        known = written(shared.join(each, "set_id"), "jac-known")
+        mixed = (known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"),
+                                            F.min("n").alias("least"), F.max("rest").alias("most"))
+                 .where("x <> y").select("token", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"), "least", "most"))
+        # rows whose rest may do for a link with the smallest set here that is not too small
+        can = ((100 + percent) * F.least("rest", "most").cast("long")
+               >= percent * (F.col("n") + F.greatest("least", F.ceil(F.col("n") * percent / 100))))
+        placed = (known.join(mixed, "token").where(can).drop("least", "most").join(sets.select("set_id", "sig"), "set_id")
                   .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
                   .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                   .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
-        dealt = placed.select(*_TILE, "set_id", "n", "comp", "block", "sig").repartition(*_TILE).sortWithinPartitions(*_TILE, "n")
+        dealt = placed.select(*_TILE, "set_id", "n", "rest", "comp", "block", "sig").repartition(*_TILE).sortWithinPartitions(*_TILE, "n")
         found = arrow_map(dealt, partial(_tiles, percent, best_only), "a long, b long, likely double")
         if best_only:
             found = found.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b"))

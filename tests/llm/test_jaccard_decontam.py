@@ -139,3 +139,45 @@ def test_contamination_edge_cases(spark):
     assert hits(spark, docs, items) == expected_hits(docs, items)
     assert hits(spark, docs, []) == expected_hits(docs, [])
     assert hits(spark, [], items) == {}
+
+
+def test_tiles_give_a_pair_at_its_first_common_shingles_only():
+    """Every link comes out; a pair far from the threshold does not meet again in each tile of a shared shingle."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from tessera.llm.jaccard import SKETCH_BITS, _prefixes, _tiles
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(50):  # from near copies to texts that share two thirds of the passage
+        own = list(base)
+        for at in rng.sample(range(len(own)), rng.choice((0, 1, 2, 4, 6))):
+            own[at] = f"x{i}_{at}"
+        texts.append(" ".join(own))
+    sets = {set_digest(u): set(u.tolist()) for run in tb.runs(pa.array(texts), tb.SPACED) for _, u in tb.shingle_sets(run, 5)}
+    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    for u in sets.values():
+        for x in u:
+            counts[x >> (64 - SKETCH_BITS)] += 1
+    heavy = SimpleNamespace(value=np.where(counts >= 8, counts, 0))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    tiles = {}
+    for out in _prefixes(5, 75, heavy, iter([batch])):
+        for token, s, rest in zip(*(c.to_pylist() for c in out.columns)):
+            tiles.setdefault(token, {})[s] = rest
+    given, shared = [], 0
+    for token, rows in tiles.items():
+        own = sorted(rows, key=lambda s: len(sets[s]))
+        shared += len(own) * (len(own) - 1) // 2
+        one = pa.RecordBatch.from_pydict({
+            "token": pa.array([token] * len(own), pa.int64()), "bi": pa.array([0] * len(own), pa.int32()), "bj": pa.array([0] * len(own), pa.int32()),
+            "set_id": pa.array(own, pa.int64()), "n": pa.array([len(sets[s]) for s in own], pa.int32()), "rest": pa.array([rows[s] for s in own], pa.int32()),
+            "comp": pa.array(own, pa.int64()), "block": pa.array([0] * len(own), pa.int32()),
+            "sig": pa.array([signature(np.array(sorted(sets[s]), np.uint64)).tobytes() for s in own], pa.binary())})
+        for got in _tiles(75, False, iter([one])):
+            given += zip(got.column("a").to_pylist(), got.column("b").to_pylist())
+    ids = sorted(sets)
+    links = {(a, b) for i, a in enumerate(ids) for b in ids[i + 1:] if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert links <= set(given) and len(links) > 50
+    assert 3 * len(given) < shared
