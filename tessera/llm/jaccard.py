@@ -12,7 +12,9 @@ Equal sets collapse to one *set*, known by a 64-bit digest of the array.
    spares work, it decides nothing.
 3. A second pass emits the prefix of each set in order (frequent last, then by
    hash): two sets that link must share a prefix shingle.  Shingles of one set
-   only are dropped; so are those whose sets are all one component already.
+   only are dropped.  A shingle of a few sets gives their pairs, each pair once for a task;
+   sizes, rests (see 4) and signatures, joined to a pair once, rule most of them out.
+   Shingles whose sets are all one component already are dropped.
 4. What is left is dealt into tiles, one a shingle (more where it has many sets, cut
    into blocks), sorted by size.  A set is compared with those of its size band, up
    to 1/threshold of its size.  A pair need come out only at its first common
@@ -21,7 +23,7 @@ Equal sets collapse to one *set*, known by a 64-bit digest of the array.
    earlier tile, or cannot link.  Bit counts of the signatures bound the overlap too;
    only pairs of different components that may still link come out.
 5. Such pairs are verified by exact intersection of the sorted arrays, and
-   the links give the components.  Steps 4 and 5 run twice: first with the
+   the links give the components.  Steps 4 and 5 run twice, over tiles and listed pairs: first with the
    likeliest partner of each set, so with as many pairs as sets at most, then, among
    the components that this leaves apart, with all pairs.
 
@@ -54,6 +56,9 @@ BANDS, ROWS = 6, 2
 SKETCH_BITS = 20
 TILE = 4096
 _TILE = ("token", "bi", "bj")
+#: A shingle of at most so many sets gives pairs, one of more is a tile.
+LISTED = 8
+_SHARED = ["token", "set_id", "rest", "other"]
 PAIRS = 1 << 18
 #: Odd multipliers of the min-hash permutations.
 _PERM = tb.mix(np.arange(101, 101 + BANDS * ROWS, dtype=_U)) | _U(1)
@@ -141,25 +146,72 @@ def _prefixes(k: int, percent: int, heavy, batches: Iterator[pa.RecordBatch]) ->
                      pa.array(np.concatenate(rests))], ["token", "set_id", "rest"])
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (token, set_id): those whose token has more than one
-    set, each (token, set_id) once."""
-    last = None  # the last row seen: token, set, rest, whether it has been given out
+def _listed(percent: int, t: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(a, b, rest) for two sets of one token (rows sorted by token and set, at most ``LISTED``
+    a token), ``rest`` the smaller one, if neither rest is too small beside the other."""
+    out = []
+    for d in range(1, LISTED):
+        i = np.flatnonzero(t[d:] == t[:-d])
+        if not len(i):
+            break
+        low, high = np.minimum(n[i], n[i + d]), np.maximum(n[i], n[i + d])
+        ok = 100 * low.astype(np.int64) >= percent * high.astype(np.int64)
+        out.append((s[i][ok], s[i + d][ok], low[ok]))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (s[:0], s[:0], n[:0])
+
+
+def _once(a: np.ndarray, b: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each pair once, with its largest rest."""
+    order = np.lexsort((rest, b, a))
+    a, b, rest = a[order], b[order], rest[order]
+    last = np.r_[(a[1:] != a[:-1]) | (b[1:] != b[:-1]), True][:len(a)]
+    return a[last], b[last], rest[last]
+
+
+def _shared(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (token, set_id), each (token, set_id) once: a token of two to
+    ``LISTED`` sets gives pairs (set_id, other, rest), a token of more its rows."""
+    held = None  # rows of the last token seen; only its last row, given out already, if ``large``
+    large = False
+    pairs, size = [], 0
+
+    def rows(t, s, n):
+        return pa.RecordBatch.from_arrays([pa.array(t), pa.array(s), pa.array(n, pa.int32()), pa.nulls(len(t), pa.int64())], _SHARED)
+
+    def flush():
+        a, b, n = _once(*(np.concatenate(c) for c in zip(*pairs)))
+        return pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(n, pa.int32()), pa.array(b)], _SHARED)
+
     for batch in batches:
         t, s, n = (batch.column(i).to_numpy() for i in range(3))
         if not len(t):
             continue
-        if last is not None:
-            t, s, n = np.r_[last[0], t], np.r_[last[1], s], np.r_[last[2], n].astype(np.int32)
+        if held is not None:
+            t, s, n = (np.r_[x, y] for x, y in zip(held, (t, s, n.astype(np.int32))))
         new = np.r_[True, (t[1:] != t[:-1]) | (s[1:] != s[:-1])]
-        given = last is not None and last[3]
         t, s, n = t[new], s[new], n[new]
-        same = t[1:] == t[:-1]
-        keep = np.r_[False, same] | np.r_[same, False]
-        last = (t[-1], s[-1], n[-1], bool(keep[-1]) or (given and len(t) == 1))
-        if given:
-            keep[0] = False
-        yield pa.RecordBatch.from_arrays([pa.array(t[keep]), pa.array(s[keep]), pa.array(n[keep])], ["token", "set_id", "rest"])
+        start = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+        many = np.diff(np.r_[start, len(t)])
+        of = many > LISTED
+        of[0] |= large
+        out = np.repeat(of, many)
+        whole = np.repeat(~of, many)
+        whole[start[-1]:] = False
+        if large:
+            out[0] = False
+        large = bool(of[-1])
+        yield rows(t[out], s[out], n[out])
+        pairs.append(_listed(percent, t[whole], s[whole], n[whole]))
+        size += len(pairs[-1][0])
+        cut = len(t) - 1 if large else start[-1]
+        held = t[cut:], s[cut:], n[cut:]
+        if size > 1 << 20:
+            yield flush()
+            pairs, size = [], 0
+    if held is not None and not large:
+        pairs.append(_listed(percent, *held))
+    if pairs:
+        yield flush()
 
 
 def _folded(a: np.ndarray, words: int) -> np.ndarray:
@@ -289,14 +341,18 @@ def _tiles(percent: int, best_only: bool, batches: Iterator[pa.RecordBatch]) ->
 
 
 def _possible(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pairs with sizes and signatures those that may link."""
+    """Of pairs with sizes and signatures those that may link, and how likely."""
     for batch in batches:
         cols = {c: batch.column(c).to_pylist() for c in ("na", "sa", "nb", "sb")}
-        keep = []
+        keep, likely = [], []
         for i, (m, x, n, y) in enumerate(zip(cols["na"], cols["sa"], cols["nb"], cols["sb"])):
-            if 100 * min(m, n) >= percent * max(m, n) and slack(np.frombuffer(x, _U)[None], np.array([m]), np.frombuffer(y, _U)[None], np.array([n]), percent)[0] >= 0:
-                keep.append(i)
-        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], ["a", "b"])
+            if 100 * min(m, n) >= percent * max(m, n):
+                spare = slack(np.frombuffer(x, _U)[None], np.array([m]), np.frombuffer(y, _U)[None], np.array([n]), percent)[0]
+                if spare >= 0:
+                    keep.append(i)
+                    likely.append(spare / (m + n))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")), pa.array(likely, pa.float64())],
+                                         ["a", "b", "likely"])
 
 
 def _arrays(k: int, wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,12 +406,15 @@ def _overlaps(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in keep], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
-def _verified(spark: SparkSession, texts: DataFrame, pairs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of sets that link.  Signatures rule pairs out first; then the
-    sorted arrays of both sides are sent to each pair that is left."""
+def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and signatures do not rule out, with their ``likely``."""
     known = sets.select("set_id", "n", "sig")
     signed = pairs.join(known.toDF("a", "na", "sa"), "a").join(known.toDF("b", "nb", "sb"), "b")
-    left = written(arrow_map(signed, partial(_possible, percent), "a long, b long"), "jac-possible")
+    return written(arrow_map(signed, partial(_possible, percent), "a long, b long, likely double"), "jac-possible")
+
+
+def _verified(spark: SparkSession, texts: DataFrame, left: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of sets that link: the sorted arrays of both sides are sent to each pair."""
     ends = left.select(F.col("a").alias("set_id"), "a", "b", F.lit(0).alias("side")).union(left.select("b", "a", "b", F.lit(1)))
     needed = sets.join(ends.select("set_id").distinct(), "set_id").select(F.xxhash64("rep").alias("h"))
     wanted = spark.sparkContext.broadcast(IdFilter.of(needed, F.col("h")))
@@ -396,13 +455,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                    .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")),
                    "jac-sets")
 
+    may_link = lambda pairs: _may_link(pairs, sets, percent)
+    verified = lambda pairs: _verified(spark, texts, pairs, sets, k, percent)
+
     # Groups of copies: each set with the smallest set of the key that it shares most often, then components that meet.
     keyed = sets.select("set_id", F.explode("keys").alias("key"))
     hubs = keyed.groupBy("key").agg(F.min("set_id").alias("b"), F.max("set_id").alias("top")).where("b <> top").select("key", "b")
     met = written(keyed.join(hubs, "key").where("set_id <> b").groupBy(F.col("set_id").alias("a"), "b").count(), "jac-met")
-    links = [_verified(spark, texts, written(met.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")), "jac-copies"), sets, k, percent)]
+    links = [verified(may_link(written(met.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")), "jac-copies")))]
     apart = _apart(met, components(links[0]))
-    links.append(_verified(spark, texts, written(_one_each(apart, "count"), "jac-copies"), sets, k, percent))
+    links.append(verified(may_link(written(_one_each(apart, "count"), "jac-copies"))))
 
     heavy = profile.where("slot is not null").groupBy("slot").agg(F.sum("seen").alias("seen")).toPandas()  # at most 2**SKETCH_BITS rows
     rank = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -410,11 +472,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rank = spark.sparkContext.broadcast(np.minimum(rank, 2**31 - 1).astype(np.int32))
     schema = "token long, set_id long, rest int"
     prefixes = arrow_map(texts.select("text"), partial(_prefixes, k, percent, rank), schema)
-    shared = arrow_map(prefixes.repartition("token").sortWithinPartitions("token", "set_id"), _shared, schema)
+    shared = arrow_map(prefixes.repartition("token").sortWithinPartitions("token", "set_id"), partial(_shared, percent), schema + ", other long")
     shared = written(shared, "jac-shared")
+    listed = shared.where("other is not null").groupBy(F.col("set_id").alias("a"), F.col("other").alias("b")).agg(F.max("rest").alias("rest"))
+    shared = shared.where("other is null").drop("other")
+    near = None
     for best_only in (True, False):
-        comps = components(reduce(DataFrame.union, links)).withColumnRenamed("node", "set_id")
-        each = sets.select("set_id", "n").join(comps, "set_id", "left").select("set_id", "n", F.coalesce("label", "set_id").alias("comp"))
+        comps = components(reduce(DataFrame.union, links))
+        each = sets.select("set_id", "n").join(comps.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "n", F.coalesce("label", "set_id").alias("comp"))
+        if near is None:  # the signatures of listed pairs are looked at once, for both rounds
+            near = (listed.join(each.toDF("a", "na", "ca"), "a").join(each.toDF("b", "nb", "cb"), "b").where("ca <> cb")
+                    .where((100 + percent) * F.col("rest").cast("long") >= percent * (F.col("na") + F.col("nb")))
+                    .where(100 * F.least("na", "nb").cast("long") >= percent * F.greatest("na", "nb")))
+            near = may_link(near.select("a", "b"))
         known = written(shared.join(each, "set_id"), "jac-known")
         mixed = (known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"),
                                             F.min("n").alias("least"), F.max("rest").alias("most"))
@@ -429,11 +499,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         dealt = placed.select(*_TILE, "set_id", "n", "rest", "comp", "block", "sig").repartition(*_TILE).sortWithinPartitions(*_TILE, "n")
         found = arrow_map(dealt, partial(_tiles, percent, best_only), "a long, b long, likely double")
         if best_only:
-            found = found.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b"))
+            found = found.union(near).union(near.select("b", "a", "likely")).groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b"))
+        else:
+            found = found.select("a", "b").union(_apart(near, comps).select("a", "b"))
         pairs = written(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jac-candidates")
         if not pairs.take(1):
             break
-        links.append(_verified(spark, texts, pairs, sets, k, percent))
+        links.append(verified(pairs))  # tiles and lists have looked at the signatures
     labels = components(reduce(DataFrame.union, links))
 
     member = (rows.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")

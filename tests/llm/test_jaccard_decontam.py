@@ -181,3 +181,29 @@ def test_tiles_give_a_pair_at_its_first_common_shingles_only():
     links = {(a, b) for i, a in enumerate(ids) for b in ids[i + 1:] if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
     assert links <= set(given) and len(links) > 50
     assert 3 * len(given) < shared
+
+
+@pytest.mark.parametrize("rows_a_batch", [1, 3, 7, 100, 10_000])
+def test_shingles_of_few_sets_give_each_pair_once_and_no_rows(rows_a_batch):
+    """Only shingles of many sets go on as rows, for which signatures travel; where batches end makes no difference."""
+    import pyarrow as pa
+    from tessera.llm.jaccard import LISTED, _shared
+    rng = random.Random(6)
+    sizes = [1, 2, LISTED - 1, LISTED, LISTED + 1, 40, 1, 3] * 4
+    rests = {(t, s): rng.randrange(60, 100) for t, n in enumerate(sizes) for s in rng.sample(range(50), n)}
+    rows = sorted((t, s, r) for (t, s), r in rests.items() for _ in range(rng.choice((1, 1, 3))))  # copies of a text repeat rows
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[i:i + rows_a_batch]), (pa.int64(), pa.int64(), pa.int32()))],
+                                          ["token", "set_id", "rest"]) for i in range(0, len(rows), rows_a_batch)]
+    got = [r for b in _shared(75, iter(batches)) for r in b.to_pylist()]
+    large = [(r["token"], r["set_id"], r["rest"]) for r in got if r["other"] is None]
+    assert sorted(large) == [(t, s, r) for (t, s), r in sorted(rests.items()) if sizes[t] > LISTED]
+    expected = {}
+    for t, n in enumerate(sizes):
+        own = sorted(s for u, s in rests if u == t) if n <= LISTED else []
+        for i, a in enumerate(own):
+            for b in own[i + 1:]:
+                low, high = sorted((rests[t, a], rests[t, b]))
+                if 100 * low >= 75 * high:
+                    expected[a, b] = max(low, expected.get((a, b), 0))
+    pairs = [(r["set_id"], r["other"], r["rest"]) for r in got if r["other"] is not None]
+    assert sorted(pairs) == [(*p, r) for p, r in sorted(expected.items())]
