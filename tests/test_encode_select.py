@@ -242,3 +242,21 @@ def test_runs_read_every_axis_and_refuse_unknown_options(spark):
     for bad in ({"features": "none such"}, {"colour": "red"}):
         with pytest.raises(ValueError):
             runs.run_config(t, bad, prefix)
+
+
+def test_encoders_fit_once_and_apply_what_they_wrote(spark):
+    """Two text columns with nulls and unseen values: both sides read the written state, so
+    their plans fit nothing again."""
+    from tessera.operators import runs
+    train = spark.createDataFrame([("a", "x", 1.0), ("a", None, 3.0), ("b", "y", 8.0), (None, "x", 4.0)], "c string, d string, target double")
+    test = spark.createDataFrame([("a", "y", 0.0), ("z", None, 0.0), (None, "w", 0.0)], "c string, d string, target double")
+    want = {
+        "target": ({(2.0, 2.5, 1.0), (2.0, None, 3.0), (8.0, 8.0, 8.0), (None, 2.5, 4.0)}, {(2.0, 8.0, 0.0), (4.0, 4.0, 0.0)}),
+        "frequency": ({(2.0, 2.0, 1.0), (2.0, 1.0, 3.0), (1.0, 1.0, 8.0), (1.0, 2.0, 4.0)}, {(2.0, 1.0, 0.0), (0.0, 1.0, 0.0), (1.0, 0.0, 0.0)}),
+        "label": ({(1, 1, 1.0), (1, 0, 3.0), (2, 2, 8.0), (0, 1, 4.0)}, {(1, 2, 0.0), (3, 0, 0.0), (0, 3, 0.0)}),
+    }
+    for how, sides in want.items():
+        for got, rows in zip(runs._encoded(train, test, ["c", "d"], how), sides):
+            assert got.columns == ["c", "d", "target"] and {tuple(r) for r in got.collect()} == rows
+            plan = got._jdf.queryExecution().optimizedPlan().toString()
+            assert "Aggregate" not in plan and "Window" not in plan and plan.count("LogicalRDD") == 1, (how, plan)
