@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import EARTH_RADIUS_KM, haversine_km
 from ..session import with_library
 from ..sources.store import cut_lineage
+from . import farfield
 from .cluster import tiled
 
 KM_PER_DEG = 6371.0 * math.pi / 180.0
@@ -303,7 +304,7 @@ def box_report(df: DataFrame, box=BOX, lon: str = "lon", lat: str = "lat") -> Da
 
 
 # ---------------------------------------------------------------------------
-# GEO-8: sum of the distances to all points, by block reduction
+# GEO-8: sum of the distances to all points, by block reduction or by tiles
 # ---------------------------------------------------------------------------
 
 def _add_plane(total, x, y, px, py, w):
@@ -371,36 +372,98 @@ def _folder(metric: str):
     return fold
 
 
+#: Pairs of a place and a point up to which each is measured alone.
+FEW_PAIRS = 1 << 29
+#: Places and points of a tile, and tiles of a part, at most; and parts that there should be.
+TILE_ROWS, PART_TILES, PARTS = 16_384, 4, 256
+
+
+def _by_blocks(locs: DataFrame, spots: DataFrame, found: int, n: int, metric: str, block: int, per_pass: int) -> DataFrame:
+    """``locs`` with the distances to ``spots`` added to ``_sum``, point after point: a pass sends
+    ``per_pass`` blocks of at most ``block`` points to every part of the places."""
+    parts = max(1, min(256, -(-found // 512)), -(-found // 32768))
+    locs = locs.withColumn("_part", F.pmod(F.xxhash64("_x", "_y"), F.lit(parts)).cast("int"))
+    for first in range(0, n, block * per_pass):
+        own = spots.where((F.col("pos") >= first) & (F.col("pos") < first + block * per_pass))
+        packed = own.groupBy(F.floor(F.col("pos") / block).alias("_block")).agg(F.array_sort(F.collect_list(F.struct("pos", "x", "y", "w"))).alias("p"))
+        sent = packed.select("_block", F.col("p.x").alias("px"), F.col("p.y").alias("py"), F.col("p.w").alias("w"),
+                             F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part")).repartition(parts, "_part")
+        folded = locs.repartition(parts, "_part").groupBy("_part").cogroup(sent.groupBy("_part")).applyInArrow(_folder(metric), locs.schema)
+        locs = cut_lineage(folded, "distance_sums")
+    return locs.drop("_part")
+
+
+def _by_tiles(locs: DataFrame, spots: DataFrame, rows: int, metric: str, tile_rows: int) -> DataFrame:
+    """(_x, _y, _sum) of the places: places and points, in the order of a curve that keeps neighbours together, are
+    cut into tiles.  A part of the places, one tile or a few in a row, gets the points of the tiles near it
+    and of every other tile what stands for its points."""
+    from .ordering import with_position
+    both = locs.select("_x", "_y", F.lit(None).cast("double").alias("w")).unionByName(spots.select(F.col("x").alias("_x"), F.col("y").alias("_y"), "w"))
+    ends = both.agg(*[f(c) for f in (F.min, F.max) for c in ("_x", "_y")]).first()
+    curve = both.mapInArrow(farfield.along_curve(ends[:2], ends[2:], "_x", "_y"), "_x double, _y double, w double, at bigint")
+    size = max(1, min(tile_rows, max(2048, -(-rows // 128))))
+    tiles = -(-rows // size)
+    per_part = max(1, min(PART_TILES, -(-tiles // PARTS)))
+    dealt = with_position(curve.withColumn("at", F.struct("at", "_x", "_y")), "at", "_pos")
+    dealt = cut_lineage(dealt.select("_x", "_y", "w", F.floor(F.col("_pos") / size).alias("_tile")), "distance_tiles")
+    parts = -(-tiles // per_part)
+    places = dealt.where("w IS NULL").select("_x", "_y", F.floor(F.col("_tile") / per_part).cast("int").alias("_part"))
+    points = dealt.where("w IS NOT NULL").select("_tile", F.col("_x").alias("x"), F.col("_y").alias("y"), "w")
+    packed = cut_lineage(points.groupBy("_tile").applyInArrow(farfield.packed, farfield.PACKED), "distance_packed")
+    bounds = places.groupBy("_part").agg(F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1"))
+    each = packed.select("_tile", "x0", "x1", "y0", "y1", "n", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
+    wanted = bounds.groupBy("_part").cogroup(each.groupBy("_part")).applyInArrow(farfield.needed(metric), "_part int, _tile bigint, whole boolean")
+    wanted = cut_lineage(wanted, "distance_wanted")
+    none = F.lit(None).cast("array<double>")
+    whole = packed.join(wanted.where("whole"), "_tile").withColumn("coef", none)
+    standing = packed.withColumns({c: none for c in ("px", "py", "w")}).join(wanted.where("NOT whole"), "_tile")
+    sent = whole.drop("whole").unionByName(standing.drop("whole"))
+    folded = places.repartition(parts, "_part").groupBy("_part").cogroup(sent.repartition(parts, "_part").groupBy("_part")) \
+                   .applyInArrow(farfield.folded(metric), "_x double, _y double, _sum double")
+    return cut_lineage(folded, "distance_sums")
+
+
 def distance_sums(df: DataFrame, points: DataFrame, out: str = "distance_sum", x: str = "lon", y: str = "lat",
-                  px: str = "lon", py: str = "lat", metric: str = "plane", block: int = 20_000, per_pass: int = 4) -> DataFrame:
+                  px: str = "lon", py: str = "lat", metric: str = "plane", block: int = 20_000, per_pass: int = 4,
+                  few_pairs: int = FEW_PAIRS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """GEO-8: ``df`` with the sum of each row's distances to all ``points``.
 
     ``metric``: ``plane`` (in the coordinates' own unit, as in the reference) or
-    ``km`` (great circle).  Equal points are packed as one with a weight; the points,
-    in order of their coordinates, are cut into blocks of at most ``block``, each one
-    row of arrays.  The distinct locations are dealt into parts; a pass sends ``per_pass``
-    blocks to every part, whose locations fold them into their running sums as arrays.
-    So there are no pair rows, a task holds a part and ``per_pass`` blocks, and the order of
-    summation, hence the result, does not depend on the block size or the parts.  Rows
-    without coordinates get null, points without are left out; without points the sum is 0."""
+    ``km`` (great circle).  Equal points are packed as one with a weight, and the work is done
+    per distinct location.
+
+    Up to ``few_pairs`` pairs are measured one by one: the points, in order of their coordinates, are cut
+    into blocks of at most ``block``, each one row of arrays; a pass sends ``per_pass`` blocks to every part of
+    the locations, which fold them into their running sums as arrays.  There the order of summation, hence the
+    result, does not depend on the block size or the parts.  With more pairs, tiles far from a location
+    enter its sum through ``farfield``, which is as exact as the sum's own rounding, and only those near it point by point, so
+    the time grows with the rows and not with the pairs.  Locations and points that are not finite,
+    beyond the poles or out of all proportion are measured one by one in any case.
+
+    Rows without coordinates get null, points without are left out; without points the sum is 0."""
     from .ordering import with_position
     with_library(df.sparkSession)
     spots = (points.where(F.col(px).isNotNull() & F.col(py).isNotNull())
              .groupBy(F.struct(F.col(px).cast("double").alias("x"), F.col(py).cast("double").alias("y")).alias("at"))
              .agg(F.count(F.lit(1)).cast("double").alias("w")))
-    spots = cut_lineage(with_position(spots, "at", "pos").select("pos", "at.x", "at.y", "w"), "distance_points")
-    n = spots.count()
+    ordered = lambda d: cut_lineage(with_position(d, "at", "pos").select("pos", "at.x", "at.y", "w"), "distance_points")
     locs = cut_lineage(df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).dropna().distinct()
                        .withColumn("_sum", F.lit(0.0)), "distance_locations")
-    found = locs.count()
-    parts = max(1, min(256, -(-found // 512)), -(-found // 32768))
-    locs = locs.withColumn("_part", F.pmod(F.xxhash64("_x", "_y"), F.lit(parts)).cast("int"))
-    for first in range(0, n, block * per_pass):
-        own = spots.where((F.col("pos") >= first) & (F.col("pos") < first + block * per_pass))
-        packed = own.groupBy(F.floor(F.col("pos") / block).alias("_block")).agg(F.array_sort(F.collect_list(F.struct("pos", "x", "y", "w"))).alias("p"))
-        sent = packed.select("_block", F.col("p.x").alias("px"), F.col("p.y").alias("py"), F.col("p.w").alias("w"),
-                             F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part")).repartition(parts, "_part")
-        folded = locs.repartition(parts, "_part").groupBy("_part").cogroup(sent.groupBy("_part")).applyInArrow(_folder(metric), locs.schema)
-        locs = cut_lineage(folded, "distance_sums")
-    locs = locs.drop("_part").withColumnRenamed("_sum", out)
+    spots, found = ordered(spots), locs.count()
+    n = spots.count()
+    if found * n <= few_pairs:
+        locs = _by_blocks(locs, spots, found, n, metric, block, per_pass)
+    else:
+        most = (1e4, 90.0) if metric == "km" else (1e100, 1e100)
+        plain = lambda a, b: (F.abs(a) <= most[0]) & (F.abs(b) <= most[1])
+        odd, odd_spots = locs.where(~plain("_x", "_y")), spots.where(~plain("x", "y"))
+        n_odd, n_odd_spots = odd.count(), odd_spots.count()
+        tiled_sums = locs.where(plain("_x", "_y"))
+        if n > n_odd_spots and found > n_odd:
+            tiled_sums = _by_tiles(tiled_sums, spots.where(plain("x", "y")), found - n_odd + n - n_odd_spots, metric, tile_rows)
+        if n_odd_spots:
+            odd_spots = ordered(odd_spots.select(F.struct("x", "y").alias("at"), "w"))
+            tiled_sums = _by_blocks(tiled_sums, odd_spots, found - n_odd, n_odd_spots, metric, block, per_pass)
+        locs = tiled_sums.unionByName(_by_blocks(odd, spots, n_odd, n, metric, block, per_pass)) if n_odd else tiled_sums
+    locs = locs.withColumnRenamed("_sum", out)
     return df.join(locs, (df[x].cast("double") == locs["_x"]) & (df[y].cast("double") == locs["_y"]), "left").drop("_x", "_y")
